@@ -27,9 +27,14 @@ class Rollup:
     into: str
 
     def all_pages(self) -> DataFrame:
-        """(key, page, list): every item of every key, page 0 included."""
-        first = self.rows.select(self.key, F.lit(0).alias("page"), self.into)
-        return first if self.overflow is None else first.unionByName(self.overflow)
+        """Every item of every key: `rows` as page 0, then the overflow.
+
+        The counts stand on page 0 only.
+        """
+        first = self.rows.drop("pages").withColumn("page", F.lit(0))
+        if self.overflow is None:
+            return first
+        return first.unionByName(self.overflow, allowMissingColumns=True)
 
 
 def rollup(

@@ -1,0 +1,283 @@
+"""The same queries in SQL over the flat test tables (DuckDB dialect)."""
+
+from __future__ import annotations
+
+_AGE_DAYS = "((c_custkey * 7919) % 29220)"
+
+_TABLES = f"""
+patient as (
+  select cast(c_custkey as varchar) patient_id, c_name family, n_name city,
+    strftime(date '1930-01-01' + cast({_AGE_DAYS} as integer), '%Y-%m-%d') "birthDate",
+    case when c_custkey % 2 = 0 then 'female' else 'male' end gender,
+    case when c_custkey % 10 = 0 then null
+      else case c_custkey % 3 when 0 then 'M' when 1 then 'S' else 'D' end end marital_status
+  from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey),
+cond_all as (
+  select 'c' || l_orderkey || '-' || l_linenumber id,
+    case when l_partkey % 53 <> 0 then cast(o_custkey as varchar) end patient_id,
+    case when p_partkey % 89 = 0 or p_partkey % 97 = 0 then null else p_brand end code,
+    case when p_partkey % 89 = 0 or p_partkey % 97 = 0 then null else p_type end display,
+    case when p_partkey % 89 = 0 then null when p_partkey % 97 = 0 then 0 else 1 end codings
+  from lineitem join orders on l_orderkey = o_orderkey join part on l_partkey = p_partkey
+  where l_returnflag = 'R' and p_size * 8 <= 80 - ((o_custkey * 7919) % 29220) / 365.25::double),
+cond as (select * from cond_all where patient_id is not null),
+med as (
+  select 'm' || l_orderkey || '-' || l_linenumber id, cast(o_custkey as varchar) patient_id,
+    cast(p_partkey as varchar) code, p_name display, l_returnflag status, 'order' intent,
+    strftime(l_shipdate, '%Y-%m-%d') authored, 'e' || l_orderkey encounter_id
+  from lineitem join orders on l_orderkey = o_orderkey join part on l_partkey = p_partkey
+  where l_linestatus = 'O' and l_shipdate >= timestamp '2001-01-01'),
+enc as (
+  select 'e' || o_orderkey id, cast(o_custkey as varchar) patient_id, o_orderstatus status,
+    left(o_orderpriority, 1) type_code, substring(o_orderpriority, 3) type_name,
+    strftime(o_orderdate, '%Y-%m-%d') start_date,
+    case when o_orderstatus = 'P' then null
+      else strftime(cast(o_orderdate as date) + 1, '%Y-%m-%d') end end_date,
+    o_orderpriority class_code, 'o' || (o_custkey % 25) organization_id
+  from orders where o_custkey % 7 <> 0),
+cond_agg as (
+  select patient_id,
+    array_to_string(list_sort(list(distinct coalesce(code, '') || '|' || coalesce(display, ''))), ';') conditions,
+    count(distinct coalesce(code, '') || '|' || coalesce(display, '')) listed,
+    count(distinct code) condition_count, count(*) condition_row_count
+  from cond group by patient_id),
+med_agg as (
+  select patient_id,
+    array_to_string(list_sort(list(id || '|' || code || '|' || display || '|' || status || '|' || intent
+      || '|' || authored || '|' || encounter_id)), ';') medications, count(*) medication_count
+  from med group by patient_id),
+enc_agg as (
+  select patient_id,
+    array_to_string(list_sort(list(id || '|' || status || '|' || type_code || '|' || type_name || '|' || start_date
+      || '|' || coalesce(end_date, '') || '|' || class_code || '|' || organization_id)), ';') encounters,
+    count(*) encounter_count
+  from enc group by patient_id),
+master as (
+  select p.*, conditions, listed, condition_count, medications, medication_count, encounters, encounter_count
+  from patient p left join cond_agg using (patient_id) left join med_agg using (patient_id)
+    left join enc_agg using (patient_id)),
+ages as (
+  select m.*, cast(2023 - year(cast("birthDate" as date))
+      - case when '02-28' < substring("birthDate", 6) then 1 else 0 end as integer) age,
+    case when exists (select 1 from cond c where c.patient_id = m.patient_id and display = 'PROMO')
+      then 1 else 0 end disease
+  from master m)
+"""
+
+
+def _with(body: str, *extra: str) -> str:
+    return "with " + ", ".join([_TABLES, *extra]) + " " + body
+
+
+_MASTER = _with("""
+select patient_id, "birthDate", gender, family, conditions, condition_count,
+  cast(medication_count as integer) medications_listed, medication_count,
+  cast(encounter_count as integer) encounters_listed, encounter_count, 1 list_pages
+from master""")
+
+# --- regressions: the tail probability is the finite series for whole df ------
+
+_PAIRS = """pairs as (
+  select 'medication_count' measure, gender, age::double x, medication_count::double y from ages
+  union all select 'disease', gender, age::double, disease::double from ages
+  union all select 'condition_count', gender, age::double, condition_count::double from ages
+  union all select 'condition_count_zero', gender, age::double, coalesce(condition_count, 0)::double from ages)"""
+
+_P = """1 - case when df % 2 = 1 then 2 / pi() * (th + sin(th) * coalesce(list_sum(list_transform(
+    range(0, (df - 1) // 2), lambda k: exp(lgamma(k + 1) + lgamma(1.5) - lgamma(k + 1.5))
+      * pow(cos(th), 2 * k + 1))), 0))
+  else sin(th) * coalesce(list_sum(list_transform(
+    range(0, df // 2), lambda k: exp(lgamma(k + 0.5) - lgamma(0.5) - lgamma(k + 1)) * pow(cos(th), 2 * k))), 0) end"""
+
+
+def _fits(by: str = "") -> tuple[str, ...]:
+    g = f"{by}, " if by else ""
+    return (
+        _PAIRS,
+        f"""moments as (
+          select {g}measure, count(*) n, regr_slope(y, x) slope, regr_intercept(y, x) intercept,
+            regr_r2(y, x) r2, regr_sxx(y, x) sxx, regr_syy(y, x) syy, regr_sxy(y, x) sxy, count(*) - 2 df
+          from pairs where x is not null and y is not null group by {g}measure)""",
+        """tested as (
+          select *, sign(sxy) * sqrt(r2) r, sqrt((1 - r2) * syy / sxx / df) stderr,
+            sign(sxy) * sqrt(r2) * sqrt(df / (1 - r2)) t,
+            atan(sqrt(r2 / (1 - r2))) th from moments)""",
+        f"fits as (select *, {_P} p from tested)",
+    )
+
+
+_SPAN = "span as (select min(age)::double lo, max(age)::double hi from ages)"
+_THREE = "measure in ('medication_count', 'disease', 'condition_count')"
+
+
+def _regression(measure: str) -> str:
+    return _with(
+        f"""select n, round(slope, 6) slope, round(intercept, 6) intercept, round(r, 6) r, round(r2, 6) r2,
+          round(stderr, 6) stderr, round(t, 6) t, round(p, 6) p, p < 0.05 significant
+        from fits where measure = '{measure}'""",
+        *_fits(),
+    )
+
+
+_PREDICTED = """points as (
+  select a.age, measure, slope * a.age + intercept y
+  from fits, (select unnest([0, 18, 30, 50, 65, 100])::double age) a)"""
+
+# --- null profiles ------------------------------------------------------------
+
+
+def _profile(table: str, columns: dict[str, str], total_columns: int | None = None) -> str:
+    head = "" if total_columns is None else f"'{table}' as \"table\", {total_columns} total_columns, "
+    source = {"condition": "cond_all", "medicationrequest": "med", "encounter": "enc", "observation": "events"}
+    parts = [
+        f"""select {head}'{name}' as "column", count(*) total_rows, count(*) filter ({test}) null_count,
+          round(coalesce(count(*) filter ({test}) * 100.0::double / nullif(count(*), 0), 0), 2) null_pct
+        from {source.get(table, table)} having count(*) filter ({test}) > 0"""
+        for name, test in columns.items()
+    ]
+    return " union all ".join(parts)
+
+
+_RAW = " union all ".join(
+    [
+        _profile("patient", {"maritalStatus": "marital_status is null"}, 6),
+        _profile("condition", {"subject": "patient_id is null"}, 3),
+    ]
+)
+
+_SUMMARY = """
+select 'patient' resource, count(*) "rows", 6 columns, 0::bigint corrupt_rows from patient
+union all select 'condition', count(*), 3, 0 from cond_all
+union all select 'encounter', count(*), 7, 0 from enc
+union all select 'observation', count(*), 5, 0 from events
+union all select 'medicationrequest', count(*), 7, 0 from med"""
+
+_COUNTS = _with(
+    'select patient_id, "birthDate", gender, condition_count, medication_count, encounter_count from master'
+)
+
+_FANOUT = """fan as (
+  select patient_id, c.n condition_rows, m.n medicationrequest_rows, e.n encounter_rows,
+    c.n::hugeint * m.n * e.n naive_rows
+  from patient join (select patient_id, count(*) n from cond group by 1) c using (patient_id)
+    join (select patient_id, count(*) n from med group by 1) m using (patient_id)
+    join (select patient_id, count(*) n from enc group by 1) e using (patient_id))"""
+
+ORACLE: dict[str, str] = {
+    "patient_base": _with('select patient_id, "birthDate", gender, marital_status, city from patient'),
+    "ref_ids": _with("""
+        select id, patient_id, null::varchar encounter_id from cond_all
+        union all select id, patient_id, encounter_id from med
+        union all select id, patient_id, id from enc"""),
+    "encounter_flat": _with("""
+        select id encounter_id, type_code encounter_type_code, type_name encounter_type_name,
+          start_date, end_date, class_code, organization_id from enc"""),
+    "coding_paths": _with("select id, code, display, cast(codings as integer) codings from cond_all"),
+    "conditions_per_patient": _with("select patient_id, 0 page, conditions, condition_count from cond_agg"),
+    "conditions_row_count": _with(
+        "select patient_id, 0 page, condition_row_count, cast(listed as integer) listed from cond_agg"
+    ),
+    "medications_per_patient": _with("select patient_id, 0 page, medications, medication_count from med_agg"),
+    "encounters_per_patient": _with("select patient_id, 0 page, encounters, encounter_count from enc_agg"),
+    "sample_row": _with(
+        "select patient_id, conditions, condition_count from cond_agg order by patient_id limit 1"
+    ),
+    "patient_master": _MASTER,
+    "patient_master_broadcast": _MASTER,
+    "patient_counts": _COUNTS,
+    "master_invariants": _with("""
+        select count(*) patients, (select count(*) from master) master_rows,
+          (select count(*) from (select patient_id from patient group by 1 having count(*) > 1)) duplicate_keys
+        from patient"""),
+    "join_fanout": _with(
+        "select patient_id, condition_rows, medicationrequest_rows, encounter_rows, naive_rows::varchar naive_rows from fan",
+        _FANOUT,
+    ),
+    "join_fanout_total": _with(
+        "select cast(sum(naive_rows)::hugeint as varchar) naive_rows, count(*) patients from fan", _FANOUT
+    ),
+    "key_lookup": _with("""
+        select k.patient_id, 0 page,
+          coalesce(array_to_string(list_sort(list(coalesce(display, '')) filter (c.patient_id is not null)), ';'), '') "names",
+          cast(count(c.patient_id) as integer) listed
+        from (select cast(c_custkey as varchar) patient_id from customer
+              union all select 's' || s_suppkey from supplier) k
+          left join cond c on k.patient_id = c.patient_id
+        group by k.patient_id"""),
+    "null_profile": _with(_profile("patient", {"marital_status": "marital_status is null"})),
+    "raw_quality": _with(_RAW),
+    "load_summary": _with(_SUMMARY),
+    "master_quality": _with("""
+        select count(*) total_patients, count(condition_count) with_conditions,
+          count(medication_count) with_medications, count(encounter_count) with_encounters,
+          round(count(condition_count) * 100.0::double / count(*), 1) conditions_pct,
+          round(count(medication_count) * 100.0::double / count(*), 1) medications_pct,
+          round(count(encounter_count) * 100.0::double / count(*), 1) encounters_pct,
+          round(coalesce(avg(condition_count), 0), 2) avg_conditions,
+          round(coalesce(avg(medication_count), 0), 2) avg_medications,
+          round(coalesce(avg(encounter_count), 0), 2) avg_encounters
+        from master"""),
+    "patient_age": _with("select patient_id, age from ages"),
+    "disease_flag": _with("select patient_id, disease flag from ages"),
+    "disease_flags": _with("""
+        select p.patient_id, d.disease, case when exists (select 1 from cond c
+          where c.patient_id = p.patient_id and c.display = d.disease) then 1 else 0 end flag
+        from patient p, (select unnest(['PROMO', 'STANDARD', 'ECONOMY', 'NOT A DISEASE']) disease) d"""),
+    "regress_medications": _regression("medication_count"),
+    "regress_disease": _regression("disease"),
+    "regress_conditions": _regression("condition_count"),
+    "regress_conditions_zero": _regression("condition_count_zero"),
+    "regression_summary": _with(
+        f"select measure, round(r2, 6) r2, round(p, 6) p, p < 0.05 significant from fits where {_THREE}", *_fits()
+    ),
+    "regression_by_group": _with(
+        f"select gender, measure, n, round(slope, 6) slope, round(r2, 6) r2, round(p, 6) p from fits where {_THREE}",
+        *_fits("gender"),
+    ),
+    "predict_at_ages": _with(
+        """select age, round(max(y) filter (measure = 'medication_count'), 6) medications,
+          round(greatest(0, least(1, max(y) filter (measure = 'disease'))), 6) disease_probability,
+          round(max(y) filter (measure = 'condition_count'), 6) conditions,
+          round(greatest(0, least(1, max(y) filter (measure = 'disease'))) * 100, 6) disease_percent
+        from points group by age""",
+        *_fits(),
+        _PREDICTED,
+    ),
+    "predict_patients": _with(
+        """select patient_id, a.age, measure, round(greatest(0, least(1, slope * a.age + intercept)), 6) predicted
+        from ages a, fits where measure = 'disease'""",
+        *_fits(),
+    ),
+    "regression_line": _with(
+        f"""select measure, cast(i as integer) i, round(lo + i * (hi - lo) / 99, 6) x,
+          round(slope * (lo + i * (hi - lo) / 99) + intercept, 6) y
+        from fits, span, (select unnest(range(0, 100)) i) where {_THREE}""",
+        *_fits(),
+        _SPAN,
+    ),
+    "scatter_counts": _with(
+        f"""select measure, cast(x as integer) x, y, count(*) n from pairs
+        where {_THREE} and x is not null and y is not null group by measure, x, y""",
+        _PAIRS,
+    ),
+    "jsonl_roundtrip": _MASTER,
+    "ndjson_scan": _with(_SUMMARY),
+    "ndjson_master": _COUNTS,
+    "ndjson_inferred": """
+        select 'ob' || event_id id, cast(user_id as varchar) patient_id, event_type code, round(value, 6) as value
+        from events""",
+    "export_log": """
+        select 'export-' || user_id "exportId",
+          case event_id % 3 when 0 then 'kickoff' when 1 then 'manifest_complete' else 'export_complete' end "eventId",
+          cast(epoch(date_trunc('second', ts)) as bigint) + 4 * 3600 at_seconds,
+          case when event_id % 3 = 0 then 'https://example.com/' || event_type end "exportUrl",
+          case when event_id % 3 = 1 then event_id end "totalOutputFileCount",
+          case when event_id % 3 = 2 then user_id end files,
+          null::varchar attachments,
+          case when event_id % 3 = 2 then event_id % 1000 end duration
+        from events""",
+    "archive_inventory": """
+        select 'Patient' resource, cast(sum(octet_length(encode('{"id":"' || c_custkey || '","name":"' || c_name || '"}'))
+          + 1) as bigint) bytes from customer""",
+    "archive_ingest": _with("select id, patient_id, code, display from cond_all"),
+}

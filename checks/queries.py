@@ -1,0 +1,409 @@
+"""One query per operator over the clinical tables of the test bed.
+
+Lists are turned into sorted text and doubles rounded, so that results can be
+compared by value with another engine's.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from chartfold.functions.features import has_condition
+from chartfold.functions.fields import first, first_coding, ref_id
+from chartfold.operators.heavy import find_heavy
+from chartfold.operators.joins import lookup
+from chartfold.operators.profile import load_summary as summarise
+from chartfold.operators.profile import null_profile as profile_nulls
+from chartfold.operators.profile import raw_quality as profile_tables
+from chartfold.operators.regression import fit_lines, line_points, predict_rows
+from chartfold.operators.regression import scatter_counts as count_points
+from chartfold.operators.rollup import rollup
+from chartfold.plans import analysis, master
+from chartfold.plans.records import KEY, condition_rows, encounter_rows, patient_flat
+from chartfold.plans.testbed import (
+    AS_OF,
+    DISEASE,
+    FILE_NAMES,
+    clinical_tables,
+    export_events,
+    read,
+    write_archives,
+    write_ndjson,
+)
+from chartfold.shared import new_shared_path
+from chartfold.sinks.jsonl import land, read_master, write_master
+from chartfold.sources.archives import list_archives, scan_archives
+from chartfold.sources.export_log import flatten_log, scan_export_log
+from chartfold.sources.ndjson import load_resources, merge_resources, scan_resource
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+
+DISEASES = ["PROMO", "STANDARD", "ECONOMY", "NOT A DISEASE"]
+AGES = [0, 18, 30, 50, 65, 100]
+
+
+def _query(fn: Query) -> Query:
+    QUERIES[fn.__name__] = fn
+    return fn
+
+
+def _text(items: str, fields) -> Column:
+    joined = F.transform(
+        items, lambda i: F.concat_ws("|", *[F.coalesce(i[f], F.lit("")) for f in fields])
+    )
+    return F.array_join(F.array_sort(joined), ";")
+
+
+def _r6(*columns: str) -> list[Column]:
+    return [F.round(c, 6).alias(c) for c in columns]
+
+
+# --- projections -------------------------------------------------------------
+
+
+@_query
+def patient_base(spark, sf_dir):
+    return patient_flat(clinical_tables(spark, sf_dir, ["patient"])["patient"])
+
+
+@_query
+def ref_ids(spark, sf_dir):
+    t = clinical_tables(spark, sf_dir)
+
+    def ids(name: str, encounter: Column) -> DataFrame:
+        return t[name].select("id", ref_id("subject.reference").alias(KEY), encounter.alias("encounter_id"))
+
+    none = F.lit(None).cast("string")
+    return (
+        ids("condition", none)
+        .unionByName(ids("medicationrequest", ref_id("encounter.reference")))
+        .unionByName(ids("encounter", F.col("id")))
+    )
+
+
+@_query
+def encounter_flat(spark, sf_dir):
+    t = clinical_tables(spark, sf_dir, ["encounter"])
+    return encounter_rows(t["encounter"]).drop("encounter_status", KEY)
+
+
+@_query
+def coding_paths(spark, sf_dir):
+    """First codings, also of NULL and of empty lists."""
+    t = clinical_tables(spark, sf_dir, ["condition"])
+    coding = first_coding("code")
+    return t["condition"].select(
+        "id",
+        coding["code"].alias("code"),
+        coding["display"].alias("display"),
+        F.size("code.coding").alias("codings"),
+    )
+
+
+# --- rollups -----------------------------------------------------------------
+
+
+@_query
+def conditions_per_patient(spark, sf_dir):
+    t = clinical_tables(spark, sf_dir, ["condition"])
+    pages = master.clinical_rollup("conditions", t).all_pages()
+    return pages.select(
+        KEY, "page", _text("conditions", master.CONDITION_FIELDS).alias("conditions"), "condition_count"
+    )
+
+
+@_query
+def conditions_row_count(spark, sf_dir):
+    t = clinical_tables(spark, sf_dir, ["condition"])
+    pages = master.clinical_rollup("conditions", t).all_pages()
+    return pages.select(
+        KEY, "page", F.col("row_count").alias("condition_row_count"), F.size("conditions").alias("listed")
+    )
+
+
+@_query
+def medications_per_patient(spark, sf_dir):
+    t = clinical_tables(spark, sf_dir, ["medicationrequest"])
+    pages = master.clinical_rollup("medications", t).all_pages()
+    return pages.select(
+        KEY, "page", _text("medications", master.MEDICATION_FIELDS).alias("medications"), "medication_count"
+    )
+
+
+@_query
+def encounters_per_patient(spark, sf_dir):
+    t = clinical_tables(spark, sf_dir, ["encounter"])
+    pages = master.clinical_rollup("encounters", t).all_pages()
+    return pages.select(
+        KEY, "page", _text("encounters", master.ENCOUNTER_FIELDS).alias("encounters"), "encounter_count"
+    )
+
+
+@_query
+def sample_row(spark, sf_dir):
+    t = clinical_tables(spark, sf_dir, ["condition"])
+    return master.sample_rollup("conditions", t, 1).select(
+        KEY, _text("conditions", master.CONDITION_FIELDS).alias("conditions"), "condition_count"
+    )
+
+
+# --- master table ------------------------------------------------------------
+
+
+def _master_columns(rows: DataFrame) -> DataFrame:
+    return rows.select(
+        KEY,
+        "birthDate",
+        "gender",
+        first(F.col("name"))["family"].alias("family"),
+        _text("conditions", master.CONDITION_FIELDS).alias("conditions"),
+        "condition_count",
+        F.size("medications").alias("medications_listed"),
+        "medication_count",
+        F.size("encounters").alias("encounters_listed"),
+        "encounter_count",
+        "list_pages",
+    )
+
+
+@_query
+def patient_master(spark, sf_dir):
+    return _master_columns(master.patient_master(clinical_tables(spark, sf_dir)).rows)
+
+
+@_query
+def patient_master_broadcast(spark, sf_dir):
+    """The same with a size-checked broadcast of each aggregate."""
+    t = clinical_tables(spark, sf_dir)
+    return _master_columns(master.patient_master(t, broadcast_bytes=10 * 1024 * 1024).rows)
+
+
+@_query
+def patient_counts(spark, sf_dir):
+    return master.patient_counts(clinical_tables(spark, sf_dir))
+
+
+@_query
+def master_invariants(spark, sf_dir):
+    t = clinical_tables(spark, sf_dir)
+    return master.master_invariants(t["patient"], master.patient_counts(t))
+
+
+@_query
+def join_fanout(spark, sf_dir):
+    per_patient = master.join_fanout(clinical_tables(spark, sf_dir))
+    return per_patient.select(
+        KEY, "condition_rows", "medicationrequest_rows", "encounter_rows", F.col("naive_rows").cast("string")
+    )
+
+
+@_query
+def join_fanout_total(spark, sf_dir):
+    per_patient = master.join_fanout(clinical_tables(spark, sf_dir))
+    return per_patient.agg(F.sum("naive_rows").cast("string").alias("naive_rows"), F.count("*").alias("patients"))
+
+
+@_query
+def key_lookup(spark, sf_dir):
+    """Condition names of every customer, and of suppliers, who have none."""
+    rows = condition_rows(clinical_tables(spark, sf_dir, ["condition"])["condition"])
+    heavy = find_heavy({"names": rows}, KEY).get("names")
+    grouped = rollup(rows, KEY, ["condition_name"], "names", "names_count", heavy=heavy)
+    known = read(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias(KEY))
+    unknown = read(spark, sf_dir, "supplier").select(F.concat(F.lit("s"), "s_suppkey").alias(KEY))
+    return lookup(known.unionByName(unknown), grouped).select(
+        KEY, "page", _text("names", ["condition_name"]).alias("names"), F.size("names").alias("listed")
+    )
+
+
+# --- quality -----------------------------------------------------------------
+
+
+@_query
+def null_profile(spark, sf_dir):
+    t = clinical_tables(spark, sf_dir, ["patient"])["patient"]
+    return profile_nulls(patient_flat(t))
+
+
+@_query
+def raw_quality(spark, sf_dir):
+    return profile_tables(clinical_tables(spark, sf_dir, list(FILE_NAMES)))
+
+
+@_query
+def load_summary(spark, sf_dir):
+    return summarise(clinical_tables(spark, sf_dir, list(FILE_NAMES)))
+
+
+@_query
+def master_quality(spark, sf_dir):
+    return master.master_quality(master.patient_counts(clinical_tables(spark, sf_dir)))
+
+
+# --- features ----------------------------------------------------------------
+
+
+@_query
+def patient_age(spark, sf_dir):
+    return analysis.patient_age(clinical_tables(spark, sf_dir, ["patient"])["patient"], AS_OF)
+
+
+@_query
+def disease_flag(spark, sf_dir):
+    """Flag of one disease, read off the lists of the master table."""
+    t = clinical_tables(spark, sf_dir)
+    return master.patient_master(t).rows.select(KEY, has_condition("conditions", DISEASE).alias("flag"))
+
+
+@_query
+def disease_flags(spark, sf_dir):
+    t = clinical_tables(spark, sf_dir, ["patient", "condition"])
+    return analysis.condition_flags(t["patient"], t["condition"], DISEASES)
+
+
+# --- regressions -------------------------------------------------------------
+
+_FIT = ("slope", "intercept", "r", "r2", "stderr", "t", "p")
+
+
+def _fits(spark, sf_dir, measures=tuple(analysis.MEASURES), **options) -> DataFrame:
+    return analysis.age_regressions(
+        clinical_tables(spark, sf_dir), AS_OF, DISEASE, measures=measures, **options
+    )
+
+
+def _one_fit(spark, sf_dir, measure: str, **options) -> DataFrame:
+    return _fits(spark, sf_dir, [measure], **options).select("n", *_r6(*_FIT), "significant")
+
+
+@_query
+def regress_medications(spark, sf_dir):
+    return _one_fit(spark, sf_dir, "medication_count")
+
+
+@_query
+def regress_disease(spark, sf_dir):
+    return _one_fit(spark, sf_dir, "disease")
+
+
+@_query
+def regress_conditions(spark, sf_dir):
+    return _one_fit(spark, sf_dir, "condition_count")
+
+
+@_query
+def regress_conditions_zero(spark, sf_dir):
+    """Patients without conditions count as 0 instead of being left out."""
+    return _one_fit(spark, sf_dir, "condition_count", fill_zero=True)
+
+
+@_query
+def regression_summary(spark, sf_dir):
+    return _fits(spark, sf_dir).select("measure", *_r6("r2", "p"), "significant")
+
+
+@_query
+def regression_by_group(spark, sf_dir):
+    return _fits(spark, sf_dir, by=["gender"]).select("gender", "measure", "n", *_r6("slope", "r2", "p"))
+
+
+@_query
+def predict_at_ages(spark, sf_dir):
+    columns = ("medications", "disease_probability", "conditions", "disease_percent")
+    return analysis.predictions_by_age(_fits(spark, sf_dir), AGES).select("age", *_r6(*columns))
+
+
+@_query
+def predict_patients(spark, sf_dir):
+    """Predicted disease probability of every patient."""
+    frame = analysis.age_frame(clinical_tables(spark, sf_dir), AS_OF, DISEASE, ["disease"])
+    fits = fit_lines(frame, "age", {"disease": "disease"})
+    rows = predict_rows(frame.select(KEY, "age"), "age", fits, ["disease"], ["disease"])
+    return rows.select(KEY, "age", "measure", *_r6("predicted"))
+
+
+@_query
+def regression_line(spark, sf_dir):
+    return line_points(_fits(spark, sf_dir)).select("measure", "i", *_r6("x", "y"))
+
+
+@_query
+def scatter_counts(spark, sf_dir):
+    frame = analysis.age_frame(clinical_tables(spark, sf_dir), AS_OF, DISEASE)
+    return count_points(frame, "age", analysis.MEASURES)
+
+
+# --- files -------------------------------------------------------------------
+
+
+@_query
+def jsonl_roundtrip(spark, sf_dir):
+    path = new_shared_path(spark, "master")
+    write_master(master.patient_master(clinical_tables(spark, sf_dir)), path)
+    return _master_columns(read_master(spark, path))
+
+
+@_query
+def ndjson_scan(spark, sf_dir):
+    """Write the resources as NDJSON and load them by name."""
+    path = write_ndjson(clinical_tables(spark, sf_dir, list(FILE_NAMES)))
+    chosen = load_resources(spark, path, ["Observation ", "Absent"], views=False)
+    tables = merge_resources(chosen, load_resources(spark, path, views=False))
+    return summarise(tables)
+
+
+@_query
+def ndjson_master(spark, sf_dir):
+    """Counts per patient straight from NDJSON, through a landed copy."""
+    path = write_ndjson(clinical_tables(spark, sf_dir))
+    tables = land(load_resources(spark, path, views=False), new_shared_path(spark, "landed"))
+    return master.patient_counts(tables)
+
+
+@_query
+def ndjson_inferred(spark, sf_dir):
+    path = write_ndjson(clinical_tables(spark, sf_dir, ["observation"]))
+    found = scan_resource(spark, path, "Observation", infer=True)
+    return found.select(
+        "id", ref_id("subject.reference").alias(KEY), first_coding("code")["code"].alias("code"),
+        F.round("valueQuantity.value", 6).alias("value"),
+    )
+
+
+@_query
+def export_log(spark, sf_dir):
+    path = write_ndjson({"log": export_events(spark, sf_dir)})
+    return flatten_log(scan_export_log(spark, path)).select(
+        "exportId",
+        "eventId",
+        F.unix_seconds("at").alias("at_seconds"),
+        "exportUrl",
+        "totalOutputFileCount",
+        "files",
+        "attachments",
+        "duration",
+    )
+
+
+@_query
+def archive_inventory(spark, sf_dir):
+    """Sizes of the archived customer lines."""
+    customers = read(spark, sf_dir, "customer").selectExpr("cast(c_custkey as string) id", "c_name name")
+    entries = list_archives(spark, write_archives(customers, "Patient"))
+    return entries.groupBy(F.element_at(F.split("entry", "[/.]"), 2).alias("resource")).agg(
+        F.sum("bytes").alias("bytes")
+    )
+
+
+@_query
+def archive_ingest(spark, sf_dir):
+    condition = clinical_tables(spark, sf_dir, ["condition"])["condition"]
+    table = scan_archives(spark, write_archives(condition, "Condition"), "Condition")
+    coding = first_coding("code")
+    return table.select(
+        "id", ref_id("subject.reference").alias(KEY), coding["code"].alias("code"), coding["display"].alias("display")
+    )
