@@ -123,7 +123,8 @@ def find_heavy(
         .where(F.col("heavy_rows") > page_rows)
         .withColumn("heavy_pages", F.ceil(F.col("heavy_rows") / page_rows).cast("int"))
     )
-    found = heavy.limit(broadcast_keys + 1).collect()
+    # Heaviest first: one job, where a bare limit would try partitions in turn.
+    found = heavy.orderBy(F.desc("heavy_rows"), "frame", key).limit(broadcast_keys + 1).collect()
     if not found:
         return {}
     small = len(found) <= broadcast_keys

@@ -39,15 +39,17 @@ def fit_lines(
     no slope; a constant y has slope 0 and no r; below 3 pairs there is no
     standard error, t or p.
     """
-    aggs = [f"min({x}) as x_min", f"max({x}) as x_max"]
+    xs = _name(x)
+    aggs = [f"min({xs}) as x_min", f"max({xs}) as x_max"]
     rows = []
-    for i, (name, column) in enumerate(measures.items()):
-        y = f"cast({column} as double)"
-        pair = f"{f'coalesce({y}, 0D)' if fill_zero else y}, cast({x} as double)"
+    for i, (measure, column) in enumerate(measures.items()):
+        y = f"cast({_name(column)} as double)"
+        pair = f"{f'coalesce({y}, 0D)' if fill_zero else y}, cast({xs} as double)"
         aggs += [f"{fn}({pair}) as {stat}_{i}" for stat, fn in _MOMENTS.items()]
         stats = ", ".join(f"'{stat}', {stat}_{i}" for stat in _MOMENTS)
-        rows.append(f"named_struct('measure', '{name}', {stats})")
+        rows.append(f"named_struct('measure', {_text(measure)}, {stats})")
     wide = df.groupBy(*by).agg(*[F.expr(a) for a in aggs])
+    by = [_name(c) for c in by]
     moments = wide.selectExpr(*by, "x_min", "x_max", f"inline(array({', '.join(rows)}))")
     # Each line may use the columns named before it in the same select.
     return moments.selectExpr(
@@ -131,3 +133,11 @@ def _limit_unit(df: DataFrame, unit_measures: Sequence[str]) -> DataFrame:
 
 def _group_columns(fits: DataFrame) -> list[str]:
     return fits.columns[: fits.columns.index("measure")]
+
+
+def _name(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"

@@ -70,9 +70,9 @@ def _with(body: str, *extra: str) -> str:
 
 
 _MASTER = _with("""
-select patient_id, "birthDate", gender, family, conditions, condition_count,
-  cast(medication_count as integer) medications_listed, medication_count,
-  cast(encounter_count as integer) encounters_listed, encounter_count, 1 list_pages
+select patient_id, "birthDate", gender, family, conditions, condition_count::double condition_count,
+  medication_count::double medications_listed, medication_count::double medication_count,
+  encounter_count::double encounters_listed, encounter_count::double encounter_count, 1 list_pages
 from master""")
 
 # --- regressions: the tail probability is the finite series for whole df ------
@@ -102,7 +102,7 @@ def _fits(by: str = "") -> tuple[str, ...]:
           select *, sign(sxy) * sqrt(r2) r, sqrt((1 - r2) * syy / sxx / df) stderr,
             sign(sxy) * sqrt(r2) * sqrt(df / (1 - r2)) t,
             atan(sqrt(r2 / (1 - r2))) th from moments)""",
-        f"fits as (select *, {_P} p from tested)",
+        f"fits as (select *, greatest(0.0::double, {_P}) p from tested)",
     )
 
 
@@ -153,7 +153,8 @@ union all select 'observation', count(*), 5, 0 from events
 union all select 'medicationrequest', count(*), 7, 0 from med"""
 
 _COUNTS = _with(
-    'select patient_id, "birthDate", gender, condition_count, medication_count, encounter_count from master'
+    """select patient_id, "birthDate", gender, condition_count::double condition_count,
+      medication_count::double medication_count, encounter_count::double encounter_count from master"""
 )
 
 _FANOUT = """fan as (
@@ -172,7 +173,7 @@ ORACLE: dict[str, str] = {
     "encounter_flat": _with("""
         select id encounter_id, type_code encounter_type_code, type_name encounter_type_name,
           start_date, end_date, class_code, organization_id from enc"""),
-    "coding_paths": _with("select id, code, display, cast(codings as integer) codings from cond_all"),
+    "coding_paths": _with("select id, code, display, codings::double codings from cond_all"),
     "conditions_per_patient": _with("select patient_id, 0 page, conditions, condition_count from cond_agg"),
     "conditions_row_count": _with(
         "select patient_id, 0 page, condition_row_count, cast(listed as integer) listed from cond_agg"
@@ -271,10 +272,10 @@ ORACLE: dict[str, str] = {
           case event_id % 3 when 0 then 'kickoff' when 1 then 'manifest_complete' else 'export_complete' end "eventId",
           cast(epoch(date_trunc('second', ts)) as bigint) + 4 * 3600 at_seconds,
           case when event_id % 3 = 0 then 'https://example.com/' || event_type end "exportUrl",
-          case when event_id % 3 = 1 then event_id end "totalOutputFileCount",
-          case when event_id % 3 = 2 then user_id end files,
+          case when event_id % 3 = 1 then event_id::double end "totalOutputFileCount",
+          case when event_id % 3 = 2 then user_id::double end files,
           null::varchar attachments,
-          case when event_id % 3 = 2 then event_id % 1000 end duration
+          case when event_id % 3 = 2 then (event_id % 1000)::double end duration
         from events""",
     "archive_inventory": """
         select 'Patient' resource, cast(sum(octet_length(encode('{"id":"' || c_custkey || '","name":"' || c_name || '"}'))

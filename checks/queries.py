@@ -62,6 +62,12 @@ def _r6(*columns: str) -> list[Column]:
     return [F.round(c, 6).alias(c) for c in columns]
 
 
+def _number(*columns: str) -> list[Column]:
+    """Whole numbers that may be NULL, as doubles: frames on the comparing
+    side hold NULL integers in different ways."""
+    return [F.col(c).cast("double").alias(c) for c in columns]
+
+
 # --- projections -------------------------------------------------------------
 
 
@@ -100,7 +106,7 @@ def coding_paths(spark, sf_dir):
         "id",
         coding["code"].alias("code"),
         coding["display"].alias("display"),
-        F.size("code.coding").alias("codings"),
+        F.size("code.coding").cast("double").alias("codings"),
     )
 
 
@@ -161,15 +167,18 @@ def _master_columns(rows: DataFrame) -> DataFrame:
         "gender",
         first(F.col("name"))["family"].alias("family"),
         _text("conditions", master.CONDITION_FIELDS).alias("conditions"),
-        "condition_count",
-        F.size("medications").alias("medications_listed"),
-        "medication_count",
-        F.size("encounters").alias("encounters_listed"),
-        "encounter_count",
+        F.size("medications").cast("double").alias("medications_listed"),
+        F.size("encounters").cast("double").alias("encounters_listed"),
+        *_number("condition_count", "medication_count", "encounter_count"),
         "list_pages",
     )
 
 
+def _count_columns(rows: DataFrame) -> DataFrame:
+    counts = _number("condition_count", "medication_count", "encounter_count")
+    return rows.select(KEY, "birthDate", "gender", *counts)
+
+
 @_query
 def patient_master(spark, sf_dir):
     return _master_columns(master.patient_master(clinical_tables(spark, sf_dir)).rows)
@@ -184,7 +193,7 @@ def patient_master_broadcast(spark, sf_dir):
 
 @_query
 def patient_counts(spark, sf_dir):
-    return master.patient_counts(clinical_tables(spark, sf_dir))
+    return _count_columns(master.patient_counts(clinical_tables(spark, sf_dir)))
 
 
 @_query
@@ -270,10 +279,12 @@ def disease_flags(spark, sf_dir):
 _FIT = ("slope", "intercept", "r", "r2", "stderr", "t", "p")
 
 
+_STUDIED = ("patient", "condition", "medicationrequest")
+
+
 def _fits(spark, sf_dir, measures=tuple(analysis.MEASURES), **options) -> DataFrame:
-    return analysis.age_regressions(
-        clinical_tables(spark, sf_dir), AS_OF, DISEASE, measures=measures, **options
-    )
+    t = clinical_tables(spark, sf_dir, _STUDIED)
+    return analysis.age_regressions(t, AS_OF, DISEASE, measures=measures, **options)
 
 
 def _one_fit(spark, sf_dir, measure: str, **options) -> DataFrame:
@@ -320,7 +331,7 @@ def predict_at_ages(spark, sf_dir):
 @_query
 def predict_patients(spark, sf_dir):
     """Predicted disease probability of every patient."""
-    frame = analysis.age_frame(clinical_tables(spark, sf_dir), AS_OF, DISEASE, ["disease"])
+    frame = analysis.age_frame(clinical_tables(spark, sf_dir, _STUDIED), AS_OF, DISEASE, ["disease"])
     fits = fit_lines(frame, "age", {"disease": "disease"})
     rows = predict_rows(frame.select(KEY, "age"), "age", fits, ["disease"], ["disease"])
     return rows.select(KEY, "age", "measure", *_r6("predicted"))
@@ -333,7 +344,7 @@ def regression_line(spark, sf_dir):
 
 @_query
 def scatter_counts(spark, sf_dir):
-    frame = analysis.age_frame(clinical_tables(spark, sf_dir), AS_OF, DISEASE)
+    frame = analysis.age_frame(clinical_tables(spark, sf_dir, _STUDIED), AS_OF, DISEASE)
     return count_points(frame, "age", analysis.MEASURES)
 
 
@@ -361,7 +372,7 @@ def ndjson_master(spark, sf_dir):
     """Counts per patient straight from NDJSON, through a landed copy."""
     path = write_ndjson(clinical_tables(spark, sf_dir))
     tables = land(load_resources(spark, path, views=False), new_shared_path(spark, "landed"))
-    return master.patient_counts(tables)
+    return _count_columns(master.patient_counts(tables))
 
 
 @_query
@@ -382,10 +393,8 @@ def export_log(spark, sf_dir):
         "eventId",
         F.unix_seconds("at").alias("at_seconds"),
         "exportUrl",
-        "totalOutputFileCount",
-        "files",
         "attachments",
-        "duration",
+        *_number("totalOutputFileCount", "files", "duration"),
     )
 
 
