@@ -11,8 +11,8 @@ from chartfold.functions.fields import _col
 
 
 def strict_date(text: Column | str) -> Column:
-    """Parse a full `yyyy-MM-dd` date; partial dates and other text give NULL."""
-    return F.try_to_date(_col(text), "yyyy-MM-dd")
+    """Parse a full year-month-day date; partial dates and other text give NULL."""
+    return F.try_to_date(_col(text), "yyyy-M-d")
 
 
 def age_years(

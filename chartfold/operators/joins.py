@@ -8,22 +8,30 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chartfold.operators.heavy import HeavyKeys
-from chartfold.operators.rollup import Rollup
+from chartfold.operators.heavy import PAGE_ROWS, HeavyKeys, find_heavy
+from chartfold.operators.rollup import rollup
 
 # Fixed value: Spark's default limit for automatic broadcasts.
 BROADCAST_BYTES = 10 * 1024 * 1024
 
 
-def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+_UNCHANGED = object()
+
+
+def broadcast_if_small(
+    df: DataFrame, max_bytes: int = BROADCAST_BYTES, otherwise: DataFrame | None = _UNCHANGED
+) -> DataFrame | None:
     """`df` with a broadcast hint if its rows, as text, have at most `max_bytes`.
 
-    The check runs `df` once to measure it. Without it the runtime planner
-    still broadcasts a side whose shuffled size is below its own limit.
+    Else `otherwise`, by default `df` without the hint. The check runs `df`
+    once to measure it. Without it the runtime planner still broadcasts a side
+    whose shuffled size is below its own limit.
     """
     row_bytes = F.octet_length(F.to_json(F.struct("*"))).cast("bigint")
     size = df.agg(F.coalesce(F.sum(row_bytes), F.lit(0))).first()[0]
-    return F.broadcast(df) if size <= max_bytes else df
+    if size <= max_bytes:
+        return F.broadcast(df)
+    return df if otherwise is _UNCHANGED else otherwise
 
 
 def left_join_all(
@@ -58,19 +66,33 @@ def left_join_all(
     return repeated.select(*columns, *added)
 
 
-def lookup(keys: DataFrame, grouped: Rollup) -> DataFrame:
-    """List of each wanted key, empty for an unknown one: (key, page, list).
+def lookup(
+    keys: DataFrame,
+    rows: DataFrame,
+    key: str,
+    fields: Sequence[str],
+    into: str,
+    page_rows: int = PAGE_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """The rows of each wanted key as a list, empty for an unknown key.
 
-    Keys of ordinary size have page 0 only.
+    Returns (key, page, list). Every row of `keys`, also a repeated one, gets
+    page 0; further pages of a heavy key come once. If the keys are few, only
+    their rows are grouped.
     """
-    key, into = grouped.key, grouped.into
-    first = keys.select(key).join(grouped.rows.select(key, into), key, "left")
+    keys = keys.select(key)
+    wanted = broadcast_if_small(keys.distinct(), broadcast_bytes, otherwise=None)
+    if wanted is not None:
+        rows = rows.join(wanted, key, "left_semi")
+    heavy = find_heavy({"keys": keys, "rows": rows}, key, page_rows)
+    grouped = rollup(rows, key, fields, into, "rows", heavy=heavy.get("rows"))
+    found = left_join_all(keys, [grouped.rows.select(key, into)], key, heavy.get("keys"))
     empty = F.array().cast(grouped.rows.schema[into].dataType)
-    found = first.select(key, F.lit(0).alias("page"), F.coalesce(into, empty).alias(into))
+    first = found.select(key, F.lit(0).alias("page"), F.coalesce(into, empty).alias(into))
     if grouped.overflow is None:
-        return found
-    more = keys.select(key).join(grouped.overflow, key).select(key, "page", into)
-    return found.unionByName(more)
+        return first
+    return first.unionByName(grouped.overflow.join(keys.distinct(), key, "left_semi"))
 
 
 def fanout(counts: Mapping[str, DataFrame], key: str) -> DataFrame:

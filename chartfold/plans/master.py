@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chartfold.functions.features import has_condition
 from chartfold.functions.fields import percent
 from chartfold.operators.heavy import BROADCAST_KEYS, PAGE_ROWS, find_heavy
 from chartfold.operators.joins import broadcast_if_small, fanout, left_join_all
@@ -48,6 +49,24 @@ class Master:
     rows: DataFrame
     overflow: Mapping[str, DataFrame]
 
+    def all_pages(self) -> DataFrame:
+        """Everything in one table: the rows as page 0, then the overflow, a
+        row per patient, list and page with all other columns NULL."""
+        whole = self.rows.withColumn("page", F.lit(0))
+        for pages in self.overflow.values():
+            whole = whole.unionByName(pages, allowMissingColumns=True)
+        return whole
+
+    def flag(self, disease: str) -> DataFrame:
+        """(patient_id, flag): 1 if any page of the conditions names it."""
+        flagged = self.rows.select(KEY, has_condition("conditions", disease).alias("flag"))
+        if "conditions" not in self.overflow:
+            return flagged
+        later = self.overflow["conditions"].where(has_condition("conditions", disease) == 1)
+        hits = later.select(KEY).distinct().withColumn("later", F.lit(1))
+        both = flagged.join(broadcast_if_small(hits), KEY, "left")
+        return both.select(KEY, F.coalesce("later", "flag").alias("flag"))
+
 
 def clinical_rows(tables: Mapping[str, DataFrame], kinds: Sequence[str] = tuple(KINDS)) -> dict[str, DataFrame]:
     return {k: KINDS[k].rows(tables[KINDS[k].resource]) for k in kinds}

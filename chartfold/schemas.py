@@ -48,16 +48,19 @@ RESOURCES = {
     ),
 }
 
-CONDITION_ITEM = "struct<condition_code:string,condition_name:string>"
-MEDICATION_ITEM = (
-    "struct<medication_id:string,medication_code:string,medication_name:string,"
-    "medication_status:string,intent:string,authoredOn:string,encounter_id:string>"
-)
-ENCOUNTER_ITEM = (
-    "struct<encounter_id:string,encounter_status:string,encounter_type_code:string,"
-    "encounter_type_name:string,start_date:string,end_date:string,class_code:string,"
-    "organization_id:string>"
-)
+# Elements of the lists of the master table.
+ITEMS = {
+    "conditions": "struct<condition_code:string,condition_name:string>",
+    "medications": (
+        "struct<medication_id:string,medication_code:string,medication_name:string,"
+        "medication_status:string,intent:string,authoredOn:string,encounter_id:string>"
+    ),
+    "encounters": (
+        "struct<encounter_id:string,encounter_status:string,encounter_type_code:string,"
+        "encounter_type_name:string,start_date:string,end_date:string,class_code:string,"
+        "organization_id:string>"
+    ),
+}
 
 MASTER = (
     "patient_id string, "
@@ -65,8 +68,8 @@ MASTER = (
     "address array<struct<city:string,country:string>>, "
     "birthDate string, gender string, "
     "maritalStatus struct<coding:array<struct<code:string>>>, "
-    f"conditions array<{CONDITION_ITEM}>, condition_count bigint, "
-    f"medications array<{MEDICATION_ITEM}>, medication_count bigint, "
-    f"encounters array<{ENCOUNTER_ITEM}>, encounter_count bigint, "
+    f"conditions array<{ITEMS['conditions']}>, condition_count bigint, "
+    f"medications array<{ITEMS['medications']}>, medication_count bigint, "
+    f"encounters array<{ITEMS['encounters']}>, encounter_count bigint, "
     "list_pages int"
 )

@@ -6,8 +6,9 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chartfold.plans.master import Master
-from chartfold.schemas import MASTER
+from chartfold.plans.master import KINDS, Master
+from chartfold.plans.records import KEY
+from chartfold.schemas import ITEMS, MASTER
 
 
 def write_json_lines(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -17,14 +18,26 @@ def write_json_lines(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 def write_master(master: Master, path: str, mode: str = "overwrite") -> None:
     """The master table under `path`; pages of oversized lists beside it, in
-    `<path>.pages/<list>`."""
+    `<path>.pages/<list>`. Lists without such pages leave an empty folder, so
+    that none remain from an earlier table."""
     write_json_lines(master.rows, path, mode)
-    for name, pages in master.overflow.items():
+    for name in KINDS:
+        pages = master.overflow.get(name)
+        if pages is None:
+            pages = master.rows.sparkSession.createDataFrame([], _page_schema(name))
         write_json_lines(pages, f"{path.rstrip('/')}.pages/{name}", mode)
 
 
-def read_master(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(MASTER).json(path)
+def read_master(spark: SparkSession, path: str) -> Master:
+    overflow = {
+        name: spark.read.schema(_page_schema(name)).json(f"{path.rstrip('/')}.pages/{name}")
+        for name in KINDS
+    }
+    return Master(spark.read.schema(MASTER).json(path), overflow)
+
+
+def _page_schema(name: str) -> str:
+    return f"{KEY} string, page int, {name} array<{ITEMS[name]}>"
 
 
 def land(tables: Mapping[str, DataFrame], path: str, mode: str = "ignore") -> dict[str, DataFrame]:

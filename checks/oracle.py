@@ -70,7 +70,7 @@ def _with(body: str, *extra: str) -> str:
 
 
 _MASTER = _with("""
-select patient_id, "birthDate", gender, family, conditions, condition_count::double condition_count,
+select patient_id, 0 page, "birthDate", gender, family, conditions, condition_count::double condition_count,
   medication_count::double medications_listed, medication_count::double medication_count,
   encounter_count::double encounters_listed, encounter_count::double encounter_count, 1 list_pages
 from master""")

@@ -11,16 +11,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartfold.functions.features import has_condition
 from chartfold.functions.fields import first, first_coding, ref_id
-from chartfold.operators.heavy import find_heavy
 from chartfold.operators.joins import lookup
 from chartfold.operators.profile import load_summary as summarise
 from chartfold.operators.profile import null_profile as profile_nulls
 from chartfold.operators.profile import raw_quality as profile_tables
 from chartfold.operators.regression import fit_lines, line_points, predict_rows
 from chartfold.operators.regression import scatter_counts as count_points
-from chartfold.operators.rollup import rollup
 from chartfold.plans import analysis, master
 from chartfold.plans.records import KEY, condition_rows, encounter_rows, patient_flat
 from chartfold.plans.testbed import (
@@ -163,6 +160,7 @@ def sample_row(spark, sf_dir):
 def _master_columns(rows: DataFrame) -> DataFrame:
     return rows.select(
         KEY,
+        "page",
         "birthDate",
         "gender",
         first(F.col("name"))["family"].alias("family"),
@@ -181,14 +179,14 @@ def _count_columns(rows: DataFrame) -> DataFrame:
 
 @_query
 def patient_master(spark, sf_dir):
-    return _master_columns(master.patient_master(clinical_tables(spark, sf_dir)).rows)
+    return _master_columns(master.patient_master(clinical_tables(spark, sf_dir)).all_pages())
 
 
 @_query
 def patient_master_broadcast(spark, sf_dir):
     """The same with a size-checked broadcast of each aggregate."""
     t = clinical_tables(spark, sf_dir)
-    return _master_columns(master.patient_master(t, broadcast_bytes=10 * 1024 * 1024).rows)
+    return _master_columns(master.patient_master(t, broadcast_bytes=10 * 1024 * 1024).all_pages())
 
 
 @_query
@@ -220,11 +218,9 @@ def join_fanout_total(spark, sf_dir):
 def key_lookup(spark, sf_dir):
     """Condition names of every customer, and of suppliers, who have none."""
     rows = condition_rows(clinical_tables(spark, sf_dir, ["condition"])["condition"])
-    heavy = find_heavy({"names": rows}, KEY).get("names")
-    grouped = rollup(rows, KEY, ["condition_name"], "names", "names_count", heavy=heavy)
     known = read(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias(KEY))
     unknown = read(spark, sf_dir, "supplier").select(F.concat(F.lit("s"), "s_suppkey").alias(KEY))
-    return lookup(known.unionByName(unknown), grouped).select(
+    return lookup(known.unionByName(unknown), rows, KEY, ["condition_name"], "names").select(
         KEY, "page", _text("names", ["condition_name"]).alias("names"), F.size("names").alias("listed")
     )
 
@@ -265,7 +261,7 @@ def patient_age(spark, sf_dir):
 def disease_flag(spark, sf_dir):
     """Flag of one disease, read off the lists of the master table."""
     t = clinical_tables(spark, sf_dir)
-    return master.patient_master(t).rows.select(KEY, has_condition("conditions", DISEASE).alias("flag"))
+    return master.patient_master(t).flag(DISEASE)
 
 
 @_query
@@ -355,7 +351,7 @@ def scatter_counts(spark, sf_dir):
 def jsonl_roundtrip(spark, sf_dir):
     path = new_shared_path(spark, "master")
     write_master(master.patient_master(clinical_tables(spark, sf_dir)), path)
-    return _master_columns(read_master(spark, path))
+    return _master_columns(read_master(spark, path).all_pages())
 
 
 @_query

@@ -16,6 +16,7 @@ def test_age(spark):
     births = ["2000-02-29", "2000-03-01", "1990-05", "1990", None, "junk", "2001-02-28", "1990-13-01"]
     assert column(spark, births, "string", age_years("v", "2001-02-28")) == [0, 0, None, None, None, None, 0, None]
     assert column(spark, births[:2], "string", age_years("v", "2001-03-01")) == [1, 1]
+    assert column(spark, ["2000-6-5", "20000-06-05"], "string", age_years("v", "2001-06-05")) == [1, None]
     assert column(spark, ["2000-06-15"], "string", age_years("v", "2020-06-15")) == [20]
     assert column(spark, ["2000-06-15"], "string", age_years("v", F.lit("2020-06-14").cast("date"))) == [19]
     assert column(spark, ["1900-01-01"], "string", age_years("v"))[0] > 120

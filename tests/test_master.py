@@ -214,16 +214,40 @@ def test_master_with_heavy_patients_is_whole(tables):
     assert {r.patient_id for r in paged.rows.where("list_pages > 1").collect()} == {"p1"}
 
 
-def test_lookup(spark):
-    _, df = skewed_rows(spark)
-    heavy = find_heavy({"r": df.where("k is not null")}, "k", 16)["r"]
-    grouped = rollup(df, "k", ["code"], "codes", "n", heavy=heavy)
-    keys = spark.createDataFrame([("k1",), ("hot",), ("nobody",)], "k string")
-    sizes = Counter()
-    for r in lookup(keys, grouped).collect():
-        sizes[r.k] += len(r.codes)
-    assert sizes == {"k1": df.where("k = 'k1'").count(), "hot": 500, "nobody": 0}
-    assert lookup(keys, rollup(df.where("k = 'k1'"), "k", ["code"], "codes", "n")).count() == 3
+@pytest.mark.parametrize("broadcast_bytes", [10**6, 0])
+def test_lookup(spark, broadcast_bytes):
+    rows, df = skewed_rows(spark)
+    wanted = ["k1", "hot", "nobody"] + ["k2"] * 40
+    keys = spark.createDataFrame([(k,) for k in wanted], "k string").repartition(3)
+    got = lookup(keys, df, "k", ["code"], "codes", 16, broadcast_bytes).collect()
+    listed, answers = Counter(), Counter()
+    for r in got:
+        listed[r.k] += len(r.codes)
+        answers[r.k] += r.page == 0
+    have = Counter(k for k, _, _ in rows)
+    assert answers == Counter(wanted)
+    assert listed == {"k1": have["k1"], "hot": 500, "nobody": 0, "k2": 40 * have["k2"]}
+
+
+def test_flag_sees_all_pages(tables):
+    paged = m.patient_master(tables, page_rows=1)
+    for disease in (DIABETES, "T2DM"):
+        assert {r.patient_id: r.flag for r in paged.flag(disease).collect()} == {"p1": 1, "p2": 0, "p3": 0, "dup": 0}
+
+
+def test_counts_add_up(spark):
+    from chartfold.plans.testbed import clinical_tables
+
+    t = clinical_tables(spark, "/root/testdata/sf0.001")
+    for page_rows in (50_000, 4):
+        master = m.patient_master(t, page_rows)
+        total = master.rows.agg(F.sum("medication_count"), F.sum("encounter_count")).first()
+        listed = master.all_pages().agg(F.sum(F.size("medications")), F.sum(F.size("encounters"))).first()
+        assert tuple(total) == tuple(listed)
+        assert total[1] == t["encounter"].count()
+        check = m.master_invariants(t["patient"], master.rows).first()
+        assert check.patients == check.master_rows and check.duplicate_keys == 0
+        assert master.all_pages().where("condition_count > size(conditions) and list_pages = 1").count() == 0
 
 
 def test_fanout(tables):
