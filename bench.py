@@ -14,7 +14,7 @@ import time
 
 from pyspark.sql import SparkSession
 
-from checks.queries import QUERIES
+from chartfold.checks.queries import QUERIES
 
 HEADLINE = (
     "patient_master",

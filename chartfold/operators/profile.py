@@ -12,6 +12,10 @@ from chartfold.functions.fields import percent
 from chartfold.schemas import CORRUPT
 
 
+def _data_columns(df: DataFrame) -> list[str]:
+    return [c for c in df.columns if c != CORRUPT]
+
+
 def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
@@ -21,7 +25,7 @@ def null_profile(df: DataFrame, first_columns: int | None = 10) -> DataFrame:
 
     Only the first 10 columns are profiled unless told otherwise (`None`: all).
     """
-    columns = df.columns[:first_columns]
+    columns = _data_columns(df)[:first_columns]
     counted = df.agg(
         F.count("*").alias("total_rows"),
         *[F.count_if(F.col(_quoted(c)).isNull()).alias(f"nulls_{i}") for i, c in enumerate(columns)],
@@ -47,7 +51,7 @@ def raw_quality(tables: Mapping[str, DataFrame], first_columns: int | None = 10)
     profiles = [
         null_profile(df, first_columns)
         .withColumn("table", F.lit(name))
-        .withColumn("total_columns", F.lit(len(df.columns)))
+        .withColumn("total_columns", F.lit(len(_data_columns(df))))
         for name, df in tables.items()
     ]
     return reduce(DataFrame.unionByName, profiles).select(
@@ -61,7 +65,7 @@ def load_summary(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def _summary_row(name: str, df: DataFrame) -> DataFrame:
-    data = [c for c in df.columns if c != CORRUPT]
+    data = _data_columns(df)
     if CORRUPT in df.columns:
         # Spark refuses to read the corrupt column of raw JSON on its own, so
         # the condition also touches a data column.

@@ -17,9 +17,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartfold.shared import new_shared_path
+from chartfold.shared import new_shared_path, send_by_value
 from chartfold.sinks.jsonl import write_json_lines
 
+send_by_value(__name__)
+
 AS_OF = "2023-02-28"
 # Stands in for the studied disease.
 DISEASE = "PROMO"

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -32,3 +34,9 @@ def settled(df: DataFrame) -> DataFrame:
     path = new_shared_path(df.sparkSession, "table")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def send_by_value(module: str) -> None:
+    """Send a module's functions to the tasks whole, so that executors need not
+    have this package installed."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])

@@ -19,6 +19,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chartfold.schemas import CORRUPT, RESOURCES
+from chartfold.shared import send_by_value
+
+send_by_value(__name__)
 
 # Largest byte range of a stored entry that one read covers.
 SPLIT_BYTES = 128 * 1024 * 1024

@@ -6,7 +6,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from chartfold.operators.profile import load_summary
+from chartfold.operators.profile import load_summary, null_profile
 from chartfold.plans import master as m
 from chartfold.plans.testbed import clinical_tables
 from chartfold.schemas import CORRUPT, RESOURCES
@@ -51,6 +51,8 @@ def test_corrupt_lines_are_counted_and_kept(spark, folder):
     got = {r.resource: tuple(r)[1:] for r in load_summary(tables).collect()}
     assert got == {"patient": (3, 6, 1), "medicationrequest": (2, 7, 0)}
     assert spark.sql("select count(*) from patient where id is not null").first()[0] == 2
+    nulls = {(r.column, r.null_count) for r in null_profile(tables["patient"].select("id", CORRUPT)).collect()}
+    assert nulls == {("id", 1)}
     bad = tables["patient"].select("id", CORRUPT).where(F.col("id").isNull()).collect()
     assert [r[CORRUPT] for r in bad] == ["not json"]
 
