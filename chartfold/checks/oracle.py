@@ -5,14 +5,14 @@ from __future__ import annotations
 _AGE_DAYS = "((c_custkey * 7919) % 29220)"
 
 _TABLES = f"""
-patient as (
+patient as materialized (
   select cast(c_custkey as varchar) patient_id, c_name family, n_name city,
     strftime(date '1930-01-01' + cast({_AGE_DAYS} as integer), '%Y-%m-%d') "birthDate",
     case when c_custkey % 2 = 0 then 'female' else 'male' end gender,
     case when c_custkey % 10 = 0 then null
       else case c_custkey % 3 when 0 then 'M' when 1 then 'S' else 'D' end end marital_status
   from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey),
-cond_all as (
+cond_all as materialized (
   select 'c' || l_orderkey || '-' || l_linenumber id,
     case when l_partkey % 53 <> 0 then cast(o_custkey as varchar) end patient_id,
     case when p_partkey % 89 = 0 or p_partkey % 97 = 0 then null else p_brand end code,
@@ -20,14 +20,14 @@ cond_all as (
     case when p_partkey % 89 = 0 then null when p_partkey % 97 = 0 then 0 else 1 end codings
   from lineitem join orders on l_orderkey = o_orderkey join part on l_partkey = p_partkey
   where l_returnflag = 'R' and p_size * 8 <= 80 - ((o_custkey * 7919) % 29220) / 365.25::double),
-cond as (select * from cond_all where patient_id is not null),
-med as (
+cond as materialized (select * from cond_all where patient_id is not null),
+med as materialized (
   select 'm' || l_orderkey || '-' || l_linenumber id, cast(o_custkey as varchar) patient_id,
     cast(p_partkey as varchar) code, p_name display, l_returnflag status, 'order' intent,
     strftime(l_shipdate, '%Y-%m-%d') authored, 'e' || l_orderkey encounter_id
   from lineitem join orders on l_orderkey = o_orderkey join part on l_partkey = p_partkey
   where l_linestatus = 'O' and l_shipdate >= timestamp '2001-01-01'),
-enc as (
+enc as materialized (
   select 'e' || o_orderkey id, cast(o_custkey as varchar) patient_id, o_orderstatus status,
     left(o_orderpriority, 1) type_code, substring(o_orderpriority, 3) type_name,
     strftime(o_orderdate, '%Y-%m-%d') start_date,
@@ -35,33 +35,32 @@ enc as (
       else strftime(cast(o_orderdate as date) + 1, '%Y-%m-%d') end end_date,
     o_orderpriority class_code, 'o' || (o_custkey % 25) organization_id
   from orders where o_custkey % 7 <> 0),
-cond_agg as (
+cond_agg as materialized (
   select patient_id,
     array_to_string(list_sort(list(distinct coalesce(code, '') || '|' || coalesce(display, ''))), ';') conditions,
     count(distinct coalesce(code, '') || '|' || coalesce(display, '')) listed,
     count(distinct code) condition_count, count(*) condition_row_count
   from cond group by patient_id),
-med_agg as (
+med_agg as materialized (
   select patient_id,
     array_to_string(list_sort(list(id || '|' || code || '|' || display || '|' || status || '|' || intent
       || '|' || authored || '|' || encounter_id)), ';') medications, count(*) medication_count
   from med group by patient_id),
-enc_agg as (
+enc_agg as materialized (
   select patient_id,
     array_to_string(list_sort(list(id || '|' || status || '|' || type_code || '|' || type_name || '|' || start_date
       || '|' || coalesce(end_date, '') || '|' || class_code || '|' || organization_id)), ';') encounters,
     count(*) encounter_count
   from enc group by patient_id),
-master as (
+master as materialized (
   select p.*, conditions, listed, condition_count, medications, medication_count, encounters, encounter_count
   from patient p left join cond_agg using (patient_id) left join med_agg using (patient_id)
     left join enc_agg using (patient_id)),
-ages as (
+ages as materialized (
   select m.*, cast(2023 - year(cast("birthDate" as date))
       - case when '02-28' < substring("birthDate", 6) then 1 else 0 end as integer) age,
-    case when exists (select 1 from cond c where c.patient_id = m.patient_id and display = 'PROMO')
-      then 1 else 0 end disease
-  from master m)
+    case when d.patient_id is not null then 1 else 0 end disease
+  from master m left join (select distinct patient_id from cond where display = 'PROMO') d using (patient_id))
 """
 
 
@@ -221,9 +220,10 @@ ORACLE: dict[str, str] = {
     "patient_age": _with("select patient_id, age from ages"),
     "disease_flag": _with("select patient_id, disease flag from ages"),
     "disease_flags": _with("""
-        select p.patient_id, d.disease, case when exists (select 1 from cond c
-          where c.patient_id = p.patient_id and c.display = d.disease) then 1 else 0 end flag
-        from patient p, (select unnest(['PROMO', 'STANDARD', 'ECONOMY', 'NOT A DISEASE']) disease) d"""),
+        select p.patient_id, d.disease, case when c.patient_id is not null then 1 else 0 end flag
+        from patient p cross join (select unnest(['PROMO', 'STANDARD', 'ECONOMY', 'NOT A DISEASE']) disease) d
+          left join (select distinct patient_id, display from cond) c
+            on c.patient_id = p.patient_id and c.display = d.disease"""),
     "regress_medications": _regression("medication_count"),
     "regress_disease": _regression("disease"),
     "regress_conditions": _regression("condition_count"),
