@@ -118,6 +118,10 @@ def _regression(measure: str) -> str:
     )
 
 
+_SUMMARY_OF_FITS = _with(
+    f"select measure, round(r2, 6) r2, round(p, 6) p, p < 0.05 significant from fits where {_THREE}", *_fits()
+)
+
 _PREDICTED = """points as (
   select a.age, measure, slope * a.age + intercept y
   from fits, (select unnest([0, 18, 30, 50, 65, 100])::double age) a)"""
@@ -228,9 +232,7 @@ ORACLE: dict[str, str] = {
     "regress_disease": _regression("disease"),
     "regress_conditions": _regression("condition_count"),
     "regress_conditions_zero": _regression("condition_count_zero"),
-    "regression_summary": _with(
-        f"select measure, round(r2, 6) r2, round(p, 6) p, p < 0.05 significant from fits where {_THREE}", *_fits()
-    ),
+    "regression_summary": _SUMMARY_OF_FITS,
     "regression_by_group": _with(
         f"select gender, measure, n, round(slope, 6) slope, round(r2, 6) r2, round(p, 6) p from fits where {_THREE}",
         *_fits("gender"),
@@ -262,6 +264,7 @@ ORACLE: dict[str, str] = {
         _PAIRS,
     ),
     "jsonl_roundtrip": _MASTER,
+    "regression_from_jsonl": _SUMMARY_OF_FITS,
     "ndjson_scan": _with(_SUMMARY),
     "ndjson_master": _COUNTS,
     "ndjson_inferred": """

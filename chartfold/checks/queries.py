@@ -261,7 +261,7 @@ def patient_age(spark, sf_dir):
 def disease_flag(spark, sf_dir):
     """Flag of one disease, read off the lists of the master table."""
     t = clinical_tables(spark, sf_dir)
-    return master.patient_master(t).flag(DISEASE)
+    return master.patient_master(t).with_flag(DISEASE).select(KEY, "flag")
 
 
 @_query
@@ -354,6 +354,15 @@ def jsonl_roundtrip(spark, sf_dir):
     return _master_columns(read_master(spark, path).all_pages())
 
 
+@_query
+def regression_from_jsonl(spark, sf_dir):
+    """The regressions from a master table that was written and read back."""
+    path = new_shared_path(spark, "master")
+    write_master(master.patient_master(clinical_tables(spark, sf_dir)), path)
+    fits = analysis.fit_ages(analysis.master_age_frame(read_master(spark, path), AS_OF, DISEASE))
+    return fits.select("measure", *_r6("r2", "p"), "significant")
+
+
 @_query
 def ndjson_scan(spark, sf_dir):
     """Write the resources as NDJSON and load them by name."""

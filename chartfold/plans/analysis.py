@@ -11,7 +11,7 @@ from chartfold.functions.features import age_years
 from chartfold.operators.heavy import PAGE_ROWS, find_heavy
 from chartfold.operators.joins import left_join_all
 from chartfold.operators.regression import fit_lines, predict
-from chartfold.plans.master import patient_counts
+from chartfold.plans.master import Master, patient_counts
 from chartfold.plans.records import KEY, condition_rows, patient_base
 
 # Fixed value: the disease studied unless another is named.
@@ -76,6 +76,15 @@ def age_frame(
     return counts.select(KEY, "gender", age_years("birthDate", as_of).alias("age"), *columns)
 
 
+def master_age_frame(
+    master: Master, as_of: str | Column | None = None, disease: str = DISEASE
+) -> DataFrame:
+    """The same frame from a master table, such as one read back from a file."""
+    return master.with_flag(disease, "disease").select(
+        KEY, "gender", age_years("birthDate", as_of).alias("age"), *MEASURES
+    )
+
+
 def age_regressions(
     tables: Mapping[str, DataFrame],
     as_of: str | Column | None = None,
@@ -87,6 +96,17 @@ def age_regressions(
 ) -> DataFrame:
     """Regress each measure on age, overall or per `by` (such as `gender`)."""
     frame = age_frame(tables, as_of, disease, measures)
+    return fit_ages(frame, measures, by, fill_zero, alpha)
+
+
+def fit_ages(
+    frame: DataFrame,
+    measures: Sequence[str] = tuple(MEASURES),
+    by: Sequence[str] = (),
+    fill_zero: bool = False,
+    alpha: float = 0.05,
+) -> DataFrame:
+    """Regress the measures of an age frame on age."""
     return fit_lines(frame, "age", {m: MEASURES[m] for m in measures}, by, fill_zero, alpha)
 
 

@@ -57,15 +57,15 @@ class Master:
             whole = whole.unionByName(pages, allowMissingColumns=True)
         return whole
 
-    def flag(self, disease: str) -> DataFrame:
-        """(patient_id, flag): 1 if any page of the conditions names it."""
-        flagged = self.rows.select(KEY, has_condition("conditions", disease).alias("flag"))
+    def with_flag(self, disease: str, name: str = "flag") -> DataFrame:
+        """The rows and a 0/1 column: does any page of the conditions name it?"""
+        flagged = self.rows.withColumn(name, has_condition("conditions", disease))
         if "conditions" not in self.overflow:
             return flagged
         later = self.overflow["conditions"].where(has_condition("conditions", disease) == 1)
-        hits = later.select(KEY).distinct().withColumn("later", F.lit(1))
+        hits = later.select(KEY).distinct().withColumn("on_later_page", F.lit(1))
         both = flagged.join(broadcast_if_small(hits), KEY, "left")
-        return both.select(KEY, F.coalesce("later", "flag").alias("flag"))
+        return both.withColumn(name, F.coalesce("on_later_page", name)).drop("on_later_page")
 
 
 def clinical_rows(tables: Mapping[str, DataFrame], kinds: Sequence[str] = tuple(KINDS)) -> dict[str, DataFrame]:

@@ -232,7 +232,7 @@ def test_lookup(spark, broadcast_bytes):
 def test_flag_sees_all_pages(tables):
     paged = m.patient_master(tables, page_rows=1)
     for disease in (DIABETES, "T2DM"):
-        assert {r.patient_id: r.flag for r in paged.flag(disease).collect()} == {"p1": 1, "p2": 0, "p3": 0, "dup": 0}
+        assert {r.patient_id: r.flag for r in paged.with_flag(disease).collect()} == {"p1": 1, "p2": 0, "p3": 0, "dup": 0}
 
 
 def test_counts_add_up(spark):
