@@ -15,7 +15,7 @@ from contextlib import contextmanager
 from urllib.parse import unquote, urlparse
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chartfold.schemas import CORRUPT, RESOURCES
@@ -79,27 +79,42 @@ def archive_lines(
     split_bytes: int = SPLIT_BYTES,
 ) -> DataFrame:
     """(archive, entry, start, line_no, line) of the NDJSON entries, or of one
-    resource's entries; `line_no` counts from 1 within each `start`."""
-    entries = list_archives(spark, path, partitions)
-    base_name = F.element_at(F.split("entry", "/"), -1)
+    resource's entries; `line_no` counts from 1 within each `start`.
+
+    The lines of compressed entries above `split_bytes` are dealt out over all
+    partitions once they are unpacked, so that the work on them is shared.
+    """
+    entries = list_archives(spark, path, partitions).where(_wanted(resource))
+    long_stream = ~F.col("stored") & (F.col("compressed_bytes") > split_bytes)
+    lines = _read(entries.where(~long_stream), split_bytes, partitions)
+    if entries.where(long_stream).isEmpty():
+        return lines
+    unpacked = _read(entries.where(long_stream), split_bytes, partitions)
+    dealt = unpacked.repartition(
+        _parallel(spark, partitions), "archive", "entry", F.expr(f"line_no div {_BATCH_LINES}")
+    )
+    return lines.unionByName(dealt)
+
+
+def _wanted(resource: str | None) -> Column:
+    file = F.element_at(F.split("entry", "/"), -1)
     if resource is None:
-        wanted = base_name.endswith(".ndjson")
-    else:
-        name = resource.strip()
-        wanted = (base_name == f"{name}.ndjson") | (
-            base_name.startswith(f"{name}.") & base_name.endswith(".ndjson")
-        )
+        return file.endswith(".ndjson")
+    name = resource.strip()
+    return (file == f"{name}.ndjson") | (file.startswith(f"{name}.") & file.endswith(".ndjson"))
+
+
+def _read(entries: DataFrame, split_bytes: int, partitions: int | None) -> DataFrame:
     last_start = F.when(F.col("stored") & (F.col("bytes") > 0), F.col("bytes") - 1).otherwise(F.lit(0))
     step = F.lit(split_bytes).cast("bigint")
     ranges = (
-        entries.where(wanted)
-        .withColumn("start", F.explode(F.sequence(F.lit(0).cast("bigint"), last_start, step)))
+        entries.withColumn("start", F.explode(F.sequence(F.lit(0).cast("bigint"), last_start, step)))
         .withColumn("stop", F.when(F.col("stored"), F.col("start") + step).otherwise(F.col("bytes")))
         .select("archive", "entry", "start", "stop")
     )
     # A stated number of partitions also keeps the runtime planner from
     # merging these few small rows, each of which stands for a long read.
-    spread = ranges.repartition(_parallel(spark, partitions), "archive", "entry", "start")
+    spread = ranges.repartition(_parallel(entries.sparkSession, partitions), "archive", "entry", "start")
     return spread.mapInPandas(_read_ranges, _LINE)
 
 
@@ -144,17 +159,10 @@ def scan_archives(
     resource: str,
     schema: str | None = None,
     partitions: int | None = None,
-    spread_lines: int | None = None,
     split_bytes: int = SPLIT_BYTES,
 ) -> DataFrame:
-    """One resource's table straight from the archives.
-
-    `spread_lines` deals the lines out to that many partitions before they are
-    parsed: worth a shuffle if a few compressed entries hold most lines.
-    """
+    """One resource's table straight from the archives."""
     lines = archive_lines(spark, path, resource, partitions, split_bytes)
-    if spread_lines:
-        lines = lines.repartition(spread_lines, "archive", "entry", "start", "line_no")
     ddl = f"{schema or RESOURCES[resource.strip().lower()]}, {CORRUPT} string"
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     return lines.select(F.from_json("line", ddl, options).alias("record")).select("record.*")

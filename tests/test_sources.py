@@ -108,7 +108,7 @@ def test_archive_listing(spark, archives):
 
 @pytest.mark.parametrize("split_bytes", [7, 1000, 2**27])
 def test_archive_lines_are_read_once_whatever_the_split(spark, archives, split_bytes):
-    table = scan_archives(spark, archives, "Condition", split_bytes=split_bytes, spread_lines=3)
+    table = scan_archives(spark, archives, "Condition", split_bytes=split_bytes)
     assert ids(table) == sorted(f"c{i}" for i in range(500))
     assert table.select("id", CORRUPT).where(F.col(CORRUPT).isNotNull()).count() == 1
     assert archive_lines(spark, archives, split_bytes=split_bytes).count() == 502
