@@ -103,7 +103,7 @@ def coding_paths(spark, sf_dir):
         "id",
         coding["code"].alias("code"),
         coding["display"].alias("display"),
-        F.size("code.coding").cast("double").alias("codings"),
+        F.array_size("code.coding").cast("double").alias("codings"),
     )
 
 
@@ -124,7 +124,7 @@ def conditions_row_count(spark, sf_dir):
     t = clinical_tables(spark, sf_dir, ["condition"])
     pages = master.clinical_rollup("conditions", t).all_pages()
     return pages.select(
-        KEY, "page", F.col("row_count").alias("condition_row_count"), F.size("conditions").alias("listed")
+        KEY, "page", F.col("row_count").alias("condition_row_count"), F.array_size("conditions").alias("listed")
     )
 
 
@@ -165,8 +165,8 @@ def _master_columns(rows: DataFrame) -> DataFrame:
         "gender",
         first(F.col("name"))["family"].alias("family"),
         _text("conditions", master.CONDITION_FIELDS).alias("conditions"),
-        F.size("medications").cast("double").alias("medications_listed"),
-        F.size("encounters").cast("double").alias("encounters_listed"),
+        F.array_size("medications").cast("double").alias("medications_listed"),
+        F.array_size("encounters").cast("double").alias("encounters_listed"),
         *_number("condition_count", "medication_count", "encounter_count"),
         "list_pages",
     )
@@ -221,7 +221,7 @@ def key_lookup(spark, sf_dir):
     known = read(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias(KEY))
     unknown = read(spark, sf_dir, "supplier").select(F.concat(F.lit("s"), "s_suppkey").alias(KEY))
     return lookup(known.unionByName(unknown), rows, KEY, ["condition_name"], "names").select(
-        KEY, "page", _text("names", ["condition_name"]).alias("names"), F.size("names").alias("listed")
+        KEY, "page", _text("names", ["condition_name"]).alias("names"), F.array_size("names").alias("listed")
     )
 
 

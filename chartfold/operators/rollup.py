@@ -135,7 +135,7 @@ def _expanded(items: str) -> Column:
 
 
 def _distinct_values(values: Column) -> Column:
-    return F.size(F.array_compact(F.array_distinct(values)))
+    return F.array_size(F.array_compact(F.array_distinct(values)))
 
 
 def _type_of(rows: DataFrame, item: Column):

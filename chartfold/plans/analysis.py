@@ -8,10 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chartfold.functions.features import age_years
-from chartfold.operators.heavy import PAGE_ROWS, find_heavy
+from chartfold.operators.heavy import PAGE_ROWS, HeavyKeys
 from chartfold.operators.joins import left_join_all
 from chartfold.operators.regression import fit_lines, predict
-from chartfold.plans.master import Master, patient_counts
+from chartfold.plans.master import Master, heavy_keys, patient_counts
 from chartfold.plans.records import KEY, condition_rows, patient_base
 
 # Fixed value: the disease studied unless another is named.
@@ -48,8 +48,8 @@ def condition_flags(
     hits = condition_rows(condition).where(F.col("condition_name").isin(list(diseases)))
     found = hits.groupBy(KEY).agg(F.collect_set("condition_name").alias("found"))
     base = patient_base(patient).select(KEY)
-    heavy = find_heavy({"patient": base}, KEY, page_rows).get("patient")
-    flagged = left_join_all(base, [found], KEY, heavy)
+    heavy = heavy_keys({"patient": patient}, (), page_rows)
+    flagged = left_join_all(base, [found], KEY, heavy.get("patient"))
     has = F.coalesce(F.array_contains("found", F.col("disease")), F.lit(False))
     names = F.array(*[F.lit(d) for d in diseases])
     return flagged.withColumn("disease", F.explode(names)).select(
@@ -63,6 +63,7 @@ def age_frame(
     disease: str = DISEASE,
     measures: Sequence[str] = tuple(MEASURES),
     page_rows: int = PAGE_ROWS,
+    heavy: Mapping[str, HeavyKeys] | None = None,
 ) -> DataFrame:
     """(patient_id, gender, age, measures...): the input of the regressions.
 
@@ -71,7 +72,7 @@ def age_frame(
     """
     kinds = [_NEEDS[m] for m in measures if m in _NEEDS]
     extra = [patients_with(tables["condition"], disease)] if "disease" in measures else []
-    counts = patient_counts(tables, kinds, page_rows, extra)
+    counts = patient_counts(tables, kinds, page_rows, extra, heavy)
     columns = [F.coalesce(m, F.lit(0)).alias(m) if m == "disease" else F.col(m) for m in measures]
     return counts.select(KEY, "gender", age_years("birthDate", as_of).alias("age"), *columns)
 
@@ -93,9 +94,10 @@ def age_regressions(
     by: Sequence[str] = (),
     fill_zero: bool = False,
     alpha: float = 0.05,
+    heavy: Mapping[str, HeavyKeys] | None = None,
 ) -> DataFrame:
     """Regress each measure on age, overall or per `by` (such as `gender`)."""
-    frame = age_frame(tables, as_of, disease, measures)
+    frame = age_frame(tables, as_of, disease, measures, heavy=heavy)
     return fit_ages(frame, measures, by, fill_zero, alpha)
 
 

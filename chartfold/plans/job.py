@@ -11,6 +11,7 @@ from chartfold.operators.profile import load_summary, raw_quality
 from chartfold.plans import analysis
 from chartfold.plans.master import (
     KINDS,
+    heavy_keys,
     master_invariants,
     master_quality,
     patient_counts,
@@ -52,14 +53,15 @@ def run(
     tables = land(parsed, f"{output}/tables")
     register_views(tables)
 
-    write_master(patient_master(tables, page_rows), f"{output}/master")
+    heavy = heavy_keys(tables, page_rows=page_rows)
+    write_master(patient_master(tables, heavy=heavy), f"{output}/master")
     written = read_master(spark, f"{output}/master")
 
-    fits = analysis.age_regressions(tables, as_of, disease)
+    fits = analysis.age_regressions(tables, as_of, disease, heavy=heavy)
     reports = {
         "load_summary": load_summary(tables),
         "raw_quality": raw_quality(tables),
-        "master_quality": master_quality(patient_counts(tables, page_rows=page_rows)),
+        "master_quality": master_quality(patient_counts(tables, heavy=heavy)),
         "master_invariants": master_invariants(tables["patient"], written.rows),
         "regressions": fits,
         "predictions": analysis.predictions_by_age(fits, [age]),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from chartfold.functions.features import has_condition
 from chartfold.functions.fields import percent
-from chartfold.operators.heavy import BROADCAST_KEYS, PAGE_ROWS, find_heavy
+from chartfold.operators.heavy import BROADCAST_KEYS, PAGE_ROWS, HeavyKeys, find_heavy
 from chartfold.operators.joins import broadcast_if_small, fanout, left_join_all
 from chartfold.operators.rollup import Rollup, rollup
 from chartfold.plans.records import (
@@ -90,11 +90,26 @@ def _roll(kind: str, rows: Mapping[str, DataFrame], heavy: Mapping) -> Rollup:
     )
 
 
+def heavy_keys(
+    tables: Mapping[str, DataFrame],
+    kinds: Sequence[str] = tuple(KINDS),
+    page_rows: int = PAGE_ROWS,
+    broadcast_keys: int = BROADCAST_KEYS,
+) -> dict[str, HeavyKeys]:
+    """Heavy patients of the patient table and of each kind, in one job.
+
+    Several plans over the same tables can share the result (`heavy`).
+    """
+    ids = tables["patient"].select(F.col("id").alias(KEY))
+    return find_heavy({"patient": ids, **clinical_rows(tables, kinds)}, KEY, page_rows, broadcast_keys)
+
+
 def patient_master(
     tables: Mapping[str, DataFrame],
     page_rows: int = PAGE_ROWS,
     broadcast_keys: int = BROADCAST_KEYS,
     broadcast_bytes: int | None = None,
+    heavy: Mapping[str, HeavyKeys] | None = None,
 ) -> Master:
     """Patients left-joined with their conditions, medications and encounters.
 
@@ -107,7 +122,8 @@ def patient_master(
     """
     base = patient_base(tables["patient"])
     rows = clinical_rows(tables)
-    heavy = find_heavy({"patient": base, **rows}, KEY, page_rows, broadcast_keys)
+    if heavy is None:
+        heavy = heavy_keys(tables, page_rows=page_rows, broadcast_keys=broadcast_keys)
     rollups = {k: _roll(k, rows, heavy) for k in KINDS}
     pages = [f"{k}_pages" for k in KINDS]
     sides = []
@@ -134,6 +150,7 @@ def patient_counts(
     kinds: Sequence[str] = tuple(KINDS),
     page_rows: int = PAGE_ROWS,
     extra: Sequence[DataFrame] = (),
+    heavy: Mapping[str, HeavyKeys] | None = None,
 ) -> DataFrame:
     """The master table without its lists: base fields and the chosen counts.
 
@@ -141,7 +158,8 @@ def patient_counts(
     rows of a patient. `extra` are further tables of one row per patient.
     """
     base = patient_base(tables["patient"]).select(KEY, "birthDate", "gender")
-    heavy = find_heavy({"patient": base}, KEY, page_rows)
+    if heavy is None:
+        heavy = heavy_keys(tables, (), page_rows)
     rows = clinical_rows(tables, kinds)
     sides = [count_per_patient(k, rows[k]) for k in kinds]
     return left_join_all(base, [*sides, *extra], KEY, heavy.get("patient"))
