@@ -19,6 +19,8 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     own = tempfile.mkdtemp(prefix="chartfold-")
     spark.sparkContext.setCheckpointDir(own)
     return own

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from chartfold.plans.master import KINDS, Master
@@ -40,16 +41,30 @@ def _page_schema(name: str) -> str:
     return f"{KEY} string, page int, {name} array<{ITEMS[name]}>"
 
 
-def land(tables: Mapping[str, DataFrame], path: str, mode: str = "ignore") -> dict[str, DataFrame]:
+def land(tables: Mapping[str, DataFrame], path: str, again: bool = False) -> dict[str, DataFrame]:
     """Store parsed tables as Parquet and return them read back.
 
     JSON text has to be parsed whole for any one field; Parquet is read by
-    column. With the default mode a table that is already there is kept and
-    its source is not read again.
+    column. A table that was landed here completely is kept, and its source is
+    not read again, unless `again`. One that was broken off has no marker yet
+    and is written anew.
     """
     landed = {}
     for name, df in tables.items():
+        spark = df.sparkSession
         target = f"{path.rstrip('/')}/{name}"
-        df.write.mode(mode).parquet(target)
-        landed[name] = df.sparkSession.read.schema(df.schema).parquet(target)
+        marker = f"{target}.landed"
+        if again or not _has_rows(spark, marker):
+            df.write.mode("overwrite").parquet(target)
+            spark.range(1).coalesce(1).write.mode("overwrite").parquet(marker)
+        landed[name] = spark.read.schema(df.schema).parquet(target)
     return landed
+
+
+def _has_rows(spark: SparkSession, path: str) -> bool:
+    try:
+        return not spark.read.schema("id bigint").parquet(path).isEmpty()
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise

@@ -144,6 +144,12 @@ def test_landing_is_done_once(spark, tmp_path):
     one = {"t": spark.range(3)}
     assert land(one, str(tmp_path))["t"].count() == 3
     assert land({"t": spark.range(9)}, str(tmp_path))["t"].count() == 3
+    assert land({"t": spark.range(9)}, str(tmp_path), again=True)["t"].count() == 9
+
+
+def test_landing_that_broke_off_is_repeated(spark, tmp_path):
+    (tmp_path / "t" / "_temporary").mkdir(parents=True)
+    assert land({"t": spark.range(4)}, str(tmp_path))["t"].count() == 4
 
 
 def test_cached_block_releases(spark):
