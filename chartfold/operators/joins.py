@@ -15,23 +15,19 @@ from chartfold.operators.rollup import rollup
 BROADCAST_BYTES = 10 * 1024 * 1024
 
 
-_UNCHANGED = object()
+def is_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Do the rows, as text, have at most `max_bytes`? Runs `df` once."""
+    row_bytes = F.octet_length(F.to_json(F.struct("*"))).cast("bigint")
+    return df.agg(F.coalesce(F.sum(row_bytes), F.lit(0))).first()[0] <= max_bytes
 
 
-def broadcast_if_small(
-    df: DataFrame, max_bytes: int = BROADCAST_BYTES, otherwise: DataFrame | None = _UNCHANGED
-) -> DataFrame | None:
-    """`df` with a broadcast hint if its rows, as text, have at most `max_bytes`.
+def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """`df`, with a broadcast hint if it measures no more than `max_bytes`.
 
-    Else `otherwise`, by default `df` without the hint. The check runs `df`
-    once to measure it. Without it the runtime planner still broadcasts a side
-    whose shuffled size is below its own limit.
+    Without the hint the runtime planner still broadcasts a side whose
+    shuffled size is below its own limit.
     """
-    row_bytes = F.octet_length(F.to_json(F.struct("*"))).cast("bigint")
-    size = df.agg(F.coalesce(F.sum(row_bytes), F.lit(0))).first()[0]
-    if size <= max_bytes:
-        return F.broadcast(df)
-    return df if otherwise is _UNCHANGED else otherwise
+    return F.broadcast(df) if is_small(df, max_bytes) else df
 
 
 def left_join_all(
@@ -82,9 +78,9 @@ def lookup(
     their rows are grouped.
     """
     keys = keys.select(key)
-    wanted = broadcast_if_small(keys.distinct(), broadcast_bytes, otherwise=None)
-    if wanted is not None:
-        rows = rows.join(wanted, key, "left_semi")
+    wanted = keys.distinct()
+    if is_small(wanted, broadcast_bytes):
+        rows = rows.join(F.broadcast(wanted), key, "left_semi")
     heavy = find_heavy({"keys": keys, "rows": rows}, key, page_rows)
     grouped = rollup(rows, key, fields, into, "rows", heavy=heavy.get("rows"))
     found = left_join_all(keys, [grouped.rows.select(key, into)], key, heavy.get("keys"))
@@ -92,7 +88,7 @@ def lookup(
     first = found.select(key, F.lit(0).alias("page"), F.coalesce(into, empty).alias(into))
     if grouped.overflow is None:
         return first
-    return first.unionByName(grouped.overflow.join(keys.distinct(), key, "left_semi"))
+    return first.unionByName(grouped.overflow.join(wanted, key, "left_semi"))
 
 
 def fanout(counts: Mapping[str, DataFrame], key: str) -> DataFrame:
