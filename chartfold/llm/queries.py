@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartfold.llm import packing, sharding
+from chartfold.llm import packing, quality, sharding
 from chartfold.llm.common import whole_text
 
 SHARDS = 24
@@ -29,12 +29,30 @@ def op8_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    judged = quality.judge(docs, quality.learn(docs, table(spark, sf_dir, "labels")))
+    failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+    return judged.select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        failed.alias("base_failed"),
+        (~failed & F.col("rule").isNull()).alias("kept"),
+        "rule",
+    )
+
+
 def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 QUERIES = {
     "op8_shard": op8_shard,
+    "op9_quality": op9_quality,
     "op10_pack": op10_pack,
 }
 ORACLE: dict[str, str] = {}
