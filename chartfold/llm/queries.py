@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartfold.llm import packing, quality, sharding
+from chartfold.llm import packing, quality, secrets, sharding
 from chartfold.llm.common import whole_text
 
 SHARDS = 24
@@ -17,6 +17,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+
+    def only(*kinds):
+        return F.filter("spans", lambda s: s["kind"].isin(*kinds))
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    base = [kind for kind in secrets.KINDS if kind != secrets.RANDOM]
+    return found.select(
+        "doc_id",
+        *(F.size(only(kind)).cast("bigint").alias(f"n_{kind}") for kind in base),
+        F.sha2(joined(only(*base)), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+    )
+
+
 def op8_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(
         "doc_id",
@@ -51,6 +69,7 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_secrets": op4_secrets,
     "op8_shard": op8_shard,
     "op9_quality": op9_quality,
     "op10_pack": op10_pack,
