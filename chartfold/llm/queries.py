@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartfold.llm import packing, quality, secrets, sharding
+from chartfold.llm import packing, quality, secrets, sharding, toxicity
 from chartfold.llm.common import whole_text
 
 SHARDS = 24
@@ -35,6 +35,29 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def remainder(by: int):
+    """crc32 of the document's id, as text, modulo `by`."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % by
+
+
+def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.Model:
+    """Learned from the labelled documents outside the held-out fifth."""
+    known = labels.select("doc_id", "toxic").dropna().filter(remainder(5) != 0)
+    known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    return toxicity.learn(docs.select("doc_id", "text").join(known, "doc_id"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity_model(docs, table(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id",
+        F.coalesce(remainder(5) == 0, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op8_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(
         "doc_id",
@@ -70,6 +93,7 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op4_secrets": op4_secrets,
+    "op5_toxicity": op5_toxicity,
     "op8_shard": op8_shard,
     "op9_quality": op9_quality,
     "op10_pack": op10_pack,
