@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartfold.llm import packing, quality, secrets, sharding, toxicity
+from chartfold.llm import language, packing, quality, secrets, sharding, toxicity
 from chartfold.llm.common import whole_text
 
 SHARDS = 24
@@ -58,6 +58,18 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def language_model(docs: DataFrame) -> language.Model:
+    """Learned from the documents outside the held-out third."""
+    return language.learn(docs.filter(remainder(3) != 1))
+
+
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language.identify(docs.select("doc_id", "text"), language_model(docs))
+    held_out = F.coalesce(remainder(3) == 1, F.lit(False)).alias("held_out")
+    return found.select("doc_id", held_out, "lang_pred", "score", "unknown", "lang_shares")
+
+
 def op8_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(
         "doc_id",
@@ -94,6 +106,7 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op4_secrets": op4_secrets,
     "op5_toxicity": op5_toxicity,
+    "op6_language": op6_language,
     "op8_shard": op8_shard,
     "op9_quality": op9_quality,
     "op10_pack": op10_pack,
