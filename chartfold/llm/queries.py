@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartfold.llm import language, packing, quality, secrets, sharding, toxicity
+from chartfold.llm import language, packing, pieces, quality, secrets, sharding, toxicity
 from chartfold.llm.common import whole_text
 
 SHARDS = 24
@@ -17,6 +17,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = docs.withColumn("ids", pieces.encode(model)).withColumn("decoded", pieces.decode(model))
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_ids"),
+        F.xxhash64("ids").alias("ids_hash"),
+        F.crc32(F.col("decoded").cast("binary")).alias("decoded_crc32"),
+        (F.col("decoded") == F.translate(whole_text(), pieces.SPACE, " ")).alias("round_trip"),
+    )
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(table(spark, sf_dir, "documents"))
 
@@ -104,6 +117,7 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_pieces": op2_pieces,
     "op4_secrets": op4_secrets,
     "op5_toxicity": op5_toxicity,
     "op6_language": op6_language,
