@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartfold.llm import language, packing, pieces, quality, secrets, sharding, toxicity
+from chartfold.llm import language, packing, pieces, quality, secrets, sharding, toxicity, urls
 from chartfold.llm.common import whole_text
 
 SHARDS = 24
@@ -17,6 +17,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+URL_RULES = (
+    ("block", "net", "/"),
+    ("allow", "example.net", "/en/"),
+    ("block", "example.com", "/de/"),
+    ("allow", "org", "/fr/"),
+)
+
+
+def op1_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # A page carries the document of its number, whose labels hold for it.
+    bad = (F.col("quality") == 0) | (F.col("toxic") == 1)
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), bad.alias("bad"))
+    return urls.judge(table(spark, sf_dir, "pages"), URL_RULES, labels)
+
+
 def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -117,6 +132,7 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_urls": op1_urls,
     "op2_pieces": op2_pieces,
     "op4_secrets": op4_secrets,
     "op5_toxicity": op5_toxicity,
