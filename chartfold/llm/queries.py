@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartfold.llm import language, packing, pieces, quality, secrets, sharding, toxicity, urls
+from chartfold.llm import language, packing, pieces, quality, secrets, sharding, toxicity, urls, vectors
 from chartfold.llm.common import whole_text
 
 SHARDS = 24
@@ -98,6 +98,10 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out, "lang_pred", "score", "unknown", "lang_shares")
 
 
+def op7_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op8_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(
         "doc_id",
@@ -137,6 +141,7 @@ QUERIES = {
     "op4_secrets": op4_secrets,
     "op5_toxicity": op5_toxicity,
     "op6_language": op6_language,
+    "op7_vectors": op7_vectors,
     "op8_shard": op8_shard,
     "op9_quality": op9_quality,
     "op10_pack": op10_pack,
