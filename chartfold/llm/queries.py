@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartfold.llm import language, packing, pieces, quality, secrets, sharding, toxicity, urls, vectors
+from chartfold.llm import jaccard, language, packing, pieces, quality, secrets, sharding, toxicity, urls, vectors
 from chartfold.llm.common import whole_text
 
 SHARDS = 24
@@ -45,6 +45,11 @@ def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard.classes(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "n_links", "kept")
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(table(spark, sf_dir, "documents"))
 
@@ -138,6 +143,7 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_urls": op1_urls,
     "op2_pieces": op2_pieces,
+    "op3_jaccard": op3_jaccard,
     "op4_secrets": op4_secrets,
     "op5_toxicity": op5_toxicity,
     "op6_language": op6_language,
