@@ -112,9 +112,11 @@ def templates(
             )
         )
         siblings = branches.groupBy(*at).agg(F.count(one).alias("_siblings"))
-        rate = F.col("_bad") / F.col("_labelled")
-        error = F.sqrt(rate * (1 - rate) / F.col("labelled"))
-        alike = (F.col("labelled") < support) | (F.abs(F.col("bad") / F.col("labelled") - rate) <= z * error)
+        rate = F.try_divide(F.col("_bad"), F.col("_labelled"))
+        error = F.sqrt(F.try_divide(rate * (1 - rate), F.col("labelled")))
+        alike = (F.col("labelled") < support) | (
+            F.abs(F.try_divide(F.col("bad"), F.col("labelled")) - rate) <= z * error
+        )
         merged = branches.join(siblings, at).withColumn(
             "into", F.when((F.col("_siblings") > 1) & F.coalesce(alike, F.lit(True)), MERGED).otherwise(F.col("branch"))
         )
