@@ -126,20 +126,26 @@ def known_spans(text: str) -> list[tuple[int, int, str]]:
     return [(start, end, kind) for start, _, end, kind in sorted(spans)]
 
 
+def _candidates(text: str, known: list[tuple[int, int, str]]) -> list[dict[str, int]]:
+    """Strings apart from the known spans that may be secrets, with the bins of
+    their length and p-value."""
+    found = []
+    for m in CANDIDATE.finditer(text):
+        token, (start, end) = m.group(), m.span()
+        if _MIXED.search(token) and not any(s < end and start < e for s, e, _ in known):
+            name, p = battery(token)
+            p_bin = min(P_BINS - 1, int(p * P_BINS))
+            found.append({"start": start, "end": end, "stratum": stratum(name, end - start), "p_bin": p_bin})
+    return found
+
+
 def _scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         known, extra = [], []
         for text in batch["text"]:
             spans = known_spans(text)
             known.append([{"start": s, "end": e, "kind": k} for s, e, k in spans])
-            found = []
-            for m in CANDIDATE.finditer(text):
-                token, (start, end) = m.group(), m.span()
-                if _MIXED.search(token) and not any(s < end and start < e for s, e, _ in spans):
-                    name, p = battery(token)
-                    p_bin = min(P_BINS - 1, int(p * P_BINS))
-                    found.append({"start": start, "end": end, "stratum": stratum(name, end - start), "p_bin": p_bin})
-            extra.append(found)
+            extra.append(_candidates(text, spans))
         yield pd.DataFrame({"doc_id": batch["doc_id"], "known": known, "extra": extra})
 
 
@@ -177,21 +183,26 @@ def cuts(histogram: dict[int, np.ndarray], rate: float) -> dict[int, int]:
     return found
 
 
+def learn_cuts(scanned: DataFrame, rate: float = 0.05) -> dict[int, int]:
+    """The cuts over all candidates: their counts by stratum and p-value bin,
+    a table of bounded size, are all that reaches the driver."""
+    histogram: dict[int, np.ndarray] = defaultdict(lambda: np.zeros(P_BINS))
+    bins = scanned.select(F.explode("extra").alias("x")).select("x.stratum", "x.p_bin")
+    for r in bins.groupBy("stratum", "p_bin").count().collect():
+        histogram[r["stratum"]][r["p_bin"]] = r["count"]
+    return dict(sorted(cuts(histogram, rate).items()))
+
+
 def find_secrets(docs: DataFrame, rate: float = 0.05) -> DataFrame:
     """One row per document: doc_id and `spans`, an array of (start, end, kind)
     ordered by start and kind: known forms, and strings found random.
 
-    The cuts of the p-values are set over all documents: their counts by
-    encoding, length bin and p-value bin are a table of bounded size. Every
-    document keeps its row, also without a span; repeated rows are scanned one
-    by one; columns other than doc_id and text are ignored.
+    The cuts of the p-values are set over all documents. Every document keeps
+    its row, also without a span; repeated rows are scanned one by one; columns
+    other than doc_id and text are ignored.
     """
     scanned = settled(scan(docs))
-    histogram: dict[int, np.ndarray] = defaultdict(lambda: np.zeros(P_BINS))
-    bins = scanned.select(F.explode("extra").alias("x")).select("x.stratum", "x.p_bin")
-    for r in bins.groupBy("stratum", "p_bin").count().collect():
-        histogram[r["stratum"]][r["p_bin"]] = r["count"]
-    least = F.create_map(*(F.lit(v) for item in sorted(cuts(histogram, rate).items()) for v in item)).cast("map<int,int>")
+    least = F.create_map(*(F.lit(v) for item in learn_cuts(scanned, rate).items() for v in item)).cast("map<int,int>")
 
     def order(kind):
         return F.array_position(F.array(*map(F.lit, KINDS)), kind).cast("int")
@@ -210,3 +221,36 @@ def find_secrets(docs: DataFrame, rate: float = 0.05) -> DataFrame:
         lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")),
     )
     return scanned.select("doc_id", spans.alias("spans"))
+
+
+def redact(docs: DataFrame, rate: float = 0.05, mark: str = "[SECRET]") -> DataFrame:
+    """`docs` with every secret in `text` replaced by `mark`.
+
+    Overlapping spans become one mark. Texts without a secret stay as they are,
+    NULL stays NULL; all rows and columns are kept, n_chars (if there is one)
+    follows the text.
+    """
+    least = learn_cuts(scan(docs), rate)
+
+    @F.pandas_udf("string")
+    def without(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series([None if t is None else _redacted(t, least, mark) for t in texts], dtype=object)
+
+    out = docs.withColumn("text", without(F.col("text")))
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        changed = F.length("text").cast(kind)
+        out = out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(changed))
+    return out
+
+
+def _redacted(text: str, least: dict[int, int], mark: str) -> str:
+    known = known_spans(text)
+    random = [(x["start"], x["end"], RANDOM) for x in _candidates(text, known) if x["p_bin"] >= least.get(x["stratum"], P_BINS)]
+    out, at = [], 0
+    for start, end, _ in sorted(known + random):
+        if start >= at:
+            out += [text[at:start], mark]
+        at = max(at, end)
+    return "".join([*out, text[at:]]) if out else text
