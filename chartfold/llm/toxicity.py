@@ -121,22 +121,25 @@ def fit(
     return Model(known, bias, weights, factors)
 
 
-def learn(labelled: DataFrame, sample: int = SAMPLE, size: int = TERMS, z: float = 4.0, **options) -> Model:
-    """A model from at most `sample` rows (text, toxic), half of them of each
-    label as far as there are, chosen by a hash of the text.
-
-    The terms of the model are those whose share among the toxic rows of the
-    sample differs from that among the others by `z` standard errors, the
-    `size` most distinct ones. The sample's terms are counted on the executors;
-    only the active terms of its rows reach the driver.
+def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, size: int = TERMS, z: float = 4.0, **options) -> Model:
+    """A model from at most `sample` labelled documents, half of them of each
+    label as far as there are, chosen by a hash of their id.
+
+    `docs` has doc_id and text, `labels` doc_id and toxic; of several labels of
+    an id the worst counts, of several texts one. The ids are drawn before any
+    text is moved. The terms of the model are those whose share among the toxic
+    documents of the sample differs from that among the others by `z` standard
+    errors, the `size` most distinct ones. The sample's terms are counted on
+    the executors; only the active terms of its documents reach the driver.
     """
-    good = labelled.select(whole_text().alias("text"), F.col("toxic").cast("int").alias("toxic"))
-    good = good.filter(F.col("toxic").isin(0, 1))
-    order = [F.xxhash64("text"), F.col("text")]
-    halves = [good.filter(F.col("toxic") == y).orderBy(*order).limit(sample // 2) for y in (0, 1)]
-    chosen = settled(
-        halves[0].unionAll(halves[1]).repartition(64, F.xxhash64("text")).withColumn("row", F.monotonically_increasing_id())
-    )
+    known = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).dropna().filter(F.col("toxic").isin(0, 1))
+    known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    order = [F.xxhash64("doc_id", F.lit("toxic")), F.col("doc_id")]
+    halves = [known.filter(F.col("toxic") == y).orderBy(*order).limit(sample // 2) for y in (0, 1)]
+    drawn = halves[0].unionAll(halves[1]).withColumnRenamed("doc_id", "_id")
+    texts = docs.select("doc_id", whole_text().alias("text")).join(F.broadcast(drawn), F.col("doc_id") == F.col("_id"))
+    chosen = texts.groupBy("doc_id").agg(F.max("text").alias("text"), F.first("toxic").alias("toxic"))
+    chosen = settled(chosen.withColumn("row", F.monotonically_increasing_id()))
     totals = {r["toxic"]: r["count"] for r in chosen.groupBy("toxic").count().collect()}
     clean, toxic = totals.get(0, 0), totals.get(1, 0)
     active = settled(chosen.mapInPandas(_explode, "row bigint, toxic int, term bigint"))
@@ -168,12 +171,11 @@ def learn(labelled: DataFrame, sample: int = SAMPLE, size: int = TERMS, z: float
     return fit(rows, known, **options)
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """Every document's `score` from 0 to 1, higher the likelier it is toxic.
+def score(docs: DataFrame, model: Model, into: str = "score") -> DataFrame:
+    """Every document's score, in column `into`, from 0 to 1, higher the likelier it is toxic.
 
     Whole texts are read and nothing else of the row; NULL and empty texts have
-    no term and get the score of the bias. `docs` keeps its columns, apart from
-    a `score` of its own. Repeated rows get equal scores.
+    no term and get the score of the bias. `docs` keeps its other columns. Repeated rows get equal scores.
     """
 
     @F.pandas_udf("double")
@@ -186,4 +188,4 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 out.append(model.of(np.array(active, dtype=np.int64)))
             yield pd.Series(out, dtype="float64")
 
-    return docs.withColumn("score", scored(whole_text()))
+    return docs.withColumn(into, scored(whole_text()))
