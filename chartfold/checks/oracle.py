@@ -7,6 +7,12 @@ _AGE_DAYS = "((c_custkey * 7919) % 29220)"
 _TABLES = f"""
 patient as materialized (
   select cast(c_custkey as varchar) patient_id, c_name family, n_name city,
+    'official|Dr. ' || c_name || '|' || c_name || '|G' || (c_custkey % 10) || '|Dr.||2001-01-01' name_text,
+    'home|' || (c_custkey % 97) || ' Main St|' || n_name || '|S' || n_nationkey || '|'
+      || lpad(cast(c_custkey % 100000 as varchar), 5, '0') || '|' || r_name || '|2001-01-01' address_text,
+    case when c_custkey % 10 <> 0 then 'urn:marital|' || case c_custkey % 3 when 0 then 'M|Married'
+      when 1 then 'S|Single' else 'D|Divorced' end || '|' || case when c_custkey % 2 = 0 then 'true' else 'false' end
+      end marital_text,
     strftime(date '1930-01-01' + cast({_AGE_DAYS} as integer), '%Y-%m-%d') "birthDate",
     case when c_custkey % 2 = 0 then 'female' else 'male' end gender,
     case when c_custkey % 10 = 0 then null
@@ -14,27 +20,30 @@ patient as materialized (
   from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey),
 cond_all as materialized (
   select 'c' || l_orderkey || '-' || l_linenumber id,
-    case when l_partkey % 53 <> 0 then cast(o_custkey as varchar) end patient_id,
+    case when l_partkey % 53 <> 0 then case when p_size * 8 <= 80 - ((o_custkey * 7919) % 29220) / 365.25::double
+      then '' else 'x' end || o_custkey end patient_id,
     case when p_partkey % 89 = 0 or p_partkey % 97 = 0 then null else p_brand end code,
     case when p_partkey % 89 = 0 or p_partkey % 97 = 0 then null else p_type end display,
     case when p_partkey % 89 = 0 then null when p_partkey % 97 = 0 then 0 else 1 end codings
   from lineitem join orders on l_orderkey = o_orderkey join part on l_partkey = p_partkey
-  where l_returnflag = 'R' and p_size * 8 <= 80 - ((o_custkey * 7919) % 29220) / 365.25::double),
+  where l_returnflag = 'R'),
 cond as materialized (select * from cond_all where patient_id is not null),
 med as materialized (
-  select 'm' || l_orderkey || '-' || l_linenumber id, cast(o_custkey as varchar) patient_id,
+  select 'm' || l_orderkey || '-' || l_linenumber id,
+    case when l_linestatus = 'O' and l_shipdate >= timestamp '2001-01-01' then '' else 'x' end || o_custkey patient_id,
     cast(p_partkey as varchar) code, p_name display, l_returnflag status, 'order' intent,
     strftime(l_shipdate, '%Y-%m-%d') authored, 'e' || l_orderkey encounter_id
   from lineitem join orders on l_orderkey = o_orderkey join part on l_partkey = p_partkey
-  where l_linestatus = 'O' and l_shipdate >= timestamp '2001-01-01'),
+  where l_returnflag is distinct from 'R'),
 enc as materialized (
-  select 'e' || o_orderkey id, cast(o_custkey as varchar) patient_id, o_orderstatus status,
+  select 'e' || o_orderkey id, case when o_custkey % 7 = 0 then 'x' else '' end || o_custkey patient_id,
+    o_orderstatus status,
     left(o_orderpriority, 1) type_code, substring(o_orderpriority, 3) type_name,
     strftime(o_orderdate, '%Y-%m-%d') start_date,
     case when o_orderstatus = 'P' then null
       else strftime(cast(o_orderdate as date) + 1, '%Y-%m-%d') end end_date,
     o_orderpriority class_code, 'o' || (o_custkey % 25) organization_id
-  from orders where o_custkey % 7 <> 0),
+  from orders),
 cond_agg as materialized (
   select patient_id,
     array_to_string(list_sort(list(distinct coalesce(code, '') || '|' || coalesce(display, ''))), ';') conditions,
@@ -69,11 +78,24 @@ def _with(body: str, *extra: str) -> str:
 
 
 _MASTER = _with("""
-select patient_id, 0 page, "birthDate", gender, family, conditions, condition_count::double condition_count,
+select patient_id, 0 page, "birthDate", gender, name_text, address_text, marital_text, conditions, condition_count::double condition_count,
   medication_count::double medications_listed, medication_count::double medication_count,
   encounter_count::double encounters_listed, encounter_count::double encounter_count, 1 list_pages
 from master""")
 
+_COND_ITEMS = """select distinct c.patient_id, c.code condition_code, c.display condition_name, a.condition_count{more}
+  from cond c join cond_agg a using (patient_id)"""
+
+_ITEMS = _with("""
+select m.patient_id, m.condition_count::double condition_count, m.medication_count::double medication_count,
+  m.encounter_count::double encounter_count, i.list, i.a, i.b
+from master m join (
+  select distinct patient_id, 'conditions' list, code a, display b from cond
+  union all select patient_id, 'medications', id, code from med
+  union all select patient_id, 'encounters', id, status from enc) i using (patient_id)""")
+
+_WIDE = {f"extra_{i}": f"cast(patient_id as integer) % {i + 2} <> 0" for i in range(8)}
+
 # --- regressions: the tail probability is the finite series for whole df ------
 
 _PAIRS = """pairs as (
@@ -178,20 +200,31 @@ ORACLE: dict[str, str] = {
           start_date, end_date, class_code, organization_id from enc"""),
     "coding_paths": _with("select id, code, display, codings::double codings from cond_all"),
     "conditions_per_patient": _with("select patient_id, 0 page, conditions, condition_count from cond_agg"),
+    "rows_used": """select 'lineitem' "table", count(*) n from lineitem union all select 'orders', count(*) from orders""",
+    "conditions_paged": _with(_COND_ITEMS.format(more=", a.condition_row_count row_count")),
+    "medications_paged": _with("""
+        select patient_id, id medication_id, code medication_code, display medication_name, status medication_status,
+          intent, authored "authoredOn", encounter_id, medication_count from med join med_agg using (patient_id)"""),
+    "patient_master_paged": _ITEMS,
+    "jsonl_paged": _ITEMS,
+    "patient_master_whole": _with("select patient_id, cast(coalesce(medication_count, 0) as integer) listed from master"),
     "conditions_row_count": _with(
         "select patient_id, 0 page, condition_row_count, cast(listed as integer) listed from cond_agg"
     ),
     "medications_per_patient": _with("select patient_id, 0 page, medications, medication_count from med_agg"),
     "encounters_per_patient": _with("select patient_id, 0 page, encounters, encounter_count from enc_agg"),
     "sample_row": _with(
-        "select patient_id, conditions, condition_count from cond_agg order by patient_id limit 1"
+        "select * from (" + _COND_ITEMS.format(more="") + ") where patient_id = (select min(patient_id) from cond)"
     ),
     "patient_master": _MASTER,
     "patient_master_broadcast": _MASTER,
     "patient_counts": _COUNTS,
     "master_invariants": _with("""
-        select count(*) patients, (select count(*) from master) master_rows,
-          (select count(*) from (select patient_id from patient group by 1 having count(*) > 1)) duplicate_keys
+        select count(*) patients, count(*) master_rows, 0::bigint doubled_pages, 0::bigint duplicate_keys,
+          (select count(*) from med where patient_id in (select patient_id from patient)) medications_listed,
+          (select count(*) from med where patient_id in (select patient_id from patient)) medications_rows,
+          (select count(*) from enc where patient_id in (select patient_id from patient)) encounters_listed,
+          (select count(*) from enc where patient_id in (select patient_id from patient)) encounters_rows
         from patient"""),
     "join_fanout": _with(
         "select patient_id, condition_rows, medicationrequest_rows, encounter_rows, naive_rows::varchar naive_rows from fan",
@@ -209,6 +242,11 @@ ORACLE: dict[str, str] = {
           left join cond c on k.patient_id = c.patient_id
         group by k.patient_id"""),
     "null_profile": _with(_profile("patient", {"marital_status": "marital_status is null"})),
+    "null_profile_first": """select 'a' "column", count(*) total_rows, count(*) null_count, 100.0::double null_pct
+        from lineitem""",
+    "ndjson_widened": _with(_profile("patient", {"maritalStatus": "marital_status is null", **_WIDE}, 14)),
+    "ndjson_widened_summary": _with("select 'patient' resource, count(*) \"rows\", 14 columns, 0::bigint corrupt_rows from patient"),
+    "resource_views": _with("select status, count(*) n, min(start_date) first_start from enc group by status"),
     "raw_quality": _with(_RAW),
     "load_summary": _with(_SUMMARY),
     "master_quality": _with("""
@@ -281,7 +319,10 @@ ORACLE: dict[str, str] = {
           case when event_id % 3 = 2 then (event_id % 1000)::double end duration
         from events""",
     "archive_inventory": """
-        select 'Patient' resource, cast(sum(octet_length(encode('{"id":"' || c_custkey || '","name":"' || c_name || '"}'))
-          + 1) as bigint) bytes from customer""",
+        select 'export/Nation' || n_nationkey || '.00000.ndjson' entry, cast(coalesce(sum(octet_length(encode(
+          '{"id":"' || c_custkey || '","name":"' || c_name || '"}')) + 1), 0) as bigint) bytes, false stored
+        from nation left join customer on c_nationkey = n_nationkey group by n_nationkey""",
+    "archive_ingest_ranges": _with("select id, patient_id, code, display from cond_all"),
+    "archive_ingest_streams": _with("select id, patient_id, code, display from cond_all"),
     "archive_ingest": _with("select id, patient_id, code, display from cond_all"),
 }

@@ -18,6 +18,7 @@ from chartfold.operators.profile import null_profile as profile_nulls
 from chartfold.operators.profile import raw_quality as profile_tables
 from chartfold.operators.regression import fit_lines, line_points, predict_rows
 from chartfold.operators.regression import scatter_counts as count_points
+from chartfold.operators.rollup import whole_lists
 from chartfold.plans import analysis, master
 from chartfold.plans.records import KEY, condition_rows, encounter_rows, patient_flat
 from chartfold.plans.testbed import (
@@ -109,20 +110,41 @@ def coding_paths(spark, sf_dir):
 
 # --- rollups -----------------------------------------------------------------
 
+# A page size at which many patients of the test tables have several pages.
+SMALL_PAGE = 5
+
+
+@_query
+def rows_used(spark, sf_dir):
+    """The test bed drops no row: line items are conditions or medications."""
+    t = clinical_tables(spark, sf_dir)
+    counts = [
+        t[name].agg(F.count("*").alias("n")).select(F.lit(table).alias("table"), "n")
+        for name, table in (("condition", "lineitem"), ("medicationrequest", "lineitem"), ("encounter", "orders"))
+    ]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2]).groupBy("table").agg(F.sum("n").alias("n"))
+
 
 @_query
 def conditions_per_patient(spark, sf_dir):
     t = clinical_tables(spark, sf_dir, ["condition"])
-    pages = master.clinical_rollup("conditions", t).all_pages()
+    pages = master.clinical_rollup("conditions", t)
     return pages.select(
         KEY, "page", _text("conditions", master.CONDITION_FIELDS).alias("conditions"), "condition_count"
     )
 
 
+@_query
+def conditions_paged(spark, sf_dir):
+    """The same with small pages, item by item."""
+    pages = master.clinical_rollup("conditions", clinical_tables(spark, sf_dir, ["condition"]), SMALL_PAGE)
+    return pages.select(KEY, F.inline("conditions"), "condition_count", "row_count")
+
+
 @_query
 def conditions_row_count(spark, sf_dir):
     t = clinical_tables(spark, sf_dir, ["condition"])
-    pages = master.clinical_rollup("conditions", t).all_pages()
+    pages = master.clinical_rollup("conditions", t)
     return pages.select(
         KEY, "page", F.col("row_count").alias("condition_row_count"), F.array_size("conditions").alias("listed")
     )
@@ -131,16 +153,23 @@ def conditions_row_count(spark, sf_dir):
 @_query
 def medications_per_patient(spark, sf_dir):
     t = clinical_tables(spark, sf_dir, ["medicationrequest"])
-    pages = master.clinical_rollup("medications", t).all_pages()
+    pages = master.clinical_rollup("medications", t)
     return pages.select(
         KEY, "page", _text("medications", master.MEDICATION_FIELDS).alias("medications"), "medication_count"
     )
 
 
+@_query
+def medications_paged(spark, sf_dir):
+    """The same with small pages, item by item."""
+    pages = master.clinical_rollup("medications", clinical_tables(spark, sf_dir, ["medicationrequest"]), SMALL_PAGE)
+    return pages.select(KEY, F.inline("medications"), "medication_count")
+
+
 @_query
 def encounters_per_patient(spark, sf_dir):
     t = clinical_tables(spark, sf_dir, ["encounter"])
-    pages = master.clinical_rollup("encounters", t).all_pages()
+    pages = master.clinical_rollup("encounters", t)
     return pages.select(
         KEY, "page", _text("encounters", master.ENCOUNTER_FIELDS).alias("encounters"), "encounter_count"
     )
@@ -148,22 +177,47 @@ def encounters_per_patient(spark, sf_dir):
 
 @_query
 def sample_row(spark, sf_dir):
+    """All items of the first patient, in pages."""
     t = clinical_tables(spark, sf_dir, ["condition"])
-    return master.sample_rollup("conditions", t, 1).select(
-        KEY, _text("conditions", master.CONDITION_FIELDS).alias("conditions"), "condition_count"
+    return master.sample_rollup("conditions", t, 1, SMALL_PAGE).select(
+        KEY, F.inline("conditions"), "condition_count"
     )
 
 
 # --- master table ------------------------------------------------------------
 
 
+def _base_text(rows: DataFrame) -> DataFrame:
+    """The structs of the patient, item by item."""
+    name, address = first(F.col("name")), first(F.col("address"))
+    marital = first_coding("maritalStatus")
+    return rows.withColumns(
+        {
+            "name_text": F.concat_ws(
+                "|", name["use"], name["text"], name["family"], F.array_join(name["given"], "+"),
+                F.array_join(name["prefix"], "+"), F.array_join(name["suffix"], "+"), name["period"]["start"],
+            ),
+            "address_text": F.concat_ws(
+                "|", address["use"], F.array_join(address["line"], "+"), address["city"], address["state"],
+                address["postalCode"], address["country"], address["period"]["start"],
+            ),
+            "marital_text": F.when(
+                marital.isNotNull(),
+                F.concat_ws("|", marital["system"], marital["code"], marital["display"], marital["userSelected"].cast("string")),
+            ),
+        }
+    )
+
+
 def _master_columns(rows: DataFrame) -> DataFrame:
-    return rows.select(
+    return _base_text(rows).select(
         KEY,
         "page",
         "birthDate",
         "gender",
-        first(F.col("name"))["family"].alias("family"),
+        "name_text",
+        "address_text",
+        "marital_text",
         _text("conditions", master.CONDITION_FIELDS).alias("conditions"),
         F.array_size("medications").cast("double").alias("medications_listed"),
         F.array_size("encounters").cast("double").alias("encounters_listed"),
@@ -172,6 +226,20 @@ def _master_columns(rows: DataFrame) -> DataFrame:
     )
 
 
+def _items(rows: DataFrame) -> DataFrame:
+    """A row per patient, list and item, whatever page it is on."""
+    lists = {"conditions": ("condition_code", "condition_name"), "medications": ("medication_id", "medication_code"),
+             "encounters": ("encounter_id", "encounter_status")}
+    empty = F.array().cast("array<struct<list:string,a:string,b:string>>")
+
+    def named(kind: str, a: str, b: str) -> Column:
+        item = lambda i: F.struct(F.lit(kind).alias("list"), i[a].alias("a"), i[b].alias("b"))
+        return F.coalesce(F.transform(kind, item), empty)
+
+    every = F.concat(*(named(kind, *fields) for kind, fields in lists.items()))
+    return rows.select(KEY, *_number("condition_count", "medication_count", "encounter_count"), F.inline(every))
+
+
 def _count_columns(rows: DataFrame) -> DataFrame:
     counts = _number("condition_count", "medication_count", "encounter_count")
     return rows.select(KEY, "birthDate", "gender", *counts)
@@ -179,14 +247,27 @@ def _count_columns(rows: DataFrame) -> DataFrame:
 
 @_query
 def patient_master(spark, sf_dir):
-    return _master_columns(master.patient_master(clinical_tables(spark, sf_dir)).all_pages())
+    return _master_columns(master.patient_master(clinical_tables(spark, sf_dir)))
+
+
+@_query
+def patient_master_paged(spark, sf_dir):
+    """The master table with small pages, item by item."""
+    return _items(master.patient_master(clinical_tables(spark, sf_dir), SMALL_PAGE))
+
+
+@_query
+def patient_master_whole(spark, sf_dir):
+    """One row per patient, which whole lists allow."""
+    whole = whole_lists(master.patient_master(clinical_tables(spark, sf_dir)))
+    return whole.select(KEY, F.size(F.coalesce("medications", F.array())).alias("listed"))
 
 
 @_query
 def patient_master_broadcast(spark, sf_dir):
     """The same with a size-checked broadcast of each aggregate."""
     t = clinical_tables(spark, sf_dir)
-    return _master_columns(master.patient_master(t, broadcast_bytes=10 * 1024 * 1024).all_pages())
+    return _master_columns(master.patient_master(t, broadcast_bytes=10 * 1024 * 1024))
 
 
 @_query
@@ -196,8 +277,12 @@ def patient_counts(spark, sf_dir):
 
 @_query
 def master_invariants(spark, sf_dir):
+    """The check of a master table that was written, with small pages."""
     t = clinical_tables(spark, sf_dir)
-    return master.master_invariants(t["patient"], master.patient_counts(t))
+    tally = master.patient_tally(t)
+    path = new_shared_path(spark, "master")
+    write_master(master.patient_master(t, SMALL_PAGE, tally=tally), path)
+    return master.master_invariants(t["patient"], read_master(spark, path), tally)
 
 
 @_query
@@ -234,6 +319,12 @@ def null_profile(spark, sf_dir):
     return profile_nulls(patient_flat(t))
 
 
+@_query
+def null_profile_first(spark, sf_dir):
+    """Only the first columns, on request."""
+    return profile_nulls(read(spark, sf_dir, "lineitem").selectExpr("null a", "l_orderkey b", "null c"), 2)
+
+
 @_query
 def raw_quality(spark, sf_dir):
     return profile_tables(clinical_tables(spark, sf_dir, list(FILE_NAMES)))
@@ -261,7 +352,7 @@ def patient_age(spark, sf_dir):
 def disease_flag(spark, sf_dir):
     """Flag of one disease, read off the lists of the master table."""
     t = clinical_tables(spark, sf_dir)
-    return master.patient_master(t).with_flag(DISEASE).select(KEY, "flag")
+    return master.with_flag(master.patient_master(t, SMALL_PAGE), DISEASE)
 
 
 @_query
@@ -351,7 +442,15 @@ def scatter_counts(spark, sf_dir):
 def jsonl_roundtrip(spark, sf_dir):
     path = new_shared_path(spark, "master")
     write_master(master.patient_master(clinical_tables(spark, sf_dir)), path)
-    return _master_columns(read_master(spark, path).all_pages())
+    return _master_columns(read_master(spark, path))
+
+
+@_query
+def jsonl_paged(spark, sf_dir):
+    """A master file with small pages, item by item."""
+    path = new_shared_path(spark, "master")
+    write_master(master.patient_master(clinical_tables(spark, sf_dir), SMALL_PAGE), path)
+    return _items(read_master(spark, path))
 
 
 @_query
@@ -380,6 +479,34 @@ def ndjson_master(spark, sf_dir):
     return _count_columns(master.patient_counts(tables))
 
 
+def _with_more(spark, sf_dir) -> DataFrame:
+    """Patients with fields that no pinned schema knows."""
+    key = F.col("id").cast("int")
+    more = {f"extra_{i}": F.when(key % (i + 2) == 0, F.concat(F.lit("v"), F.col("id"))) for i in range(8)}
+    return clinical_tables(spark, sf_dir, ["patient"])["patient"].withColumns(more)
+
+
+@_query
+def ndjson_widened(spark, sf_dir):
+    """The null profile of all fields that NDJSON files have."""
+    path = write_ndjson({"patient": _with_more(spark, sf_dir)})
+    return profile_tables(load_resources(spark, path, ["Patient"], views=False, widen=True))
+
+
+@_query
+def ndjson_widened_summary(spark, sf_dir):
+    path = write_ndjson({"patient": _with_more(spark, sf_dir)})
+    return summarise(load_resources(spark, path, ["Patient"], views=False, widen=True))
+
+
+@_query
+def resource_views(spark, sf_dir):
+    """SQL over the views that loading registers."""
+    path = write_ndjson(clinical_tables(spark, sf_dir, ["encounter"]))
+    load_resources(spark, path, ["Encounter"])
+    return spark.sql("select status, count(*) n, min(period.start) first_start from encounter group by status")
+
+
 @_query
 def ndjson_inferred(spark, sf_dir):
     path = write_ndjson(clinical_tables(spark, sf_dir, ["observation"]))
@@ -405,19 +532,39 @@ def export_log(spark, sf_dir):
 
 @_query
 def archive_inventory(spark, sf_dir):
-    """Sizes of the archived customer lines."""
-    customers = read(spark, sf_dir, "customer").selectExpr("cast(c_custkey as string) id", "c_name name")
-    entries = list_archives(spark, write_archives(customers, "Patient"))
-    return entries.groupBy(F.element_at(F.split("entry", "[/.]"), 2).alias("resource")).agg(
-        F.sum("bytes").alias("bytes")
-    )
-
-
-@_query
-def archive_ingest(spark, sf_dir):
+    """Name and size of the entry of each nation's archived customers."""
+    customers = read(spark, sf_dir, "customer")
+    found = None
+    nations = read(spark, sf_dir, "nation").select("n_nationkey").orderBy("n_nationkey")
+    for (nation,) in nations.collect():
+        own = customers.where(F.col("c_nationkey") == nation).selectExpr("cast(c_custkey as string) id", "c_name name")
+        listed = list_archives(spark, write_archives(own.coalesce(1), f"Nation{nation}"))
+        found = listed if found is None else found.unionByName(listed)
+    return found.select("entry", "bytes", "stored")
+
+
+def _ingested(spark, sf_dir, split_bytes: int, stored: bool) -> DataFrame:
     condition = clinical_tables(spark, sf_dir, ["condition"])["condition"]
-    table = scan_archives(spark, write_archives(condition, "Condition"), "Condition")
+    path = write_archives(condition, "Condition", stored)
+    table = scan_archives(spark, path, "Condition", split_bytes=split_bytes)
     coding = first_coding("code")
     return table.select(
         "id", ref_id("subject.reference").alias(KEY), coding["code"].alias("code"), coding["display"].alias("display")
     )
+
+
+@_query
+def archive_ingest(spark, sf_dir):
+    return _ingested(spark, sf_dir, 128 * 1024 * 1024, False)
+
+
+@_query
+def archive_ingest_ranges(spark, sf_dir):
+    """Stored entries, read by many byte ranges."""
+    return _ingested(spark, sf_dir, 64 * 1024, True)
+
+
+@_query
+def archive_ingest_streams(spark, sf_dir):
+    """Compressed entries above the split size, whose lines are dealt out."""
+    return _ingested(spark, sf_dir, 1024, False)

@@ -1,163 +1,76 @@
 """Keys with too many rows for one list.
 
 One patient may own a large share of all rows. Gathering those rows into one
-array, or even sending them to one task, does not scale, so they are found
-first: a count per key, combined on the map side, so that a hot key costs one
-row per map task. Everything after that treats the keys found here apart.
+array, or even sending them to one task, does not scale. Counts per key, which
+are combined on the map side and cost a hot key one row per map task, tell
+which keys these are; the counts are settled and serve as output as well.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
-from functools import reduce
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chartfold.shared import settled
 
-# Rows of one key that still go into a single list.
+# Rows of a key that a page of its list holds, about.
 PAGE_ROWS = 50_000
-# Heavy keys are broadcast up to this many (some 10 MB); beyond it they are
-# joined by a salted shuffle.
-BROADCAST_KEYS = 100_000
-# Slices per key in the salted shuffle.
-SALTS = 256
 # Copies of one row are spread in runs of this fraction of a page.
 RUNS_PER_PAGE = 8
 
 
-@dataclass(frozen=True)
-class HeavyKeys:
-    """`table` has one row per heavy key: the key, `heavy_rows` (its rows) and
-    `heavy_pages` (how many parts to split it into), perhaps more counts.
-    `small` says that the table may be broadcast."""
-
-    table: DataFrame
-    key: str
-    small: bool
-    page_rows: int
-
-    def attach(self, df: DataFrame, spread_on: Sequence[str], how: str) -> DataFrame:
-        """Join `df` with the table on the key; NULL keys match each other.
-
-        Past the broadcast limit both sides are sliced by a hash of the
-        `spread_on` columns, which must tell the rows of one key apart.
-        """
-        heavy = self.table.withColumnRenamed(self.key, "heavy_key")
-        same_key = F.col(self.key).eqNullSafe(F.col("heavy_key"))
-        if self.small:
-            joined = df.join(F.broadcast(heavy), same_key, how)
-        else:
-            slices = heavy.withColumn("heavy_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-            salt = F.pmod(F.xxhash64(*spread_on), F.lit(SALTS)).cast("int")
-            joined = df.withColumn("row_salt", salt).join(
-                slices, same_key & (F.col("row_salt") == F.col("heavy_salt")), how
-            )
-        return joined.drop("heavy_key", "heavy_salt", "row_salt")
-
-    def items(self, rows: DataFrame, fields: Sequence[str]) -> DataFrame:
-        """Distinct rows of the heavy keys, `copies` of each, and the table's columns.
-
-        Copies are counted under a key that includes the row itself, so no
-        task sees a heavy key whole.
-        """
-        by = [self.key, *fields]
-        if self.small:
-            extra = [c for c in self.table.columns if c != self.key]
-            return self.attach(rows, fields, "inner").groupBy(*by, *extra).agg(_copies())
-        return self.attach(rows.groupBy(*by).agg(_copies()), fields, "inner")
-
-    def others(self, rows: DataFrame, fields: Sequence[str], merge: bool) -> DataFrame:
-        """Rows of all other keys with their `copies`; equal rows merged if `merge`."""
-        by = [self.key, *fields]
-        if self.small:
-            rest = self.attach(rows, fields, "left_anti")
-            return rest.groupBy(*by).agg(_copies()) if merge else rest.withColumn("copies", F.lit(1).cast("bigint"))
-        return self.attach(rows.groupBy(*by).agg(_copies()), fields, "left_anti")
-
-    def spread(self, items: DataFrame, fields: Sequence[str], as_slice: str) -> DataFrame:
-        """Cut `copies` into runs and give each run a slice in [0, heavy_pages).
-
-        Rows with NULL `heavy_pages` stay whole, in slice 0. The slice is a
-        hash of the row and its run, and depends on nothing else: a task that
-        runs again after a loss puts every row where it was.
-        """
-        run_rows = max(1, self.page_rows // RUNS_PER_PAGE)
-        pages = F.coalesce("heavy_pages", F.lit(1))
-        last_run = F.when(F.col("heavy_pages").isNull(), F.lit(0).cast("bigint")).otherwise(
-            F.expr(f"(copies - 1) div {run_rows}")
-        )
-        in_run = F.when(F.col("heavy_pages").isNull(), F.col("copies")).otherwise(
-            F.least(F.lit(run_rows).cast("bigint"), F.col("copies") - F.col("heavy_run") * run_rows)
-        )
-        return (
-            items.withColumn("heavy_run", F.explode(F.sequence(F.lit(0).cast("bigint"), last_run)))
-            .withColumn("copies", in_run)
-            .withColumn(as_slice, F.pmod(F.xxhash64(*fields, "heavy_run"), pages).cast("int"))
-            .drop("heavy_run")
-        )
+def hot_keys(counts: DataFrame, key: str, columns: Sequence[str], page_rows: int) -> DataFrame | None:
+    """The keys with more than `page_rows` in any of the count columns, settled;
+    None if there are none.
 
+    There are at most (all rows / `page_rows`) of them, and none is collected.
+    """
+    over = [F.coalesce(c, F.lit(0)) > page_rows for c in columns]
+    hot = over[0]
+    for more in over[1:]:
+        hot = hot | more
+    found = settled(counts.where(hot).select(F.col(key).alias("hot_key")))
+    return None if found.isEmpty() else found
 
-def _copies():
-    return F.count("*").alias("copies")
 
+def without(df: DataFrame, hot: DataFrame | None, key: str) -> DataFrame:
+    """The rows whose key is not hot; NULL keys are not."""
+    return df if hot is None else df.join(hot, F.col(key) == F.col("hot_key"), "left_anti")
 
-def find_heavy(
-    frames: Mapping[str, DataFrame],
-    key: str,
-    page_rows: int = PAGE_ROWS,
-    broadcast_keys: int = BROADCAST_KEYS,
-) -> dict[str, HeavyKeys]:
-    """Heavy keys of each frame; frames without any are absent from the result.
 
-    Runs one job over all frames. At most `broadcast_keys` + 1 keys come to
-    the driver; if there are more, they stay in a table.
-    """
-    keys = [df.select(F.lit(name).alias("frame"), key) for name, df in frames.items()]
-    heavy = (
-        reduce(DataFrame.unionByName, keys)
-        .groupBy("frame", key)
-        .agg(F.count("*").alias("heavy_rows"))
-        .where(F.col("heavy_rows") > page_rows)
-        .withColumn("heavy_pages", F.ceil(F.col("heavy_rows") / page_rows).cast("int"))
-    )
-    # Heaviest first: one job, where a bare limit would try partitions in turn.
-    found = heavy.orderBy(F.desc("heavy_rows"), "frame", key).limit(broadcast_keys + 1).collect()
-    if not found:
-        return {}
-    small = len(found) <= broadcast_keys
-    if small:
-        heavy = heavy.sparkSession.createDataFrame(found, heavy.schema)
-        names = {row.frame for row in found}
-    else:
-        heavy = settled(heavy)
-        names = {row.frame for row in heavy.select("frame").distinct().collect()}
-    return {
-        name: HeavyKeys(heavy.where(F.col("frame") == name).drop("frame"), key, small, page_rows)
-        for name in names
-    }
-
-
-def by_distinct_items(heavy: HeavyKeys, rows: DataFrame, fields: Sequence[str], counted: str) -> HeavyKeys:
-    """Size heavy keys by their distinct items, for lists without duplicates.
-
-    Adds `heavy_values`, the number of distinct non-NULL values of `counted`.
+def only(df: DataFrame, hot: DataFrame, key: str) -> DataFrame:
+    """The rows of the hot keys, settled: the small part of a table that many
+    steps work on, apart from the rest."""
+    return settled(df.join(hot, F.col(key) == F.col("hot_key"), "left_semi"))
+
+
+def pages(rows: DataFrame, key: str, fields: Sequence[str], distinct: bool, page_rows: int, into: str) -> DataFrame:
+    """(key, page, list) of hot keys: their rows, or distinct rows, dealt over
+    pages of about `page_rows` and sorted in each.
+
+    Rows are counted under a key that includes the row itself, so no task sees
+    a hot key whole; copies of one row are dealt out in runs. The page is a
+    hash of the row and its run and depends on nothing else: a task that runs
+    again after a loss puts every row where it was.
     """
-    key = heavy.key
-    per_value = (
-        heavy.items(rows, fields).groupBy(key, counted, "heavy_rows").agg(F.count("*").alias("items"))
-    )
-    totals = (
-        per_value.groupBy(key, "heavy_rows")
-        .agg(F.sum("items").alias("items"), F.count(counted).alias("heavy_values"))
-        .withColumn("heavy_pages", F.ceil(F.col("items") / heavy.page_rows).cast("int"))
-        .drop("items")
+    copies = F.lit(1).cast("bigint") if distinct else F.count("*")
+    items = settled(rows.groupBy(key, *fields).agg(copies.alias("copies")))
+    sizes = settled(
+        items.groupBy(F.col(key).alias("sized_key")).agg(
+            F.ceil(F.sum("copies") / page_rows).cast("int").alias("in_pages")
+        )
     )
-    if heavy.small:
-        # No more rows than the broadcast table it starts from.
-        table = rows.sparkSession.createDataFrame(totals.collect(), totals.schema)
-    else:
-        table = settled(totals)
-    return HeavyKeys(table, key, heavy.small, heavy.page_rows)
+    run_rows = max(1, page_rows // RUNS_PER_PAGE)
+    run = F.sequence(F.lit(0).cast("bigint"), F.expr(f"(copies - 1) div {run_rows}"))
+    dealt = items.join(sizes, F.col(key) == F.col("sized_key")).withColumn("run", F.explode(run))
+    times = F.least(F.lit(run_rows).cast("bigint"), F.col("copies") - F.col("run") * run_rows).cast("int")
+    page = F.pmod(F.xxhash64(*fields, "run"), F.col("in_pages")).cast("int")
+    listed = dealt.select(key, page.alias("page"), F.struct(F.struct(*fields).alias("item"), times.alias("times")).alias("i"))
+    return listed.groupBy(key, "page").agg(F.collect_list("i").alias("items")).select(key, "page", _expanded("items").alias(into))
+
+
+def _expanded(items: str) -> Column:
+    repeated = F.transform(items, lambda p: F.array_repeat(p["item"], p["times"]))
+    return F.sort_array(F.flatten(repeated))

@@ -2,64 +2,55 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chartfold.operators.heavy import PAGE_ROWS, HeavyKeys, find_heavy
+from chartfold.operators.heavy import PAGE_ROWS
 from chartfold.operators.rollup import rollup
+from chartfold.shared import settled
 
 # Fixed value: Spark's default limit for automatic broadcasts.
 BROADCAST_BYTES = 10 * 1024 * 1024
-
-
-def is_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Do the rows, as text, have at most `max_bytes`? Runs `df` once."""
-    row_bytes = F.octet_length(F.to_json(F.struct("*"))).cast("bigint")
-    return df.agg(F.coalesce(F.sum(row_bytes), F.lit(0))).first()[0] <= max_bytes
+# Rows in memory take several times their text, and some bytes each.
+_TIMES_TEXT, _ROW_BYTES = 4, 64
+# Keys that rows without a key are spread over in a join.
+_SPREAD = 4096
 
 
 def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """`df`, with a broadcast hint if it measures no more than `max_bytes`.
+    """`df` settled, with a broadcast hint if it measures no more than `max_bytes`.
 
-    Without the hint the runtime planner still broadcasts a side whose
-    shuffled size is below its own limit.
+    The stored rows are measured, so `df` runs once. Without the hint the
+    runtime planner still broadcasts a side whose shuffled size is below its
+    own limit.
     """
-    return F.broadcast(df) if is_small(df, max_bytes) else df
+    stored = settled(df)
+    row = F.octet_length(F.to_json(F.struct("*"))).cast("bigint") * _TIMES_TEXT + _ROW_BYTES
+    small = stored.agg(F.coalesce(F.sum(row), F.lit(0))).first()[0] <= max_bytes
+    return F.broadcast(stored) if small else stored
 
 
-def left_join_all(
-    base: DataFrame, per_key: Sequence[DataFrame], key: str, heavy: HeavyKeys | None = None
-) -> DataFrame:
+def spread_key(df: DataFrame, key: str) -> Column:
+    """The key as text; where it is NULL, one of many values that match nothing."""
+    rest = F.concat(F.lit("\0no key "), F.pmod(F.xxhash64(*df.columns), F.lit(_SPREAD)).cast("string"))
+    return F.coalesce(F.col(key), rest)
+
+
+def left_join_all(base: DataFrame, per_key: Sequence[DataFrame], key: str) -> DataFrame:
     """Left join tables of one row per key onto `base`; every base row is kept.
 
     Tables already partitioned by the key are not shuffled again, and the base
-    is shuffled once for the whole chain.
-
-    If `base` repeats a key very often (or has very many NULL keys), pass that
-    as `heavy`: those rows are then spread over slices, and only their matches
-    are copied to the slices.
+    is shuffled once for the whole chain. Rows without a key match nothing and
+    are spread, not sent to one task.
     """
-    if heavy is None:
-        return reduce(lambda left, right: left.join(right, key, "left"), per_key, base)
-    columns = base.columns
-    counted = base.groupBy(*columns).agg(F.count("*").alias("copies"))
-    sliced = heavy.spread(heavy.attach(counted, columns, "left"), columns, "slice").drop(
-        "heavy_rows", "heavy_pages"
-    )
-    for table in per_key:
-        last = F.coalesce("heavy_pages", F.lit(1)) - 1
-        copied = (
-            heavy.attach(table, [key], "left")
-            .withColumn("slice", F.explode(F.sequence(F.lit(0), last)))
-            .drop("heavy_rows", "heavy_pages")
-        )
-        sliced = sliced.join(copied, [key, "slice"], "left")
-    added = [c for table in per_key for c in table.columns if c != key]
-    repeated = sliced.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "copies")))
-    return repeated.select(*columns, *added)
+    joined = base.withColumn("join_key", spread_key(base, key))
+    for i, side in enumerate(per_key):
+        renamed = side.withColumnRenamed(key, f"side_key_{i}")
+        joined = joined.join(renamed, F.col("join_key") == F.col(f"side_key_{i}"), "left")
+    return joined.drop("join_key", *(f"side_key_{i}" for i in range(len(per_key))))
 
 
 def lookup(
@@ -69,39 +60,35 @@ def lookup(
     fields: Sequence[str],
     into: str,
     page_rows: int = PAGE_ROWS,
-    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """The rows of each wanted key as a list, empty for an unknown key.
 
-    Returns (key, page, list). Every row of `keys`, also a repeated one, gets
-    page 0; further pages of a heavy key come once. If the keys are few, only
-    their rows are grouped.
+    Returns (key, page, list): all pages for every row of `keys`, also for a
+    repeated one. Only rows of wanted keys are grouped.
     """
     keys = keys.select(key)
-    wanted = keys.distinct()
-    if is_small(wanted, broadcast_bytes):
-        rows = rows.join(F.broadcast(wanted), key, "left_semi")
-    heavy = find_heavy({"keys": keys, "rows": rows}, key, page_rows)
-    grouped = rollup(rows, key, fields, into, "rows", heavy=heavy.get("rows"))
-    found = left_join_all(keys, [grouped.rows.select(key, into)], key, heavy.get("keys"))
-    empty = F.array().cast(grouped.rows.schema[into].dataType)
-    first = found.select(key, F.lit(0).alias("page"), F.coalesce(into, empty).alias(into))
-    if grouped.overflow is None:
-        return first
-    return first.unionByName(grouped.overflow.join(wanted, key, "left_semi"))
-
-
-def fanout(counts: Mapping[str, DataFrame], key: str) -> DataFrame:
+    wanted = settled(keys.distinct())
+    found = rollup(rows.join(wanted, key, "left_semi"), key, fields, into, "rows", page_rows=page_rows)
+    # Settled, so that a key asked for very often is a skew that can be split.
+    stored = settled(found.select(key, "page", into))
+    empty = F.array().cast(found.schema[into].dataType)
+    answers = left_join_all(keys, [stored], key)
+    return answers.select(key, F.coalesce("page", F.lit(0)).alias("page"), F.coalesce(into, empty).alias(into))
+
+
+def fanout(counts: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """Rows per key that an inner join of all tables would give, without running it.
 
-    `counts` maps a column name to a (key, column) table of row counts; only
-    keys present in all of them would survive the join.
+    `counts` has a count per key and table; only keys present in all of them
+    would survive the join.
     """
-    joined = reduce(lambda left, right: left.join(right, key), counts.values())
-    return joined.select(key, *counts, _product([F.col(c) for c in counts]).alias("naive_rows"))
+    present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
+    return counts.where(present).select(key, *columns, _product([F.col(c) for c in columns]).alias("naive_rows"))
 
 
 def _product(columns: Sequence[Column]) -> Column:
     # Exact up to 38 digits; a product of bigints would overflow under ANSI.
     wide = [c.cast("decimal(38,0)") for c in columns]
     return reduce(lambda a, b: (a * b).cast("decimal(38,0)"), wide)
+
+

@@ -20,10 +20,10 @@ def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def null_profile(df: DataFrame, first_columns: int | None = 10) -> DataFrame:
+def null_profile(df: DataFrame, first_columns: int | None = None) -> DataFrame:
     """(column, total_rows, null_count, null_pct) of the columns that hold nulls.
 
-    Only the first 10 columns are profiled unless told otherwise (`None`: all).
+    All columns are profiled, or with `first_columns` only so many.
     """
     columns = _data_columns(df)[:first_columns]
     counted = df.agg(
@@ -46,7 +46,7 @@ def null_profile(df: DataFrame, first_columns: int | None = 10) -> DataFrame:
     )
 
 
-def raw_quality(tables: Mapping[str, DataFrame], first_columns: int | None = 10) -> DataFrame:
+def raw_quality(tables: Mapping[str, DataFrame], first_columns: int | None = None) -> DataFrame:
     """Null profile of every table, with its name and column count."""
     profiles = [
         null_profile(df, first_columns)

@@ -1,40 +1,14 @@
-"""Roll the rows of each key up to one row with a list and counts."""
+"""Roll the rows of each key up to lists and counts."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chartfold.operators.heavy import HeavyKeys, by_distinct_items
-
-
-@dataclass(frozen=True)
-class Rollup:
-    """`rows` has one row per key: key, list, count, `row_count`, `pages`.
-
-    The list is whole for every key that is not heavy, and then `pages` is 1.
-    Of heavy keys it holds the first of `pages` pages; the others are rows of
-    `overflow`: key, `page` (from 1), list. Counts always cover all pages.
-    `overflow` is None if no key is heavy.
-    """
-
-    rows: DataFrame
-    overflow: DataFrame | None
-    key: str
-    into: str
-
-    def all_pages(self) -> DataFrame:
-        """Every item of every key: `rows` as page 0, then the overflow.
-
-        The counts stand on page 0 only.
-        """
-        first = self.rows.drop("pages").withColumn("page", F.lit(0))
-        if self.overflow is None:
-            return first
-        return first.unionByName(self.overflow, allowMissingColumns=True)
+from chartfold.operators.heavy import PAGE_ROWS, hot_keys, only, pages, without
+from chartfold.shared import settled
 
 
 def rollup(
@@ -45,98 +19,65 @@ def rollup(
     count_as: str,
     distinct: bool = False,
     counted: str | None = None,
-    heavy: HeavyKeys | None = None,
-) -> Rollup:
+    page_rows: int = PAGE_ROWS,
+) -> DataFrame:
     """List the `fields` of each key's rows as structs, in sorted order.
 
+    One row per key and page: key, `page`, `list_pages`, list, count and
+    `row_count`. This is the only layout of a list, whatever its size. A page
+    holds about `page_rows` items; most keys have page 0 only. The counts
+    cover all pages and stand on each.
+
     With `distinct` the list is a set and `count_as` counts the distinct
     non-NULL values of the `counted` field; otherwise the list keeps duplicates
     and `count_as` counts rows. `row_count` counts rows in both cases. Rows
     with a NULL key are left out.
-
-    Without heavy keys this is a single aggregation with a single shuffle on
-    the key, which a join on the key can reuse. `heavy` is the entry that
-    `find_heavy` gave for these rows.
     """
     rows = rows.where(F.col(key).isNotNull()).select(key, *fields)
-    if heavy is None:
-        collect = F.collect_set if distinct else F.collect_list
-        gathered = rows.groupBy(key).agg(
-            F.sort_array(collect(F.struct(*fields))).alias(into), F.count("*").alias("row_count")
-        )
-        # The distinct values are in the list already; a distinct count next
-        # to the set would shuffle all rows a second time.
-        count = _distinct_values(F.col(into)[counted]) if distinct else F.col("row_count")
-        whole = gathered.select(
-            key, into, count.cast("bigint").alias(count_as), "row_count", F.lit(1).alias("pages")
-        )
-        return Rollup(whole, None, key, into)
-
-    if distinct:
-        heavy = by_distinct_items(heavy, rows, fields, counted)
-    items = heavy.items(rows, fields)
+    aggregates = [F.count("*").alias("row_count")]
     if distinct:
-        items = items.withColumn("copies", F.lit(1).cast("bigint"))
-    hot = heavy.spread(items, fields, "page")
-    cold = heavy.others(rows, fields, merge=distinct)
-    in_list = F.lit(1) if distinct else F.col("copies").cast("int")
-    none = F.lit(None).cast("bigint")
-    item = F.struct(F.struct(*fields).alias("item"), in_list.alias("times"))
-    # Totals travel on one marker row per heavy key; it also keeps the key
-    # present should its first page be empty.
-    markers = heavy.table.where(F.col(key).isNotNull()).select(
-        key,
-        F.lit(None).cast(_type_of(rows, item)).alias("item"),
-        none.alias("copies"),
-        F.col("heavy_values" if distinct else "heavy_rows").alias("total"),
-        F.col("heavy_rows").alias("total_rows"),
-        F.col("heavy_pages").alias("pages"),
-    )
-    listed = cold.unionByName(hot.where(F.col("page") == 0).select(*cold.columns)).select(
-        key,
-        item.alias("item"),
-        "copies",
-        none.alias("total"),
-        none.alias("total_rows"),
-        F.lit(1).alias("pages"),
+        aggregates.append(F.countDistinct(counted).alias(count_as))
+    counts = settled(rows.groupBy(key).agg(*aggregates))
+    hot = hot_keys(counts, key, ["row_count"], page_rows)
+    whole = lists(without(rows, hot, key), key, fields, into, count_as, distinct, counted).select(
+        key, F.lit(0).alias("page"), F.lit(1).alias("list_pages"), into, count_as, "row_count"
     )
-    gathered = (
-        listed.unionByName(markers)
-        .groupBy(key)
-        .agg(
-            F.collect_list("item").alias("items"),
-            F.sum("copies").alias("copies"),
-            F.max("total").alias("total"),
-            F.max("total_rows").alias("total_rows"),
-            F.max("pages").alias("pages"),
-        )
-        .withColumn(into, _expanded("items"))
-    )
-    own_count = _distinct_values(F.col(into)[counted]).cast("bigint") if distinct else F.col("copies")
-    whole = gathered.select(
-        key,
-        into,
-        F.coalesce("total", own_count).alias(count_as),
-        F.coalesce("total_rows", "copies").alias("row_count"),
-        "pages",
-    )
-    overflow = (
-        hot.where(F.col("page") > 0)
-        .groupBy(key, "page")
-        .agg(F.collect_list(item).alias("items"))
-        .select(key, "page", _expanded("items").alias(into))
+    if hot is None:
+        return whole
+    paged = settled(pages(only(rows, hot, key), key, fields, distinct, page_rows, into))
+    if not distinct:
+        counts = counts.withColumn(count_as, F.col("row_count"))
+    told = counts.join(paged.groupBy(key).agg(F.count("*").cast("int").alias("list_pages")), key)
+    return whole.unionByName(paged.join(told, key).select(whole.columns))
+
+
+def lists(
+    rows: DataFrame,
+    key: str,
+    fields: Sequence[str],
+    into: str,
+    count_as: str,
+    distinct: bool,
+    counted: str | None,
+) -> DataFrame:
+    """(key, list, count, `row_count`) of keys that none is hot among: a single
+    aggregation with a single shuffle on the key, which a join can reuse."""
+    collect = F.collect_set if distinct else F.collect_list
+    gathered = rows.groupBy(key).agg(
+        F.sort_array(collect(F.struct(*fields))).alias(into), F.count("*").alias("row_count")
     )
-    return Rollup(whole, overflow, key, into)
+    # The distinct values are in the list already; a distinct count next to
+    # the set would shuffle all rows a second time.
+    count = _distinct_values(F.col(into)[counted]) if distinct else F.col("row_count")
+    return gathered.select(key, into, count.cast("bigint").alias(count_as), "row_count")
 
 
-def _expanded(items: str) -> Column:
-    repeated = F.transform(items, lambda p: F.array_repeat(p["item"], p["times"]))
-    return F.sort_array(F.flatten(repeated))
+def whole_lists(paged: DataFrame) -> DataFrame:
+    """The rows without page numbers; raises if any list has several pages."""
+    if not paged.where(F.col("list_pages") > 1).isEmpty():
+        raise ValueError("some lists have more than one page; read them page by page")
+    return paged.drop("page", "list_pages")
 
 
 def _distinct_values(values: Column) -> Column:
     return F.array_size(F.array_compact(F.array_distinct(values)))
-
-
-def _type_of(rows: DataFrame, item: Column):
-    return rows.withColumn("copies", F.lit(1).cast("bigint")).select(item.alias("item")).schema["item"].dataType

@@ -8,10 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chartfold.functions.features import age_years
-from chartfold.operators.heavy import PAGE_ROWS, HeavyKeys
 from chartfold.operators.joins import left_join_all
 from chartfold.operators.regression import fit_lines, predict
-from chartfold.plans.master import Master, heavy_keys, patient_counts
+from chartfold.plans.master import patient_counts, with_flag
 from chartfold.plans.records import KEY, condition_rows, patient_base
 
 # Fixed value: the disease studied unless another is named.
@@ -31,15 +30,13 @@ def patient_age(patient: DataFrame, as_of=None) -> DataFrame:
     return patient.select(F.col("id").alias(KEY), age_years("birthDate", as_of).alias("age"))
 
 
-def patients_with(condition: DataFrame, disease: str) -> DataFrame:
+def patients_with(condition: DataFrame, disease: str, absolute: bool = False) -> DataFrame:
     """(patient_id, disease=1) of the patients who have it, each once."""
-    hits = condition_rows(condition).where(F.col("condition_name") == disease)
+    hits = condition_rows(condition, absolute).where(F.col("condition_name") == disease)
     return hits.select(KEY).distinct().withColumn("disease", F.lit(1))
 
 
-def condition_flags(
-    patient: DataFrame, condition: DataFrame, diseases: Sequence[str], page_rows: int = PAGE_ROWS
-) -> DataFrame:
+def condition_flags(patient: DataFrame, condition: DataFrame, diseases: Sequence[str]) -> DataFrame:
     """(patient_id, disease, flag): one row per patient and named disease.
 
     Only rows of the named diseases are shuffled, at most one per patient,
@@ -48,8 +45,7 @@ def condition_flags(
     hits = condition_rows(condition).where(F.col("condition_name").isin(list(diseases)))
     found = hits.groupBy(KEY).agg(F.collect_set("condition_name").alias("found"))
     base = patient_base(patient).select(KEY)
-    heavy = heavy_keys({"patient": patient}, (), page_rows)
-    flagged = left_join_all(base, [found], KEY, heavy.get("patient"))
+    flagged = left_join_all(base, [found], KEY)
     has = F.coalesce(F.array_contains("found", F.col("disease")), F.lit(False))
     names = F.array(*[F.lit(d) for d in diseases])
     return flagged.withColumn("disease", F.explode(names)).select(
@@ -62,8 +58,8 @@ def age_frame(
     as_of: str | Column | None = None,
     disease: str = DISEASE,
     measures: Sequence[str] = tuple(MEASURES),
-    page_rows: int = PAGE_ROWS,
-    heavy: Mapping[str, HeavyKeys] | None = None,
+    tally: DataFrame | None = None,
+    absolute: bool = False,
 ) -> DataFrame:
     """(patient_id, gender, age, measures...): the input of the regressions.
 
@@ -71,17 +67,18 @@ def age_frame(
     without conditions; counts stay NULL for patients without data.
     """
     kinds = [_NEEDS[m] for m in measures if m in _NEEDS]
-    extra = [patients_with(tables["condition"], disease)] if "disease" in measures else []
-    counts = patient_counts(tables, kinds, page_rows, extra, heavy)
+    extra = [patients_with(tables["condition"], disease, absolute)] if "disease" in measures else []
+    counts = patient_counts(tables, kinds, extra, tally, absolute)
     columns = [F.coalesce(m, F.lit(0)).alias(m) if m == "disease" else F.col(m) for m in measures]
     return counts.select(KEY, "gender", age_years("birthDate", as_of).alias("age"), *columns)
 
 
 def master_age_frame(
-    master: Master, as_of: str | Column | None = None, disease: str = DISEASE
+    master: DataFrame, as_of: str | Column | None = None, disease: str = DISEASE
 ) -> DataFrame:
     """The same frame from a master table, such as one read back from a file."""
-    return master.with_flag(disease, "disease").select(
+    keep = ["birthDate", "gender", *(m for m in MEASURES if m != "disease")]
+    return with_flag(master, disease, "disease", keep).select(
         KEY, "gender", age_years("birthDate", as_of).alias("age"), *MEASURES
     )
 
@@ -94,10 +91,11 @@ def age_regressions(
     by: Sequence[str] = (),
     fill_zero: bool = False,
     alpha: float = 0.05,
-    heavy: Mapping[str, HeavyKeys] | None = None,
+    tally: DataFrame | None = None,
+    absolute: bool = False,
 ) -> DataFrame:
     """Regress each measure on age, overall or per `by` (such as `gender`)."""
-    frame = age_frame(tables, as_of, disease, measures, heavy=heavy)
+    frame = age_frame(tables, as_of, disease, measures, tally, absolute)
     return fit_ages(frame, measures, by, fill_zero, alpha)
 
 

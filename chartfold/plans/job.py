@@ -8,19 +8,22 @@ from pyspark.sql import DataFrame, SparkSession
 
 from chartfold.operators.heavy import PAGE_ROWS
 from chartfold.operators.profile import load_summary, raw_quality
+from chartfold.operators.regression import line_points, scatter_counts
 from chartfold.plans import analysis
 from chartfold.plans.master import (
     KINDS,
-    heavy_keys,
+    check_master,
     master_invariants,
     master_quality,
     patient_counts,
     patient_master,
+    patient_tally,
 )
 from chartfold.schemas import DEFAULT_RESOURCES
+from chartfold.shared import clear_scratch, settled
 from chartfold.sinks.jsonl import land, read_master, write_json_lines, write_master
-from chartfold.sources.archives import scan_archives
-from chartfold.sources.ndjson import load_resources, register_views
+from chartfold.sources.archives import list_archives, scan_archives
+from chartfold.sources.ndjson import load_resources, merge_resources, register_views
 
 _NEEDED = ("patient", *(k.resource for k in KINDS.values()))
 
@@ -29,46 +32,70 @@ def run(
     spark: SparkSession,
     source: str,
     output: str,
-    resources: Sequence[str] = DEFAULT_RESOURCES,
+    resources: Sequence[str] = (),
     archives: bool = False,
     as_of: str | None = None,
     disease: str = analysis.DISEASE,
     age: float = 50,
     page_rows: int = PAGE_ROWS,
+    absolute: bool = False,
+    sampling_ratio: float = 1.0,
+    keep_scratch: bool = False,
 ) -> dict[str, DataFrame]:
     """Build everything under `output` and return the reports by name.
 
     `source` is a folder of NDJSON files, or of ZIP archives with `archives`.
-    The parsed tables are landed once in `output/tables`; a second run over the
-    same output starts from there. The master table goes to `output/master`,
-    the reports, a few rows each, to `output/reports`.
+    The default resources are always loaded, `resources` besides. Files of a
+    folder are landed with all fields they have, inferred from the share
+    `sampling_ratio` of their lines; archives with the pinned fields. Tables go
+    to `output/tables` and are read again from there as long as their source
+    is the same. The master table goes to `output/master`, the reports to
+    `output/reports`; the job raises if the master table written fails its
+    check. `absolute` takes ids from the end of references that are URLs.
+
+    At the end the scratch tables of the whole application are deleted, unless
+    `keep_scratch`.
     """
+    extra = [r for r in resources if r.strip().lower() not in {d.lower() for d in DEFAULT_RESOURCES}]
+    inventory = None
     if archives:
-        parsed = {r.strip().lower(): scan_archives(spark, source, r) for r in resources}
+        inventory = settled(list_archives(spark, source))
+        scan = lambda names: {r.strip().lower(): scan_archives(spark, source, r, entries=inventory) for r in names}
     else:
-        parsed = load_resources(spark, source, resources, views=False)
+        scan = lambda names: load_resources(
+            spark, source, names, views=False, widen=True, sampling_ratio=sampling_ratio
+        )
+    parsed = merge_resources(scan(extra), scan(DEFAULT_RESOURCES))
     absent = [name for name in _NEEDED if name not in parsed]
     if absent:
         raise ValueError(f"no files for: {', '.join(absent)}")
     tables = land(parsed, f"{output}/tables")
     register_views(tables)
 
-    heavy = heavy_keys(tables, page_rows=page_rows)
-    write_master(patient_master(tables, heavy=heavy), f"{output}/master")
+    tally = patient_tally(tables, absolute=absolute)
+    write_master(patient_master(tables, page_rows, tally=tally, absolute=absolute), f"{output}/master")
     written = read_master(spark, f"{output}/master")
 
-    fits = analysis.age_regressions(tables, as_of, disease, heavy=heavy)
-    reports = {
-        "load_summary": load_summary(tables),
-        "raw_quality": raw_quality(tables),
-        "master_quality": master_quality(patient_counts(tables, heavy=heavy)),
-        "master_invariants": master_invariants(tables["patient"], written.rows),
-        "regressions": fits,
-        "predictions": analysis.predictions_by_age(fits, [age]),
-    }
     stored = {}
-    for name, report in reports.items():
+
+    def store(name: str, report: DataFrame) -> DataFrame:
         path = f"{output}/reports/{name}"
         write_json_lines(report, path)
         stored[name] = spark.read.schema(report.schema).json(path)
+        return stored[name]
+
+    check_master(store("master_invariants", master_invariants(tables["patient"], written, tally)))
+    store("load_summary", load_summary(tables))
+    store("raw_quality", raw_quality(tables))
+    store("master_quality", master_quality(patient_counts(tables, tally=tally, absolute=absolute)))
+    frame = settled(analysis.age_frame(tables, as_of, disease, tally=tally, absolute=absolute))
+    # What follows from the fits is read from the stored ones.
+    fits = store("regressions", analysis.fit_ages(frame))
+    store("predictions", analysis.predictions_by_age(fits, [age]))
+    store("line_points", line_points(fits))
+    store("scatter_counts", scatter_counts(frame, "age", analysis.MEASURES))
+    if inventory is not None:
+        store("archive_inventory", inventory)
+    if not keep_scratch:
+        clear_scratch(spark)
     return stored

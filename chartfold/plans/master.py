@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chartfold.functions.features import has_condition
 from chartfold.functions.fields import percent
-from chartfold.operators.heavy import BROADCAST_KEYS, PAGE_ROWS, HeavyKeys, find_heavy
-from chartfold.operators.joins import broadcast_if_small, fanout, left_join_all
-from chartfold.operators.rollup import Rollup, rollup
+from chartfold.operators.heavy import PAGE_ROWS, hot_keys, only, pages, without
+from chartfold.operators.joins import broadcast_if_small, fanout, left_join_all, spread_key
+from chartfold.operators.rollup import lists, rollup
 from chartfold.plans.records import (
     CONDITION_FIELDS,
     ENCOUNTER_FIELDS,
@@ -23,12 +24,13 @@ from chartfold.plans.records import (
     medication_rows,
     patient_base,
 )
+from chartfold.shared import settled
 
 
 @dataclass(frozen=True)
 class _Kind:
     resource: str
-    rows: Callable[[DataFrame], DataFrame]
+    rows: Callable[[DataFrame, bool], DataFrame]
     fields: Sequence[str]
     count_as: str
     counted: str | None = None  # set: list without duplicates, counted by this field
@@ -41,116 +43,130 @@ KINDS = {
 }
 
 
-@dataclass(frozen=True)
-class Master:
-    """`rows`: one row per patient, schema `schemas.MASTER`. `overflow`: for
-    each list that some patient has too much of, the pages past the first."""
-
-    rows: DataFrame
-    overflow: Mapping[str, DataFrame]
-
-    def all_pages(self) -> DataFrame:
-        """Everything in one table: the rows as page 0, then the overflow, a
-        row per patient, list and page with all other columns NULL."""
-        whole = self.rows.withColumn("page", F.lit(0))
-        for pages in self.overflow.values():
-            whole = whole.unionByName(pages, allowMissingColumns=True)
-        return whole
-
-    def with_flag(self, disease: str, name: str = "flag") -> DataFrame:
-        """The rows and a 0/1 column: does any page of the conditions name it?"""
-        flagged = self.rows.withColumn(name, has_condition("conditions", disease))
-        if "conditions" not in self.overflow:
-            return flagged
-        later = self.overflow["conditions"].where(has_condition("conditions", disease) == 1)
-        hits = later.select(KEY).distinct().withColumn("on_later_page", F.lit(1))
-        both = flagged.join(broadcast_if_small(hits), KEY, "left")
-        return both.withColumn(name, F.coalesce("on_later_page", name)).drop("on_later_page")
-
-
-def clinical_rows(tables: Mapping[str, DataFrame], kinds: Sequence[str] = tuple(KINDS)) -> dict[str, DataFrame]:
-    return {k: KINDS[k].rows(tables[KINDS[k].resource]) for k in kinds}
+def clinical_rows(
+    tables: Mapping[str, DataFrame], kinds: Sequence[str] = tuple(KINDS), absolute: bool = False
+) -> dict[str, DataFrame]:
+    return {k: KINDS[k].rows(tables[KINDS[k].resource], absolute) for k in kinds}
 
 
 def clinical_rollup(
-    kind: str,
-    tables: Mapping[str, DataFrame],
-    page_rows: int = PAGE_ROWS,
-    broadcast_keys: int = BROADCAST_KEYS,
-) -> Rollup:
+    kind: str, tables: Mapping[str, DataFrame], page_rows: int = PAGE_ROWS, absolute: bool = False
+) -> DataFrame:
     """Rollup of one kind: `conditions`, `medications` or `encounters`."""
-    rows = clinical_rows(tables, [kind])
-    return _roll(kind, rows, find_heavy(rows, KEY, page_rows, broadcast_keys))
-
-
-def _roll(kind: str, rows: Mapping[str, DataFrame], heavy: Mapping) -> Rollup:
     k = KINDS[kind]
-    return rollup(
-        rows[kind], KEY, k.fields, kind, k.count_as, k.counted is not None, k.counted, heavy.get(kind)
-    )
+    rows = clinical_rows(tables, [kind], absolute)[kind]
+    return rollup(rows, KEY, k.fields, kind, k.count_as, k.counted is not None, k.counted, page_rows)
 
 
-def heavy_keys(
-    tables: Mapping[str, DataFrame],
-    kinds: Sequence[str] = tuple(KINDS),
-    page_rows: int = PAGE_ROWS,
-    broadcast_keys: int = BROADCAST_KEYS,
-) -> dict[str, HeavyKeys]:
-    """Heavy patients of the patient table and of each kind, in one job.
+def patient_tally(
+    tables: Mapping[str, DataFrame], kinds: Sequence[str] = tuple(KINDS), absolute: bool = False
+) -> DataFrame:
+    """Rows per patient of the patient table (`patient_rows`) and of each kind
+    (`<kind>_rows`), and the counts of the master table; NULL where there are
+    none. Settled, from one pass that reads the keys and the counted fields.
 
-    Several plans over the same tables can share the result (`heavy`).
+    Several plans over the same tables can share it: the counts of reports, the
+    choice of hot patients and the check of the master table all come from it.
     """
-    ids = tables["patient"].select(F.col("id").alias(KEY))
-    return find_heavy({"patient": ids, **clinical_rows(tables, kinds)}, KEY, page_rows, broadcast_keys)
+    none = F.lit(None).cast("string")
+    parts = [tables["patient"].select(F.col("id").alias(KEY), F.lit("patient").alias("kind"), none.alias("value"))]
+    for k, rows in clinical_rows(tables, kinds, absolute).items():
+        value = F.col(KINDS[k].counted) if KINDS[k].counted else none
+        parts.append(rows.select(KEY, F.lit(k).alias("kind"), value.alias("value")))
+    # Counted by value first, so that a hot patient is one row per value.
+    per_value = (
+        reduce(DataFrame.unionByName, parts)
+        .where(F.col(KEY).isNotNull())
+        .groupBy(KEY, "kind", "value")
+        .agg(F.count("*").alias("n"))
+    )
+    aggregates = []
+    for k in ("patient", *kinds):
+        here = F.col("kind") == k
+        rows = F.sum(F.when(here, F.col("n")))
+        aggregates.append(rows.alias(f"{k}_rows"))
+        if k in KINDS:
+            distinct = F.when(rows.isNotNull(), F.count(F.when(here & F.col("value").isNotNull(), 1)))
+            aggregates.append((distinct if KINDS[k].counted else rows).alias(KINDS[k].count_as))
+    return settled(per_value.groupBy(KEY).agg(*aggregates))
 
 
 def patient_master(
     tables: Mapping[str, DataFrame],
     page_rows: int = PAGE_ROWS,
-    broadcast_keys: int = BROADCAST_KEYS,
     broadcast_bytes: int | None = None,
-    heavy: Mapping[str, HeavyKeys] | None = None,
-) -> Master:
-    """Patients left-joined with their conditions, medications and encounters.
+    tally: DataFrame | None = None,
+    absolute: bool = False,
+) -> DataFrame:
+    """Patients left-joined with their conditions, medications and encounters:
+    schema `schemas.MASTER`, one row per patient and page.
 
     Every list is aggregated before the join, so no row is multiplied. Absent
-    data gives a NULL list and a NULL count. `list_pages` is above 1 where the
-    row holds only the first page of a list (see `Rollup`).
-
-    `broadcast_bytes` offers each aggregate for a broadcast if it measures no
-    more than that; by default the runtime planner decides.
+    data gives a NULL list and a NULL count. Almost all patients have page 0
+    alone (`list_pages` 1); one with more than `page_rows` rows of a kind has
+    further rows with the later pages of the lists, and the same base fields
+    and whole counts on each. `whole_lists` gives one row per patient.
+
+    Hot patients, also ids that very many patient rows share, are planned
+    apart, on a settled copy of their rows; the plan of all others is the same
+    with and without them. `broadcast_bytes` offers each aggregate for a
+    broadcast if it measures no more than that; by default the runtime planner
+    decides.
     """
+    if tally is None:
+        tally = patient_tally(tables, absolute=absolute)
+    counted = ["patient_rows", *(f"{k}_rows" for k in KINDS)]
+    hot = hot_keys(tally, KEY, counted, page_rows)
     base = patient_base(tables["patient"])
-    rows = clinical_rows(tables)
-    if heavy is None:
-        heavy = heavy_keys(tables, page_rows=page_rows, broadcast_keys=broadcast_keys)
-    rollups = {k: _roll(k, rows, heavy) for k in KINDS}
-    pages = [f"{k}_pages" for k in KINDS]
+    rows = clinical_rows(tables, absolute=absolute)
     sides = []
-    for k, page in zip(KINDS, pages):
-        side = rollups[k].rows.select(KEY, k, KINDS[k].count_as, F.col("pages").alias(page))
+    for name, k in KINDS.items():
+        kept = without(rows[name], hot, KEY)
+        side = lists(kept, KEY, k.fields, name, k.count_as, k.counted is not None, k.counted).drop("row_count")
         sides.append(side if broadcast_bytes is None else broadcast_if_small(side, broadcast_bytes))
-    joined = left_join_all(base, sides, KEY, heavy.get("patient"))
-    whole = joined.withColumn(
-        "list_pages", F.greatest(*[F.coalesce(p, F.lit(1)) for p in pages])
-    ).drop(*pages)
-    overflow = {k: r.overflow for k, r in rollups.items() if r.overflow is not None}
-    return Master(whole, overflow)
+    master = left_join_all(without(base, hot, KEY), sides, KEY).withColumns(
+        {"page": F.lit(0), "list_pages": F.lit(1)}
+    )
+    if hot is not None:
+        master = master.unionByName(_hot_master(base, rows, tally, hot, page_rows))
+    return master.select(*base.columns, *(c for k, v in KINDS.items() for c in (k, v.count_as)), "page", "list_pages")
 
 
-def count_per_patient(kind: str, rows: DataFrame) -> DataFrame:
-    """(patient_id, count) without lists: narrow, and combined on the map side."""
-    k = KINDS[kind]
-    count = F.count("*") if k.counted is None else F.countDistinct(k.counted)
-    return rows.groupBy(KEY).agg(count.alias(k.count_as))
+def _hot_master(
+    base: DataFrame, rows: Mapping[str, DataFrame], tally: DataFrame, hot: DataFrame, page_rows: int
+) -> DataFrame:
+    paged = {}
+    for name, k in KINDS.items():
+        kept = only(rows[name].select(KEY, *k.fields), hot, KEY)
+        paged[name] = settled(pages(kept, KEY, k.fields, k.counted is not None, page_rows, name))
+    # Every page of any list, and page 0 of all.
+    numbers = [hot.select(F.col("hot_key").alias(KEY), F.lit(0).alias("page"))]
+    numbers += [p.select(KEY, "page") for p in paged.values()]
+    every = reduce(DataFrame.unionByName, numbers).distinct()
+    for p in paged.values():
+        every = every.join(p, [KEY, "page"], "left")
+    every = settled(every)
+    total = every.groupBy(KEY).agg(F.count("*").cast("int").alias("list_pages"))
+    counts = tally.select(KEY, *(k.count_as for k in KINDS.values())).join(total, KEY)
+    told = settled(every.join(counts, KEY))
+    return only(base, hot, KEY).join(told, KEY)
+
+
+def with_flag(master: DataFrame, disease: str, name: str = "flag", keep: Sequence[str] = ()) -> DataFrame:
+    """Patients (patient_id, `keep`) and a 0/1 column: does any page of their
+    conditions name the disease? One row per patient row."""
+    rows = master.select(KEY, *keep, "page", has_condition("conditions", disease).alias("here"))
+    by = rows.withColumn("flag_key", spread_key(rows, KEY))
+    any_page = F.max("here").over(Window.partitionBy("flag_key"))
+    return by.withColumn(name, any_page).where(F.col("page") == 0).select(KEY, *keep, name)
 
 
 def patient_counts(
     tables: Mapping[str, DataFrame],
     kinds: Sequence[str] = tuple(KINDS),
-    page_rows: int = PAGE_ROWS,
     extra: Sequence[DataFrame] = (),
-    heavy: Mapping[str, HeavyKeys] | None = None,
+    tally: DataFrame | None = None,
+    absolute: bool = False,
 ) -> DataFrame:
     """The master table without its lists: base fields and the chosen counts.
 
@@ -158,39 +174,61 @@ def patient_counts(
     rows of a patient. `extra` are further tables of one row per patient.
     """
     base = patient_base(tables["patient"]).select(KEY, "birthDate", "gender")
-    if heavy is None:
-        heavy = heavy_keys(tables, (), page_rows)
-    rows = clinical_rows(tables, kinds)
-    sides = [count_per_patient(k, rows[k]) for k in kinds]
-    return left_join_all(base, [*sides, *extra], KEY, heavy.get("patient"))
+    if kinds and tally is None:
+        tally = patient_tally(tables, kinds, absolute)
+    sides = [tally.select(KEY, *(KINDS[k].count_as for k in kinds))] if kinds else []
+    return left_join_all(base, [*sides, *extra], KEY)
 
 
-def master_invariants(patient: DataFrame, master: DataFrame) -> DataFrame:
-    """(patients, master_rows, duplicate_keys): the first two must be equal."""
-    def rows(df: DataFrame, id_column: str) -> DataFrame:
-        return df.groupBy(F.col(id_column).alias(KEY)).agg(F.count("*").alias("n"))
+def master_invariants(patient: DataFrame, master: DataFrame, tally: DataFrame) -> DataFrame:
+    """One row that tells whether a master table holds what it should.
 
-    before = rows(patient, "id").agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("patients"),
-        F.count_if(F.col("n") > 1).alias("duplicate_keys"),
+    `patients` must equal `master_rows` (its rows of page 0); `doubled_pages`,
+    patients and pages that occur more often than the patient, must be 0;
+    `<kind>_listed` must equal `<kind>_rows`, what the clinical tables have for
+    known patients (distinct lists are left out: these merge rows).
+    `duplicate_keys` only tells how many ids the patient table repeats.
+    """
+    full = [k for k, v in KINDS.items() if v.counted is None]
+    sizes = [F.coalesce(F.size(k), F.lit(0)).alias(f"{k}_size") for k in full]
+    seen = master.select(KEY, "page", *sizes).groupBy(KEY, "page").agg(
+        F.count("*").alias("n"), *(F.sum(f"{k}_size").alias(f"{k}_size") for k in full)
+    )
+    own = tally.where("patient_rows is not null").withColumnRenamed(KEY, "own")
+    compared = seen.join(own.select("own", "patient_rows"), F.col(KEY) == F.col("own"), "left")
+    zero = F.lit(0).cast("bigint")
+    after = compared.agg(
+        F.coalesce(F.sum(F.when(F.col("page") == 0, F.col("n"))), zero).alias("master_rows"),
+        F.count_if(F.col("n") > F.col("patient_rows")).alias("doubled_pages"),
+        *(F.coalesce(F.sum(f"{k}_size"), zero).alias(f"{k}_listed") for k in full),
     )
-    after = master.agg(F.count("*").alias("master_rows"))
-    none = F.lit(None).cast("bigint")
-    both = before.select("patients", none.alias("master_rows"), "duplicate_keys").unionByName(
-        after.select(none.alias("patients"), "master_rows", none.alias("duplicate_keys"))
+    known = own.agg(
+        F.count_if(F.col("patient_rows") > 1).alias("duplicate_keys"),
+        *(F.coalesce(F.sum(F.col("patient_rows") * F.col(f"{k}_rows")), zero).alias(f"{k}_rows") for k in full),
     )
-    return both.agg(*[F.max(c).alias(c) for c in both.columns])
+    before = patient.agg(F.count("*").alias("patients"))
+    # Three tables of one row each.
+    one = [df.withColumn("one", F.lit(1)) for df in (before, after, known)]
+    return reduce(lambda a, b: a.join(b, "one"), one).drop("one")
 
 
-def join_fanout(tables: Mapping[str, DataFrame]) -> DataFrame:
+def check_master(invariants: DataFrame) -> None:
+    """Raises if a master table fails its invariants."""
+    row = invariants.first()
+    pairs = [("patients", "master_rows"), *((f"{k}_rows", f"{k}_listed") for k, v in KINDS.items() if v.counted is None)]
+    wrong = [f"{a} {row[a]} but {b} {row[b]}" for a, b in pairs if row[a] != row[b]]
+    if row["doubled_pages"]:
+        wrong.append(f"{row['doubled_pages']} doubled pages")
+    if wrong:
+        raise ValueError("the master table is wrong: " + ", ".join(wrong))
+
+
+def join_fanout(tables: Mapping[str, DataFrame], tally: DataFrame | None = None) -> DataFrame:
     """Rows per patient of the naive inner join of patients and all resources."""
-    rows = clinical_rows(tables)
-    counts = {"patient_rows": tables["patient"].select(F.col("id").alias(KEY)).where(F.col(KEY).isNotNull())}
-    counts.update({f"{KINDS[k].resource}_rows": rows[k] for k in KINDS})
-    per_key = {
-        name: df.groupBy(KEY).agg(F.count("*").alias(name)) for name, df in counts.items()
-    }
-    return fanout(per_key, KEY)
+    if tally is None:
+        tally = patient_tally(tables)
+    names = {"patient_rows": "patient_rows", **{f"{k}_rows": f"{v.resource}_rows" for k, v in KINDS.items()}}
+    return fanout(tally.select(KEY, *(F.col(a).alias(b) for a, b in names.items())), KEY, list(names.values()))
 
 
 def master_quality(master: DataFrame) -> DataFrame:
@@ -217,10 +255,10 @@ def master_quality(master: DataFrame) -> DataFrame:
     )
 
 
-def sample_rollup(kind: str, tables: Mapping[str, DataFrame], n: int = 1) -> DataFrame:
-    """Rollup rows of the first `n` patients by id, and of no others."""
+def sample_rollup(kind: str, tables: Mapping[str, DataFrame], n: int = 1, page_rows: int = PAGE_ROWS) -> DataFrame:
+    """All pages of the first `n` patients by id, and of no others."""
+    k = KINDS[kind]
     rows = clinical_rows(tables, [kind])[kind]
-    wanted = rows.select(KEY).distinct().orderBy(KEY).limit(n)
-    few = F.broadcast(wanted) if n <= BROADCAST_KEYS else wanted
-    chosen = {kind: rows.join(few, KEY, "left_semi")}
-    return _roll(kind, chosen, find_heavy(chosen, KEY)).rows.drop("pages")
+    wanted = settled(rows.select(KEY).where(F.col(KEY) != "").distinct().orderBy(KEY).limit(n))
+    chosen = rows.join(wanted, KEY, "left_semi")
+    return rollup(chosen, KEY, k.fields, kind, k.count_as, k.counted is not None, k.counted, page_rows)

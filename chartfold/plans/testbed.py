@@ -2,8 +2,10 @@
 
 The test data has no clinical records, so customers stand in for patients,
 orders for encounters, shipped line items for medication requests, returned
-ones for conditions and events for observations. Conditions grow with age by
-construction, medications do not; some references and codes are left out.
+ones for conditions and events for observations. Every row of these tables is
+used. Conditions of known patients grow with age by construction, medications
+do not; some references and codes are left out, and some references point to
+patients that are not in the table.
 """
 
 from __future__ import annotations
@@ -16,7 +18,9 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from chartfold.schemas import RESOURCES
 from chartfold.shared import new_shared_path, send_by_value
 from chartfold.sinks.jsonl import write_json_lines
 
@@ -51,7 +55,28 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.schema(_COLUMNS[table]).parquet(f"{sf_dir}/{table}.parquet")
 
 
+_NONE = "cast(null as string)"
+_PERIOD = f"named_struct('start', '2001-01-01', 'end', {_NONE})"
+_NAME = (
+    "named_struct('use', 'official', 'text', concat('Dr. ', c_name), 'family', c_name, "
+    "'given', array(concat('G', c_custkey % 10)), 'prefix', array('Dr.'), 'suffix', cast(array() as array<string>), "
+    f"'period', {_PERIOD})"
+)
+_ADDRESS = (
+    f"named_struct('use', 'home', 'type', {_NONE}, 'text', {_NONE}, 'line', array(concat(c_custkey % 97, ' Main St')), "
+    "'city', n_name, 'district', cast(null as string), 'state', concat('S', n_nationkey), "
+    f"'postalCode', lpad(cast(c_custkey % 100000 as string), 5, '0'), 'country', r_name, 'period', {_PERIOD})"
+)
+_MARITAL = (
+    f"named_struct('coding', array(named_struct('system', 'urn:marital', 'version', {_NONE}, 'code', "
+    "case c_custkey % 3 when 0 then 'M' when 1 then 'S' else 'D' end, 'display', "
+    "case c_custkey % 3 when 0 then 'Married' when 1 then 'Single' else 'Divorced' end, "
+    f"'userSelected', c_custkey % 2 = 0)), 'text', {_NONE})"
+)
+
+
 def _patient(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = StructType.fromDDL(RESOURCES["patient"])
     places = read(spark, sf_dir, "nation").join(
         read(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
     )
@@ -60,13 +85,17 @@ def _patient(spark: SparkSession, sf_dir: str) -> DataFrame:
         "cast(c_custkey as string) id",
         "date_format(date_add(date'1930-01-01', cast((c_custkey * 7919) % 29220 as int)), 'yyyy-MM-dd') birthDate",
         "case when c_custkey % 2 = 0 then 'female' else 'male' end gender",
-        "array(named_struct('family', c_name, 'given', array(concat('G', c_custkey % 10)))) name",
-        "array(named_struct('city', n_name, 'country', r_name)) address",
-        "case when c_custkey % 10 = 0 then null else named_struct('coding', array(named_struct('code', "
-        "case c_custkey % 3 when 0 then 'M' when 1 then 'S' else 'D' end))) end maritalStatus",
+        f"cast(array({_NAME}) as {fields['name'].dataType.simpleString()}) name",
+        f"cast(array({_ADDRESS}) as {fields['address'].dataType.simpleString()}) address",
+        f"cast(case when c_custkey % 10 = 0 then null else {_MARITAL} end as "
+        f"{fields['maritalStatus'].dataType.simpleString()}) maritalStatus",
     )
 
 
+# Returned line items are conditions, all others medication requests.
+_RETURNED = "coalesce(l_returnflag = 'R', false)"
+
+
 def _items(spark: SparkSession, sf_dir: str, kept: str) -> DataFrame:
     lines = read(spark, sf_dir, "lineitem").where(kept)
     orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
@@ -77,33 +106,36 @@ def _items(spark: SparkSession, sf_dir: str, kept: str) -> DataFrame:
 
 
 def _condition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # A part's size is the age from which a patient has it; for younger ones the
+    # reference points nowhere.
     old_enough = "p_size * 8 <= 80 - cast((o_custkey * 7919) % 29220 as int) / 365.25D"
     coding = "array(named_struct('code', p_brand, 'display', p_type))"
-    return _items(spark, sf_dir, "l_returnflag = 'R'").where(old_enough).selectExpr(
+    return _items(spark, sf_dir, _RETURNED).selectExpr(
         "concat('c', l_orderkey, '-', l_linenumber) id",
         "case when l_partkey % 53 = 0 then null "
-        "else named_struct('reference', concat('Patient/', o_custkey)) end subject",
+        f"else named_struct('reference', concat('Patient/', case when {old_enough} then '' else 'x' end, o_custkey)) "
+        "end subject",
         f"named_struct('coding', case when p_partkey % 89 = 0 then null when p_partkey % 97 = 0 "
         f"then filter({coding}, x -> false) else {coding} end) code",
     )
 
 
 def _medicationrequest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shipped = "l_linestatus = 'O' and l_shipdate >= timestamp_ntz'2001-01-01'"
-    return _items(spark, sf_dir, shipped).selectExpr(
+    known = "l_linestatus = 'O' and l_shipdate >= timestamp_ntz'2001-01-01'"
+    return _items(spark, sf_dir, f"not ({_RETURNED})").selectExpr(
         "concat('m', l_orderkey, '-', l_linenumber) id",
         "l_returnflag status",
         "'order' intent",
         "date_format(l_shipdate, 'yyyy-MM-dd') authoredOn",
         "named_struct('coding', array(named_struct('code', cast(p_partkey as string), 'display', p_name))) "
         "medicationCodeableConcept",
-        "named_struct('reference', concat('Patient/', o_custkey)) subject",
+        f"named_struct('reference', concat('Patient/', case when {known} then '' else 'x' end, o_custkey)) subject",
         "named_struct('reference', concat('Encounter/e', l_orderkey)) encounter",
     )
 
 
 def _encounter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "orders").where("o_custkey % 7 <> 0").selectExpr(
+    return read(spark, sf_dir, "orders").selectExpr(
         "concat('e', o_orderkey) id",
         "o_orderstatus status",
         "named_struct('code', o_orderpriority) class",
@@ -111,7 +143,7 @@ def _encounter(spark: SparkSession, sf_dir: str) -> DataFrame:
         "'display', substring(o_orderpriority, 3))))) type",
         "named_struct('start', date_format(o_orderdate, 'yyyy-MM-dd'), 'end', case when o_orderstatus = 'P' "
         "then null else date_format(date_add(cast(o_orderdate as date), 1), 'yyyy-MM-dd') end) period",
-        "named_struct('reference', concat('Patient/', o_custkey)) subject",
+        "named_struct('reference', concat('Patient/', case when o_custkey % 7 = 0 then 'x' else '' end, o_custkey)) subject",
         "named_struct('reference', concat('Organization/o', o_custkey % 25)) serviceProvider",
     )
 

@@ -2,8 +2,8 @@
 
 Reading NDJSON with a fixed schema saves the inference pass over the text and
 keeps a query valid when a field happens to be absent from every row. Each
-resource lists only the fields the library reads; pass your own DDL to the
-readers for more.
+resource lists the fields the library reads, the patient's structs whole; the
+readers can add what the data has besides.
 """
 
 CORRUPT = "_corrupt_record"
@@ -12,14 +12,26 @@ CORRUPT = "_corrupt_record"
 DEFAULT_RESOURCES = ("Patient", "Condition", "Encounter", "Observation", "MedicationRequest")
 
 _CODING = "array<struct<code:string,display:string>>"
+_PERIOD = "struct<start:string,end:string>"
+# The whole structs that the master table carries on.
+_NAME = (
+    "array<struct<use:string,text:string,family:string,given:array<string>,prefix:array<string>,"
+    f"suffix:array<string>,period:{_PERIOD}>>"
+)
+_ADDRESS = (
+    "array<struct<use:string,type:string,text:string,line:array<string>,city:string,district:string,"
+    f"state:string,postalCode:string,country:string,period:{_PERIOD}>>"
+)
+_MARITAL = (
+    "struct<coding:array<struct<system:string,version:string,code:string,display:string,"
+    "userSelected:boolean>>,text:string>"
+)
 _REFERENCE = "struct<reference:string>"
 
 RESOURCES = {
     "patient": (
         "id string, birthDate string, gender string, "
-        "name array<struct<family:string,given:array<string>>>, "
-        "address array<struct<city:string,country:string>>, "
-        "maritalStatus struct<coding:array<struct<code:string>>>"
+        f"name {_NAME}, address {_ADDRESS}, maritalStatus {_MARITAL}"
     ),
     "condition": f"id string, subject {_REFERENCE}, code struct<coding:{_CODING}>",
     "medicationrequest": (
@@ -64,12 +76,9 @@ ITEMS = {
 
 MASTER = (
     "patient_id string, "
-    "name array<struct<family:string,given:array<string>>>, "
-    "address array<struct<city:string,country:string>>, "
-    "birthDate string, gender string, "
-    "maritalStatus struct<coding:array<struct<code:string>>>, "
+    f"name {_NAME}, address {_ADDRESS}, birthDate string, gender string, maritalStatus {_MARITAL}, "
     f"conditions array<{ITEMS['conditions']}>, condition_count bigint, "
     f"medications array<{ITEMS['medications']}>, medication_count bigint, "
     f"encounters array<{ITEMS['encounters']}>, encounter_count bigint, "
-    "list_pages int"
+    "page int, list_pages int"
 )

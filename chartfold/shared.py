@@ -28,7 +28,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 def new_shared_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that nothing has used yet."""
-    return f"{shared_dir(spark).rstrip('/')}/chartfold/{label}-{uuid.uuid4().hex}"
+    return f"{scratch(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def settled(df: DataFrame) -> DataFrame:
@@ -38,6 +38,24 @@ def settled(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder on any file system that Spark reaches."""
+    jvm = spark._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def scratch(spark: SparkSession) -> str:
+    """Where settled tables of this application are kept."""
+    return f"{shared_dir(spark).rstrip('/')}/chartfold-{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all settled tables of this application: at the end of a job, when
+    no plan reads them any more."""
+    delete(spark, scratch(spark))
+
+
 def send_by_value(module: str) -> None:
     """Send a module's functions to the tasks whole, so that executors need not
     have this package installed."""

@@ -1,15 +1,23 @@
-"""JSON Lines out and back, and landing of parsed tables."""
+"""JSON Lines out and back, and landing of parsed tables.
+
+Whatever is stored under a name is written to a new folder first; a marker that
+names the folder is added last. A write that breaks off leaves what was there.
+"""
 
 from __future__ import annotations
 
+import hashlib
+import uuid
 from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
+
+from chartfold.schemas import MASTER
+from chartfold.shared import delete
 
-from chartfold.plans.master import KINDS, Master
-from chartfold.plans.records import KEY
-from chartfold.schemas import ITEMS, MASTER
+_MARKER = "number bigint, folder string, source string"
 
 
 def write_json_lines(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -17,54 +25,74 @@ def write_json_lines(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("ignoreNullFields", "false").json(path)
 
 
-def write_master(master: Master, path: str, mode: str = "overwrite") -> None:
-    """The master table under `path`; pages of oversized lists beside it, in
-    `<path>.pages/<list>`. Lists without such pages leave an empty folder, so
-    that none remain from an earlier table."""
-    write_json_lines(master.rows, path, mode)
-    for name in KINDS:
-        pages = master.overflow.get(name)
-        if pages is None:
-            pages = master.rows.sparkSession.createDataFrame([], _page_schema(name))
-        write_json_lines(pages, f"{path.rstrip('/')}.pages/{name}", mode)
-
+def _marker(spark: SparkSession, path: str) -> Row | None:
+    """The newest marker under `path`: the folder that holds, and its source."""
+    try:
+        rows = spark.read.schema(_MARKER).json(f"{path}/markers").orderBy(F.desc("number")).limit(1).collect()
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    return rows[0] if rows else None
 
-def read_master(spark: SparkSession, path: str) -> Master:
-    overflow = {
-        name: spark.read.schema(_page_schema(name)).json(f"{path.rstrip('/')}.pages/{name}")
-        for name in KINDS
-    }
-    return Master(spark.read.schema(MASTER).json(path), overflow)
 
+def _replace(df: DataFrame, path: str, form: str, source: str = "") -> str:
+    """Write a new version of `path` and then its marker; returns the folder.
 
-def _page_schema(name: str) -> str:
-    return f"{KEY} string, page int, {name} array<{ITEMS[name]}>"
+    Markers are only added, so the old version holds until the new one is
+    complete. The version before is deleted afterwards.
+    """
+    spark = df.sparkSession
+    old = _marker(spark, path)
+    folder = f"{path}/version-{uuid.uuid4().hex}"
+    if form == "json":
+        write_json_lines(df, folder, "error")
+    else:
+        df.write.mode("error").format(form).save(folder)
+    row = [(old.number + 1 if old else 1, folder.rsplit("/", 1)[1], source)]
+    spark.createDataFrame(row, _MARKER).coalesce(1).write.mode("append").json(f"{path}/markers")
+    if old:
+        delete(spark, f"{path}/{old.folder}")
+    return folder
+
+
+def write_master(master: DataFrame, path: str) -> None:
+    """The whole master table under `path`: a line per patient and page."""
+    _replace(master, path.rstrip("/"), "json")
+
+
+def read_master(spark: SparkSession, path: str) -> DataFrame:
+    """What `write_master` last completed there."""
+    path = path.rstrip("/")
+    marker = _marker(spark, path)
+    if marker is None:
+        raise FileNotFoundError(f"no master table has been written to {path}")
+    return spark.read.schema(MASTER).json(f"{path}/{marker.folder}")
+
+
+def _source(df: DataFrame) -> str:
+    """Tells tables of other files or another schema apart."""
+    digest = hashlib.sha256(df.schema.json().encode())
+    for name in sorted(df.inputFiles()):
+        digest.update(name.encode() + b"\n")
+    return digest.hexdigest()
 
 
 def land(tables: Mapping[str, DataFrame], path: str, again: bool = False) -> dict[str, DataFrame]:
     """Store parsed tables as Parquet and return them read back.
 
     JSON text has to be parsed whole for any one field; Parquet is read by
-    column. A table that was landed here completely is kept, and its source is
-    not read again, unless `again`. One that was broken off has no marker yet
-    and is written anew.
+    column. A table that was landed here completely, from files of the same
+    names and with the same schema, is kept, and its source is not read again,
+    unless `again` (for files that changed under their names).
     """
     landed = {}
     for name, df in tables.items():
-        spark = df.sparkSession
-        target = f"{path.rstrip('/')}/{name}"
-        marker = f"{target}.landed"
-        if again or not _has_rows(spark, marker):
-            df.write.mode("overwrite").parquet(target)
-            spark.range(1).coalesce(1).write.mode("overwrite").parquet(marker)
-        landed[name] = spark.read.schema(df.schema).parquet(target)
+        target, source = f"{path.rstrip('/')}/{name}", _source(df)
+        marker = _marker(df.sparkSession, target)
+        if again or marker is None or marker.source != source:
+            folder = _replace(df, target, "parquet", source)
+        else:
+            folder = f"{target}/{marker.folder}"
+        landed[name] = df.sparkSession.read.schema(df.schema).parquet(folder)
     return landed
-
-
-def _has_rows(spark: SparkSession, path: str) -> bool:
-    try:
-        return not spark.read.schema("id bigint").parquet(path).isEmpty()
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise

@@ -9,6 +9,8 @@ and never held whole.
 
 from __future__ import annotations
 
+import math
+import re
 import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -19,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chartfold.schemas import CORRUPT, RESOURCES
-from chartfold.shared import send_by_value
+from chartfold.shared import send_by_value, settled
 
 send_by_value(__name__)
 
@@ -28,6 +30,7 @@ SPLIT_BYTES = 128 * 1024 * 1024
 # A batch of lines handed to Spark ends after so many bytes or lines.
 _BATCH_BYTES = 4 * 1024 * 1024
 _BATCH_LINES = 10_000
+_BLOCK_BYTES = 1024 * 1024
 
 _ENTRY = "archive string, entry string, bytes bigint, compressed_bytes bigint, stored boolean"
 _LINE = "archive string, entry string, start bigint, line_no bigint, line string"
@@ -43,6 +46,9 @@ def _open(path: str):
     else:
         from pyarrow import fs
 
+        # Spark's names of the S3 connector; Arrow knows one.
+        if parsed.scheme in ("s3a", "s3n"):
+            path = "s3" + path[3:]
         system, inner = fs.FileSystem.from_uri(path)
         with system.open_input_file(inner) as f:
             yield f
@@ -77,21 +83,28 @@ def archive_lines(
     resource: str | None = None,
     partitions: int | None = None,
     split_bytes: int = SPLIT_BYTES,
+    entries: DataFrame | None = None,
 ) -> DataFrame:
     """(archive, entry, start, line_no, line) of the NDJSON entries, or of one
     resource's entries; `line_no` counts from 1 within each `start`.
 
+    `entries` is a settled listing of the archives, if there is one already.
+    There are as many tasks as there are `SPLIT_BYTES` to read, or at least as
+    many as the session's shuffle partitions.
+
     The lines of compressed entries above `split_bytes` are dealt out over all
     partitions once they are unpacked, so that the work on them is shared.
     """
-    entries = list_archives(spark, path, partitions).where(_wanted(resource))
+    if entries is None:
+        entries = settled(list_archives(spark, path, partitions))
+    wanted = entries.where(_wanted(resource))
+    read = F.coalesce(F.sum(F.col("compressed_bytes")), F.lit(0))
+    size = wanted.agg(read.alias("read")).first()["read"]
+    tasks = partitions or max(_parallel(spark, None), math.ceil(size / SPLIT_BYTES))
     long_stream = ~F.col("stored") & (F.col("compressed_bytes") > split_bytes)
-    lines = _read(entries.where(~long_stream), split_bytes, partitions)
-    if entries.where(long_stream).isEmpty():
-        return lines
-    unpacked = _read(entries.where(long_stream), split_bytes, partitions)
-    dealt = unpacked.repartition(
-        _parallel(spark, partitions), "archive", "entry", F.expr(f"line_no div {_BATCH_LINES}")
+    lines = _read(wanted.where(~long_stream), split_bytes, tasks)
+    dealt = _read(wanted.where(long_stream), split_bytes, tasks).repartition(
+        tasks, "archive", "entry", F.expr(f"line_no div {_BATCH_LINES}")
     )
     return lines.unionByName(dealt)
 
@@ -100,11 +113,10 @@ def _wanted(resource: str | None) -> Column:
     file = F.element_at(F.split("entry", "/"), -1)
     if resource is None:
         return file.endswith(".ndjson")
-    name = resource.strip()
-    return (file == f"{name}.ndjson") | (file.startswith(f"{name}.") & file.endswith(".ndjson"))
+    return file.rlike(f"^{re.escape(resource.strip())}([._-].*)?[.]ndjson$")
 
 
-def _read(entries: DataFrame, split_bytes: int, partitions: int | None) -> DataFrame:
+def _read(entries: DataFrame, split_bytes: int, tasks: int) -> DataFrame:
     last_start = F.when(F.col("stored") & (F.col("bytes") > 0), F.col("bytes") - 1).otherwise(F.lit(0))
     step = F.lit(split_bytes).cast("bigint")
     ranges = (
@@ -114,7 +126,7 @@ def _read(entries: DataFrame, split_bytes: int, partitions: int | None) -> DataF
     )
     # A stated number of partitions also keeps the runtime planner from
     # merging these few small rows, each of which stands for a long read.
-    spread = ranges.repartition(_parallel(entries.sparkSession, partitions), "archive", "entry", "start")
+    spread = ranges.repartition(tasks, "archive", "entry", "start")
     return spread.mapInPandas(_read_ranges, _LINE)
 
 
@@ -134,15 +146,29 @@ def _read_ranges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _lines_from(stream, start: int, stop: int) -> Iterator[str]:
-    """Non-blank lines that begin in [start, stop)."""
+    """Non-blank lines that begin in [start, stop), read in blocks."""
+    at = start
+    rest = b""
     if start > 0:
         # The line that reaches into this range belongs to the one before it.
         stream.seek(start - 1)
-        stream.readline()
-    while stream.tell() < stop and (raw := stream.readline()):
-        text = raw.decode("utf-8", "replace").rstrip("\r\n")
-        if text.strip():
-            yield text
+        at += len(stream.readline()) - 1
+    # `at` is where `rest` begins; lines that begin at `stop` or later are not ours.
+    while at < stop:
+        block = stream.read(_BLOCK_BYTES)
+        ended = not block
+        *lines, rest = (rest + block).split(b"\n")
+        if ended and rest:
+            lines, rest = [*lines, rest], b""
+        for raw in lines:
+            if at >= stop:
+                return
+            at += len(raw) + 1
+            text = raw.decode("utf-8", "replace").rstrip("\r")
+            if text.strip():
+                yield text
+        if ended:
+            return
 
 
 def _line_frame(r, numbered: list[tuple[int, str]]) -> pd.DataFrame:
@@ -160,9 +186,10 @@ def scan_archives(
     schema: str | None = None,
     partitions: int | None = None,
     split_bytes: int = SPLIT_BYTES,
+    entries: DataFrame | None = None,
 ) -> DataFrame:
     """One resource's table straight from the archives."""
-    lines = archive_lines(spark, path, resource, partitions, split_bytes)
+    lines = archive_lines(spark, path, resource, partitions, split_bytes, entries)
     ddl = f"{schema or RESOURCES[resource.strip().lower()]}, {CORRUPT} string"
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     return lines.select(F.from_json("line", ddl, options).alias("record")).select("record.*")

@@ -8,6 +8,7 @@ from contextlib import contextmanager
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import ArrayType, DataType, StringType, StructField, StructType
 
 from chartfold.schemas import CORRUPT, DEFAULT_RESOURCES, RESOURCES
 
@@ -20,31 +21,53 @@ def scan_resource(
     prefix: bool = False,
     infer: bool = False,
     sampling_ratio: float = 1.0,
+    widen: bool = False,
 ) -> DataFrame | None:
     """All NDJSON files of one resource in a folder as one table.
 
-    Reads `Name.ndjson` and `Name.<part>.ndjson`; with `prefix` every file
+    Reads `Name.ndjson` and `Name<.-_><part>.ndjson`; with `prefix` every file
     whose name starts with `Name`. Returns None if there is no file. The
     schema is `schema`, or the pinned one of the resource; it is inferred if
-    there is neither, or with `infer`. Lines that are no JSON object keep a
-    row, with the text in `_corrupt_record` (pinned schemas only).
+    there is neither, or with `infer`. With `widen` it is the pinned one and
+    all fields besides that the data is inferred to have. Lines that are no
+    JSON object keep a row, with the text in `_corrupt_record` (not with
+    `infer`).
     """
     name = resource.strip()
-    pattern = f"{name}*.ndjson" if prefix else f"{name}{{.ndjson,.*.ndjson}}"
+    pattern = f"{name}*.ndjson" if prefix else f"{name}{{.ndjson,[._-]*.ndjson}}"
     pinned = schema or RESOURCES.get(name.lower())
     reader = spark.read
     if pinned and not infer:
         reader = reader.schema(f"{pinned}, {CORRUPT} string")
     else:
         reader = reader.option("samplingRatio", sampling_ratio)
+    files = f"{path.rstrip('/')}/{pattern}"
     try:
-        return reader.json(f"{path.rstrip('/')}/{pattern}")
+        if widen and pinned and not infer:
+            seen = spark.read.option("samplingRatio", sampling_ratio).json(files).schema
+            wide = merged(StructType.fromDDL(pinned), StructType([f for f in seen if f.name != CORRUPT]))
+            reader = spark.read.schema(StructType([*wide, StructField(CORRUPT, StringType())]))
+        return reader.json(files)
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
 
 
+def merged(pinned: DataType, seen: DataType) -> DataType:
+    """`pinned` and, at the end of each struct, the fields that only `seen` has."""
+    if isinstance(pinned, StructType) and isinstance(seen, StructType):
+        also = {f.name: f for f in seen}
+        fields = [
+            StructField(f.name, merged(f.dataType, also[f.name].dataType) if f.name in also else f.dataType)
+            for f in pinned
+        ]
+        return StructType(fields + [f for f in seen if f.name not in pinned.names])
+    if isinstance(pinned, ArrayType) and isinstance(seen, ArrayType):
+        return ArrayType(merged(pinned.elementType, seen.elementType))
+    return pinned
+
+
 def load_resources(
     spark: SparkSession, path: str, names: Sequence[str] = DEFAULT_RESOURCES, views: bool = True, **options
 ) -> dict[str, DataFrame]:

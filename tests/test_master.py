@@ -7,9 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from chartfold.functions.features import has_condition
-from chartfold.operators.heavy import find_heavy
 from chartfold.operators.joins import broadcast_if_small, left_join_all, lookup
-from chartfold.operators.rollup import rollup
+from chartfold.operators.rollup import rollup, whole_lists
 from chartfold.plans import master as m
 from chartfold.schemas import MASTER, RESOURCES
 
@@ -69,11 +68,10 @@ def exchanges(df):
 def test_master_edges(tables, spark):
     master = m.patient_master(tables)
     expected = spark.createDataFrame([], MASTER).schema
-    assert [(f.name, f.dataType.simpleString()) for f in master.rows.schema] == [
+    assert [(f.name, f.dataType.simpleString()) for f in master.schema] == [
         (f.name, f.dataType.simpleString()) for f in expected
     ]
-    assert master.overflow == {}
-    rows = master.rows.collect()
+    rows = master.collect()
     assert sorted(r.patient_id for r in rows) == ["dup", "dup", "p1", "p2", "p3"]
     by_id = {r.patient_id: r for r in rows}
     p1 = by_id["p1"]
@@ -88,14 +86,27 @@ def test_master_edges(tables, spark):
     assert p2.condition_count == 0 and [tuple(c) for c in p2.conditions] == [(None, None)]
     p3 = by_id["p3"]
     assert p3.conditions is None and p3.condition_count is None and p3.list_pages == 1
-    flags = {r.patient_id: r.f for r in master.rows.select("patient_id", has_condition("conditions", DIABETES).alias("f")).collect()}
+    flags = {r.patient_id: r.f for r in master.select("patient_id", has_condition("conditions", DIABETES).alias("f")).collect()}
     assert flags == {"p1": 1, "p2": 0, "p3": 0, "dup": 0}
-    check = m.master_invariants(tables["patient"], master.rows).first()
-    assert (check.patients, check.master_rows, check.duplicate_keys) == (5, 5, 1)
+    check = m.master_invariants(tables["patient"], master, m.patient_tally(tables))
+    row = check.first()
+    assert (row.patients, row.master_rows, row.duplicate_keys, row.doubled_pages) == (5, 5, 1, 0)
+    m.check_master(check)
+
+
+def test_a_wrong_master_is_caught(tables):
+    tally, master = m.patient_tally(tables), m.patient_master(tables, page_rows=1)
+    m.check_master(m.master_invariants(tables["patient"], master, tally))
+    doubled = master.unionAll(master.where("patient_id = 'p1' and page = 1"))
+    short = master.where("not (patient_id = 'p1' and page = 1)")
+    lost = master.where("patient_id <> 'p2'")
+    for wrong in (doubled, short, lost):
+        with pytest.raises(ValueError, match="master table is wrong"):
+            m.check_master(m.master_invariants(tables["patient"], wrong, tally))
 
 
 def test_aggregates_keep_dangling_patients(tables):
-    counts = {r.patient_id: r.condition_count for r in m.clinical_rollup("conditions", tables).rows.collect()}
+    counts = {r.patient_id: r.condition_count for r in m.clinical_rollup("conditions", tables).collect()}
     # The second part of an absolute URL is empty.
     assert counts == {"p1": 1, "p2": 0, "ghost": 1, "": 1}
     robust = m.condition_rows(tables["condition"], absolute=True)
@@ -103,7 +114,7 @@ def test_aggregates_keep_dangling_patients(tables):
 
 
 def test_counts_agree_with_lists(tables):
-    lists = m.patient_master(tables).rows
+    lists = m.patient_master(tables)
     counts = m.patient_counts(tables)
     columns = ["patient_id", "condition_count", "medication_count", "encounter_count"]
     assert Counter(map(tuple, lists.select(columns).collect())) == Counter(map(tuple, counts.select(columns).collect()))
@@ -120,19 +131,19 @@ def test_one_exchange_per_rollup(tables, spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         for kind in m.KINDS:
-            assert exchanges(m.clinical_rollup(kind, tables).rows) == 1
+            assert exchanges(m.clinical_rollup(kind, tables)) == 1
         # One per rollup and one for the patients; the joins add none.
-        assert exchanges(m.patient_master(tables).rows) == 4
+        assert exchanges(m.patient_master(tables)) == 4
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_broadcast_only_when_small(tables):
-    rows = m.clinical_rollup("conditions", tables).rows
+    rows = m.clinical_rollup("conditions", tables)
     assert "hint" in broadcast_if_small(rows)._jdf.queryExecution().logical().toString().lower()
     assert "hint" not in broadcast_if_small(rows, 10)._jdf.queryExecution().logical().toString().lower()
-    hinted = m.patient_master(tables, broadcast_bytes=10**6).rows
-    assert Counter(map(str, hinted.collect())) == Counter(map(str, m.patient_master(tables).rows.collect()))
+    hinted = m.patient_master(tables, broadcast_bytes=10**6)
+    assert Counter(map(str, hinted.collect())) == Counter(map(str, m.patient_master(tables).collect()))
 
 
 def skewed_rows(spark):
@@ -145,109 +156,110 @@ def skewed_rows(spark):
     return rows, spark.createDataFrame(rows, "k string, code string, name string").repartition(5)
 
 
-@pytest.mark.parametrize("broadcast_keys", [100, 0])
 @pytest.mark.parametrize("distinct", [False, True])
-def test_heavy_keys_are_paged_whole(spark, distinct, broadcast_keys):
+def test_heavy_keys_are_paged_whole(spark, distinct):
     rows, df = skewed_rows(spark)
     page_rows = 16
-    heavy = find_heavy({"r": df.where("k is not null")}, "k", page_rows, broadcast_keys)["r"]
-    assert heavy.small == (broadcast_keys > 0)
-    result = rollup(
-        df, "k", ["code", "name"], "items", "n", distinct, "code" if distinct else None, heavy
-    )
+    result = rollup(df, "k", ["code", "name"], "items", "n", distinct, "code" if distinct else None, page_rows)
     got = defaultdict(Counter)
     pages = defaultdict(list)
-    for r in result.all_pages().collect():
-        got[r.k].update(tuple(i) for i in r["items"])
-        pages[r.k].append(r.page)
-        assert len(r["items"]) <= 4 * page_rows
-        key = lambda i: tuple(("" if v is None else "v" + v) for v in i)
-        assert [key(i) for i in r["items"]] == sorted(key(i) for i in r["items"])
     want = defaultdict(Counter)
     for k, code, name in rows:
         if k is not None:
             want[k][(code, name)] += 1
+    n_rows = Counter(k for k, _, _ in rows)
     if distinct:
         want = {k: Counter(dict.fromkeys(c, 1)) for k, c in want.items()}
+    for r in result.collect():
+        got[r.k].update(tuple(i) for i in r["items"])
+        pages[r.k].append(r.page)
+        assert len(r["items"]) <= 4 * page_rows
+        key = lambda i: tuple(("" if v is None else "v" + v) for v in i)
+        assert [key(i) for i in r["items"]] == sorted(key(i) for i in r["items"])
+        n = len({c for c, _ in want[r.k] if c is not None}) if distinct else n_rows[r.k]
+        assert (r.n, r.row_count) == (n, n_rows[r.k]), r.k
     assert got == want
     assert all(len(p) == len(set(p)) for p in pages.values())
-    counts = {r.k: (r.n, r.row_count, r.pages) for r in result.rows.collect()}
-    for k, items in want.items():
-        n_rows = sum(1 for row in rows if row[0] == k)
-        n = len({c for c, _ in items if c is not None}) if distinct else n_rows
-        assert counts[k][:2] == (n, n_rows), k
-    assert counts["hot"][2] > 1 and counts["k1"][2] == 1
-    assert counts["onecopy"][2] == (1 if distinct else 8)
-    again = result.all_pages().collect()
-    assert Counter(map(str, again)) == Counter(map(str, result.all_pages().collect()))
-
-
-@pytest.mark.parametrize("broadcast_keys", [100, 0])
-def test_left_join_with_heavy_base(spark, broadcast_keys):
+    told = {r.k: r.list_pages for r in result.collect()}
+    assert told == {k: len(p) for k, p in pages.items()}
+    assert told["hot"] > 1 and told["k1"] == 1 and (told["onecopy"] == 1) == distinct
+    assert Counter(map(str, result.collect())) == Counter(map(str, result.collect()))
+    with pytest.raises(ValueError, match="more than one page"):
+        whole_lists(result)
+    assert "page" not in whole_lists(result.where("k = 'k1'")).columns
+
+
+def test_left_join_spreads_rows_without_a_key(spark):
     base_rows = [("hot", "same")] * 60 + [("hot", f"v{i}") for i in range(20)] + [(None, "z")] * 30
     base_rows += [(f"k{i}", "o") for i in range(10)]
     base = spark.createDataFrame(base_rows, "k string, v string").repartition(4)
-    one = spark.createDataFrame([("hot", 1), ("k1", 2)], "k string, a int")
+    one = spark.createDataFrame([("hot", 1), ("k1", 2), (None, 9)], "k string, a int")
     two = spark.createDataFrame([("hot", 3), ("k2", 4)], "k string, b int")
-    heavy = find_heavy({"b": base}, "k", 8, broadcast_keys)["b"]
-    joined = left_join_all(base, [one, two], "k", heavy)
-    plain = left_join_all(base, [one, two], "k")
+    joined = left_join_all(base, [one, two], "k")
+    plain = base.join(one, "k", "left").join(two, "k", "left")
     assert joined.columns == plain.columns == ["k", "v", "a", "b"]
     assert Counter(map(tuple, joined.collect())) == Counter(map(tuple, plain.collect()))
 
 
-def test_master_with_heavy_patients_is_whole(tables):
-    whole = m.patient_master(tables)
-    paged = m.patient_master(tables, page_rows=1)
-    assert set(paged.overflow) == {"conditions", "medications", "encounters"}
-    counts = ["patient_id", "condition_count", "medication_count", "encounter_count"]
-    assert Counter(map(tuple, paged.rows.select(counts).collect())) == Counter(map(tuple, whole.rows.select(counts).collect()))
-    for kind, overflow in paged.overflow.items():
-        want, got = defaultdict(Counter), defaultdict(Counter)
-        for r in whole.rows.dropDuplicates(["patient_id"]).collect():
-            want[r.patient_id].update(map(str, r[kind] or []))
-        for r in paged.rows.dropDuplicates(["patient_id"]).collect():
+def listed(master, kind):
+    """Items by patient over all pages, of one row of each id."""
+    got = defaultdict(Counter)
+    seen = set()
+    for r in master.collect():
+        if (r.patient_id, r.page) not in seen:
+            seen.add((r.patient_id, r.page))
             got[r.patient_id].update(map(str, r[kind] or []))
-        for r in overflow.where("patient_id in ('p1', 'p2', 'p3', 'dup')").collect():
-            got[r.patient_id].update(map(str, r[kind]))
-        assert got == want
-    assert {r.patient_id for r in paged.rows.where("list_pages > 1").collect()} == {"p1"}
+    return got
 
 
-@pytest.mark.parametrize("broadcast_bytes", [10**6, 0])
-def test_lookup(spark, broadcast_bytes):
+def test_master_with_heavy_patients_is_whole(tables):
+    whole = m.patient_master(tables)
+    paged = m.patient_master(tables, page_rows=1)
+    counts = ["patient_id", "condition_count", "medication_count", "encounter_count", "birthDate"]
+    first = paged.where("page = 0")
+    assert Counter(map(tuple, first.select(counts).collect())) == Counter(map(tuple, whole.select(counts).collect()))
+    for kind in m.KINDS:
+        assert listed(paged, kind) == listed(whole, kind)
+    pages = defaultdict(set)
+    for r in paged.collect():
+        pages[r.patient_id].add(r.page)
+        assert r.list_pages >= 1
+    assert len(pages["p1"]) > 1 and pages["p3"] == {0}
+
+
+def test_lookup(spark):
     rows, df = skewed_rows(spark)
     wanted = ["k1", "hot", "nobody"] + ["k2"] * 40
     keys = spark.createDataFrame([(k,) for k in wanted], "k string").repartition(3)
-    got = lookup(keys, df, "k", ["code"], "codes", 16, broadcast_bytes).collect()
-    listed, answers = Counter(), Counter()
+    got = lookup(keys, df, "k", ["code"], "codes", 16).collect()
+    found, answers = Counter(), Counter()
     for r in got:
-        listed[r.k] += len(r.codes)
-        answers[r.k] += r.page == 0
+        found[r.k] += len(r.codes)
+        answers[r.k] += 1
     have = Counter(k for k, _, _ in rows)
-    assert answers == Counter(wanted)
-    assert listed == {"k1": have["k1"], "hot": 500, "nobody": 0, "k2": 40 * have["k2"]}
+    assert set(answers) == set(wanted) and answers["k2"] == 40 and answers["nobody"] == 1 and answers["hot"] > 1
+    assert found == {"k1": have["k1"], "hot": 500, "nobody": 0, "k2": 40 * have["k2"]}
 
 
 def test_flag_sees_all_pages(tables):
     paged = m.patient_master(tables, page_rows=1)
     for disease in (DIABETES, "T2DM"):
-        assert {r.patient_id: r.flag for r in paged.with_flag(disease).collect()} == {"p1": 1, "p2": 0, "p3": 0, "dup": 0}
+        rows = m.with_flag(paged, disease).collect()
+        assert Counter(r.patient_id for r in rows) == Counter({"p1": 1, "p2": 1, "p3": 1, "dup": 2})
+        assert {r.patient_id: r.flag for r in rows} == {"p1": 1, "p2": 0, "p3": 0, "dup": 0}
 
 
 def test_counts_add_up(spark):
     from chartfold.plans.testbed import clinical_tables
 
     t = clinical_tables(spark, "/root/testdata/sf0.001")
+    tally = m.patient_tally(t)
     for page_rows in (50_000, 4):
-        master = m.patient_master(t, page_rows)
-        total = master.rows.agg(F.sum("medication_count"), F.sum("encounter_count")).first()
-        listed = master.all_pages().agg(F.sum(F.size("medications")), F.sum(F.size("encounters"))).first()
-        assert tuple(total) == tuple(listed)
-        assert total[1] == t["encounter"].count()
-        check = m.master_invariants(t["patient"], master.rows).first()
-        assert check.patients == check.master_rows and check.duplicate_keys == 0
-        assert master.all_pages().where("condition_count > size(conditions) and list_pages = 1").count() == 0
+        master = m.patient_master(t, page_rows, tally=tally)
+        total = master.where("page = 0").agg(F.sum("medication_count"), F.sum("encounter_count")).first()
+        items = master.agg(F.sum(F.size("medications")), F.sum(F.size("encounters"))).first()
+        assert tuple(total) == tuple(items)
+        m.check_master(m.master_invariants(t["patient"], master, tally))
 
 
 def test_fanout(tables):
@@ -256,5 +268,15 @@ def test_fanout(tables):
 
 
 def test_sample(tables):
-    row = m.sample_rollup("conditions", tables, 1).collect()
-    assert [r.patient_id for r in row] == [""]
+    rows = m.sample_rollup("conditions", tables, 1).collect()
+    assert [r.patient_id for r in rows] == ["ghost"]
+
+
+def test_sample_of_a_heavy_patient_is_whole(spark):
+    code = F.struct(F.array(F.struct(F.concat(F.lit("k"), F.col("id")).alias("code"), F.lit("d").alias("display"))).alias("coding"))
+    many = spark.range(60_000).select(
+        F.col("id").cast("string").alias("id"), F.struct(F.lit("Patient/a").alias("reference")).alias("subject"), code.alias("code")
+    )
+    rows = m.sample_rollup("conditions", {"condition": many}).collect()
+    assert len(rows) > 1 and sum(len(r.conditions) for r in rows) == 60_000
+    assert {r.condition_count for r in rows} == {60_000}

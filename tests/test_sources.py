@@ -10,7 +10,7 @@ from chartfold.operators.profile import load_summary, null_profile
 from chartfold.plans import master as m
 from chartfold.plans.testbed import clinical_tables
 from chartfold.schemas import CORRUPT, RESOURCES
-from chartfold.shared import new_shared_path, settled
+from chartfold.shared import new_shared_path, scratch, settled
 from chartfold.sinks.jsonl import land, read_master, write_json_lines, write_master
 from chartfold.sources.archives import archive_lines, list_archives, scan_archives
 from chartfold.sources.export_log import flatten_log, scan_export_log
@@ -72,15 +72,15 @@ def test_defaults_win_the_merge(spark):
 def test_export_log(spark, tmp_path):
     put(
         tmp_path / "log.ndjson",
-        {"exportId": "x", "timestamp": "2024-08-06T14:11:57.560-04:00", "eventId": "kickoff",
+        {"exportId": "made-up", "timestamp": "2031-01-02T23:30:00.250+02:00", "eventId": "kickoff",
          "eventDetail": {"exportUrl": "https://h/export"}},
-        {"exportId": "x", "timestamp": "2024-08-06T14:12:58.124-04:00", "eventId": "export_complete",
-         "eventDetail": {"files": 0, "resources": 0, "bytes": 0, "attachments": None, "duration": 563}},
+        {"exportId": "made-up", "timestamp": "2031-01-03T01:00:01.000+02:00", "eventId": "export_complete",
+         "eventDetail": {"files": 12, "resources": 340, "bytes": 5600, "attachments": None, "duration": 77}},
     )
     rows = flatten_log(scan_export_log(spark, str(tmp_path))).orderBy("at").collect()
     assert [r.eventId for r in rows] == ["kickoff", "export_complete"]
-    assert rows[0].at.isoformat() == "2024-08-06T18:11:57.560000"
-    assert rows[0].files is None and rows[1].duration == 563 and rows[1].attachments is None
+    assert rows[0].at.isoformat() == "2031-01-02T21:30:00.250000"
+    assert rows[0].files is None and rows[1].files == 12 and rows[1].duration == 77 and rows[1].attachments is None
 
 
 @pytest.fixture
@@ -119,39 +119,113 @@ def test_json_lines_keep_nulls_and_types(spark, tmp_path):
     master = m.patient_master(tables)
     path = str(tmp_path / "master")
     write_master(master, path)
-    back = read_master(spark, path).rows
-    assert back.schema.simpleString() == master.rows.schema.simpleString()
-    assert sorted(map(str, back.collect())) == sorted(map(str, master.rows.collect()))
-    first = json.loads(spark.read.text(path).where("value like '%\"conditions\":null%'").first()[0])
+    back = read_master(spark, path)
+    assert back.schema.simpleString() == master.schema.simpleString()
+    assert sorted(map(str, back.collect())) == sorted(map(str, master.collect()))
+    lines = spark.read.text(f"{path}/version-*")
+    first = json.loads(lines.where("value like '%\"conditions\":null%'").first()[0])
     assert first["condition_count"] is None and list(first)[:2] == ["patient_id", "name"]
 
 
-def test_oversized_lists_are_written_beside(spark, tmp_path):
-    tables = clinical_tables(spark, SF_DIR, ["patient", "condition", "medicationrequest", "encounter"])
+def test_pages_are_in_the_one_file(spark, tmp_path):
+    tables = clinical_tables(spark, SF_DIR)
     master = m.patient_master(tables, page_rows=5)
     path = str(tmp_path / "master")
     write_master(master, path)
     back = read_master(spark, path)
-    assert sorted(map(str, back.all_pages().collect())) == sorted(map(str, master.all_pages().collect()))
-    listed = back.all_pages().agg(F.sum(F.size("encounters"))).first()[0]
-    assert listed == tables["encounter"].count()
+    assert sorted(map(str, back.collect())) == sorted(map(str, master.collect()))
     # Written again with larger pages, nothing of the old pages is left.
     write_master(m.patient_master(tables), path)
-    assert read_master(spark, path).overflow["encounters"].count() == 0
+    assert read_master(spark, path).where("page > 0").count() == 0
+
+
+class Broken(Exception):
+    pass
+
+
+def breaking(spark, rows):
+    """A table whose write fails after some rows."""
+    return spark.range(rows).select(F.when(F.col("id") >= 0, F.raise_error(F.lit("lost"))).cast("bigint").alias("id"))
+
+
+def test_master_that_broke_off_leaves_the_old_one(spark, tmp_path, monkeypatch):
+    from chartfold.sinks import jsonl
+
+    tables = clinical_tables(spark, SF_DIR)
+    path = str(tmp_path / "master")
+    with pytest.raises(FileNotFoundError):
+        read_master(spark, path)
+    write_master(m.patient_master(tables), path)
+    before = sorted(map(str, read_master(spark, path).collect()))
+
+    def write_and_fail(df, folder, mode):
+        df.limit(3).write.mode(mode).json(folder)
+        raise Broken
+
+    monkeypatch.setattr(jsonl, "write_json_lines", write_and_fail)
+    with pytest.raises(Broken):
+        write_master(m.patient_master(tables, page_rows=5), path)
+    assert sorted(map(str, read_master(spark, path).collect())) == before
 
 
 def test_landing_is_done_once(spark, tmp_path):
-    one = {"t": spark.range(3)}
-    assert land(one, str(tmp_path))["t"].count() == 3
-    assert land({"t": spark.range(9)}, str(tmp_path))["t"].count() == 3
-    assert land({"t": spark.range(9)}, str(tmp_path), again=True)["t"].count() == 9
+    put(tmp_path / "Patient.ndjson", {"id": "1"}, {"id": "2"})
+    table = lambda: {"t": scan_resource(spark, str(tmp_path), "Patient", schema="id string")}
+    out = str(tmp_path / "out")
+    assert land(table(), out)["t"].count() == 2
+    # The same names with other content are only read on request.
+    put(tmp_path / "Patient.ndjson", {"id": "1"}, {"id": "2"}, {"id": "3"})
+    assert land(table(), out)["t"].count() == 2
+    assert land(table(), out, again=True)["t"].count() == 3
+    # Another file or another schema is another source.
+    put(tmp_path / "Patient.001.ndjson", {"id": "4", "gender": "x"})
+    assert land(table(), out)["t"].count() == 4
+    wide = land({"t": scan_resource(spark, str(tmp_path), "Patient", schema="id string, gender string")}, out)["t"]
+    assert wide.where("gender = 'x'").count() == 1
+
+
+def test_landing_again_that_breaks_keeps_the_table(spark, tmp_path):
+    out = str(tmp_path)
+    assert land({"t": spark.range(1000)}, out)["t"].count() == 1000
+    with pytest.raises(Exception, match="lost"):
+        land({"t": breaking(spark, 10)}, out, again=True)
+    assert land({"t": spark.range(1000)}, out)["t"].count() == 1000
 
 
 def test_landing_that_broke_off_is_repeated(spark, tmp_path):
-    (tmp_path / "t" / "_temporary").mkdir(parents=True)
+    (tmp_path / "t" / "version-x" / "_temporary").mkdir(parents=True)
     assert land({"t": spark.range(4)}, str(tmp_path))["t"].count() == 4
 
 
+def test_fields_nobody_pinned_are_kept(spark, tmp_path):
+    put(
+        tmp_path / "Patient_2.ndjson",
+        {"id": "p", "name": [{"family": "F", "extension": [{"url": "u"}]}], "active": True, "birthDate": 1990},
+        "not json",
+    )
+    table = scan_resource(spark, str(tmp_path), "Patient", widen=True)
+    row = table.where("id = 'p'").first()
+    assert row.active is True and row.name[0].family == "F" and row.name[0].extension[0].url == "u"
+    assert row.birthDate == "1990" and row.maritalStatus is None
+    assert [r[CORRUPT] for r in table.select("id", CORRUPT).collect() if r[CORRUPT]] == ["not json"]
+
+
+def test_names_with_other_separators(spark, tmp_path):
+    for k, name in enumerate(("Condition.ndjson", "Condition.0.ndjson", "Condition_2.ndjson", "Condition-1.ndjson")):
+        put(tmp_path / name, {"id": f"c{k}"})
+    put(tmp_path / "ConditionOther.ndjson", {"id": "trap"})
+    assert ids(scan_resource(spark, str(tmp_path), "Condition")) == ["c0", "c1", "c2", "c3"]
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
+        for f in sorted(tmp_path.glob("*.ndjson")):
+            z.write(f, f"x/{f.name}")
+    assert ids(scan_archives(spark, str(tmp_path), "Condition")) == ["c0", "c1", "c2", "c3"]
+
+
+def test_scratch_can_be_cleared(spark):
+    kept = settled(spark.range(3))
+    assert kept.inputFiles()[0].startswith(scratch(spark).replace("file:", "")) or scratch(spark) in kept.inputFiles()[0]
+
+
 def test_cached_block_releases(spark):
     df = spark.range(5)
     with cached(df) as kept:
