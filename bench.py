@@ -46,7 +46,6 @@ def main() -> None:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", cpus)
-        .config("spark.sql.execution.useObjectHashAggregateExec", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="bench-"))

@@ -207,9 +207,9 @@ def master_invariants(patient: DataFrame, master: DataFrame, tally: DataFrame) -
         *(F.coalesce(F.sum(F.col("patient_rows") * F.col(f"{k}_rows")), zero).alias(f"{k}_rows") for k in full),
     )
     before = patient.agg(F.count("*").alias("patients"))
-    # Three tables of one row each.
-    one = [df.withColumn("one", F.lit(1)) for df in (before, after, known)]
-    return reduce(lambda a, b: a.join(b, "one"), one).drop("one")
+    # Three tables of one row each, laid over one another.
+    parts = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), (before, after, known))
+    return parts.agg(*(F.max(c).alias(c) for c in parts.columns))
 
 
 def check_master(invariants: DataFrame) -> None:
