@@ -39,30 +39,36 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     least = settled(seen.groupBy("u").agg(F.min("v").alias("w")).select(F.col("u").alias("x"), F.least("u", "w").alias("w")))
     met = seen.join(least, F.col("u") == F.col("x"))
     if large:
-        out = met.filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("w").alias("v"))
-    else:
-        out = met.select(F.col("v").alias("u"), F.col("w").alias("v")).unionAll(
-            least.select(F.col("x").alias("u"), F.col("w").alias("v"))
-        )
+        return settled(met.filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("w").alias("v")).filter("u <> v"))
+    out = met.select(F.col("v").alias("u"), F.col("w").alias("v")).unionAll(
+        least.select(F.col("x").alias("u"), F.col("w").alias("v"))
+    )
     return settled(out.filter("u <> v").distinct())
 
 
+def _all_stars(edges: DataFrame) -> bool:
+    """Has every node one link up at most, and none both up and down?"""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionAll(
+        edges.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    )
+    nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return nodes.filter((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0))).isEmpty()
+
+
 def components(links: DataFrame, rounds: int = 50) -> DataFrame:
     """(node, component) of every node of `links` (u, v), where a component is
     named by its smallest node.
 
-    Alternates large and small stars until no link changes; every round works
-    on at most as many links as there were and is written to the shared folder,
-    so nothing depends on the executors that made it.
+    Alternates large and small stars until every component is a star around its
+    smallest node; every round works on at most as many links as there were
+    and is written to the shared folder, so nothing depends on the executors
+    that made it.
     """
     high, low = F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")
     edges = settled(links.filter("u <> v").select(high, low).distinct())
-    state = None
     for _ in range(rounds):
-        new = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if new == state:
+        if _all_stars(edges):
             break
-        state = new
         edges = _star(_star(edges, large=True), large=False)
     else:
         raise RuntimeError("the components have not settled")
