@@ -20,7 +20,7 @@ SHINGLE = 5
 THRESHOLD = 0.8
 # Tries of the forest, the longest prefix in each and the shortest tried.
 TREES = 20
-DEPTH = 8
+DEPTH = 6
 SHALLOW = 4
 RECALL = 0.998
 # Texts that meet in one task, at most twice as many; small clusters are put
