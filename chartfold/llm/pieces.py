@@ -17,14 +17,14 @@ from __future__ import annotations
 
 import codecs
 import math
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
-from chartfold.llm.common import whole_text
 from chartfold.shared import send_by_value
 
 send_by_value(__name__)
@@ -38,8 +38,10 @@ UNKNOWN_PENALTY = 10.0
 UNKNOWN_TEXT = " ⁇ "
 
 # Words and pairs of pieces that a task remembers.
-KNOWN_WORDS = 300_000
-KNOWN_PAIRS = 1_000_000
+KNOWN_WORDS = 400_000
+KNOWN_PAIRS = 600_000
+# Rows of results that a task holds.
+SLICE = 512
 _END: dict = {}
 
 
@@ -199,7 +201,7 @@ class Transducer:
                 # Neighbouring unknown characters are one piece.
                 ids.append(self.unknown)
             unknown = i is None
-        return np.array(ids, dtype="<i4").tobytes()
+        return array("i", ids).tobytes()
 
     def encode(self, text: str) -> np.ndarray:
         text = self.normalise(text)
@@ -244,30 +246,56 @@ def _words(text: str) -> list[str]:
     return out
 
 
-def encode(path: str, text: str = "text") -> Column:
-    """A column with the ids of the texts by the model file at `path`, which
-    must be readable on every executor. NULL and empty texts have no ids."""
+def _with(batch: pa.RecordBatch, **columns: pa.Array) -> pa.RecordBatch:
+    """`batch` with these columns last, in place of any of their names."""
+    kept = {n: c for n, c in zip(batch.schema.names, batch.columns) if n not in columns}
+    return pa.RecordBatch.from_pydict(kept | columns)
 
-    @F.pandas_udf("array<int>")
-    def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+
+def _schema(df: DataFrame, **types: str) -> str:
+    kept = StructType([f for f in df.schema.fields if f.name not in types])
+    return ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + [f"`{n}` {t}" for n, t in types.items()])
+
+
+def encode(df: DataFrame, path: str, text: str = "text", decoded: str | None = None) -> DataFrame:
+    """`df` with `ids`, the ids of the texts by the model file at `path`, which
+    must be readable on every executor.
+
+    NULL and empty texts have no ids (an empty array). With `decoded`, a column
+    of that name holds what the ids are decoded to, made in the same pass.
+    Columns of these names are replaced, all others kept; rows may repeat.
+    Results leave a task in slices of `SLICE` rows, whatever comes in.
+    """
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         transducer = Transducer(path)
-        for texts in batches:
-            yield pd.Series([transducer.encode(t) for t in texts], dtype=object)
+        for batch in batches:
+            for start in range(0, batch.num_rows, SLICE):
+                part = batch.slice(start, SLICE)
+                ids = [transducer.encode(t or "") for t in part.column(text).to_pylist()]
+                ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+                new = {"ids": pa.ListArray.from_arrays(ends, np.concatenate(ids) if ids else np.zeros(0, np.int32))}
+                if decoded:
+                    new[decoded] = pa.array([transducer.decode(i) for i in ids], pa.string())
+                yield _with(part, **new)
 
-    return of(whole_text(text))
+    types = {"ids": "array<int>"} | ({decoded: "string"} if decoded else {})
+    return df.mapInArrow(of, _schema(df, **types))
 
 
-def decode(path: str, ids: str = "ids") -> Column:
-    """A column with the texts of arrays of ids; NULL and empty arrays give ''.
+def decode(df: DataFrame, path: str, ids: str = "ids", into: str = "decoded") -> DataFrame:
+    """`df` with `into`, the texts of arrays of ids; NULL and empty ones give ''.
 
     Decoding gives back an encoded text, with space marks as spaces; a model
     without byte fallback loses unknown characters.
     """
 
-    @F.pandas_udf("string")
-    def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         transducer = Transducer(path)
-        for arrays in batches:
-            yield pd.Series([transducer.decode(np.asarray(a, dtype=np.int64)) for a in arrays], dtype=object)
+        for batch in batches:
+            for start in range(0, batch.num_rows, SLICE):
+                part = batch.slice(start, SLICE)
+                texts = [transducer.decode(np.array(a or [], dtype=np.int64)) for a in part.column(ids).to_pylist()]
+                yield _with(part, **{into: pa.array(texts, pa.string())})
 
-    return of(F.coalesce(F.col(ids), F.array().cast("array<int>")))
+    return df.mapInArrow(of, _schema(df, **{into: "string"}))

@@ -35,8 +35,7 @@ def op1_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = docs.withColumn("ids", pieces.encode(model)).withColumn("decoded", pieces.decode(model))
-    return encoded.select(
+    return pieces.encode(docs, model, decoded="decoded").select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_ids"),
         F.xxhash64("ids").alias("ids_hash"),
