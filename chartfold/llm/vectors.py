@@ -16,12 +16,12 @@ from chartfold.shared import send_by_value, settled
 send_by_value(__name__)
 
 # Vectors that the codebooks are fitted on, at most.
-SAMPLE = 20_000
+SAMPLE = 8_000
 # Vectors in a cell of the grid, about, and words of a codebook, at most.
 OCCUPANCY = 256
 WORDS = 256
 # Members and probes of a cell that meet in one task, at most.
-BLOCK = 20_000
+BLOCK = 1_000
 
 
 @dataclass
@@ -223,6 +223,8 @@ def near_duplicates(
         here = group["cell"].iloc[0]
         is_probe = group["home"].notna().to_numpy()
         m, p = group[~is_probe], group[is_probe]
+        if not len(m) or not len(p):
+            return pd.DataFrame({c: pd.Series(dtype="int64") for c in ("rep", "links", "low")})
         m_unit = _unit(np.stack(list(m["embedding"])))
         p_unit = _unit(np.stack(list(p["embedding"])))
         m_rep, p_rep = m["rep"].to_numpy(), p["rep"].to_numpy()
