@@ -21,6 +21,12 @@ send_by_value(__name__)
 # Labelled rows to learn from, and terms in the model, at most.
 SAMPLE = 12_000
 TERMS = 4_096
+# Updates of the model at least, so that few rows are gone over more often.
+STEPS = 1_500
+# A pair of terms is judged by the documents with both, one and the other of
+# them, if each are so many (fewer cannot tell), by so many tasks.
+PAIR_ROWS = 5
+PAIR_TASKS = 24
 # Letters of a word that are a term of their own.
 STEMS = (4, 5, 6)
 
@@ -73,7 +79,7 @@ def fit(
     rows: list[tuple[np.ndarray, int]],
     known: np.ndarray,
     rank: int = 4,
-    epochs: int = 30,
+    epochs: int | None = None,
     rate: float = 0.05,
     decay: float = 1e-4,
     batch: int = 256,
@@ -82,7 +88,8 @@ def fit(
     """Learns by AdaGrad over (indices of active terms, label) pairs.
 
     Both labels have the same total weight. Rows come in a fixed order, so the
-    same rows give the same model.
+    same rows give the same model. Without `epochs` there are 30, or more until
+    `STEPS` updates are made.
     """
     random = np.random.default_rng(seed)
     n, size = len(rows), len(known)
@@ -95,6 +102,8 @@ def fit(
         return Model(known, math.log((share * n + 0.5) / ((1 - share) * n + 20)), weights, factors * 0)
     balance = np.where(labels == 1, n / (2 * positive), n / (2 * (n - positive)))
     g_bias, g_weights, g_factors = 1e-8, np.full(size, 1e-8), np.full((size, rank), 1e-8)
+    if epochs is None:
+        epochs = max(30, math.ceil(STEPS / math.ceil(n / batch)))
     for _ in range(epochs):
         order = random.permutation(n)
         for start in range(0, n, batch):
@@ -121,7 +130,82 @@ def fit(
     return Model(known, bias, weights, factors)
 
 
-def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, size: int = TERMS, z: float = 4.0, **options) -> Model:
+def pair_signs(active: DataFrame, counts: DataFrame, labels: dict[int, int], pair_z: float) -> DataFrame:
+    """Terms (term, _pair) that tell the label together with another: `_pair` is
+    the largest interaction of a pair they are in, if it is at least `pair_z`.
+
+    The interaction of two terms is r11 - r10 - r01 + r00, the shares of toxic
+    documents among those with both, one, the other and none, in standard
+    errors of it. It is 0 where the terms' effects add up. Pairs are counted on
+    the executors, each task for its part of the terms against all others.
+    """
+    spark = active.sparkSession
+    often = counts.filter(F.col("p") + F.col("n") >= 2 * PAIR_ROWS).select("term").toPandas()["term"]
+    known = np.sort(often.to_numpy(dtype=np.int64))
+    size, n_all, n_bad = len(known), len(labels), sum(labels.values())
+    numbers = spark.createDataFrame(pd.DataFrame({"term": known, "at": np.arange(size, dtype=np.int32)}), "term bigint, at int")
+    seen = active.join(F.broadcast(numbers), "term").groupBy("row").agg(F.first("toxic").alias("toxic"), F.collect_list("at").alias("terms"))
+
+    def judged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        part, docs, toxic = 0, [], []
+        for batch in batches:
+            part = int(batch["id"].iloc[0]) if len(batch) else part
+            docs += list(batch["terms"])
+            toxic += list(batch["toxic"])
+        toxic = np.array(toxic, dtype=bool)
+        of = np.concatenate(docs) if docs else np.array([], dtype=np.int32)
+        owner = np.repeat(np.arange(len(docs), dtype=np.int32), [len(d) for d in docs])
+        frequent = np.bincount(of, minlength=size)
+        bad = np.bincount(of[toxic[owner]] if docs else of, minlength=size)
+        mine = of % PAIR_TASKS == part
+        holders = owner[mine][np.argsort(of[mine], kind="stable")]
+        starts = np.cumsum(frequent[part::PAIR_TASKS]) - frequent[part::PAIR_TASKS]
+        best = np.zeros(size)
+        for a, start in zip(range(part, size, PAIR_TASKS), starts):
+            rows = holders[start : start + frequent[a]]
+            both = np.bincount(np.concatenate([docs[r] for r in rows]), minlength=size)
+            j = np.flatnonzero(both >= PAIR_ROWS)
+            c11 = both[j]
+            use = (j > a) & (frequent[a] - c11 >= PAIR_ROWS) & (frequent[j] - c11 >= PAIR_ROWS)
+            j, c11 = j[use], c11[use]
+            if not len(j):
+                continue
+            ill = rows[toxic[rows]]
+            b11 = np.bincount(np.concatenate([docs[r] for r in ill]), minlength=size)[j] if len(ill) else np.zeros(len(j))
+            c10, c01 = frequent[a] - c11, frequent[j] - c11
+            b10, b01 = bad[a] - b11, bad[j] - b11
+            cells = (
+                (1, b11, c11),
+                (-1, b10, c10),
+                (-1, b01, c01),
+                (1, n_bad - b11 - b10 - b01, n_all - c11 - c10 - c01),
+            )
+            effect, variance = np.zeros(len(j)), np.zeros(len(j))
+            for sign, b, c in cells:
+                r = (b + 0.5) / (c + 1)
+                effect += sign * r
+                variance += r * (1 - r) / (c + 1)
+            z = np.abs(effect) / np.sqrt(variance)
+            best[a] = max(best[a], z.max())
+            best[j] = np.maximum(best[j], z)
+        told = np.flatnonzero(best >= pair_z)
+        yield pd.DataFrame({"term": known[told], "_pair": best[told]})
+
+    # Every task gets the whole sample, as numbers of terms, by broadcast.
+    tasks = spark.range(0, PAIR_TASKS, 1, PAIR_TASKS).crossJoin(F.broadcast(settled(seen).drop("row")))
+    found = settled(tasks.mapInPandas(judged, "term bigint, _pair double"))
+    return found.groupBy("term").agg(F.max("_pair").alias("_pair"))
+
+
+def learn(
+    docs: DataFrame,
+    labels: DataFrame,
+    sample: int = SAMPLE,
+    size: int = TERMS,
+    z: float = 4.0,
+    pair_z: float = 6.0,
+    **options,
+) -> Model:
     """A model from at most `sample` labelled documents, half of them of each
     label as far as there are, chosen by a hash of their id.
 
@@ -129,8 +213,10 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, size: int =
     an id the worst counts, of several texts one. The ids are drawn before any
     text is moved. The terms of the model are those whose share among the toxic
     documents of the sample differs from that among the others by `z` standard
-    errors, the `size` most distinct ones. The sample's terms are counted on
-    the executors; only the active terms of its documents reach the driver.
+    errors, and those that tell the label by `pair_z` only together with
+    another (see `pair_signs`); the `size` most distinct ones. What they weigh
+    is up to the fit. Terms and pairs are counted on the executors; only the
+    active terms of the sample's documents reach the driver.
     """
     known = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).dropna().filter(F.col("toxic").isin(0, 1))
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -140,22 +226,24 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, size: int =
     texts = docs.select("doc_id", whole_text().alias("text")).join(F.broadcast(drawn), F.col("doc_id") == F.col("_id"))
     chosen = texts.groupBy("doc_id").agg(F.max("text").alias("text"), F.first("toxic").alias("toxic"))
     chosen = settled(chosen.withColumn("row", F.monotonically_increasing_id()))
-    totals = {r["toxic"]: r["count"] for r in chosen.groupBy("toxic").count().collect()}
-    clean, toxic = totals.get(0, 0), totals.get(1, 0)
+    judged = {r["row"]: r["toxic"] for r in chosen.select("row", "toxic").orderBy("row").collect()}
+    toxic = sum(judged.values())
+    clean = len(judged) - toxic
     active = settled(chosen.mapInPandas(_explode, "row bigint, toxic int, term bigint"))
-    counts = active.groupBy("term").agg(
-        F.sum("toxic").alias("p"), F.sum(1 - F.col("toxic")).alias("n")
+    counts = settled(
+        active.groupBy("term")
+        .agg(F.sum("toxic").alias("p"), F.sum(1 - F.col("toxic")).alias("n"))
+        .filter(F.col("p") + F.col("n") >= 3)
     )
     both = (F.col("p") + F.col("n")) / F.lit(max(1, clean + toxic))
     error = F.sqrt(both * (1 - both) * F.lit(1 / max(1, clean) + 1 / max(1, toxic)))
     difference = F.abs(F.col("p") / F.lit(max(1, toxic)) - F.col("n") / F.lit(max(1, clean)))
-    # A term's own label must prevail nine to one: topics that lean are no sign.
-    strong = F.greatest("p", "n") >= 9 * F.least("p", "n")
     told = (
-        counts.filter((F.col("p") + F.col("n") >= 3) & strong)
-        .withColumn("_z", F.try_divide(difference, error))
-        .filter(F.col("_z") >= z)
-        .orderBy(F.col("_z").desc(), "term")
+        counts.withColumn("_z", F.try_divide(difference, error))
+        .join(pair_signs(active, counts, judged, pair_z), "term", "left")
+        .withColumn("_sign", F.greatest(F.col("_z") / z, F.col("_pair") / pair_z))
+        .filter(F.col("_sign") >= 1)
+        .orderBy(F.col("_sign").desc(), "term")
         .limit(size)
         .select("term")
     )
@@ -165,8 +253,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, size: int =
     for r in pairs.groupBy("row").agg(F.collect_list("term").alias("terms")).collect():
         held[r["row"]] = r["terms"]
     rows = [
-        (np.searchsorted(known, np.sort(np.array(held.get(r["row"], []), dtype=np.int64))), r["toxic"])
-        for r in chosen.select("row", "toxic").orderBy("row").collect()
+        (np.searchsorted(known, np.sort(np.array(held.get(row, []), dtype=np.int64))), label) for row, label in judged.items()
     ]
     return fit(rows, known, **options)
 

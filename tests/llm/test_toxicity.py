@@ -1,3 +1,4 @@
+import random
 import zlib
 from collections import Counter
 
@@ -30,6 +31,24 @@ def test_pairs_that_no_linear_weights_tell():
     assert [s >= 0.5 for s in scores] == [True, False, False, True]
 
 
+def test_pairs_of_common_words_are_learned_from_texts(spark):
+    """Each word stands as often in clean as in toxic texts; only a pair tells,
+    by standing together or by one standing alone."""
+    choose = random.Random(3)
+    filler = ["".join(choose.choices("abcdefghijklmnopqrstuvwxyz", k=4)) for _ in range(300)]
+    made = []
+    for i in range(1600):
+        words, label = [(("gruppe", "idiot"), 1), (("gruppe",), 0), (("idiot",), 0), ((), 1)][i % 4]
+        text = [*choose.choices(filler, k=25), *words]
+        choose.shuffle(text)
+        made.append((i, " ".join(text), label))
+    df = spark.createDataFrame(made, "doc_id bigint, text string, toxic int")
+    docs = df.select("doc_id", "text")
+    model = toxicity.learn(docs, df.filter("doc_id < 1200").select("doc_id", "toxic"))
+    held = {r.doc_id: r.score for r in toxicity.score(docs.filter("doc_id >= 1200"), model).collect()}
+    assert np.mean([(held[i] >= 0.5) == label for i, _, label in made[1200:]]) > 0.95
+
+
 def test_learning_is_repeatable(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
