@@ -74,7 +74,9 @@ def templates(
     counted by host and shape first; the tree is grown on these counts, from
     the root of each host down:
     - a segment of a node with more than `max_children` children becomes `*`
-      if it has less than `min_share` of the node's urls;
+      if it has less than `min_share` of the node's urls, unless it has
+      `support` labels and its share of bad ones differs from that of the rest
+      of the node by `z` standard errors;
     - siblings whose share of bad labels differs from their parent's by less
       than `z` standard errors, or that have fewer than `support` labels, are
       merged as `~`;
@@ -96,6 +98,14 @@ def templates(
 
     hosts = state.groupBy("host").agg(*sums).select("host", smoothed(F.lit(prior)).alias("purity"))
     state = settled(state.join(hosts, "host").withColumn("template", F.lit("")))
+    # A segment against the rest of its node, by the pooled share of bad labels.
+    pooled = F.try_divide(F.col("_bad"), F.col("_labelled"))
+    others = F.col("_labelled") - F.col("labelled")
+    apart = F.abs(
+        F.try_divide(F.col("bad"), F.col("labelled")) - F.try_divide(F.col("_bad") - F.col("bad"), others)
+    )
+    spread = F.sqrt(pooled * (1 - pooled) * (F.try_divide(one, F.col("labelled")) + F.try_divide(one, others)))
+    deviates = F.coalesce((F.col("labelled") >= support) & (apart > z * spread), F.lit(False))
     for level in range(total["d"] or 0):
         here = state.withColumn("seg", F.get("shape", F.lit(level)))
         at = ["host", "template"]
@@ -104,7 +114,7 @@ def templates(
         parents = children.groupBy(*at).agg(
             F.count(one).alias("_kids"), *(F.sum(c).alias(f"_{c}") for c in ("n", "labelled", "bad"))
         )
-        wild = (F.col("_kids") > max_children) & (F.col("n") < min_share * F.col("_n"))
+        wild = (F.col("_kids") > max_children) & (F.col("n") < min_share * F.col("_n")) & ~deviates
         named = children.join(parents, at).withColumn("branch", F.when(wild, WILD).otherwise(F.col("seg")))
         branches = settled(
             named.groupBy(*at, "branch").agg(

@@ -62,6 +62,16 @@ def test_tree_generalises_merges_and_rejects(spark):
     assert len(template("user/")) == 1 and "pak" not in template("user/").pop()
 
 
+def test_deviating_sections_of_wide_nodes_stay(spark):
+    """Of 100 sections with a hundredth of the urls each, two are bad."""
+    names = [f"{a}{b}" for a in "abcdefghij" for b in "klmnopqrst"]
+    made = [(f"s://h/{name}/page{k}", name in ("ck", "hr")) for name in names for k in range(20)]
+    pages = spark.createDataFrame([(i, u) for i, (u, _) in enumerate(made)], "page_id bigint, url string")
+    labels = spark.createDataFrame([(i, b) for i, (_, b) in enumerate(made) if i % 20 < 15], "page_id bigint, bad boolean")
+    rows = urls.judge(pages, [], labels).collect()
+    assert [r.verdict for r in sorted(rows)] == ["block" if b else "allow" for _, b in made]
+
+
 def test_no_python_on_executors(spark, capsys):
     queries.op1_urls(spark, SF).explain()
     plan = capsys.readouterr().out
