@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -59,6 +60,9 @@ _RANKS = tuple((name, {c: i for i, c in enumerate(a)}) for name, a in ENCODINGS)
 
 # Bins of the combined p-value. Lengths fall into bins a fifth wider each.
 P_BINS = 100
+# Distinct strings that a stratum's cut is set from; with fewer, its neighbours
+# in length are counted with it, and at last all strata.
+POOL = 100
 
 
 def stratum(encoding: str, length: int) -> int:
@@ -128,14 +132,15 @@ def known_spans(text: str) -> list[tuple[int, int, str]]:
 
 def _candidates(text: str, known: list[tuple[int, int, str]]) -> list[dict[str, int]]:
     """Strings apart from the known spans that may be secrets, with the bins of
-    their length and p-value."""
+    their length and p-value and a 128-bit hash."""
     found = []
     for m in CANDIDATE.finditer(text):
         token, (start, end) = m.group(), m.span()
         if _MIXED.search(token) and not any(s < end and start < e for s, e, _ in known):
             name, p = battery(token)
             p_bin = min(P_BINS - 1, int(p * P_BINS))
-            found.append({"start": start, "end": end, "stratum": stratum(name, end - start), "p_bin": p_bin})
+            key = xxhash.xxh3_128_digest(token)
+            found.append({"start": start, "end": end, "stratum": stratum(name, end - start), "p_bin": p_bin, "key": key})
     return found
 
 
@@ -151,13 +156,13 @@ def _scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def scan(docs: DataFrame) -> DataFrame:
     """Known spans of each text and, apart from these, candidates with the
-    bins of their length and p-value. Whole texts are read; NULL is empty; `doc_id` may be NULL."""
+    bins of their length and p-value and a hash. Whole texts are read; NULL is empty; `doc_id` may be NULL."""
     span = "start: bigint, end: bigint"
     sent = docs.select(F.col("doc_id").cast("string").alias("doc_id"), whole_text().alias("text"))
     return sent.mapInPandas(
         _scan,
         f"doc_id string, known array<struct<{span}, kind: string>>, "
-        f"extra array<struct<{span}, stratum: int, p_bin: int>>",
+        f"extra array<struct<{span}, stratum: int, p_bin: int, key: binary>>",
     ).withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
 
 
@@ -183,14 +188,33 @@ def cuts(histogram: dict[int, np.ndarray], rate: float) -> dict[int, int]:
     return found
 
 
+def pooled(histogram: dict[int, np.ndarray]) -> dict[int, np.ndarray]:
+    """Each stratum's counts; thin ones with those of the nearest lengths of
+    their encoding until there are `POOL`, or of all strata if these are too few."""
+    found = {}
+    for key, counts in histogram.items():
+        length, encoding = divmod(key, len(ENCODINGS))
+        near: dict[int, np.ndarray] = defaultdict(lambda: np.zeros(len(counts)))
+        for other, more in histogram.items():
+            if other % len(ENCODINGS) == encoding:
+                near[abs(other // len(ENCODINGS) - length)] += more
+        total = np.zeros(len(counts))
+        for distance in sorted(near):
+            if total.sum() < POOL:
+                total += near[distance]
+        found[key] = total if total.sum() >= POOL else sum(histogram.values())
+    return found
+
+
 def learn_cuts(scanned: DataFrame, rate: float = 0.05) -> dict[int, int]:
-    """The cuts over all candidates: their counts by stratum and p-value bin,
-    a table of bounded size, are all that reaches the driver."""
+    """The cuts over all distinct candidates, so that copies of one string weigh
+    no more than it: their counts by stratum and p-value bin, a table of bounded
+    size, are all that reaches the driver."""
     histogram: dict[int, np.ndarray] = defaultdict(lambda: np.zeros(P_BINS))
-    bins = scanned.select(F.explode("extra").alias("x")).select("x.stratum", "x.p_bin")
+    bins = scanned.select(F.explode("extra").alias("x")).select("x.key", "x.stratum", "x.p_bin").distinct()
     for r in bins.groupBy("stratum", "p_bin").count().collect():
         histogram[r["stratum"]][r["p_bin"]] = r["count"]
-    return dict(sorted(cuts(histogram, rate).items()))
+    return dict(sorted(cuts(pooled(histogram), rate).items()))
 
 
 def find_secrets(docs: DataFrame, rate: float = 0.05) -> DataFrame:

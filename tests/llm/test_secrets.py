@@ -79,3 +79,34 @@ def test_random_strings_of_no_form_are_found(spark):
     df = spark.createDataFrame(made, "doc_id bigint, text string")
     spans = [s for r in secrets.find_secrets(df).collect() for s in r.spans]
     assert sum(s.start == 4 for s in spans) > 250 and sum(s.start > 10 for s in spans) < 30
+
+
+def test_copies_of_a_string_weigh_no_more_than_it(spark):
+    """A secret in a passage of 3,000 documents, low and high among the p-values."""
+    choose = random.Random(6)
+
+    def key():
+        return "Z9" + "".join(choose.choices(secrets.ENCODINGS[5][1], k=32))
+
+    def ordinary():
+        return "A1" + "".join(choose.choices("abcdefgh", k=32))
+
+    for low, high in ((0.25, 0.35), (0.7, 0.8)):
+        copied = next(k for k in iter(key, None) if low <= secrets.battery(k)[1] < high)
+        made = [f"see {key()} and {ordinary()} too" for _ in range(300)] + [f"see {copied} too"] * 3000
+        df = spark.createDataFrame(list(enumerate(made)), "doc_id bigint, text string")
+        spans = {r.doc_id: [s.start for s in r.spans] for r in secrets.find_secrets(df).collect()}
+        assert sum(4 in spans[i] for i in range(300)) > 250
+        assert sum(any(start > 4 for start in spans[i]) for i in range(300)) < 30
+        assert all(spans[i] == [4] for i in range(300, 3300))
+
+
+def test_thin_strata_take_their_neighbours():
+    base62 = 5
+    plenty, single = np.zeros(100), np.zeros(100)
+    plenty[0], single[70] = 1000, 1
+    plenty[50:] += 1
+    at = secrets.stratum("base62", 32)
+    assert at % len(secrets.ENCODINGS) == base62
+    cut = secrets.cuts(secrets.pooled({at: plenty, at + len(secrets.ENCODINGS): single}), 0.05)
+    assert cut[at + len(secrets.ENCODINGS)] > 0
