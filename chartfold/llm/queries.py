@@ -7,8 +7,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartfold.llm import jaccard, language, packing, pieces, quality, secrets, sharding, toxicity, urls, vectors
+from chartfold.llm import (
+    jaccard,
+    language,
+    packing,
+    pieces,
+    quality,
+    secrets,
+    sharding,
+    token_files,
+    toxicity,
+    urls,
+    vectors,
+)
 from chartfold.llm.common import whole_text
+from chartfold.shared import new_shared_path
 
 SHARDS = 24
 
@@ -137,6 +150,12 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_shared_path(spark, "tokens")
+    token_files.write(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), path)
+    return token_files.read(spark, path)
+
+
 QUERIES = {
     "op1_urls": op1_urls,
     "op2_pieces": op2_pieces,
@@ -148,5 +167,6 @@ QUERIES = {
     "op8_shard": op8_shard,
     "op9_quality": op9_quality,
     "op10_pack": op10_pack,
+    "op11_files": op11_files,
 }
 ORACLE: dict[str, str] = {}
