@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chartfold.llm import (
+    divergence,
     jaccard,
     language,
     packing,
@@ -156,6 +157,10 @@ def op11_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(spark, path)
 
 
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents").select("text", "lang", "source"))
+
+
 QUERIES = {
     "op1_urls": op1_urls,
     "op2_pieces": op2_pieces,
@@ -168,5 +173,52 @@ QUERIES = {
     "op9_quality": op9_quality,
     "op10_pack": op10_pack,
     "op11_files": op11_files,
+    "op13_divergence": op13_divergence,
+}
+ORACLE: dict[str, str] = {
+    "op13_divergence": r"""
+with docs as (
+    select row_number() over () as d, coalesce(lang, '') as lang, coalesce(source, '') as source,
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as text
+    from documents
+),
+terms as (
+    select d, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) as term from docs
+),
+kept as (select lang, term, count(*) as n from terms group by all having count(distinct d) >= 30),
+langs as (select lang, count(*) as v, sum(n)::hugeint as size from kept group by lang),
+sources as (select distinct lang, source from docs),
+used as (
+    select lang, source, term, count(*)::hugeint as n
+    from terms semi join kept using (lang, term) group by all
+),
+sizes as (
+    select s.lang, s.source, coalesce(any_value(l.v), 0) as v, coalesce(sum(u.n), 0)::hugeint as size
+    from sources s left join langs l using (lang) left join used u on s.lang = u.lang and s.source = u.source
+    group by all
+),
+shares as (
+    select s.lang, s.source, k.term, coalesce(u.n, 0) as n,
+        1 + (1000000000::hugeint * (coalesce(u.n, 0) + 5)) // (s.size + 5 * s.v) as p,
+        1 + (1000000000::hugeint * (k.n + 5)) // (l.size + 5 * l.v) as q
+    from sizes s join kept k using (lang) join langs l using (lang)
+        left join used u on u.lang = s.lang and u.source = s.source and u.term = k.term
+),
+apart as (
+    select a.lang, a.source, b.source as item, sum(abs(a.p - b.p)) as value
+    from shares a join shares b on a.lang = b.lang and a.term = b.term and a.source <> b.source
+    group by all
+),
+parts as (
+    select a.lang, a.source, 'pair' as part, b.source as item, coalesce(x.value, 0)::bigint as value
+    from sources a join sources b on a.lang = b.lang and a.source <> b.source
+        left join apart x on x.lang = a.lang and x.source = a.source and x.item = b.source
+    union all
+    select lang, source, 'term', term, (p - q)::bigint from shares where n > 0 and p > q
+),
+ranked as (
+    select *, row_number() over (partition by lang, source, part order by value desc, item)::int as rank from parts
+)
+select lang, source, part, item, value, rank from ranked where part = 'pair' or rank <= 50
+""",
 }
-ORACLE: dict[str, str] = {}

@@ -1,0 +1,93 @@
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from chartfold.llm import divergence
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def brute(rows, least, top):
+    """Rows (text, lang, source) by the definition."""
+    rows = [tuple(x or "" for x in r) for r in rows]
+    counts, docs, groups = defaultdict(Counter), defaultdict(Counter), defaultdict(set)
+    for text, lang, source in rows:
+        found = [re.sub("[A-Z]", lambda m: m[0].lower(), t) for t in TERM.findall(text)]
+        counts[lang, source].update(found)
+        docs[lang].update(set(found))
+        groups[lang].add(source)
+    out = []
+    for lang, sources in groups.items():
+        kept = [t for t, n in docs[lang].items() if n >= least]
+        total = sum((counts[lang, s] for s in sources), Counter())
+
+        def share(c):
+            size = sum(c[t] for t in kept) + 5 * len(kept)
+            return {t: 1 + 10**9 * (c[t] + 5) // size for t in kept}
+
+        p, q = {s: share(counts[lang, s]) for s in sources}, share(total)
+        for s in sources:
+            pairs = [(o, sum(abs(p[s][t] - p[o][t]) for t in kept)) for o in sources - {s}]
+            terms = [(t, p[s][t] - q[t]) for t in kept if counts[lang, s][t] and p[s][t] > q[t]]
+            for part, found, most in (("pair", pairs, None), ("term", terms, top)):
+                ordered = sorted(found, key=lambda x: (-x[1], x[0].encode()))[:most]
+                out += [(lang, s, part, item, value, k) for k, (item, value) in enumerate(ordered, 1)]
+    return Counter(out)
+
+
+@pytest.fixture(scope="module")
+def rows():
+    choose = random.Random(3)
+    words = ["Haus", "haus", "über", "Straße", "ÄRGER", "x", "日本", "naïve", "tea_cup", "a1b", "\u0000nul", "é"]
+    made = []
+    for k in range(400):
+        text = choose.choice([" ", ", ", "\n"]).join(choose.choice(words[: 4 + k % 9]) for _ in range(choose.randrange(30)))
+        made.append((text, choose.choice(["de", "en", None, ""]), choose.choice(["s1", "s2", "é", "hot", "hot", None])))
+    long = " ".join(choose.choice(words) for _ in range(50_000))
+    return [*made, (long, "de", "s1"), (None, "de", "s2"), (None, "fr", "s1"), ("", "fr", "s2"), ("rare", "fr", None), (None, "it", "x")]
+
+
+@pytest.mark.parametrize("cells", [8, divergence.CELLS])
+def test_against_brute_force(spark, rows, cells):
+    docs = spark.createDataFrame([(*r, k, "clash") for k, r in enumerate(rows)], "text string, lang string, source string, value int, rank string")
+    got = divergence.audit(docs.repartition(5), least=20, top=4, cells=cells).collect()
+    assert Counter(tuple(r) for r in got) == brute(rows, 20, 4)
+
+
+def test_small_pieces_of_text(spark, rows):
+    batch = [b for b in divergence._tally(iter(spark.createDataFrame(rows, "text string, lang string, source string").na.fill("").toArrow().to_batches()))]
+    whole = Counter()
+    for b in batch:
+        for r in b.to_pylist():
+            whole[r["lang"], r["source"], r["term"]] += r["n"]
+    want = Counter()
+    for text, lang, source in rows:
+        want.update((lang or "", source or "", divergence.pc.ascii_lower(t).as_py()) for t in TERM.findall(text or ""))
+    assert {k: n for k, n in whole.items() if n} == want
+
+
+def test_repeated_rows_and_empty_tables(spark):
+    schema = "text string, lang string, source string"
+    assert divergence.audit(spark.createDataFrame([], schema)).count() == 0
+    rows = [("same words", "en", "a")] * 25 + [("same other", "en", "b")] * 10
+    got = divergence.audit(spark.createDataFrame(rows, schema)).collect()
+    assert Counter(tuple(r) for r in got) == brute(rows, 30, 50)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(0, 10**14), min_size=1, max_size=20))
+def test_shares_are_exact(counts):
+    of = sum(counts) + 5 * len(counts)
+    got = divergence.shares(np.array(counts), np.array([of]))
+    assert got.tolist() == [1 + 10**9 * (n + 5) // of for n in counts]
+
+
+def test_column_of_shares_is_exact(spark):
+    rows = [(0, 5), (7, 12), (10**13, 3 * 10**15), (2 * 10**15, 2 * 10**15 + 5)]
+    df = spark.createDataFrame(rows, "n bigint, of bigint")
+    got = [r[0] for r in df.select(divergence._share(df["n"], df["of"])).collect()]
+    assert got == [1 + 10**9 * (n + 5) // of for n, of in rows]
