@@ -16,6 +16,7 @@ from chartfold.llm import (
     quality,
     secrets,
     sharding,
+    spelling,
     token_files,
     toxicity,
     urls,
@@ -157,6 +158,10 @@ def op11_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(spark, path)
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents").select("text", "lang", "source"))
 
@@ -173,9 +178,68 @@ QUERIES = {
     "op9_quality": op9_quality,
     "op10_pack": op10_pack,
     "op11_files": op11_files,
+    "op12_spelling": op12_spelling,
     "op13_divergence": op13_divergence,
 }
 ORACLE: dict[str, str] = {
+    "op12_spelling": r"""
+with recursive crc as (
+    select list_transform(range(256), lambda b: list_reduce(range(8),
+        lambda c, _: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, b)) as steps
+),
+runs as (
+    select coalesce(doc_id::varchar, '') as doc, unnest(regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[a-z\x{C0}-\x{FF}]+')) as run
+    from documents
+),
+counted as (select doc, run, count(*) as n from runs group by all),
+hashed as (
+    select run, n, xor(4294967295, list_reduce(
+        list_transform(range(octet_length(encode(doc || ':' || run))),
+            lambda i: ('0x' || substr(hex(encode(doc || ':' || run)), 2 * i + 1, 2))::bigint),
+        lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1]), 4294967295)) as h
+    from counted, crc
+),
+spelt as (
+    select n, case when h % 199 = 0
+        then left(run, (h % length(run))::bigint) || substr(run, (h % length(run))::bigint + 2) else run end as word
+    from hashed
+),
+words as (
+    select word, sum(n)::bigint as n from spelt where length(word) >= 6 group by word having sum(n) >= 5
+),
+left_out as (
+    select distinct word, n, i, left(word, i) || substr(word, i + 2) as rest
+    from (select word, n, unnest(range(length(word))) as i from words)
+),
+near as (
+    select a.word, b.word as other, b.n as other_n
+    from left_out a join left_out b on a.rest = b.rest and a.i = b.i and a.word <> b.word
+    union
+    select a.word, b.word, b.n from left_out a join words b on a.rest = b.word
+    union
+    select a.word, b.word, b.n from words a join left_out b on b.rest = a.word
+),
+best as (
+    select word, count(*) as n_near, max(other_n) as most,
+        min(struct_pack(k := -other_n, w := other)).w as other
+    from near group by word
+),
+forms as (
+    select w.word, w.n, coalesce(b.n_near, 0) as n_near,
+        case when b.most >= 5 * w.n then b.other end as form,
+        case when b.most >= 5 * w.n then b.most end as form_n
+    from words w left join best b on b.word = w.word
+),
+chain as (
+    select word, word as root from forms
+    union all
+    select c.word, f.form from chain c join forms f on f.word = c.root where f.form is not null
+),
+ends as (select c.word, c.root from chain c join forms f on f.word = c.root where f.form is null)
+select f.word, f.form, e.root, f.n, f.n_near, f.form_n from forms f join ends e on e.word = f.word
+""",
     "op13_divergence": r"""
 with docs as (
     select row_number() over () as d, coalesce(lang, '') as lang, coalesce(source, '') as source,
