@@ -325,4 +325,17 @@ ORACLE: dict[str, str] = {
     "archive_ingest_ranges": _with("select id, patient_id, code, display from cond_all"),
     "archive_ingest_streams": _with("select id, patient_id, code, display from cond_all"),
     "archive_ingest": _with("select id, patient_id, code, display from cond_all"),
+    "landed_again": _with("select id, patient_id, code, display from cond_all"),
+    "landed_archives": _with("select id, patient_id, code, display from cond_all"),
+    "landed_again_summary": _with(
+        "select 'condition' resource, count(*) as rows, 3 as columns, 0::bigint corrupt_rows from cond_all"
+    ),
+    "clustered_master": _MASTER,
+    "clustered_master_paged": _ITEMS,
+    "clustered_counts": _COUNTS,
+    "clustered_medications": _with("select patient_id, 0 page, medications, medication_count from med_agg"),
+    "clustered_lookup": _with("""
+        select w.patient_id, 0 page, coalesce(conditions, '') conditions
+        from (select cast(c_custkey as varchar) patient_id from customer
+          union all select 's' || s_suppkey from supplier) w left join cond_agg using (patient_id)"""),
 }

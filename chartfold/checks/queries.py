@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chartfold.functions.fields import first, first_coding, ref_id
+from chartfold.operators.heavy import PAGE_ROWS
 from chartfold.operators.joins import lookup
 from chartfold.operators.profile import load_summary as summarise
 from chartfold.operators.profile import null_profile as profile_nulls
@@ -19,7 +20,8 @@ from chartfold.operators.profile import raw_quality as profile_tables
 from chartfold.operators.regression import fit_lines, line_points, predict_rows
 from chartfold.operators.regression import scatter_counts as count_points
 from chartfold.operators.rollup import whole_lists
-from chartfold.plans import analysis, master
+from chartfold.plans import analysis, clustered, master
+from chartfold.plans.clustered import cluster
 from chartfold.plans.records import KEY, condition_rows, encounter_rows, patient_flat
 from chartfold.plans.testbed import (
     AS_OF,
@@ -32,8 +34,10 @@ from chartfold.plans.testbed import (
     write_ndjson,
 )
 from chartfold.shared import new_shared_path
-from chartfold.sinks.jsonl import land, read_master, write_master
+from chartfold.sinks.jsonl import land, read_master, write_json_lines, write_master
+from chartfold.sinks.landing import land_sources, landed_summary
 from chartfold.sources.archives import list_archives, scan_archives
+from chartfold.sources.content import resource_sources
 from chartfold.sources.export_log import flatten_log, scan_export_log
 from chartfold.sources.ndjson import load_resources, merge_resources, scan_resource
 
@@ -112,6 +116,7 @@ def coding_paths(spark, sf_dir):
 
 # A page size at which many patients of the test tables have several pages.
 SMALL_PAGE = 5
+CLUSTER_BUCKETS = 8
 
 
 @_query
@@ -479,6 +484,89 @@ def ndjson_master(spark, sf_dir):
     return _count_columns(master.patient_counts(tables))
 
 
+def _halves(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    first = F.pmod(F.xxhash64("id"), F.lit(2)) == 0
+    return df.where(first), df.where(~first)
+
+
+def _landed_again(spark, sf_dir) -> tuple[str, dict[str, DataFrame]]:
+    """Conditions that came as files in two goes, landed after each."""
+    early, late = _halves(clinical_tables(spark, sf_dir, ["condition"])["condition"])
+    path, out = write_ndjson({"condition": early}), new_shared_path(spark, "landed")
+    land_sources(resource_sources(spark, path, ["Condition"]), out)
+    write_json_lines(late, f"{path}/Condition.001.ndjson")
+    return out, land_sources(resource_sources(spark, path, ["Condition"]), out)
+
+
+def _coded(table: DataFrame) -> DataFrame:
+    coding = first_coding("code")
+    return table.select(
+        "id", ref_id("subject.reference").alias(KEY), coding["code"].alias("code"), coding["display"].alias("display")
+    )
+
+
+@_query
+def landed_again(spark, sf_dir):
+    """A table of which the second landing read the new files only."""
+    return _coded(_landed_again(spark, sf_dir)[1]["condition"])
+
+
+@_query
+def landed_again_summary(spark, sf_dir):
+    """Its summary, from the manifest."""
+    out, tables = _landed_again(spark, sf_dir)
+    return landed_summary(spark, out, tables)
+
+
+@_query
+def landed_archives(spark, sf_dir):
+    """A table landed from archives; the second landing opens no entry."""
+    path = write_archives(clinical_tables(spark, sf_dir, ["condition"])["condition"], "Condition")
+    out = new_shared_path(spark, "landed")
+    for _ in range(2):
+        tables = land_sources(resource_sources(spark, path, ["Condition"], archives=True), out)
+    return _coded(tables["condition"])
+
+
+def _clustered(spark, sf_dir, page_rows: int = PAGE_ROWS):
+    tables = clinical_tables(spark, sf_dir)
+    return cluster(tables, new_shared_path(spark, "clustered"), CLUSTER_BUCKETS, page_rows)
+
+
+@_query
+def clustered_master(spark, sf_dir):
+    """The master table from tables clustered by patient."""
+    return _master_columns(clustered.clustered_master(_clustered(spark, sf_dir)))
+
+
+@_query
+def clustered_master_paged(spark, sf_dir):
+    """The same with small pages, so that many patients are stored apart."""
+    return _items(clustered.clustered_master(_clustered(spark, sf_dir, SMALL_PAGE)))
+
+
+@_query
+def clustered_counts(spark, sf_dir):
+    return _count_columns(clustered.clustered_counts(_clustered(spark, sf_dir, SMALL_PAGE)))
+
+
+@_query
+def clustered_medications(spark, sf_dir):
+    pages = clustered.clustered_rollup(_clustered(spark, sf_dir), "medications")
+    return pages.select(
+        KEY, "page", _text("medications", master.MEDICATION_FIELDS).alias("medications"), "medication_count"
+    )
+
+
+@_query
+def clustered_lookup(spark, sf_dir):
+    """Conditions of every customer, and of suppliers, who have none."""
+    known = read(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias(KEY))
+    unknown = read(spark, sf_dir, "supplier").select(F.concat(F.lit("s"), "s_suppkey").alias(KEY))
+    found = clustered.clustered_lookup(_clustered(spark, sf_dir), known.unionByName(unknown), "conditions", 100)
+    return found.select(KEY, "page", _text("conditions", master.CONDITION_FIELDS).alias("conditions"))
+
+
 def _with_more(spark, sf_dir) -> DataFrame:
     """Patients with fields that no pinned schema knows."""
     key = F.col("id").cast("int")

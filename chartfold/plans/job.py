@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from chartfold.operators.heavy import PAGE_ROWS
-from chartfold.operators.profile import load_summary, raw_quality
+from chartfold.operators.profile import raw_quality
 from chartfold.operators.regression import line_points, scatter_counts
 from chartfold.plans import analysis
 from chartfold.plans.master import (
@@ -21,9 +21,11 @@ from chartfold.plans.master import (
 )
 from chartfold.schemas import DEFAULT_RESOURCES
 from chartfold.shared import clear_scratch, settled
-from chartfold.sinks.jsonl import land, read_master, write_json_lines, write_master
-from chartfold.sources.archives import list_archives, scan_archives
-from chartfold.sources.ndjson import load_resources, merge_resources, register_views
+from chartfold.sinks.jsonl import read_master, write_json_lines, write_master
+from chartfold.sinks.landing import land_sources, landed_summary
+from chartfold.sources.archives import list_archives
+from chartfold.sources.content import resource_sources
+from chartfold.sources.ndjson import register_views
 
 _NEEDED = ("patient", *(k.resource for k in KINDS.values()))
 
@@ -48,8 +50,9 @@ def run(
     The default resources are always loaded, `resources` besides. Files of a
     folder are landed with all fields they have, inferred from the share
     `sampling_ratio` of their lines; archives with the pinned fields. Tables go
-    to `output/tables` and are read again from there as long as their source
-    is the same. The master table goes to `output/master`, the reports to
+    to `output/tables`; a later run reads only the files, or archive entries,
+    that are new or changed, and leaves out the rows of those that are gone.
+    The master table goes to `output/master`, the reports to
     `output/reports`; the job raises if the master table written fails its
     check. `absolute` takes ids from the end of references that are URLs.
 
@@ -60,16 +63,14 @@ def run(
     inventory = None
     if archives:
         inventory = settled(list_archives(spark, source))
-        scan = lambda names: {r.strip().lower(): scan_archives(spark, source, r, entries=inventory) for r in names}
+        options = {"entries": inventory}
     else:
-        scan = lambda names: load_resources(
-            spark, source, names, views=False, widen=True, sampling_ratio=sampling_ratio
-        )
-    parsed = merge_resources(scan(extra), scan(DEFAULT_RESOURCES))
-    absent = [name for name in _NEEDED if name not in parsed]
+        options = {"widen": True, "sampling_ratio": sampling_ratio}
+    found = resource_sources(spark, source, [*extra, *DEFAULT_RESOURCES], archives, **options)
+    absent = [name for name in _NEEDED if name not in found]
     if absent:
         raise ValueError(f"no files for: {', '.join(absent)}")
-    tables = land(parsed, f"{output}/tables")
+    tables = land_sources(found, f"{output}/tables")
     register_views(tables)
 
     tally = patient_tally(tables, absolute=absolute)
@@ -85,7 +86,7 @@ def run(
         return stored[name]
 
     check_master(store("master_invariants", master_invariants(tables["patient"], written, tally)))
-    store("load_summary", load_summary(tables))
+    store("load_summary", landed_summary(spark, f"{output}/tables", tables))
     store("raw_quality", raw_quality(tables))
     store("master_quality", master_quality(patient_counts(tables, tally=tally, absolute=absolute)))
     frame = settled(analysis.age_frame(tables, as_of, disease, tally=tally, absolute=absolute))

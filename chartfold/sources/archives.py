@@ -17,7 +17,7 @@ from contextlib import contextmanager
 from urllib.parse import unquote, urlparse
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chartfold.schemas import CORRUPT, RESOURCES
@@ -32,7 +32,7 @@ _BATCH_BYTES = 4 * 1024 * 1024
 _BATCH_LINES = 10_000
 _BLOCK_BYTES = 1024 * 1024
 
-_ENTRY = "archive string, entry string, bytes bigint, compressed_bytes bigint, stored boolean"
+_ENTRY = "archive string, entry string, bytes bigint, compressed_bytes bigint, stored boolean, checksum bigint"
 _LINE = "archive string, entry string, start bigint, line_no bigint, line string"
 
 
@@ -55,7 +55,8 @@ def _open(path: str):
 
 
 def list_archives(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
-    """(archive, entry, bytes, compressed_bytes, stored) of every archive entry.
+    """(archive, entry, bytes, compressed_bytes, stored, checksum) of every archive
+    entry, from the directories of the archives; the checksum is the entry's crc32.
 
     `path` is a ZIP file, a folder of them, or a glob.
     """
@@ -65,12 +66,12 @@ def list_archives(spark: SparkSession, path: str, partitions: int | None = None)
 
 
 def _list_entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    columns = ["archive", "entry", "bytes", "compressed_bytes", "stored"]
+    columns = ["archive", "entry", "bytes", "compressed_bytes", "stored", "checksum"]
     for batch in batches:
         for path in batch["path"]:
             with _open(path) as f, zipfile.ZipFile(f) as z:
                 rows = [
-                    (path, i.filename, i.file_size, i.compress_size, i.compress_type == zipfile.ZIP_STORED)
+                    (path, i.filename, i.file_size, i.compress_size, i.compress_type == zipfile.ZIP_STORED, i.CRC)
                     for i in z.infolist()
                     if not i.is_dir()
                 ]
@@ -97,7 +98,7 @@ def archive_lines(
     """
     if entries is None:
         entries = settled(list_archives(spark, path, partitions))
-    wanted = entries.where(_wanted(resource))
+    wanted = entries_of(entries, resource)
     read = F.coalesce(F.sum(F.col("compressed_bytes")), F.lit(0))
     size = wanted.agg(read.alias("read")).first()["read"]
     tasks = partitions or max(_parallel(spark, None), math.ceil(size / SPLIT_BYTES))
@@ -109,11 +110,12 @@ def archive_lines(
     return lines.unionByName(dealt)
 
 
-def _wanted(resource: str | None) -> Column:
+def entries_of(entries: DataFrame, resource: str | None) -> DataFrame:
+    """The NDJSON entries of a listing, or those of one resource."""
     file = F.element_at(F.split("entry", "/"), -1)
     if resource is None:
-        return file.endswith(".ndjson")
-    return file.rlike(f"^{re.escape(resource.strip())}([._-].*)?[.]ndjson$")
+        return entries.where(file.endswith(".ndjson"))
+    return entries.where(file.rlike(f"^{re.escape(resource.strip())}([._-].*)?[.]ndjson$"))
 
 
 def _read(entries: DataFrame, split_bytes: int, tasks: int) -> DataFrame:

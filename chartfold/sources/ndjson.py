@@ -33,15 +33,33 @@ def scan_resource(
     JSON object keep a row, with the text in `_corrupt_record` (not with
     `infer`).
     """
+    return read_files(spark, files_of(path, resource, prefix), resource, schema, infer, sampling_ratio, widen)
+
+
+def files_of(path: str, resource: str, prefix: bool = False) -> str:
+    """The glob of the files of a resource."""
     name = resource.strip()
     pattern = f"{name}*.ndjson" if prefix else f"{name}{{.ndjson,[._-]*.ndjson}}"
-    pinned = schema or RESOURCES.get(name.lower())
+    return f"{path.rstrip('/')}/{pattern}"
+
+
+def read_files(
+    spark: SparkSession,
+    files: str | Sequence[str],
+    resource: str,
+    schema: str | None = None,
+    infer: bool = False,
+    sampling_ratio: float = 1.0,
+    widen: bool = False,
+) -> DataFrame | None:
+    """`scan_resource` of the files named, by a glob or one by one."""
+    files = files if isinstance(files, str) else list(files)
+    pinned = schema or RESOURCES.get(resource.strip().lower())
     reader = spark.read
     if pinned and not infer:
         reader = reader.schema(f"{pinned}, {CORRUPT} string")
     else:
         reader = reader.option("samplingRatio", sampling_ratio)
-    files = f"{path.rstrip('/')}/{pattern}"
     try:
         if widen and pinned and not infer:
             seen = spark.read.option("samplingRatio", sampling_ratio).json(files).schema

@@ -1,0 +1,113 @@
+"""Tables clustered by patient: equal results, no exchanges, pruned scans."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from chartfold.operators.joins import lookup
+from chartfold.plans import clustered
+from chartfold.plans import master as m
+from chartfold.plans.records import KEY
+from chartfold.plans.testbed import clinical_tables
+from chartfold.shared import settled
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def rows_of(df, columns):
+    return sorted(map(str, df.select(columns).collect()))
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    tables = clinical_tables(spark, SF_DIR)
+    odd = tables["patient"].limit(3)
+    # Patients without an id, and one id twice.
+    more = odd.withColumn("id", F.lit(None).cast("string")).unionByName(tables["patient"].where("id = '7'"))
+    return {**tables, "patient": settled(tables["patient"].unionByName(more))}
+
+
+@pytest.fixture(scope="module")
+def even(tables, tmp_path_factory):
+    return clustered.cluster(tables, str(tmp_path_factory.mktemp("even") / "c"), 4)
+
+
+@pytest.fixture(scope="module")
+def hot(tables, tmp_path_factory):
+    return clustered.cluster(tables, str(tmp_path_factory.mktemp("hot") / "c"), 4, page_rows=20)
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_no_exchange(even, no_broadcast):
+    plans = [clustered.clustered_rollup(even, kind) for kind in m.KINDS]
+    plans += [clustered.clustered_master(even), clustered.clustered_counts(even)]
+    for plan in map(plan_of, plans):
+        assert "Exchange" not in plan and "Bucketed: true" in plan
+
+
+def test_hot_patients_alone_are_shuffled(hot, no_broadcast):
+    assert hot.hot is not None
+    plan = plan_of(clustered.clustered_rollup(hot, "encounters"))
+    # The even part stands first below the union, and nothing is between.
+    assert plan.count("Bucketed: true") == 1
+    assert "Exchange" not in plan.split("Bucketed: true")[0].split("Union")[1]
+
+
+@pytest.mark.parametrize("which", ["even", "hot"])
+def test_results_are_those_of_the_plain_plans(which, tables, even, hot):
+    stored = {"even": even, "hot": hot}[which]
+    plain = m.patient_master(tables, stored.page_rows)
+    assert rows_of(clustered.clustered_master(stored), plain.columns) == rows_of(plain, plain.columns)
+    counts = m.patient_counts(tables)
+    assert rows_of(clustered.clustered_counts(stored), counts.columns) == rows_of(counts, counts.columns)
+    for kind in m.KINDS:
+        plain = m.clinical_rollup(kind, tables, stored.page_rows)
+        assert rows_of(clustered.clustered_rollup(stored, kind), plain.columns) == rows_of(plain, plain.columns)
+
+
+@pytest.mark.parametrize("which", ["even", "hot"])
+@pytest.mark.parametrize("named_keys", [0, 1000])
+def test_lookup(spark, which, named_keys, tables, even, hot):
+    stored = {"even": even, "hot": hot}[which]
+    keys = spark.createDataFrame([("1",), ("1",), ("8",), ("x14",), ("nobody",), (None,), ("3",)], f"{KEY} string")
+    rows = m.clinical_rows(tables, ["encounters"])["encounters"]
+    plain = lookup(keys, rows, KEY, m.KINDS["encounters"].fields, "encounters", stored.page_rows)
+    got = clustered.clustered_lookup(stored, keys, "encounters", named_keys)
+    assert rows_of(got, plain.columns) == rows_of(plain, plain.columns)
+
+
+def test_lookup_prunes_the_scan(spark, even):
+    keys = spark.createDataFrame([("1",)], f"{KEY} string")
+    scanned = plan_of(clustered.clustered_lookup(even, keys, "encounters"))
+    assert re.search(r"SelectedBucketsCount: 1 out of 4", scanned)
+    assert re.search(r"PushedFilters: \[[^]]*EqualTo\(patient_id,1\)|PushedFilters: \[[^]]*In\(patient_id", scanned)
+
+
+def test_opened_in_another_session(spark, tables, tmp_path):
+    path = str(tmp_path / "c")
+    first = clustered.cluster(tables, path, 3, page_rows=20)
+    want = rows_of(clustered.clustered_master(first), [KEY, "page", "encounter_count"])
+    for name in first.even:
+        spark.sql(f"drop table {clustered._table(path, name)}")
+    again = clustered.opened(spark, path)
+    assert again.page_rows == 20
+    assert rows_of(clustered.clustered_master(again), [KEY, "page", "encounter_count"]) == want
+    for name in again.even:
+        assert "Bucketed: true" in plan_of(again.even[name].groupBy(KEY).count())
+
+
+def test_no_rows(tables, tmp_path):
+    none = {name: df.limit(0) for name, df in tables.items()}
+    stored = clustered.cluster(none, str(tmp_path / "c"), 2)
+    assert clustered.clustered_master(stored).count() == 0 and clustered.clustered_counts(stored).count() == 0
