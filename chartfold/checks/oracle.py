@@ -189,6 +189,32 @@ _FANOUT = """fan as (
     join (select patient_id, count(*) n from med group by 1) m using (patient_id)
     join (select patient_id, count(*) n from enc group by 1) e using (patient_id))"""
 
+
+def _types(which: str, absent: str = "count_if(not bare)", no_subject: str = "VOID") -> str:
+    """Counts of types by path over the conditions that `which` picks. Archives
+    are written without NULL fields, which `no_subject` tells."""
+    rows = [
+        ("id", "STRING", "count(*)", "'string'", False),
+        ("subject", "OBJECT", "count(patient_id)", "'struct'", False),
+        ("subject", no_subject, "count_if(patient_id is null)", "'struct'", False),
+        ("subject.reference", "STRING", "count(patient_id)", "'string'", False),
+        ("code", "OBJECT", "count_if(not bare)", "'struct'", False),
+        ("code", "STRING", "count_if(bare)", "'struct'", True),
+        ("code.coding", "ARRAY", "count_if(not bare)", "'array'", False),
+        ("code.coding[]", "OBJECT", "sum(codings)", "'struct'", False),
+        ("code.coding[].code", "STRING", "sum(codings)", "'string'", False),
+        ("code.coding[].display", "STRING", "sum(codings)", "'string'", False),
+        ("weight", "BIGINT", "count_if(bare)", "null", True),
+        ("weight", "ABSENT", absent, "null", False),
+    ]
+    parts = " union all ".join(
+        f"select '{path}' path, '{kind}' type, cast({n} as bigint) n, {pinned}::varchar pinned, {lost} lost from chosen"
+        for path, kind, n, pinned, lost in rows
+    )
+    chosen = f"chosen as (select * from (select *, codings is null bare from cond_all) where {which})"
+    return _with(f"select * from ({parts}) where n > 0", chosen)
+
+
 ORACLE: dict[str, str] = {
     "patient_base": _with('select patient_id, "birthDate", gender, marital_status, city from patient'),
     "ref_ids": _with("""
@@ -338,4 +364,6 @@ ORACLE: dict[str, str] = {
         select w.patient_id, 0 page, coalesce(conditions, '') conditions
         from (select cast(c_custkey as varchar) patient_id from customer
           union all select 's' || s_suppkey from supplier) w left join cond_agg using (patient_id)"""),
+    "types_by_path": _types("true"),
+    "types_by_path_archives": _types("bare", "null", "ABSENT"),
 }

@@ -40,6 +40,7 @@ from chartfold.sources.archives import list_archives, scan_archives
 from chartfold.sources.content import resource_sources
 from chartfold.sources.export_log import flatten_log, scan_export_log
 from chartfold.sources.ndjson import load_resources, merge_resources, scan_resource
+from chartfold.sources.untyped import resource_types
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -528,6 +529,29 @@ def landed_archives(spark, sf_dir):
     return _coded(tables["condition"])
 
 
+def _mixed_conditions(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Conditions as pinned, and those without codings in another shape."""
+    table = clinical_tables(spark, sf_dir, ["condition"])["condition"]
+    bare = F.col("code.coding").isNull()
+    odd = table.where(bare).select("id", "subject", F.lit("none").alias("code"), F.lit(1).alias("weight"))
+    return table.where(~bare), odd
+
+
+@_query
+def types_by_path(spark, sf_dir):
+    """Types and pinned types of a folder whose files differ in shape."""
+    plain, odd = _mixed_conditions(spark, sf_dir)
+    path = write_ndjson({"condition": plain})
+    write_json_lines(odd, f"{path}/Condition.001.ndjson")
+    return resource_types(spark, path, "Condition")
+
+
+@_query
+def types_by_path_archives(spark, sf_dir):
+    """The same of archives that no pinned schema fits."""
+    return resource_types(spark, write_archives(_mixed_conditions(spark, sf_dir)[1], "Condition"), "Condition", archives=True)
+
+
 def _clustered(spark, sf_dir, page_rows: int = PAGE_ROWS):
     tables = clinical_tables(spark, sf_dir)
     return cluster(tables, new_shared_path(spark, "clustered"), CLUSTER_BUCKETS, page_rows)
