@@ -246,7 +246,7 @@ ORACLE: dict[str, str] = {
     "patient_master_broadcast": _MASTER,
     "patient_counts": _COUNTS,
     "master_invariants": _with("""
-        select count(*) patients, count(*) master_rows, 0::bigint doubled_pages, 0::bigint duplicate_keys,
+        select count(*) patients, count(*) master_rows, 0::bigint doubled_pages, 0::bigint missing_pages, 0::bigint duplicate_keys,
           (select count(*) from med where patient_id in (select patient_id from patient)) medications_listed,
           (select count(*) from med where patient_id in (select patient_id from patient)) medications_rows,
           (select count(*) from enc where patient_id in (select patient_id from patient)) encounters_listed,
@@ -287,6 +287,14 @@ ORACLE: dict[str, str] = {
         from master"""),
     "patient_age": _with("select patient_id, age from ages"),
     "disease_flag": _with("select patient_id, disease flag from ages"),
+    "disease_flag_from_lists": _with("select patient_id, disease flag from ages"),
+    "disease_hits": _with("""
+        select distinct patient_id, display disease from cond
+        where patient_id in (select patient_id from patient)
+          and display in (select p_type from part where p_type > 'M')"""),
+    "pages_have_no_gaps": """
+        select cast(o_custkey as varchar) k, true gapless, true complete, count(*) listed, count(*) n
+        from orders group by o_custkey""",
     "disease_flags": _with("""
         select p.patient_id, d.disease, case when c.patient_id is not null then 1 else 0 end flag
         from patient p cross join (select unnest(['PROMO', 'STANDARD', 'ECONOMY', 'NOT A DISEASE']) disease) d
@@ -366,4 +374,8 @@ ORACLE: dict[str, str] = {
           union all select 's' || s_suppkey from supplier) w left join cond_agg using (patient_id)"""),
     "types_by_path": _types("true"),
     "types_by_path_archives": _types("bare", "null", "ABSENT"),
+    "distinct_codes_estimated": _with("""
+        select gender, count(distinct c.code) codes, true close from patient join cond c using (patient_id)
+        group by gender union all
+        select null, count(distinct code), true from cond where patient_id in (select patient_id from patient)"""),
 }

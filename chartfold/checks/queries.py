@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chartfold.functions.fields import first, first_coding, ref_id
+from chartfold.operators import sketches
 from chartfold.operators.heavy import PAGE_ROWS
 from chartfold.operators.joins import lookup
 from chartfold.operators.profile import load_summary as summarise
@@ -19,7 +20,7 @@ from chartfold.operators.profile import null_profile as profile_nulls
 from chartfold.operators.profile import raw_quality as profile_tables
 from chartfold.operators.regression import fit_lines, line_points, predict_rows
 from chartfold.operators.regression import scatter_counts as count_points
-from chartfold.operators.rollup import whole_lists
+from chartfold.operators.rollup import rollup, whole_lists
 from chartfold.plans import analysis, clustered, master
 from chartfold.plans.clustered import cluster
 from chartfold.plans.records import KEY, condition_rows, encounter_rows, patient_flat
@@ -33,7 +34,7 @@ from chartfold.plans.testbed import (
     write_archives,
     write_ndjson,
 )
-from chartfold.shared import new_shared_path
+from chartfold.shared import new_shared_path, settled
 from chartfold.sinks.jsonl import land, read_master, write_json_lines, write_master
 from chartfold.sinks.landing import land_sources, landed_summary
 from chartfold.sources.archives import list_archives, scan_archives
@@ -316,6 +317,23 @@ def key_lookup(spark, sf_dir):
     )
 
 
+@_query
+def distinct_codes_estimated(spark, sf_dir):
+    """Condition codes by gender and in all: exact, and whether the estimate from
+    one stored sketch per patient is within 5 % of it."""
+    t = clinical_tables(spark, sf_dir, ["patient", "condition"])
+    rows = condition_rows(t["condition"])
+    people = t["patient"].select(F.col("id").alias(KEY), "gender")
+    stored = settled(sketches.sketch(rows, [KEY], {"codes": "condition_code"})).join(people, KEY)
+    every = stored.withColumn("gender", F.lit(None).cast("string"))
+    told = sketches.estimates(stored.unionByName(every), ["gender"], ["codes"]).select("gender", F.col("codes").alias("about"))
+    known = rows.join(people, KEY)
+    known = known.unionByName(known.withColumn("gender", F.lit(None).cast("string")))
+    exact = known.groupBy(F.col("gender").alias("of")).agg(F.countDistinct("condition_code").alias("codes"))
+    close = F.abs(F.col("about") - F.col("codes")) <= 0.05 * F.col("codes")
+    return told.join(exact, F.col("gender").eqNullSafe(F.col("of"))).select("gender", "codes", close.alias("close"))
+
+
 # --- quality -----------------------------------------------------------------
 
 
@@ -356,9 +374,35 @@ def patient_age(spark, sf_dir):
 
 @_query
 def disease_flag(spark, sf_dir):
-    """Flag of one disease, read off the lists of the master table."""
-    t = clinical_tables(spark, sf_dir)
-    return master.with_flag(master.patient_master(t, SMALL_PAGE), DISEASE)
+    t = clinical_tables(spark, sf_dir, ["patient", "condition"])
+    return analysis.disease_flag(t["patient"], t["condition"], DISEASE)
+
+
+@_query
+def disease_flag_from_lists(spark, sf_dir):
+    """The same, read off the lists of a master table, page by page."""
+    return master.with_flag(master.patient_master(clinical_tables(spark, sf_dir), SMALL_PAGE), DISEASE)
+
+
+@_query
+def disease_hits(spark, sf_dir):
+    """Which patients have which of all conditions that a part is named after."""
+    t = clinical_tables(spark, sf_dir, ["patient", "condition"])
+    names = read(spark, sf_dir, "part").select(F.col("p_type").alias("disease")).distinct().where("disease > 'M'")
+    return analysis.condition_hits(t["patient"], t["condition"], names)
+
+
+@_query
+def pages_have_no_gaps(spark, sf_dir):
+    """Pages of orders' priorities, which are copies of few rows, by customer."""
+    rows = read(spark, sf_dir, "orders").selectExpr("cast(o_custkey as string) k", "o_orderpriority item")
+    paged = rollup(rows, "k", ["item"], "items", "n", page_rows=SMALL_PAGE)
+    return paged.groupBy("k").agg(
+        (F.max("page") + 1 == F.max("list_pages")).alias("gapless"),
+        (F.count("*") == F.max("list_pages")).alias("complete"),
+        F.sum(F.array_size("items")).cast("bigint").alias("listed"),
+        F.max("n").alias("n"),
+    )
 
 
 @_query

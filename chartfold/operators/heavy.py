@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chartfold.shared import settled
@@ -53,7 +53,8 @@ def pages(rows: DataFrame, key: str, fields: Sequence[str], distinct: bool, page
     Rows are counted under a key that includes the row itself, so no task sees
     a hot key whole; copies of one row are dealt out in runs. The page is a
     hash of the row and its run and depends on nothing else: a task that runs
-    again after a loss puts every row where it was.
+    again after a loss puts every row where it was. Pages that the hash leaves
+    empty are skipped in the numbering, so the numbers have no gaps.
     """
     copies = F.lit(1).cast("bigint") if distinct else F.count("*")
     items = settled(rows.groupBy(key, *fields).agg(copies.alias("copies")))
@@ -68,7 +69,14 @@ def pages(rows: DataFrame, key: str, fields: Sequence[str], distinct: bool, page
     times = F.least(F.lit(run_rows).cast("bigint"), F.col("copies") - F.col("run") * run_rows).cast("int")
     page = F.pmod(F.xxhash64(*fields, "run"), F.col("in_pages")).cast("int")
     listed = dealt.select(key, page.alias("page"), F.struct(F.struct(*fields).alias("item"), times.alias("times")).alias("i"))
-    return listed.groupBy(key, "page").agg(F.collect_list("i").alias("items")).select(key, "page", _expanded("items").alias(into))
+    found = settled(
+        listed.groupBy(key, "page").agg(F.collect_list("i").alias("items")).select(key, "page", _expanded("items").alias(into))
+    )
+    # Numbered apart from the lists, which stay where they are.
+    nth = F.row_number().over(Window.partitionBy(key).orderBy("page")) - 1
+    numbers = found.select(F.col(key).alias("of_key"), F.col("page").alias("hashed"), nth.alias("nth"))
+    same = (F.col(key) == F.col("of_key")) & (F.col("page") == F.col("hashed"))
+    return found.join(numbers, same).select(key, F.col("nth").alias("page"), into)
 
 
 def _expanded(items: str) -> Column:

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chartfold.operators.heavy import PAGE_ROWS
 from chartfold.operators.rollup import rollup
-from chartfold.shared import settled
+from chartfold.shared import send_by_value, settled
+
+send_by_value(__name__)
 
 # Fixed value: Spark's default limit for automatic broadcasts.
 BROADCAST_BYTES = 10 * 1024 * 1024
@@ -76,6 +80,21 @@ def lookup(
     return answers.select(key, F.coalesce("page", F.lit(0)).alias("page"), F.coalesce(into, empty).alias(into))
 
 
+def smallest_keys(rows: DataFrame, key: str, n: int) -> DataFrame:
+    """The `n` smallest different text keys, settled. Every task hands on no more
+    than `n`, so the keys of all rows are not shuffled."""
+
+    def least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = pa.array([], pa.string())
+        for batch in batches:
+            found = pc.unique(pa.concat_arrays([kept, batch.column(0).cast(pa.string())])).drop_null()
+            kept = found.take(pc.sort_indices(found)[:n])
+        yield pa.RecordBatch.from_arrays([kept], [key])
+
+    few = rows.select(F.col(key).cast("string").alias(key)).mapInArrow(least, f"`{key}` string")
+    return settled(few.distinct().orderBy(key).limit(n))
+
+
 def fanout(counts: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """Rows per key that an inner join of all tables would give, without running it.
 

@@ -20,6 +20,7 @@ def rollup(
     distinct: bool = False,
     counted: str | None = None,
     page_rows: int = PAGE_ROWS,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """List the `fields` of each key's rows as structs, in sorted order.
 
@@ -32,25 +33,37 @@ def rollup(
     non-NULL values of the `counted` field; otherwise the list keeps duplicates
     and `count_as` counts rows. `row_count` counts rows in both cases. Rows
     with a NULL key are left out.
+
+    `counts` (key, `row_count`) tells which keys are hot, if it is known; else
+    the keys alone are counted first.
     """
     rows = rows.where(F.col(key).isNotNull()).select(key, *fields)
-    aggregates = [F.count("*").alias("row_count")]
-    if distinct:
-        aggregates.append(F.countDistinct(counted).alias(count_as))
-    counts = settled(rows.groupBy(key).agg(*aggregates))
+    if counts is None:
+        counts = rows.groupBy(key).agg(F.count("*").alias("row_count"))
     hot = hot_keys(counts, key, ["row_count"], page_rows)
     whole = lists(without(rows, hot, key), key, fields, into, count_as, distinct, counted).select(
         key, F.lit(0).alias("page"), F.lit(1).alias("list_pages"), into, count_as, "row_count"
     )
     if hot is None:
         return whole
-    paged = settled(pages(only(rows, hot, key), key, fields, distinct, page_rows, into))
-    if not distinct:
-        counts = counts.withColumn(count_as, F.col("row_count"))
-    told = counts.join(paged.groupBy(key).agg(F.count("*").cast("int").alias("list_pages")), key)
+    own = only(rows, hot, key)
+    paged = pages(own, key, fields, distinct, page_rows, into)
+    total = paged.groupBy(key).agg(F.count("*").cast("int").alias("list_pages"))
+    told = settled(_hot_counts(own, key, count_as, counted if distinct else None).join(total, key))
     return whole.unionByName(paged.join(told, key).select(whole.columns))
 
 
+def _hot_counts(rows: DataFrame, key: str, count_as: str, counted: str | None) -> DataFrame:
+    """(key, `count_as`, `row_count`), counted by value first, so that a hot key
+    is a row per value."""
+    value = F.lit(None).cast("string") if counted is None else F.col(counted)
+    per_value = rows.groupBy(key, value.alias("value")).agg(F.count("*").alias("n"))
+    rows_of = F.sum("n")
+    return per_value.groupBy(key).agg(
+        (rows_of if counted is None else F.count("value")).alias(count_as), rows_of.alias("row_count")
+    )
+
+
 def lists(
     rows: DataFrame,
     key: str,

@@ -36,13 +36,38 @@ def patients_with(condition: DataFrame, disease: str, absolute: bool = False) ->
     return hits.select(KEY).distinct().withColumn("disease", F.lit(1))
 
 
-def condition_flags(patient: DataFrame, condition: DataFrame, diseases: Sequence[str]) -> DataFrame:
+def disease_flag(patient: DataFrame, condition: DataFrame, disease: str, absolute: bool = False) -> DataFrame:
+    """(patient_id, flag): 1 for the patients who have the disease, else 0. Reads
+    the conditions alone, of which no more than one row per patient and task is
+    shuffled."""
+    flagged = left_join_all(patient_base(patient).select(KEY), [patients_with(condition, disease, absolute)], KEY)
+    return flagged.select(KEY, F.coalesce("disease", F.lit(0)).alias("flag"))
+
+
+def condition_hits(
+    patient: DataFrame, condition: DataFrame, names: DataFrame, absolute: bool = False
+) -> DataFrame:
+    """(patient_id, disease) for each patient and each of their conditions that
+    `names` (disease) has, and nothing for the others.
+
+    `names` may be of any size: the planner broadcasts it if it measures small
+    and else joins by name, after the conditions were made distinct.
+    """
+    wanted = names.select(F.col("disease")).where(F.col("disease").isNotNull()).distinct()
+    had = condition_rows(condition, absolute).select(KEY, F.col("condition_name").alias("disease")).distinct()
+    known = patient_base(patient).select(KEY)
+    return had.join(wanted, "disease", "left_semi").join(known, KEY, "left_semi").select(KEY, "disease")
+
+
+def condition_flags(
+    patient: DataFrame, condition: DataFrame, diseases: Sequence[str], absolute: bool = False
+) -> DataFrame:
     """(patient_id, disease, flag): one row per patient and named disease.
 
     Only rows of the named diseases are shuffled, at most one per patient,
     disease and map task; the set per patient is no longer than `diseases`.
     """
-    hits = condition_rows(condition).where(F.col("condition_name").isin(list(diseases)))
+    hits = condition_rows(condition, absolute).where(F.col("condition_name").isin(list(diseases)))
     found = hits.groupBy(KEY).agg(F.collect_set("condition_name").alias("found"))
     base = patient_base(patient).select(KEY)
     flagged = left_join_all(base, [found], KEY)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from chartfold.functions.features import has_condition
 from chartfold.functions.fields import percent
 from chartfold.operators.heavy import PAGE_ROWS, hot_keys, only, pages, without
-from chartfold.operators.joins import broadcast_if_small, fanout, left_join_all, spread_key
+from chartfold.operators.joins import broadcast_if_small, fanout, left_join_all, smallest_keys, spread_key
 from chartfold.operators.rollup import lists, rollup
 from chartfold.plans.records import (
     CONDITION_FIELDS,
@@ -50,12 +50,18 @@ def clinical_rows(
 
 
 def clinical_rollup(
-    kind: str, tables: Mapping[str, DataFrame], page_rows: int = PAGE_ROWS, absolute: bool = False
+    kind: str,
+    tables: Mapping[str, DataFrame],
+    page_rows: int = PAGE_ROWS,
+    absolute: bool = False,
+    tally: DataFrame | None = None,
 ) -> DataFrame:
-    """Rollup of one kind: `conditions`, `medications` or `encounters`."""
+    """Rollup of one kind: `conditions`, `medications` or `encounters`. With the
+    tally of the patients, their rows are not counted again."""
     k = KINDS[kind]
     rows = clinical_rows(tables, [kind], absolute)[kind]
-    return rollup(rows, KEY, k.fields, kind, k.count_as, k.counted is not None, k.counted, page_rows)
+    counts = None if tally is None else tally.select(KEY, F.col(f"{kind}_rows").alias("row_count"))
+    return rollup(rows, KEY, k.fields, kind, k.count_as, k.counted is not None, k.counted, page_rows, counts)
 
 
 def patient_tally(
@@ -138,7 +144,7 @@ def _hot_master(
     paged = {}
     for name, k in KINDS.items():
         kept = only(rows[name].select(KEY, *k.fields), hot, KEY)
-        paged[name] = settled(pages(kept, KEY, k.fields, k.counted is not None, page_rows, name))
+        paged[name] = pages(kept, KEY, k.fields, k.counted is not None, page_rows, name)
     # Every page of any list, and page 0 of all.
     numbers = [hot.select(F.col("hot_key").alias(KEY), F.lit(0).alias("page"))]
     numbers += [p.select(KEY, "page") for p in paged.values()]
@@ -184,15 +190,16 @@ def master_invariants(patient: DataFrame, master: DataFrame, tally: DataFrame) -
     """One row that tells whether a master table holds what it should.
 
     `patients` must equal `master_rows` (its rows of page 0); `doubled_pages`,
-    patients and pages that occur more often than the patient, must be 0;
+    patients and pages that occur more often than the patient, must be 0, and
+    so must `missing_pages`, patients with fewer or more pages than `list_pages`;
     `<kind>_listed` must equal `<kind>_rows`, what the clinical tables have for
     known patients (distinct lists are left out: these merge rows).
     `duplicate_keys` only tells how many ids the patient table repeats.
     """
     full = [k for k, v in KINDS.items() if v.counted is None]
     sizes = [F.coalesce(F.size(k), F.lit(0)).alias(f"{k}_size") for k in full]
-    seen = master.select(KEY, "page", *sizes).groupBy(KEY, "page").agg(
-        F.count("*").alias("n"), *(F.sum(f"{k}_size").alias(f"{k}_size") for k in full)
+    seen = master.select(KEY, "page", "list_pages", *sizes).groupBy(KEY, "page").agg(
+        F.count("*").alias("n"), F.max("list_pages").alias("list_pages"), *(F.sum(f"{k}_size").alias(f"{k}_size") for k in full)
     )
     own = tally.where("patient_rows is not null").withColumnRenamed(KEY, "own")
     compared = seen.join(own.select("own", "patient_rows"), F.col(KEY) == F.col("own"), "left")
@@ -202,13 +209,15 @@ def master_invariants(patient: DataFrame, master: DataFrame, tally: DataFrame) -
         F.count_if(F.col("n") > F.col("patient_rows")).alias("doubled_pages"),
         *(F.coalesce(F.sum(f"{k}_size"), zero).alias(f"{k}_listed") for k in full),
     )
+    paged = seen.groupBy(KEY).agg(F.count("*").alias("here"), F.max("list_pages").alias("told"))
+    whole = paged.agg(F.count_if(F.col("here") != F.col("told")).alias("missing_pages"))
     known = own.agg(
         F.count_if(F.col("patient_rows") > 1).alias("duplicate_keys"),
         *(F.coalesce(F.sum(F.col("patient_rows") * F.col(f"{k}_rows")), zero).alias(f"{k}_rows") for k in full),
     )
     before = patient.agg(F.count("*").alias("patients"))
-    # Three tables of one row each, laid over one another.
-    parts = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), (before, after, known))
+    # Tables of one row each, laid over one another.
+    parts = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), (before, after, whole, known))
     return parts.agg(*(F.max(c).alias(c) for c in parts.columns))
 
 
@@ -219,6 +228,8 @@ def check_master(invariants: DataFrame) -> None:
     wrong = [f"{a} {row[a]} but {b} {row[b]}" for a, b in pairs if row[a] != row[b]]
     if row["doubled_pages"]:
         wrong.append(f"{row['doubled_pages']} doubled pages")
+    if row["missing_pages"]:
+        wrong.append(f"{row['missing_pages']} patients without all their pages")
     if wrong:
         raise ValueError("the master table is wrong: " + ", ".join(wrong))
 
@@ -255,10 +266,11 @@ def master_quality(master: DataFrame) -> DataFrame:
     )
 
 
-def sample_rollup(kind: str, tables: Mapping[str, DataFrame], n: int = 1, page_rows: int = PAGE_ROWS) -> DataFrame:
+def sample_rollup(
+    kind: str, tables: Mapping[str, DataFrame], n: int = 1, page_rows: int = PAGE_ROWS, absolute: bool = False
+) -> DataFrame:
     """All pages of the first `n` patients by id, and of no others."""
     k = KINDS[kind]
-    rows = clinical_rows(tables, [kind])[kind]
-    wanted = settled(rows.select(KEY).where(F.col(KEY) != "").distinct().orderBy(KEY).limit(n))
-    chosen = rows.join(wanted, KEY, "left_semi")
+    rows = clinical_rows(tables, [kind], absolute)[kind]
+    chosen = rows.join(smallest_keys(rows.where(F.col(KEY) != ""), KEY, n), KEY, "left_semi")
     return rollup(chosen, KEY, k.fields, kind, k.count_as, k.counted is not None, k.counted, page_rows)

@@ -5,10 +5,16 @@ from __future__ import annotations
 import sys
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
+# The paths that the innermost open scope owns.
+_OWNED: ContextVar[list[str] | None] = ContextVar("owned", default=None)
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The session's `spark.checkpoint.dir`.
@@ -27,8 +33,38 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_shared_path(spark: SparkSession, label: str) -> str:
-    """A path in the shared folder that nothing has used yet."""
-    return f"{scratch(spark)}/{label}-{uuid.uuid4().hex}"
+    """A path in the shared folder that nothing has used yet; an open scope owns it."""
+    path = f"{scratch(spark)}/{label}-{uuid.uuid4().hex}"
+    if (owned := _OWNED.get()) is not None:
+        owned.append(path)
+    return path
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Whatever is settled in this block is deleted at its end, also if it fails.
+
+    Plans made in the block must have run by then. Scopes nest; a path belongs
+    to the innermost one.
+    """
+    mark = _OWNED.set([])
+    try:
+        yield
+    finally:
+        owned = _OWNED.get()
+        _OWNED.reset(mark)
+        for path in owned:
+            delete(spark, path)
+
+
+def settled_from(spark: SparkSession, build: Callable[[], DataFrame]) -> DataFrame:
+    """What `build` returns, settled; the tables settled on the way are deleted."""
+    path = new_shared_path(spark, "table")
+    with scope(spark):
+        df = build()
+        df.write.parquet(path)
+        schema = df.schema
+    return spark.read.schema(schema).parquet(path)
 
 
 def settled(df: DataFrame) -> DataFrame:

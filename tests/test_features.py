@@ -1,7 +1,10 @@
+from collections import Counter
+
 from pyspark.sql import functions as F
 
 from chartfold.functions.features import age_years, has_condition
 from chartfold.functions.fields import first, first_coding, ref_id
+from chartfold.operators import sketches
 from chartfold.operators.profile import null_profile, raw_quality
 from chartfold.plans import analysis
 from chartfold.schemas import RESOURCES
@@ -67,3 +70,30 @@ def test_flags_need_no_conditions(spark):
     )
     got = analysis.condition_flags(patient, condition, ["A", "B"]).collect()
     assert sorted(map(tuple, got)) == [("1", "A", 1), ("1", "B", 0), ("2", "A", 0), ("2", "B", 0)]
+
+
+def test_hits_and_flags_of_urls(spark):
+    patient = spark.createDataFrame([(i, *[None] * 5) for i in ("1", "2", None)], RESOURCES["patient"])
+    condition = spark.createDataFrame(
+        [("c", ("https://h/fhir/Patient/1",), ([("k", "A")],)), ("d", ("https://h/fhir/Patient/1",), ([("k", "A")],)),
+         ("e", ("https://h/fhir/Patient/2",), ([("k", "B")],)), ("f", ("https://h/fhir/Patient/ghost",), ([("k", "A")],)),
+         ("g", ("https://h/fhir/Patient/2",), ([("k", None)],))],
+        RESOURCES["condition"],
+    )
+    names = spark.range(10_000).selectExpr("if(id = 7, 'A', if(id = 8, null, concat('n', id))) disease")
+    got = analysis.condition_hits(patient, condition, names, absolute=True).collect()
+    assert sorted(map(tuple, got)) == [("1", "A")]
+    assert analysis.condition_hits(patient, condition, names).count() == 0
+    flags = analysis.condition_flags(patient, condition, ["A", "B"], absolute=True).collect()
+    assert {(r[0], r[1]) for r in flags if r.flag} == {("1", "A"), ("2", "B")} and len(flags) == 6
+    flag = analysis.disease_flag(patient, condition, "A", absolute=True).collect()
+    assert Counter(map(tuple, flag)) == Counter([("1", 1), ("2", 0), (None, 0)])
+
+
+def test_sketches_merge(spark):
+    rows = spark.range(20_000).selectExpr("id % 50 k", "id % 4000 v", "cast(null as string) nothing")
+    first, second = (sketches.sketch(rows.where(f"k % 2 = {i}"), ["k"], {"v": "v", "nothing": "nothing"}) for i in (0, 1))
+    both = first.unionByName(second)
+    got = sketches.estimates(both, [], ["v", "nothing"]).first()
+    assert abs(got.v - 4000) <= 0.05 * 4000 and got.nothing == 0
+    assert sketches.merged(both, ["k"], ["v"]).count() == 50

@@ -7,10 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from chartfold.functions.features import has_condition
-from chartfold.operators.joins import broadcast_if_small, left_join_all, lookup
+from chartfold.operators.joins import broadcast_if_small, left_join_all, lookup, smallest_keys
 from chartfold.operators.rollup import rollup, whole_lists
 from chartfold.plans import master as m
 from chartfold.schemas import MASTER, RESOURCES
+from chartfold.shared import settled
 
 DIABETES = "Diabetes mellitus type 2 (disorder)"
 
@@ -179,7 +180,7 @@ def test_heavy_keys_are_paged_whole(spark, distinct):
         n = len({c for c, _ in want[r.k] if c is not None}) if distinct else n_rows[r.k]
         assert (r.n, r.row_count) == (n, n_rows[r.k]), r.k
     assert got == want
-    assert all(len(p) == len(set(p)) for p in pages.values())
+    assert all(sorted(p) == list(range(len(p))) for p in pages.values())
     told = {r.k: r.list_pages for r in result.collect()}
     assert told == {k: len(p) for k, p in pages.items()}
     assert told["hot"] > 1 and told["k1"] == 1 and (told["onecopy"] == 1) == distinct
@@ -280,3 +281,29 @@ def test_sample_of_a_heavy_patient_is_whole(spark):
     rows = m.sample_rollup("conditions", {"condition": many}).collect()
     assert len(rows) > 1 and sum(len(r.conditions) for r in rows) == 60_000
     assert {r.condition_count for r in rows} == {60_000}
+
+
+def test_sample_of_urls_and_of_many_keys(spark):
+    rows = [(f"c{i}", (f"https://h/fhir/Patient/{i % 700:03d}",), ([("k", "n")],)) for i in range(3000)]
+    condition = spark.createDataFrame(rows, RESOURCES["condition"]).repartition(7)
+    got = m.sample_rollup("conditions", {"condition": condition}, 3, absolute=True).collect()
+    assert sorted((r.patient_id, r.row_count) for r in got) == [("000", 5), ("001", 5), ("002", 5)]
+    keys = smallest_keys(spark.range(5000).selectExpr("cast(id % 90 as string) k").repartition(6), "k", 4)
+    assert sorted(r.k for r in keys.collect()) == ["0", "1", "10", "11"]
+    assert smallest_keys(spark.createDataFrame([], "k string"), "k", 4).count() == 0
+
+
+def test_rollup_counts_narrowly_or_not_at_all(spark, tables, monkeypatch):
+    from chartfold.operators import heavy
+
+    plans = []
+    monkeypatch.setattr(heavy, "settled", lambda df: plans.append(df) or settled(df))
+    stored = {k: settled(v) for k, v in tables.items()}
+    plain = m.clinical_rollup("conditions", stored)
+    (counted,) = plans
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<subject:struct<reference:string>>" in plan
+    tally = m.patient_tally(stored)
+    known = m.clinical_rollup("conditions", stored, tally=tally)
+    assert "subject" not in plans[1]._jdf.queryExecution().executedPlan().toString()
+    assert Counter(map(str, known.collect())) == Counter(map(str, plain.collect()))

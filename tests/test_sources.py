@@ -2,6 +2,7 @@
 
 import json
 import zipfile
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from chartfold.operators.profile import load_summary, null_profile
 from chartfold.plans import master as m
 from chartfold.plans.testbed import clinical_tables
 from chartfold.schemas import CORRUPT, RESOURCES
-from chartfold.shared import new_shared_path, scratch, settled
+from chartfold.shared import new_shared_path, scope, scratch, settled, settled_from
 from chartfold.sinks.jsonl import land, read_master, write_json_lines, write_master
 from chartfold.sources.archives import archive_lines, list_archives, scan_archives
 from chartfold.sources.export_log import flatten_log, scan_export_log
@@ -226,6 +227,27 @@ def test_scratch_can_be_cleared(spark):
     assert kept.inputFiles()[0].startswith(scratch(spark).replace("file:", "")) or scratch(spark) in kept.inputFiles()[0]
 
 
+def folders(spark):
+    return set(Path(scratch(spark).removeprefix("file:")).glob("*"))
+
+
+def test_a_scope_deletes_what_it_settled(spark):
+    settled(spark.range(1))
+    before = folders(spark)
+    with scope(spark):
+        assert settled(spark.range(3)).count() == 3
+        with scope(spark):
+            m.patient_tally(clinical_tables(spark, SF_DIR)).count()
+            assert len(folders(spark)) == len(before) + 2
+        assert len(folders(spark)) == len(before) + 1
+    with pytest.raises(Broken), scope(spark):
+        settled(spark.range(3))
+        raise Broken
+    assert folders(spark) == before
+    kept = settled_from(spark, lambda: settled(spark.range(5)).where("id > 1"))
+    assert kept.count() == 3 and len(folders(spark)) == len(before) + 1
+
+
 def test_cached_block_releases(spark):
     df = spark.range(5)
     with cached(df) as kept:
