@@ -365,20 +365,26 @@ def classes(
 def first_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
     """The rows of `docs` with one document of each class, all columns kept.
 
-    `found` is what `classes` says about `docs`. Equal rows of a kept document
-    are told apart by nothing, so one of them stays.
+    `found` is what `classes` says about `docs`. Of rows with the id and text of
+    a kept document, one stays, picked by a hash of all its columns, which may
+    have any names.
     """
-    found = settled(found.filter("kept").select(F.col("doc_id").alias("_kept_id"), "_h1", "_h2"))
-    ids = ["_kept_id", "_h1", "_h2"]
-    once = settled(found.distinct())
+    kept = settled(found.filter("kept").select(F.col("doc_id").alias("kept_id"), F.col("_h1").alias("kept_h1"), F.col("_h2").alias("kept_h2")))
+    once = settled(kept.distinct())
     text = whole_text()
-    marked = docs.withColumns({"_kept_h1": F.xxhash64(text), "_kept_h2": F.xxhash64(F.lit(1), text)})
+    # The columns of `docs` go into one, so that they clash with nothing here.
+    rows = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+        F.col("doc_id").alias("id"),
+        F.xxhash64(text).alias("h1"),
+        F.xxhash64(F.lit(1), text).alias("h2"),
+    )
     same = (
-        F.col("doc_id").eqNullSafe(F.col("_kept_id"))
-        & (F.col("_kept_h1") == F.col("_h1"))
-        & (F.col("_kept_h2") == F.col("_h2"))
+        F.col("id").eqNullSafe(F.col("kept_id"))
+        & (F.col("h1") == F.col("kept_h1"))
+        & (F.col("h2") == F.col("kept_h2"))
     )
-    stay = marked.join(once, same, "left_semi")
-    if once.count() < found.count():
-        stay = stay.dropDuplicates(["doc_id", "_kept_h1", "_kept_h2"])
-    return stay.drop("_kept_h1", "_kept_h2")
+    stay = rows.join(once, same, "left_semi")
+    if once.count() < kept.count():
+        stay = stay.groupBy("id", "h1", "h2").agg(F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row"))
+    return stay.select("row.*")

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -24,9 +23,16 @@ UNDETERMINED = "und"
 UNKNOWN = "unknown"
 
 
-@lru_cache(maxsize=1)
+_TABLE: list[np.ndarray] = []
+
+
 def _letters() -> np.ndarray:
-    return np.array([chr(c).isalpha() for c in range(0x110000)])
+    """Whether each code point is a letter, made once in each process."""
+    # A cached function would be sent to the tasks by the name of this module,
+    # which executors need not have.
+    if not _TABLE:
+        _TABLE.append(np.array([chr(c).isalpha() for c in range(0x110000)]))
+    return _TABLE[0]
 
 
 def trigrams(text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -65,18 +71,22 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def learn(labelled: DataFrame, sample: int = SAMPLE, smoothing: float = 0.5) -> Model:
-    """Counts trigrams of about `sample` documents of each language (text, lang),
-    chosen by a hash of their text. NULL languages are left out; what reaches
-    the driver is one number for each language and bucket."""
-    rows = labelled.select(whole_text().alias("text"), F.col("lang").cast("string").alias("lang")).dropna()
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    """Counts trigrams of about `sample` different texts of each language (text,
+    lang), chosen by a hash of them; a text counts once, however many copies it
+    has. NULL languages are left out; what reaches the driver is one number for
+    each language and bucket."""
+    text = whole_text()
+    rows = labelled.select(text.alias("text"), F.col("lang").cast("string").alias("lang"), F.xxhash64(text).alias("h")).dropna()
+    # Copies are dropped in the tasks first, so none of them moves.
+    sizes = {r["lang"]: r["count"] for r in rows.select("lang", "h").distinct().groupBy("lang").count().collect()}
     if not sizes:
         return Model([], np.full((BUCKETS, 1), -np.log(BUCKETS)))
     span = 1 << 30
     limits = F.create_map(
         *(F.lit(v) for lang, n in sorted(sizes.items()) for v in (lang, min(span, span * sample // max(1, n))))
     )
-    chosen = rows.filter(F.pmod(F.xxhash64("text"), F.lit(span)) < F.element_at(limits, F.col("lang")))
+    near = rows.filter(F.pmod("h", F.lit(span)) < F.element_at(limits, F.col("lang")))
+    chosen = near.groupBy("lang", "h").agg(F.first("text").alias("text")).select("lang", "text")
     found = chosen.mapInPandas(_count, "lang string, bucket bigint, n bigint")
     counts = {lang: np.zeros(BUCKETS) for lang in sorted(sizes)}
     for r in found.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).collect():

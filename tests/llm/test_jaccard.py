@@ -111,3 +111,20 @@ def test_shingler_tells_shingles_apart():
         text = " ".join(choose.choices(["a", "aa", "b", "é", "A", "日"], k=choose.randint(0, 30)))
         assert len(make(text)) == len(shingles(text))
     assert (make("a b c d e f") == make(" A\tb C\n\nd  e f ")).all()
+
+
+def test_first_of_each_with_clashing_columns(spark):
+    text = " ".join(f"word{k}" for k in range(30))
+    rows = [(1, text, "b"), (1, text, "a"), (1, text, "b"), (2, text, "c"), (3, "another text", "d"), (None, "no number", "e")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, _h1 string")
+    for name in ("_h2", "_kept_id", "h1", "id", "row", "kept_id", "_kept_h1"):
+        docs = docs.withColumn(name, docs["_h1"])
+    picked = set()
+    for parts in (1, 3, 5):
+        got = jaccard.first_of_each(docs.repartition(parts), jaccard.classes(docs))
+        assert got.columns == docs.columns
+        found = got.collect()
+        assert sorted(r.doc_id or 0 for r in found) == [0, 1, 3]
+        assert all(len({r._h1, r._h2, r.id, r.row, r.kept_id}) == 1 for r in found)
+        picked.add(next(r._h1 for r in found if r.doc_id == 1))
+    assert len(picked) == 1

@@ -43,6 +43,19 @@ def test_em_finds_the_maximum():
         assert np.log(likelihood @ random.dirichlet([1, 1, 1])).sum() <= best + 1e-6
 
 
+def test_copies_count_once(spark):
+    rows = [(f"text{'abcdefghij'[i % 10]} {'klmnopqrst'[i // 10]}", "en") for i in range(100)]
+    schema = "text string, lang string"
+    once = language.learn(spark.createDataFrame(rows, schema), sample=1000)
+    more = spark.createDataFrame([*rows, *rows[7:8] * 3000], schema).repartition(4)
+    assert np.array_equal(language.learn(more, sample=1000).logs, once.logs)
+    # A sample is no larger for the copies of the texts in it.
+    texts = [(f"same {k}", "en") for k in range(40)]
+    few = language.learn(spark.createDataFrame(texts, schema), sample=10)
+    many = language.learn(spark.createDataFrame(texts * 50, schema).repartition(4), sample=10)
+    assert np.array_equal(few.logs, many.logs)
+
+
 def test_odd_rows(spark, odd_docs, odd_rows, model):
     rows = language.identify(odd_docs, model).collect()
     assert Counter((r.doc_id, r.text) for r in rows) == Counter((r[0], r[1]) for r in odd_rows)
