@@ -59,6 +59,14 @@ def tables(spark):
     return {name: spark.createDataFrame(data, RESOURCES[name]) for name, data in rows.items()}
 
 
+def many_encounters(tables):
+    """The same with a patient whose encounters fill several pages, however
+    they are dealt."""
+    more = tables["encounter"].where("id = 'e2'").selectExpr("explode(sequence(1, 12)) i", "*")
+    more = more.withColumn("id", F.concat(F.lit("x"), "i")).drop("i")
+    return {**tables, "encounter": tables["encounter"].unionByName(more)}
+
+
 def exchanges(df):
     # Reading the plan of a run needs the final adaptive plan.
     df.collect()
@@ -96,6 +104,7 @@ def test_master_edges(tables, spark):
 
 
 def test_a_wrong_master_is_caught(tables):
+    tables = many_encounters(tables)
     tally, master = m.patient_tally(tables), m.patient_master(tables, page_rows=1)
     m.check_master(m.master_invariants(tables["patient"], master, tally))
     doubled = master.unionAll(master.where("patient_id = 'p1' and page = 1"))
@@ -214,6 +223,7 @@ def listed(master, kind):
 
 
 def test_master_with_heavy_patients_is_whole(tables):
+    tables = many_encounters(tables)
     whole = m.patient_master(tables)
     paged = m.patient_master(tables, page_rows=1)
     counts = ["patient_id", "condition_count", "medication_count", "encounter_count", "birthDate"]
