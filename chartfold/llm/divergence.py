@@ -30,8 +30,10 @@ PSEUDO = 5
 UNIT_STEPS = 3
 UNIT = 1000**UNIT_STEPS
 TOP_TERMS = 50
-# Text that a task counts at once, and cells of a dense block.
-TEXT_BYTES = 32 << 20
+# Text that a task counts at once, rows of counts that it merges before they
+# leave, and cells of a dense block.
+TEXT_BYTES = 8 << 20
+HELD = 400_000
 CELLS = 1 << 21
 
 
@@ -66,7 +68,14 @@ def _tallied(lang: pa.Array, source: pa.Array, text: pa.Array) -> pa.Table:
     )
 
 
+def _merged(held: list[pa.Table]) -> list[pa.RecordBatch]:
+    keys = ["lang", "source", "term"]
+    summed = pa.concat_tables(held).group_by(keys, use_threads=False).aggregate([("n", "sum"), ("docs", "sum")])
+    return summed.select([*keys, "n_sum", "docs_sum"]).rename_columns([*keys, "n", "docs"]).to_batches()
+
+
 def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held: list[pa.Table] = []
     for batch in batches:
         ends = np.cumsum(pc.binary_length(batch["text"]).to_numpy(zero_copy_only=False), dtype=np.int64)
         at = 0
@@ -74,8 +83,13 @@ def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             before = ends[at - 1] if at else 0
             stop = max(at + 1, int(np.searchsorted(ends, before + TEXT_BYTES, side="right")))
             piece = batch.slice(at, stop - at)
-            yield from _tallied(piece["lang"], piece["source"], piece["text"]).to_batches()
+            held.append(_tallied(piece["lang"], piece["source"], piece["text"]))
             at = stop
+            if sum(map(len, held)) >= HELD:
+                yield from _merged(held)
+                held = []
+    if held:
+        yield from _merged(held)
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
