@@ -57,8 +57,9 @@ def shard(df: DataFrame, key: Sequence[str], shards: int) -> DataFrame:
     each; an empty table gives an empty one. `df` may hold any columns but
     these three.
     """
-    keyed = df.withColumn("_key", F.xxhash64(*key))
-    placed = keyed.withColumn("shard", jump_column(F.col("_key"), shards)).withColumn(
-        "grown_shard", jump_column(F.col("_key"), shards + 1)
+    # The columns of `df` go into one, so that they clash with nothing here.
+    keyed = df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"), F.xxhash64(*key).alias("hash"))
+    placed = keyed.select(
+        "row", jump_column(F.col("hash"), shards).alias("shard"), jump_column(F.col("hash"), shards + 1).alias("grown_shard")
     )
-    return ranked(numbered(placed.drop("_key")), ["shard"], into="slot").drop("_row")
+    return ranked(numbered(placed), ["shard"], into="slot").select("row.*", "shard", "grown_shard", "slot")

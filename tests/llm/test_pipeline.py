@@ -1,10 +1,11 @@
 import re
 from collections import Counter
+from pathlib import Path
 
 import corpus_pipeline as pipeline
 import duckdb
 import pytest
-from chartfold.shared import settled
+from chartfold.shared import scratch, settled
 
 from .conftest import SF_DIR
 from .test_jaccard import brute
@@ -37,6 +38,15 @@ def test_stages_on_the_smallest_documents(spark, corpus):
     assert sum(r.length for r in packed) == sum({r.doc_id: r.doc_tokens for r in packed}.values())
 
 
+def test_run_leaves_no_tables_of_its_stages(spark):
+    made = Path(scratch(spark).removeprefix("file:"))
+    before = set(made.glob("*"))
+    rows = pipeline.run(spark, SF_DIR)
+    # The results of four stages, and the pieces that the last plan reads.
+    assert len(set(made.glob("*")) - before) == 5
+    assert rows.count() > 0
+
+
 def test_toxic_documents_go(spark):
     sf = "/root/testdata/sf0.1"
     docs = spark.read.parquet(f"{sf}/documents.parquet")

@@ -43,8 +43,13 @@ def check_slots(rows):
 
 
 def test_odd_rows(spark, odd_docs, odd_rows):
-    out = sharding.shard(odd_docs.drop("shard", "_row"), ["doc_id"], 4)
+    docs = odd_docs.drop("shard")
+    for name in ("_key", "_bucket", "_in", "_start", "_size", "row", "hash"):
+        docs = docs.withColumn(name, docs["score"])
+    out = sharding.shard(docs, ["doc_id"], 4)
+    assert out.columns == [*docs.columns, "shard", "grown_shard", "slot"]
     rows = out.collect()
+    assert all(r._row == r._key == r._bucket == r._in == r._start == r.row == r.score for r in rows)
     assert Counter((r.doc_id, r.text) for r in rows) == Counter((r[0], r[1]) for r in odd_rows)
     assert len({(r.doc_id, r.shard) for r in rows}) == len({r[0] for r in odd_rows})
     check_slots(rows)
