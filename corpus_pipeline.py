@@ -8,12 +8,14 @@ so a lost executor costs tasks, not stages.
 
 from __future__ import annotations
 
+from functools import partial
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chartfold.llm import jaccard, language, packing, secrets, toxicity
-from chartfold.shared import settled
+from chartfold.shared import settled_from
 
 # Documents with more words of no learned language than this share go.
 MOST_UNKNOWN = 0.8
@@ -68,5 +70,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
-        docs = settled(stage(spark, docs, sf_dir))
+        # What a stage settles on its way goes as soon as its result is written.
+        docs = settled_from(spark, partial(stage, spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)
