@@ -4,15 +4,14 @@ of the urls below them. DataFrame functions only."""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chartfold.shared import settled
 
-# Segments that templates tell apart; what follows is one branch.
-DEPTH = 8
-WILD, MERGED, REST = "*", "~", "**"
+WILD, MERGED = "*", "~"
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -42,21 +41,23 @@ def listed(host: Column, path: Column, rules: Sequence[tuple[str, str, str]]) ->
     return F.lit(None).cast("struct<rule: string, verdict: string>") if out is None else out
 
 
-def shape_of(path: Column) -> Column:
-    """The path's segments with what looks variable replaced: numbers, hex
-    strings and long strings."""
-    segments = F.filter(F.split(path, "/"), lambda s: s != "")
+def look_of(segment: Column) -> Column:
+    """The segment with what looks variable replaced: numbers, hex strings and
+    long strings."""
+    hexed = segment.rlike("^(?=.*[0-9])[0-9a-fA-F-]{8,}$") & ~segment.rlike("^[0-9]+$")
+    return (
+        F.when(hexed, F.lit("{hex}"))
+        .when(F.length(segment) > 40, F.lit("{long}"))
+        .otherwise(F.regexp_replace(segment, "[0-9]+", "{n}"))
+    )
 
-    def plain(s: Column) -> Column:
-        hexed = s.rlike("^(?=.*[0-9])[0-9a-fA-F-]{8,}$") & ~s.rlike("^[0-9]+$")
-        return (
-            F.when(hexed, F.lit("{hex}"))
-            .when(F.length(s) > 40, F.lit("{long}"))
-            .otherwise(F.regexp_replace(s, "[0-9]+", "{n}"))
-        )
 
-    kept = F.transform(F.slice(segments, 1, DEPTH), plain)
-    return F.when(F.size(segments) > DEPTH, F.concat(kept, F.array(F.lit(REST)))).otherwise(kept)
+def segments_of(path: Column) -> Column:
+    """The path's segments; those that read like a mark of a template are escaped."""
+    marks = F.create_map(F.lit(WILD), F.lit("%2A"), F.lit(MERGED), F.lit("%7E"))
+    return F.transform(
+        F.filter(F.split(path, "/"), lambda s: s != ""), lambda s: F.coalesce(F.try_element_at(marks, s), s)
+    )
 
 
 def templates(
@@ -67,98 +68,171 @@ def templates(
     z: float = 2.0,
     weight: float = 10.0,
 ) -> DataFrame:
-    """The template of every host and shape of a path, with the labels and the
+    """The template of every host and list of segments, with the labels and the
     smoothed purity of the template.
 
     `urls` has host, path and `bad` (true, false, or NULL for no label). It is
-    counted by host and shape first; the tree is grown on these counts, from
-    the root of each host down:
+    counted by host and path first; the tree is grown on these counts, from
+    the root of each host down. A group deviates from another if it has
+    `support` labels and their shares of bad ones differ by `z` standard errors.
+    - a segment becomes what it looks like (`{n}`, `{hex}`, `{long}`), unless it
+      deviates from the node's other segments of that look;
     - a segment of a node with more than `max_children` children becomes `*`
-      if it has less than `min_share` of the node's urls, unless it has
-      `support` labels and its share of bad ones differs from that of the rest
-      of the node by `z` standard errors;
+      if it has less than `min_share` of the node's urls, unless it deviates
+      from the rest of the node;
     - siblings whose share of bad labels differs from their parent's by less
       than `z` standard errors, or that have fewer than `support` labels, are
       merged as `~`;
     - a branch's purity is its share of bad labels, smoothed by `weight` labels
-      at the purity of its parent, a host's by the share over all urls.
+      at the purity of its parent, a host's by the share over all urls. A
+      branch with all labels of its parent keeps the parent's purity.
+    A node whose labels are all alike, or no more than `support`, cannot be
+    parted further; its template ends with what the next segments look like.
+    Segments that all urls of a node have in common are passed in one step, so
+    there are as many rounds as there are forks on a path, however long it is.
     """
     one = F.lit(1)
-    state = settled(
-        urls.select("host", shape_of(F.col("path")).alias("shape"), F.col("bad").cast("int").alias("bad"))
-        .groupBy("host", "shape")
+    counted = settled(
+        urls.select("host", segments_of(F.col("path")).alias("segments"), F.col("bad").cast("int").alias("bad"))
+        .groupBy("host", "segments")
         .agg(F.count(one).alias("n"), F.count("bad").alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
     )
-    total = state.agg(F.sum("labelled").alias("l"), F.sum("bad").alias("b"), F.max(F.size("shape")).alias("d")).first()
+    total = counted.agg(F.sum("labelled").alias("l"), F.sum("bad").alias("b")).first()
     prior = (total["b"] or 0) / total["l"] if total["l"] else 0.0
-    sums = [F.sum(c).alias(c) for c in ("n", "labelled", "bad")]
+    names = ("n", "labelled", "bad")
+    sums = [F.sum(c).alias(c) for c in names]
+    ends = [F.min("first").alias("first"), F.max("last").alias("last")]
 
     def smoothed(above) -> Column:
         return (F.col("bad") + weight * above) / (F.col("labelled") + F.lit(weight))
 
-    hosts = state.groupBy("host").agg(*sums).select("host", smoothed(F.lit(prior)).alias("purity"))
-    state = settled(state.join(hosts, "host").withColumn("template", F.lit("")))
-    # A segment against the rest of its node, by the pooled share of bad labels.
-    pooled = F.try_divide(F.col("_bad"), F.col("_labelled"))
-    others = F.col("_labelled") - F.col("labelled")
-    apart = F.abs(
-        F.try_divide(F.col("bad"), F.col("labelled")) - F.try_divide(F.col("_bad") - F.col("bad"), others)
+    def node(purity: Column) -> list[Column]:
+        """What is said of a node: purity, whether it can be parted, and the
+        segments that all its urls have in common next: those that the first
+        and the last one in order share."""
+        same = F.transform(F.arrays_zip("first", "last"), lambda x: F.coalesce(x["first"] == x["last"], F.lit(False)))
+        differs = F.array_position(same, F.lit(False)).cast("int")
+        common = F.when(differs > 0, F.slice("first", F.lit(1), differs - 1)).otherwise(F.col("first"))
+        mixed = (F.col("labelled") > support) & (F.col("bad") > 0) & (F.col("bad") < F.col("labelled"))
+        live = mixed & (F.col("first") != F.col("last"))
+        return [
+            purity.alias("node_purity"),
+            live.alias("node_live"),
+            F.when(live, common).otherwise(F.array().cast("array<string>")).alias("common"),
+        ]
+
+    def entered(template: Column) -> Column:
+        return F.concat_ws("/", template, "common")
+
+    hosts = (
+        counted.groupBy("host")
+        .agg(*sums, F.min("segments").alias("first"), F.max("segments").alias("last"))
+        .select(F.col("host").alias("_host"), *node(smoothed(F.lit(prior))))
     )
-    spread = F.sqrt(pooled * (1 - pooled) * (F.try_divide(one, F.col("labelled")) + F.try_divide(one, others)))
-    deviates = F.coalesce((F.col("labelled") >= support) & (apart > z * spread), F.lit(False))
-    for level in range(total["d"] or 0):
-        here = state.withColumn("seg", F.get("shape", F.lit(level)))
-        at = ["host", "template"]
-        children = here.filter(F.col("seg").isNotNull()).groupBy(*at, "seg").agg(*sums, F.first("purity").alias("above"))
-        children = settled(children)
-        parents = children.groupBy(*at).agg(
-            F.count(one).alias("_kids"), *(F.sum(c).alias(f"_{c}") for c in ("n", "labelled", "bad"))
+    # rest: the segments below the node that the row is at.
+    state = settled(
+        counted.join(hosts, F.col("host") == F.col("_host")).select(
+            "host",
+            "segments",
+            *names,
+            F.slice("segments", F.size("common") + 1, F.size("segments")).alias("rest"),
+            F.col("node_purity").alias("purity"),
+            F.col("node_live").alias("live"),
+            entered(F.lit("")).alias("template"),
         )
-        wild = (F.col("_kids") > max_children) & (F.col("n") < min_share * F.col("_n")) & ~deviates
-        named = children.join(parents, at).withColumn("branch", F.when(wild, WILD).otherwise(F.col("seg")))
-        branches = settled(
-            named.groupBy(*at, "branch").agg(
-                *sums, F.first("above").alias("above"), F.first("_labelled").alias("_labelled"), F.first("_bad").alias("_bad")
+    )
+    done = [state.filter(~F.col("live"))]
+
+    def deviates(of: str) -> Column:
+        """Does a group differ from the rest of the larger one, by the pooled share?"""
+        all_bad, all_labelled = F.col(f"_{of}_bad"), F.col(f"_{of}_labelled")
+        pooled = F.try_divide(all_bad, all_labelled)
+        others = all_labelled - F.col("labelled")
+        rate, rest = F.try_divide(F.col("bad"), F.col("labelled")), F.try_divide(all_bad - F.col("bad"), others)
+        spread = F.sqrt(pooled * (1 - pooled) * (F.try_divide(one, F.col("labelled")) + F.try_divide(one, others)))
+        return F.coalesce((F.col("labelled") >= support) & (F.abs(rate - rest) > z * spread), F.lit(False))
+
+    at = ["host", "template"]
+    while not (here := state.filter("live")).isEmpty():
+        here = here.withColumn("seg", F.get("rest", F.lit(0)))
+        below = F.slice("rest", 2, F.greatest(F.size("rest"), one))
+        children = settled(
+            here.filter(F.col("seg").isNotNull())
+            .withColumn("below", below)
+            .groupBy(*at, "seg")
+            .agg(*sums, F.first("purity").alias("above"), F.min("below").alias("first"), F.max("below").alias("last"))
+            .withColumn("look", look_of(F.col("seg")))
+        )
+        looks = children.groupBy(*at, "look").agg(*(F.sum(c).alias(f"_look_{c}") for c in names))
+        named = settled(
+            children.join(looks, [*at, "look"]).withColumn(
+                "name", F.when(deviates("look"), F.col("seg")).otherwise(F.col("look"))
             )
         )
+        kinds = named.groupBy(*at, "name").agg(*sums, F.first("above").alias("above"), *ends)
+        parents = children.groupBy(*at).agg(*(F.sum(c).alias(f"_node_{c}") for c in names))
+        width = kinds.groupBy(*at).agg(F.count(one).alias("_kids"))
+        wild = (F.col("_kids") > max_children) & (F.col("n") < min_share * F.col("_node_n")) & ~deviates("node")
+        kinds = settled(
+            kinds.join(parents, at).join(width, at).withColumn("branch", F.when(wild, WILD).otherwise(F.col("name")))
+        )
+        branches = kinds.groupBy(*at, "branch").agg(
+            *sums, F.first("_node_labelled").alias("_node_labelled"), F.first("_node_bad").alias("_node_bad")
+        )
         siblings = branches.groupBy(*at).agg(F.count(one).alias("_siblings"))
-        rate = F.try_divide(F.col("_bad"), F.col("_labelled"))
+        rate = F.try_divide(F.col("_node_bad"), F.col("_node_labelled"))
         error = F.sqrt(F.try_divide(rate * (1 - rate), F.col("labelled")))
         alike = (F.col("labelled") < support) | (
             F.abs(F.try_divide(F.col("bad"), F.col("labelled")) - rate) <= z * error
         )
-        merged = branches.join(siblings, at).withColumn(
-            "into", F.when((F.col("_siblings") > 1) & F.coalesce(alike, F.lit(True)), MERGED).otherwise(F.col("branch"))
+        into = F.when((F.col("_siblings") > 1) & F.coalesce(alike, F.lit(True)), MERGED).otherwise(F.col("branch"))
+        merged = branches.join(siblings, at).select(*at, "branch", into.alias("into"))
+        kinds = settled(kinds.join(merged, [*at, "branch"]))
+        whole = F.col("labelled") == F.col("_node_labelled")
+        nodes = (
+            kinds.groupBy(*at, "into")
+            .agg(*sums, F.first("above").alias("above"), F.first("_node_labelled").alias("_node_labelled"), *ends)
+            .select(*at, "into", *node(F.when(whole, F.col("above")).otherwise(smoothed(F.col("above")))))
         )
-        merged = settled(merged.select(*at, "branch", "into", "n", "labelled", "bad", "above"))
-        nodes = merged.groupBy(*at, "into").agg(*sums, F.first("above").alias("above"))
-        nodes = nodes.select(*at, "into", smoothed(F.col("above")).alias("node_purity"))
         steps = (
-            named.select(*at, "seg", "branch")
-            .join(merged.select(*at, "branch", "into"), [*at, "branch"])
+            named.select(*at, "seg", "name")
+            .join(kinds.select(*at, "name", "into"), [*at, "name"])
             .join(nodes, [*at, "into"])
-            .select(*at, "seg", "into", "node_purity")
+            .select(*(F.col(c).alias(f"_{c}") for c in (*at, "seg")), "into", "node_purity", "node_live", "common")
         )
-        moved = here.join(steps, [*at, "seg"], "left")
+        same = (F.col("host") == F.col("_host")) & (F.col("template") == F.col("_template")) & (F.col("seg") == F.col("_seg"))
+        stays = F.col("into").isNull()
         state = settled(
-            moved.select(
+            here.join(steps, same, "left").select(
                 "host",
-                "shape",
-                "n",
-                "labelled",
-                "bad",
+                "segments",
+                *names,
+                F.when(stays, F.col("rest"))
+                .otherwise(F.slice("rest", F.coalesce(F.size("common"), one) + 2, F.size("rest") + 1))
+                .alias("rest"),
                 F.coalesce("node_purity", "purity").alias("purity"),
-                F.when(F.col("into").isNull(), F.col("template"))
-                .otherwise(F.concat_ws("/", "template", "into"))
+                F.coalesce("node_live", F.lit(False)).alias("live"),
+                F.when(stays, F.col("template"))
+                .otherwise(entered(F.concat_ws("/", "template", "into")))
                 .alias("template"),
             )
         )
-    leaves = state.groupBy("host", "template").agg(
-        *(F.sum(c).alias(f"template_{c}") for c in ("labelled", "bad"))
+        done.append(state.filter(~F.col("live")))
+    leaves = settled(reduce(DataFrame.unionAll, done).withColumn("next", look_of(F.get("rest", F.lit(0)))))
+    ended = leaves.groupBy(*at).agg(
+        *(F.sum(c).alias(f"template_{c}") for c in ("labelled", "bad")),
+        F.min("next").alias("_least"),
+        F.max("next").alias("_most"),
     )
+    tail = F.when(F.col("_least") == F.col("_most"), F.col("_least")).when(F.col("_least").isNotNull(), WILD)
     return settled(
-        state.join(leaves, ["host", "template"]).select(
-            "host", "shape", "template", "template_labelled", "template_bad", "purity"
+        leaves.select(*at, "segments", "purity").join(ended, at).select(
+            "host",
+            "segments",
+            F.concat_ws("/", "template", tail).alias("template"),
+            "template_labelled",
+            "template_bad",
+            "purity",
         )
     )
 
@@ -189,8 +263,8 @@ def judge(
         worst = labels.select("page_id", "bad").dropna().groupBy("page_id").agg(F.max("bad").alias("bad"))
         known = parsed.join(worst, "page_id", "left")
     tree = templates(known, support=support, **options).withColumnRenamed("host", "_host")
-    shaped = parsed.withColumn("_shape", shape_of(F.col("path")))
-    found = shaped.join(tree, (F.col("host") == F.col("_host")) & (F.col("_shape") == F.col("shape")), "left")
+    parted = parsed.withColumn("_segments", segments_of(F.col("path")))
+    found = parted.join(tree, (F.col("host") == F.col("_host")) & (F.col("_segments") == F.col("segments")), "left")
     rejected = (F.col("template_labelled") >= support) & (F.col("purity") >= reject)
     found = found.withColumn("_listed", listed(F.col("host"), F.col("path"), rules))
     return found.select(

@@ -76,3 +76,41 @@ def test_no_python_on_executors(spark, capsys):
     queries.op1_urls(spark, SF).explain()
     plan = capsys.readouterr().out
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def verdicts(spark, made, labelled):
+    pages = spark.createDataFrame([(i, u) for i, (u, _) in enumerate(made)], "page_id bigint, url string")
+    labels = spark.createDataFrame([(i, b) for i, (_, b) in enumerate(made) if labelled(i)], "page_id bigint, bad boolean")
+    return sorted(urls.judge(pages, [], labels).collect())
+
+
+def test_directories_that_part_at_any_depth(spark):
+    """At segment 13 behind a common start, and behind forks above it."""
+    start = "/".join("abcdefghijkl")
+    made = [(f"s://h/{start}/{'bad' if k % 3 == 0 else 'good'}/page{k}", k % 3 == 0) for k in range(300)]
+    made += [(f"s://g/{'xyz'[k % 3]}/{start}/{'bad' if k % 2 else 'good'}/page{k}", bool(k % 2)) for k in range(300)]
+    rows = verdicts(spark, made, lambda i: i % 5 < 3)
+    assert [r.verdict for r in rows] == ["block" if b else "allow" for _, b in made]
+
+
+def test_numbers_that_tell_labels_apart_stay(spark):
+    made = [(f"s://h/{2019 + k % 2}/page{k}", k % 2 == 0) for k in range(300)]
+    made += [(f"s://g/v{k % 9}/item{k}", False) for k in range(100)] + [("s://g/x", True)] * 8
+    rows = verdicts(spark, made, lambda i: i % 5 < 3 or i >= 400)
+    assert [r.verdict for r in rows[:400]] == ["block" if b else "allow" for _, b in made[:400]]
+    assert {r.template for r in rows[:300:2]} == {"/2019/page{n}"}
+    assert {r.template for r in rows[300:400]} == {"/v{n}/item{n}"}
+
+
+def test_purity_is_smoothed_once_per_labels(spark):
+    """Segments that part nothing do not count the same labels again."""
+    made = [(f"s://h/a/{'b' if k < 8 else 'c'}/d{k}/e/f", k < 8) for k in range(16)]
+    rows = verdicts(spark, made, lambda i: True)
+    host = (8 + 10 * 0.5) / (16 + 10)
+    assert {round(r.purity, 9) for r in rows[:8]} == {round((8 + 10 * host) / 18, 9)}
+
+
+def test_segments_that_read_like_marks(spark):
+    made = [(f"s://h/{s}/p{k}", s == "*") for k in range(40) for s in ("*", "~", "u", "v")]
+    rows = verdicts(spark, made, lambda i: True)
+    assert [r.verdict for r in rows] == ["block" if b else "allow" for _, b in made]
