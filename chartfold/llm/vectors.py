@@ -10,16 +10,17 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chartfold.llm.common import numbered
 from chartfold.llm.components import components, forest
 from chartfold.shared import send_by_value, settled
 
 send_by_value(__name__)
 
-# Vectors that the codebooks are fitted on, at most.
+# Vectors that the codebooks are fitted on, and more if words get fewer than so many.
 SAMPLE = 8_000
-# Vectors in a cell of the grid, about, and words of a codebook, at most.
+PER_WORD = 8
+# Vectors in a cell of the grid, about.
 OCCUPANCY = 256
-WORDS = 256
 # Members and probes of a cell that meet in one task, at most.
 BLOCK = 1_000
 
@@ -58,12 +59,18 @@ class MultiIndex:
         return (words[0] * len(self.second) + words[1]).astype(np.int32)
 
 
+def words_for(total: int) -> int:
+    """Words of each codebook, so that the cells grow with the vectors."""
+    return max(2, round((total / OCCUPANCY) ** 0.5))
+
+
 def _codebook(points: np.ndarray, words: int, random: np.random.Generator, rounds: int = 15) -> np.ndarray:
     """k-means; a word that loses all points stays where it was."""
     book = points[random.choice(len(points), min(words, len(points)), replace=False)]
     for _ in range(rounds):
-        d = (book * book).sum(1)[None, :] - 2 * points @ book.T
-        near = d.argmin(axis=1)
+        norms = (book * book).sum(1)[None, :]
+        # By blocks, as the words grow with the points.
+        near = np.concatenate([(norms - 2 * part @ book.T).argmin(axis=1) for part in _blocks(points)])
         size = np.bincount(near, minlength=len(book))
         total = np.zeros_like(book)
         np.add.at(total, near, points)
@@ -71,6 +78,10 @@ def _codebook(points: np.ndarray, words: int, random: np.random.Generator, round
     return book
 
 
+def _blocks(points: np.ndarray, size: int = 1_000) -> list[np.ndarray]:
+    return [points[start : start + size] for start in range(0, len(points), size)]
+
+
 def fit(unit: np.ndarray, words: int, threshold: float, recall: float, seed: int = 5) -> MultiIndex:
     """Codebooks of a sample of unit vectors, and the visits that reach `recall`.
 
@@ -86,8 +97,12 @@ def fit(unit: np.ndarray, words: int, threshold: float, recall: float, seed: int
     aside -= (aside * asked).sum(1)[:, None] * asked
     length = np.linalg.norm(aside, axis=1, keepdims=True)
     moved = threshold * asked + np.sqrt(1 - threshold**2) * aside / np.where(length > 0, length, 1)
-    similar = asked @ unit.T
-    a, b = np.nonzero((similar >= threshold) & (similar < 1 - 1e-12))
+    pairs = []
+    for start, part in enumerate(_blocks(asked, 100)):
+        similar = part @ unit.T
+        i, j = np.nonzero((similar >= threshold) & (similar < 1 - 1e-12))
+        pairs.append((i + 100 * start, j))
+    a, b = (np.concatenate(ends) for ends in zip(*pairs, strict=True))
     cells = len(index.first) * len(index.second)
     needed = 1
     for x, y in ((asked, moved), (asked[a], unit[b])):
@@ -114,6 +129,11 @@ def _padded(vectors: list[np.ndarray], size: int) -> np.ndarray:
     return out
 
 
+def _arrays(embeddings: DataFrame) -> list[np.ndarray]:
+    """The vectors of a bounded table of one column, eight bytes a number."""
+    return [v.values.to_numpy() for chunk in embeddings.toArrow().column(0).chunks for v in chunk]
+
+
 def _unit(vectors: np.ndarray) -> np.ndarray:
     # Scaled first, so that squares of very large or small parts stay finite.
     vectors = vectors / np.abs(vectors).max(axis=1, keepdims=True)
@@ -128,7 +148,8 @@ def near_duplicates(
     `vectors` has vec_id, embedding (array of numbers) and label. Vectors of
     equal, non-NULL label and of equal length are linked if the cosine of what
     the index finds is at least `threshold`, in double precision; all vectors
-    are indexed. `component_id` is the smallest vec_id reachable by links.
+    are indexed; the codebooks are fitted on `sample` of them, or 8 per word if
+    these are more (a word for 16 sqrt(n): 50,000 of 10 billion). `component_id` is the smallest vec_id reachable by links.
     Vectors that are NULL, empty, zero or hold a NULL or a part that is not
     finite, and such without id or label, link with nothing and are their own
     component. Equal vectors are searched once and all counted; repeated rows
@@ -149,19 +170,19 @@ def near_duplicates(
     marked = rows.withColumn("_fit", F.coalesce(fit_for, F.lit(False))).withColumns(
         {"_h1": F.xxhash64("embedding"), "_h2": F.xxhash64(F.lit(1), "embedding")}
     )
-    groups = settled(
-        marked.filter("_fit").groupBy(*keys).agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
-    )
-    # Only one vector of each group goes on, found by its number.
-    single = marked.filter("_fit").join(groups, keys).filter(F.col("vec_id") == F.col("rep"))
+    groups = marked.filter("_fit").groupBy(*keys).agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("copies"))
+    # Groups of different vectors may have one vec_id, so they get numbers.
+    groups = numbered(groups, "rep")
+    # Only one vector of each group goes on.
+    single = marked.filter("_fit").join(groups, keys).filter(F.col("vec_id") == F.col("least"))
     single = single.dropDuplicates(["rep"]).select(
         "rep", "label", "embedding", F.size("embedding").alias("size"), "copies"
     )
     single = settled(single)
     total = single.count()
-    chosen = [
-        np.array(r["embedding"]) for r in single.orderBy(F.xxhash64("rep"), "rep").limit(sample).select("embedding").collect()
-    ]
+    words = words_for(total)
+    drawn = single.orderBy(F.xxhash64("embedding"), "rep").limit(max(sample, PER_WORD * words))
+    chosen = _arrays(drawn.select("embedding"))
     if not chosen:
         return rows.select(
             "vec_id",
@@ -170,7 +191,6 @@ def near_duplicates(
             F.col("vec_id").isNotNull().alias("kept"),
         )
     width = max(2, max(map(len, chosen)))
-    words = int(min(WORDS, max(2, round((total / OCCUPANCY) ** 0.5))))
     index = fit(_unit(_padded(chosen, width)), words, threshold, recall)
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -246,8 +266,8 @@ def near_duplicates(
             # The member finds the prober itself, unless it does not visit its cell.
             unseen = ~(m_probes[j] == home[i][:, None]).any(axis=1)
             np.add.at(m_links, j[unseen], p_copies[i[unseen]])
-            linked = np.concatenate((np.arange(len(reps)), p_at[i])), np.concatenate((root, m_at[j]))
-            root = forest(len(reps), *linked)
+            ends = np.concatenate((np.arange(len(reps)), p_at[i])), np.concatenate((root, m_at[j]))
+            root = forest(len(reps), *ends)
         links = np.zeros(len(reps), np.int64)
         np.add.at(links, p_at, p_links)
         np.add.at(links, m_at, m_links)
@@ -257,13 +277,21 @@ def near_duplicates(
     met = settled(both.groupBy(*cell, "_mb", "_pb").applyInPandas(verify, "rep bigint, links bigint, low bigint"))
     counts = met.groupBy("rep").agg(F.sum("links").alias("links"))
     joined = components(met.select(F.col("rep").alias("u"), F.col("low").alias("v")))
+    linked = settled(counts.join(joined, F.col("rep") == F.col("node"), "left").select("rep", "links", "component"))
+    # The smallest vec_id of each component, whose number says nothing of it.
+    lowest = settled(
+        linked.join(groups.select(F.col("rep").alias("_rep"), "least"), F.col("rep") == F.col("_rep"))
+        .groupBy("component")
+        .agg(F.min("least").alias("lowest"))
+        .withColumnRenamed("component", "_component")
+    )
     found = settled(
-        counts.join(joined, F.col("rep") == F.col("node"), "left").select(
-            F.col("rep").alias("_rep"), "links", "component"
+        linked.join(lowest, F.col("component") == F.col("_component"), "left").select(
+            F.col("rep").alias("_rep"), "links", "lowest"
         )
     )
     wide = marked.select("vec_id", "_fit", *keys).join(
-        groups.select(*(F.col(k).alias(f"_of{k}") for k in keys), "rep", "copies"),
+        groups.select(*(F.col(k).alias(f"_of{k}") for k in keys), "rep", "least", "copies"),
         F.col("_fit")
         & (F.col("label") == F.col("_oflabel"))
         & (F.col("_h1") == F.col("_of_h1"))
@@ -271,7 +299,7 @@ def near_duplicates(
         "left",
     )
     wide = wide.join(found, F.col("rep") == F.col("_rep"), "left")
-    component = F.coalesce("component", "rep", "vec_id")
+    component = F.coalesce("lowest", "least", "vec_id")
     return wide.select(
         "vec_id",
         (F.coalesce("links", F.lit(0)) + F.coalesce("copies", F.lit(1)) - 1).cast("bigint").alias("n_links"),
