@@ -6,7 +6,7 @@ from __future__ import annotations
 import math
 import re
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -38,10 +38,15 @@ FORMS = (
 RANDOM = "random"
 KINDS = (*(f[0] for f in FORMS), RANDOM)
 
-# What may be a secret of no known form: 20 and more characters of base64 or its
-# like, of which some are letters and some are digits.
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}")
-_MIXED = re.compile(r"[0-9].*[A-Za-z]|[A-Za-z].*[0-9]")
+# What is tested: 12 and more characters of base64 or its like.
+CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{12,}={0,2}")
+# Ordinary ones consist of words in a usual case and numbers, either one to each
+# part, or of four characters on average (random strings: about two). They are
+# no secrets, but tell how random ordinary strings of a length look.
+_ATOM = re.compile(r"[0-9]+|[A-Z]?[a-z]+|[A-Z]+")
+_PARTS = re.compile(r"(?>[0-9]+|[A-Z]?[a-z]+|[A-Z]*)(?:[+/_-](?>[0-9]+|[A-Z]?[a-z]+|[A-Z]*))*=*")
+# Results of the battery that a task keeps for strings that come again.
+CACHE = 100_000
 
 _DIGITS, _UPPER, _LOWER = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Encodings by alphabet; the first that holds all characters is inferred.
@@ -130,50 +135,97 @@ def known_spans(text: str) -> list[tuple[int, int, str]]:
     return [(start, end, kind) for start, _, end, kind in sorted(spans)]
 
 
-def _candidates(text: str, known: list[tuple[int, int, str]]) -> list[dict[str, int]]:
-    """Strings apart from the known spans that may be secrets, with the bins of
-    their length and p-value and a 128-bit hash."""
-    found = []
+def ordinary(token: str) -> bool:
+    atoms = _ATOM.findall(token)
+    return 4 * len(atoms) <= sum(map(len, atoms)) or _PARTS.fullmatch(token) is not None
+
+
+def _tested(token: str) -> dict:
+    name, p = battery(token)
+    return {
+        "stratum": stratum(name, len(token)),
+        "p_bin": min(P_BINS - 1, int(p * P_BINS)),
+        "key": xxhash.xxh3_128_digest(token),
+        "ordinary": ordinary(token),
+    }
+
+
+def _candidates(text: str, known: list[tuple[int, int, str]], cache: dict[str, dict]) -> list[dict]:
+    """Strings that do not lie in a known span, with the bins of their length
+    and p-value and a 128-bit hash. One that overlaps a known span, or has one
+    inside, is tested as a whole."""
+    found, at, reach = [], 0, 0
     for m in CANDIDATE.finditer(text):
         token, (start, end) = m.group(), m.span()
-        if _MIXED.search(token) and not any(s < end and start < e for s, e, _ in known):
-            name, p = battery(token)
-            p_bin = min(P_BINS - 1, int(p * P_BINS))
-            key = xxhash.xxh3_128_digest(token)
-            found.append({"start": start, "end": end, "stratum": stratum(name, end - start), "p_bin": p_bin, "key": key})
+        # The known spans are in order of their starts.
+        while at < len(known) and known[at][0] <= start:
+            reach = max(reach, known[at][1])
+            at += 1
+        if end <= reach:
+            continue
+        if token not in cache:
+            if len(cache) >= CACHE:
+                cache.clear()
+            cache[token] = _tested(token)
+        found.append({"start": start, "end": end, **cache[token]})
     return found
 
 
 def _scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    cache: dict[str, dict] = {}
     for batch in batches:
         known, extra = [], []
         for text in batch["text"]:
             spans = known_spans(text)
             known.append([{"start": s, "end": e, "kind": k} for s, e, k in spans])
-            extra.append(_candidates(text, spans))
+            extra.append(_candidates(text, spans, cache))
         yield pd.DataFrame({"doc_id": batch["doc_id"], "known": known, "extra": extra})
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """Known spans of each text and, apart from these, candidates with the
-    bins of their length and p-value and a hash. Whole texts are read; NULL is empty; `doc_id` may be NULL."""
+    """Known spans of each text and the strings beside these, with the bins of
+    their length and p-value, a hash, and whether they are ordinary. Whole texts
+    are read; NULL is empty; `doc_id` may be NULL."""
     span = "start: bigint, end: bigint"
     sent = docs.select(F.col("doc_id").cast("string").alias("doc_id"), whole_text().alias("text"))
     return sent.mapInPandas(
         _scan,
         f"doc_id string, known array<struct<{span}, kind: string>>, "
-        f"extra array<struct<{span}, stratum: int, p_bin: int, key: binary>>",
+        f"extra array<struct<{span}, stratum: int, p_bin: int, key: binary, ordinary: boolean>>",
     ).withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
 
 
-def cuts(histogram: dict[int, np.ndarray], rate: float) -> dict[int, int]:
+def ordinary_share(counts: np.ndarray, shape: np.ndarray) -> float:
+    """The share of ordinary strings among `counts`, as a mixture of uniform
+    p-values and of the p-values that ordinary strings have (`shape`), by EM.
+
+    It starts near 1, where it stays if the two look alike and nothing can be told.
+    """
+    if not counts.sum():
+        return 1.0
+    bins = len(counts)
+    # One more string, of any p-value, so that none is impossible.
+    shape = (shape + 1 / bins) / (shape.sum() + 1)
+    share = 0.95
+    for _ in range(100):
+        of = share * shape / (share * shape + (1 - share) / bins)
+        share = float((counts * of).sum() / counts.sum())
+    return share
+
+
+def cuts(
+    histogram: dict[int, np.ndarray], rate: float, shapes: dict[int, np.ndarray] | None = None
+) -> dict[int, int]:
     """The least p-value bin, by stratum, from which on at most the share `rate`
     of candidates is expected not to be random.
 
-    Random strings have uniform p-values, so twice the count of the upper half
-    of the bins tells how many there are, and how many to expect above a cut;
-    what is above it beyond that is false. Ordinary strings gather near 0 the
-    more, the longer they are: short strings get a higher cut, by themselves.
+    Two estimates, of which the worse counts. Random strings have uniform
+    p-values, so twice the count of the upper half of the bins tells how many
+    there are, and how many to expect above a cut; what is above it beyond that
+    is false. And `shapes`, the counts of ordinary strings, tell how many of the
+    ordinary share of candidates lie above a cut. Ordinary strings gather near
+    0 the more, the longer they are: short strings get a higher cut, or none,
+    by themselves. Without ordinary strings all are taken to lie at 0.
     """
     found = {}
     for key, counts in histogram.items():
@@ -181,47 +233,53 @@ def cuts(histogram: dict[int, np.ndarray], rate: float) -> dict[int, int]:
         random = 2 * counts[bins // 2 :].sum()
         above = np.cumsum(counts[::-1])[::-1]
         expected = random * (1 - np.arange(bins) / bins)
-        false = np.maximum(0, above - expected) / np.maximum(1, above)
+        shape = (shapes or {}).get(key, np.zeros(bins))
+        if not shape.sum():
+            shape = np.eye(bins)[0] * POOL
+        mistaken = ordinary_share(counts, shape) * counts.sum() * np.cumsum(shape[::-1])[::-1] / shape.sum()
+        false = np.maximum(above - expected, mistaken).clip(0) / np.maximum(1, above)
         good = np.flatnonzero((false <= rate) & (above > 0))
         if len(good):
             found[key] = int(good[0])
     return found
 
 
-def pooled(histogram: dict[int, np.ndarray]) -> dict[int, np.ndarray]:
+def pooled(histogram: dict[int, np.ndarray], keys: Iterable[int] | None = None) -> dict[int, np.ndarray]:
     """Each stratum's counts; thin ones with those of the nearest lengths of
     their encoding until there are `POOL`, or of all strata if these are too few."""
     found = {}
-    for key, counts in histogram.items():
+    for key in histogram if keys is None else keys:
         length, encoding = divmod(key, len(ENCODINGS))
-        near: dict[int, np.ndarray] = defaultdict(lambda: np.zeros(len(counts)))
+        near: dict[int, np.ndarray] = defaultdict(lambda: np.zeros(P_BINS))
         for other, more in histogram.items():
             if other % len(ENCODINGS) == encoding:
                 near[abs(other // len(ENCODINGS) - length)] += more
-        total = np.zeros(len(counts))
+        total = np.zeros(P_BINS)
         for distance in sorted(near):
             if total.sum() < POOL:
                 total += near[distance]
-        found[key] = total if total.sum() >= POOL else sum(histogram.values())
+        found[key] = total if total.sum() >= POOL else sum(histogram.values(), np.zeros(P_BINS))
     return found
 
 
 def learn_cuts(scanned: DataFrame, rate: float = 0.05) -> dict[int, int]:
-    """The cuts over all distinct candidates, so that copies of one string weigh
-    no more than it: their counts by stratum and p-value bin, a table of bounded
-    size, are all that reaches the driver."""
-    histogram: dict[int, np.ndarray] = defaultdict(lambda: np.zeros(P_BINS))
-    bins = scanned.select(F.explode("extra").alias("x")).select("x.key", "x.stratum", "x.p_bin").distinct()
-    for r in bins.groupBy("stratum", "p_bin").count().collect():
-        histogram[r["stratum"]][r["p_bin"]] = r["count"]
-    return dict(sorted(cuts(pooled(histogram), rate).items()))
+    """The cuts over all distinct strings, so that copies of one weigh no more
+    than it: their counts by stratum and p-value bin, a table of bounded size,
+    are all that reaches the driver."""
+    counts: dict[bool, dict[int, np.ndarray]] = {o: defaultdict(lambda: np.zeros(P_BINS)) for o in (True, False)}
+    strings = scanned.select(F.explode("extra").alias("x")).select("x.key", "x.stratum", "x.p_bin", "x.ordinary")
+    for r in strings.distinct().groupBy("stratum", "p_bin", "ordinary").count().collect():
+        counts[r["ordinary"]][r["stratum"]][r["p_bin"]] = r["count"]
+    others = counts[False]
+    return dict(sorted(cuts(pooled(others), rate, pooled(counts[True], others)).items()))
 
 
 def find_secrets(docs: DataFrame, rate: float = 0.05) -> DataFrame:
     """One row per document: doc_id and `spans`, an array of (start, end, kind)
     ordered by start and kind: known forms, and strings found random.
 
-    The cuts of the p-values are set over all documents. Every document keeps
+    Random spans lie in no known one, but may hold or overlap some. The cuts of
+    the p-values are set over all documents. Every document keeps
     its row, also without a span; repeated rows are scanned one by one; columns
     other than doc_id and text are ignored.
     """
@@ -232,7 +290,7 @@ def find_secrets(docs: DataFrame, rate: float = 0.05) -> DataFrame:
         return F.array_position(F.array(*map(F.lit, KINDS)), kind).cast("int")
 
     random = F.transform(
-        F.filter("extra", lambda x: x["p_bin"] >= F.element_at(least, x["stratum"])),
+        F.filter("extra", lambda x: ~x["ordinary"] & (x["p_bin"] >= F.try_element_at(least, x["stratum"]))),
         lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), F.lit(RANDOM).alias("kind")),
     )
     spans = F.transform(
@@ -258,8 +316,9 @@ def redact(docs: DataFrame, rate: float = 0.05, mark: str = "[SECRET]") -> DataF
 
     @F.pandas_udf("string")
     def without(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        cache: dict[str, dict] = {}
         for texts in batches:
-            yield pd.Series([None if t is None else _redacted(t, least, mark) for t in texts], dtype=object)
+            yield pd.Series([None if t is None else _redacted(t, least, mark, cache) for t in texts], dtype=object)
 
     out = docs.withColumn("text", without(F.col("text")))
     if "n_chars" in docs.columns:
@@ -269,9 +328,13 @@ def redact(docs: DataFrame, rate: float = 0.05, mark: str = "[SECRET]") -> DataF
     return out
 
 
-def _redacted(text: str, least: dict[int, int], mark: str) -> str:
+def _redacted(text: str, least: dict[int, int], mark: str, cache: dict[str, dict]) -> str:
     known = known_spans(text)
-    random = [(x["start"], x["end"], RANDOM) for x in _candidates(text, known) if x["p_bin"] >= least.get(x["stratum"], P_BINS)]
+    random = [
+        (x["start"], x["end"], RANDOM)
+        for x in _candidates(text, known, cache)
+        if not x["ordinary"] and x["p_bin"] >= least.get(x["stratum"], P_BINS)
+    ]
     out, at = [], 0
     for start, end, _ in sorted(known + random):
         if start >= at:

@@ -1,4 +1,5 @@
 import hashlib
+import itertools
 import random
 import re
 from collections import Counter
@@ -110,3 +111,67 @@ def test_thin_strata_take_their_neighbours():
     assert at % len(secrets.ENCODINGS) == base62
     cut = secrets.cuts(secrets.pooled({at: plenty, at + len(secrets.ENCODINGS): single}), 0.05)
     assert cut[at + len(secrets.ENCODINGS)] > 0
+
+
+WORDS = ("".join(p) for p in itertools.product(("ander", "bein", "thing", "ment", "sch"), ("ation", "ver", "ingen"), ("lich", "tion", "keit", "ness")))
+
+
+def ordinary_text(choose, words):
+    """Long words, names with parts and numbers, and identifiers."""
+    word = choose.choice(words)
+    return choose.choice((word, word.capitalize(), f"{word}-{choose.randrange(99)}", f"{choose.choice(words)}_{word}"))
+
+
+def test_random_strings_of_any_length(spark):
+    """200 random strings each of 12 to 24 characters among ordinary long ones."""
+    choose, words = random.Random(9), list(WORDS)
+    made, planted = [], {}
+    for n in (12, 14, 16, 18, 20, 24):
+        for _ in range(200):
+            planted[len(made)] = n
+            key = "".join(choose.choices(secrets.ENCODINGS[5][1], k=n))
+            made.append(f"{key} and {ordinary_text(choose, words)} {ordinary_text(choose, words)} {ordinary_text(choose, words)}")
+    # Of these, the last has shorter parts than words have, and is a candidate.
+    tails = ("", "s2b", "Item", "A1b2C")
+    made += [" ".join(ordinary_text(choose, words) + choose.choice(tails) for _ in range(12)) for _ in range(400)]
+    spans = {r.doc_id: [s.start for s in r.spans if s.kind == "random"] for r in secrets.find_secrets(spark.createDataFrame(list(enumerate(made)), "doc_id bigint, text string")).collect()}
+    caught = Counter(n for i, n in planted.items() if 0 in spans[i])
+    assert all(caught[n] >= 150 for n in (12, 14, 16, 18, 20, 24)), caught
+    wrong = sum(s > 0 or i not in planted for i, starts in spans.items() for s in starts)
+    assert wrong <= 0.1 * sum(caught.values()), wrong
+
+
+def test_a_key_around_a_known_form_is_redacted_whole(spark):
+    choose = random.Random(10)
+    alphabet = secrets.ENCODINGS[5][1]
+    key = lambda n: "".join(choose.choices(alphabet, k=n))
+    made = [f"see {key(22)}0f1e2d3c4b5a69788796{key(22)} here" for _ in range(150)] + [f"a {key(40)} b" for _ in range(150)]
+    made += [f"token={key(30)} x" for _ in range(50)]
+    df = spark.createDataFrame(list(enumerate(made)), "doc_id bigint, text string")
+    texts = [r.text for r in secrets.redact(df).orderBy("doc_id").collect()]
+    # Where the whole key looks random, nothing of it stays; else the known form goes alone.
+    assert sum(t == "see [SECRET] here" for t in texts[:150]) > 100
+    assert all("[SECRET]" in t for t in texts[:150])
+    assert {t for t in texts[300:]} == {"[SECRET] x"}
+    spans = [r.spans for r in secrets.find_secrets(df).orderBy("doc_id").collect()]
+    assert all([s.kind for s in x] == ["assign"] for x in spans[300:])
+
+
+def test_ordinary_strings_set_the_cut():
+    """Two thirds of 900 candidates are as ordinary as the others of their length."""
+    shape = np.linspace(1, 0, 100) ** 3
+    counts = 3 + 600 * shape / shape.sum()
+    cut = secrets.cuts({1: counts}, 0.05, {1: 5000 * shape / shape.sum()})
+    above = slice(cut[1], None)
+    assert (counts - 3)[above].sum() <= 0.06 * counts[above].sum()
+    # What looks like ordinary strings is none, whatever its p-values are.
+    assert secrets.cuts({1: np.full(100, 10.0)}, 0.05, {1: np.full(100, 50.0)}) == {}
+    assert secrets.ordinary_share(np.zeros(100), shape) == 1.0
+
+
+def test_ordinary_strings():
+    for text in ("Informationstechnologie", "section-12-of-the-long-name", "/en/2020/page", "SCREAMING_SNAKE_CASE", "123456789012", "a+b/c-d_e==", "getElementByFullname", "longidentifiers2b", "------------"):
+        assert secrets.ordinary(text)
+    for text in ("aB3xYz91QwEr", "3f2504e0-4f89-11d3", "x1", "A1abcdefgh12x", "0f1e2d3c4b5a"):
+        assert not secrets.ordinary(text)
+    assert not secrets.ordinary("X-" * 5000 + "a1")
