@@ -27,6 +27,8 @@ STEPS = 1_500
 # them, if each are so many (fewer cannot tell), by so many tasks.
 PAIR_ROWS = 5
 PAIR_TASKS = 24
+# Documents whose terms are laid out at once.
+DOCS = 100
 # Letters of a word that are a term of their own.
 STEMS = (4, 5, 6)
 
@@ -47,15 +49,18 @@ def terms(text: str) -> set[int]:
 
 def _explode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        sets = [np.fromiter(terms(t), dtype=np.int64) for t in batch["text"]]
-        sizes = [len(s) for s in sets]
-        yield pd.DataFrame(
-            {
-                "row": np.repeat(batch["row"].to_numpy(), sizes),
-                "toxic": np.repeat(batch["toxic"].to_numpy(), sizes),
-                "term": np.concatenate(sets) if sets else np.array([], dtype=np.int64),
-            }
-        )
+        # Few documents at once: one of them may have as many terms as a thousand others.
+        for start in range(0, len(batch), DOCS):
+            part = batch.iloc[start : start + DOCS]
+            sets = [np.fromiter(terms(t), dtype=np.int64) for t in part["text"]]
+            sizes = [len(s) for s in sets]
+            yield pd.DataFrame(
+                {
+                    "row": np.repeat(part["row"].to_numpy(), sizes),
+                    "toxic": np.repeat(part["toxic"].to_numpy(), sizes),
+                    "term": np.concatenate(sets),
+                }
+            )
 
 
 @dataclass
@@ -153,25 +158,30 @@ def pair_signs(active: DataFrame, counts: DataFrame, labels: dict[int, int], pai
             docs += list(batch["terms"])
             toxic += list(batch["toxic"])
         toxic = np.array(toxic, dtype=bool)
-        of = np.concatenate(docs) if docs else np.array([], dtype=np.int32)
-        owner = np.repeat(np.arange(len(docs), dtype=np.int32), [len(d) for d in docs])
-        frequent = np.bincount(of, minlength=size)
-        bad = np.bincount(of[toxic[owner]] if docs else of, minlength=size)
-        mine = of % PAIR_TASKS == part
-        holders = owner[mine][np.argsort(of[mine], kind="stable")]
+
+        def tally(rows: np.ndarray) -> np.ndarray:
+            """How many of these documents hold each term."""
+            total = np.zeros(size, dtype=np.int64)
+            for start in range(0, len(rows), DOCS):
+                total += np.bincount(np.concatenate([docs[r] for r in rows[start : start + DOCS]]), minlength=size)
+            return total
+
+        frequent, bad = tally(np.arange(len(docs))), tally(np.flatnonzero(toxic))
+        own = [d[d % PAIR_TASKS == part] for d in docs]
+        owner = np.repeat(np.arange(len(docs), dtype=np.int32), [len(d) for d in own])
+        holders = owner[np.argsort(np.concatenate(own), kind="stable")] if own else owner
         starts = np.cumsum(frequent[part::PAIR_TASKS]) - frequent[part::PAIR_TASKS]
         best = np.zeros(size)
         for a, start in zip(range(part, size, PAIR_TASKS), starts):
             rows = holders[start : start + frequent[a]]
-            both = np.bincount(np.concatenate([docs[r] for r in rows]), minlength=size)
+            both = tally(rows)
             j = np.flatnonzero(both >= PAIR_ROWS)
             c11 = both[j]
             use = (j > a) & (frequent[a] - c11 >= PAIR_ROWS) & (frequent[j] - c11 >= PAIR_ROWS)
             j, c11 = j[use], c11[use]
             if not len(j):
                 continue
-            ill = rows[toxic[rows]]
-            b11 = np.bincount(np.concatenate([docs[r] for r in ill]), minlength=size)[j] if len(ill) else np.zeros(len(j))
+            b11 = tally(rows[toxic[rows]])[j]
             c10, c01 = frequent[a] - c11, frequent[j] - c11
             b10, b01 = bad[a] - b11, bad[j] - b11
             cells = (

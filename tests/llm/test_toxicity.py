@@ -66,3 +66,22 @@ def test_odd_rows(spark, odd_docs, odd_rows):
     for nothing in (toxicity.learn(odd_docs, labels.limit(0)), toxicity.learn(odd_docs.limit(0), labels)):
         assert toxicity.score(odd_docs, nothing).where("score >= 0.5").count() == 0
     assert toxicity.score(odd_docs.limit(0), model).count() == 0
+
+
+def test_score_against_the_sum_over_all_pairs():
+    random = np.random.default_rng(3)
+    model = toxicity.Model(np.arange(30), -0.4, random.normal(size=30), random.normal(size=(30, 4)))
+    for size in (0, 1, 2, 7, 30):
+        active = np.sort(random.choice(30, size, replace=False))
+        z = model.bias + sum(model.weights[i] for i in active)
+        z += sum(model.factors[i] @ model.factors[j] for i in active for j in active if i < j)
+        assert np.isclose(model.of(active), 1 / (1 + np.exp(-z)))
+
+
+def test_terms_of_few_documents_at_once(spark, corpus, monkeypatch):
+    import pandas as pd
+
+    batch = pd.DataFrame({"row": range(len(corpus)), "toxic": 0, "text": [t or "" for _, t in corpus]})
+    monkeypatch.setattr(toxicity, "DOCS", 7)
+    out = pd.concat(toxicity._explode(iter([batch, batch.iloc[:0]])))
+    assert Counter(zip(out["row"], out["term"])) == Counter((i, t) for i, text in enumerate(batch["text"]) for t in toxicity.terms(text))
