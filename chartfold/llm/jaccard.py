@@ -208,8 +208,8 @@ def classes(
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingles = Shingler(shingle)
         for batch in batches:
-            sets = [shingles(t) for t in batch["text"]]
-            batch["lanes"] = [signer.sign(s).tobytes() if len(s) else None for s in sets]
+            # One set at a time, as all of them take as much memory as the texts.
+            batch["lanes"] = [signer.sign(s).tobytes() if len(s) else None for s in map(shingles, batch["text"])]
             yield batch[["doc_id", "h1", "h2", "lanes"]]
 
     kind = docs.schema["doc_id"].dataType.simpleString()
