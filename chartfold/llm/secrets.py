@@ -46,7 +46,7 @@ CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{12,}={0,2}")
 _ATOM = re.compile(r"[0-9]+|[A-Z]?[a-z]+|[A-Z]+")
 _PARTS = re.compile(r"(?>[0-9]+|[A-Z]?[a-z]+|[A-Z]*)(?:[+/_-](?>[0-9]+|[A-Z]?[a-z]+|[A-Z]*))*=*")
 # Results of the battery that a task keeps for strings that come again.
-CACHE = 100_000
+CACHE = 10_000
 
 _DIGITS, _UPPER, _LOWER = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Encodings by alphabet; the first that holds all characters is inferred.
