@@ -6,6 +6,7 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import Any
 
 import numpy as np
 import pandas as pd
@@ -13,7 +14,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chartfold.llm.common import whole_text
+from chartfold.llm.common import numbered, ranked, whole_text
 from chartfold.shared import send_by_value, settled
 
 send_by_value(__name__)
@@ -24,9 +25,10 @@ TERMS = 4_096
 # Updates of the model at least, so that few rows are gone over more often.
 STEPS = 1_500
 # A pair of terms is judged by the documents with both, one and the other of
-# them, if each are so many (fewer cannot tell), by so many tasks.
+# them, if each are so many (fewer cannot tell); a group counts the pairs of two
+# blocks of so many terms (below 2^15).
 PAIR_ROWS = 5
-PAIR_TASKS = 24
+BLOCK = 16_384
 # Documents whose terms are laid out at once.
 DOCS = 100
 # Letters of a word that are a term of their own.
@@ -135,76 +137,105 @@ def fit(
     return Model(known, bias, weights, factors)
 
 
+def _tally(slices: list[np.ndarray], rows: np.ndarray) -> np.ndarray:
+    """How many of these documents hold each term of a block."""
+    total = np.zeros(BLOCK, dtype=np.int64)
+    for start in range(0, len(rows), DOCS):
+        total += np.bincount(np.concatenate([slices[r] for r in rows[start : start + DOCS]]), minlength=BLOCK)
+    return total
+
+
+def _effects(key: tuple[Any, ...], batches: Iterator[pd.DataFrame], n_all: int, n_bad: int) -> pd.DataFrame:
+    """The largest interaction of each term of two blocks with one of the other
+    block (or of its own): (at, _pair)."""
+    a, b = (int(k) for k in key)
+    toxic, xs, ys = [], [], []
+    for batch in batches:
+        toxic += list(batch["toxic"])
+        xs += list(batch["xs"])
+        ys += list(batch["ys"])
+    toxic = np.array(toxic, dtype=bool)
+    flat = np.concatenate(xs)
+    owner = np.repeat(np.arange(len(xs), dtype=np.int32), [len(x) for x in xs])
+    holders = owner[np.argsort(flat, kind="stable")]
+    held = np.bincount(flat, minlength=BLOCK)
+    starts = np.cumsum(held) - held
+    everything, is_bad = np.arange(len(ys)), np.flatnonzero(toxic)
+    have, have_bad = _tally(ys, everything), _tally(ys, is_bad)
+    best = np.zeros((2, BLOCK))
+    for i in np.flatnonzero(held):
+        rows = holders[starts[i] : starts[i] + held[i]]
+        marked = toxic[rows]
+        with_bad = _tally(ys, rows[marked])
+        both = with_bad + _tally(ys, rows[~marked])
+        j = np.flatnonzero((both >= PAIR_ROWS) & (have - both >= PAIR_ROWS) & (held[i] - both >= PAIR_ROWS))
+        if a == b:
+            j = j[j > i]
+        if not len(j):
+            continue
+        c11, b11 = both[j], with_bad[j]
+        c10, c01 = held[i] - c11, have[j] - c11
+        b10, b01 = marked.sum() - b11, have_bad[j] - b11
+        cells = (
+            (1, b11, c11),
+            (-1, b10, c10),
+            (-1, b01, c01),
+            (1, n_bad - b11 - b10 - b01, n_all - c11 - c10 - c01),
+        )
+        effect, variance = np.zeros(len(j)), np.zeros(len(j))
+        for sign, bad, count in cells:
+            r = (bad + 0.5) / (count + 1)
+            effect += sign * r
+            variance += r * (1 - r) / (count + 1)
+        z = np.abs(effect) / np.sqrt(variance)
+        best[0, i] = max(best[0, i], z.max())
+        best[1, j] = np.maximum(best[1, j], z)
+    at = np.concatenate((a * BLOCK + np.arange(BLOCK), b * BLOCK + np.arange(BLOCK)))
+    told = pd.DataFrame({"at": at, "_pair": best.ravel()})
+    return told[told["_pair"] > 0]
+
+
 def pair_signs(active: DataFrame, counts: DataFrame, labels: dict[int, int], pair_z: float) -> DataFrame:
     """Terms (term, _pair) that tell the label together with another: `_pair` is
     the largest interaction of a pair they are in, if it is at least `pair_z`.
 
     The interaction of two terms is r11 - r10 - r01 + r00, the shares of toxic
     documents among those with both, one, the other and none, in standard
-    errors of it. It is 0 where the terms' effects add up. Pairs are counted on
-    the executors, each task for its part of the terms against all others.
+    errors of it. It is 0 where the terms' effects add up. Terms are numbered
+    and parted into blocks; a document's terms are sent, block by block, to the
+    groups that count pairs of blocks. A group holds what the sample has of two
+    blocks, and there are as many groups as the number of terms asks for.
     """
-    spark = active.sparkSession
-    often = counts.filter(F.col("p") + F.col("n") >= 2 * PAIR_ROWS).select("term").toPandas()["term"]
-    known = np.sort(often.to_numpy(dtype=np.int64))
-    size, n_all, n_bad = len(known), len(labels), sum(labels.values())
-    numbers = spark.createDataFrame(pd.DataFrame({"term": known, "at": np.arange(size, dtype=np.int32)}), "term bigint, at int")
-    seen = active.join(F.broadcast(numbers), "term").groupBy("row").agg(F.first("toxic").alias("toxic"), F.collect_list("at").alias("terms"))
-
-    def judged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        part, docs, toxic = 0, [], []
+    often = counts.filter(F.col("p") + F.col("n") >= 2 * PAIR_ROWS).select("term")
+    numbers = settled(ranked(numbered(often), [], into="at").select("term", "at"))
+    blocks = math.ceil(numbers.count() / BLOCK)
+    n_all, n_bad = len(labels), sum(labels.values())
+    seen = active.join(numbers, "term").groupBy("row").agg(F.first("toxic").alias("toxic"), F.collect_list("at").alias("terms"))
+
+    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            part = int(batch["id"].iloc[0]) if len(batch) else part
-            docs += list(batch["terms"])
-            toxic += list(batch["toxic"])
-        toxic = np.array(toxic, dtype=bool)
-
-        def tally(rows: np.ndarray) -> np.ndarray:
-            """How many of these documents hold each term."""
-            total = np.zeros(size, dtype=np.int64)
-            for start in range(0, len(rows), DOCS):
-                total += np.bincount(np.concatenate([docs[r] for r in rows[start : start + DOCS]]), minlength=size)
-            return total
-
-        frequent, bad = tally(np.arange(len(docs))), tally(np.flatnonzero(toxic))
-        own = [d[d % PAIR_TASKS == part] for d in docs]
-        owner = np.repeat(np.arange(len(docs), dtype=np.int32), [len(d) for d in own])
-        holders = owner[np.argsort(np.concatenate(own), kind="stable")] if own else owner
-        starts = np.cumsum(frequent[part::PAIR_TASKS]) - frequent[part::PAIR_TASKS]
-        best = np.zeros(size)
-        for a, start in zip(range(part, size, PAIR_TASKS), starts):
-            rows = holders[start : start + frequent[a]]
-            both = tally(rows)
-            j = np.flatnonzero(both >= PAIR_ROWS)
-            c11 = both[j]
-            use = (j > a) & (frequent[a] - c11 >= PAIR_ROWS) & (frequent[j] - c11 >= PAIR_ROWS)
-            j, c11 = j[use], c11[use]
-            if not len(j):
-                continue
-            b11 = tally(rows[toxic[rows]])[j]
-            c10, c01 = frequent[a] - c11, frequent[j] - c11
-            b10, b01 = bad[a] - b11, bad[j] - b11
-            cells = (
-                (1, b11, c11),
-                (-1, b10, c10),
-                (-1, b01, c01),
-                (1, n_bad - b11 - b10 - b01, n_all - c11 - c10 - c01),
-            )
-            effect, variance = np.zeros(len(j)), np.zeros(len(j))
-            for sign, b, c in cells:
-                r = (b + 0.5) / (c + 1)
-                effect += sign * r
-                variance += r * (1 - r) / (c + 1)
-            z = np.abs(effect) / np.sqrt(variance)
-            best[a] = max(best[a], z.max())
-            best[j] = np.maximum(best[j], z)
-        told = np.flatnonzero(best >= pair_z)
-        yield pd.DataFrame({"term": known[told], "_pair": best[told]})
-
-    # Every task gets the whole sample, as numbers of terms, by broadcast.
-    tasks = spark.range(0, PAIR_TASKS, 1, PAIR_TASKS).crossJoin(F.broadcast(settled(seen).drop("row")))
-    found = settled(tasks.mapInPandas(judged, "term bigint, _pair double"))
-    return found.groupBy("term").agg(F.max("_pair").alias("_pair"))
+            for start in range(0, len(batch), DOCS):
+                part = batch.iloc[start : start + DOCS]
+                rows = []
+                for toxic, held in zip(part["toxic"], part["terms"]):
+                    held = np.sort(held)
+                    ends = np.searchsorted(held, np.arange(blocks + 1) * BLOCK)
+                    cut = [(held[i:j] % BLOCK).astype(np.int16) for i, j in zip(ends, ends[1:])]
+                    rows += [
+                        (a, b, toxic, cut[a], cut[b])
+                        for a in range(blocks)
+                        for b in range(a, blocks)
+                        if len(cut[a]) or len(cut[b])
+                    ]
+                yield pd.DataFrame(rows, columns=["a", "b", "toxic", "xs", "ys"])
+
+    def judged(key: tuple[Any, ...], batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield _effects(key, batches, n_all, n_bad)
+
+    dealt = seen.mapInPandas(deal, "a int, b int, toxic int, xs array<smallint>, ys array<smallint>")
+    found = dealt.groupBy("a", "b").applyInPandas(judged, "at bigint, _pair double")
+    best = found.groupBy("at").agg(F.max("_pair").alias("_pair")).filter(F.col("_pair") >= pair_z)
+    return settled(best.join(numbers, "at").select("term", "_pair"))
 
 
 def learn(

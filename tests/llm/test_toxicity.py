@@ -85,3 +85,30 @@ def test_terms_of_few_documents_at_once(spark, corpus, monkeypatch):
     monkeypatch.setattr(toxicity, "DOCS", 7)
     out = pd.concat(toxicity._explode(iter([batch, batch.iloc[:0]])))
     assert Counter(zip(out["row"], out["term"])) == Counter((i, t) for i, text in enumerate(batch["text"]) for t in toxicity.terms(text))
+
+
+def test_pairs_of_blocks_against_all_pairs(spark, monkeypatch):
+    """The largest interactions equal those counted pair by pair, in one block and in many."""
+    choose = random.Random(5)
+    held = {row: {t for t in range(40) if choose.random() < 0.2 + 0.5 * (t % 7 == row % 7)} for row in range(300)}
+    toxic = {row: int(choose.random() < (0.8 if {3, 10} <= terms else 0.2)) for row, terms in held.items()}
+    holders = {t: {row for row in held if t in held[row]} for t in range(40)}
+    best = dict.fromkeys(range(40), 0.0)
+    for i in range(40):
+        for j in range(i):
+            x, y = holders[i], holders[j]
+            cells = [(1, x & y), (-1, x - y), (-1, y - x), (1, held.keys() - x - y)]
+            if min(len(rows) for _, rows in cells[:3]) < toxicity.PAIR_ROWS:
+                continue
+            share = [((sum(toxic[r] for r in rows) + 0.5) / (len(rows) + 1), len(rows) + 1) for _, rows in cells]
+            effect = sum(sign * r for (sign, _), (r, _) in zip(cells, share))
+            z = abs(effect) / sum(r * (1 - r) / n for r, n in share) ** 0.5
+            best[i], best[j] = max(best[i], z), max(best[j], z)
+    rows = [(row, toxic[row], t) for row, terms in held.items() for t in terms]
+    active = spark.createDataFrame(rows, "row bigint, toxic int, term bigint")
+    counts = active.groupBy("term").agg({"toxic": "sum", "row": "count"}).toDF("term", "p", "n").selectExpr("term", "p", "n - p as n")
+    for block in (toxicity.BLOCK, 7):
+        monkeypatch.setattr(toxicity, "BLOCK", block)
+        got = {r.term: r._pair for r in toxicity.pair_signs(active, counts, toxic, 1.5).collect()}
+        assert got.keys() == {t for t, z in best.items() if z >= 1.5} and got
+        assert all(np.isclose(z, best[t]) for t, z in got.items())
