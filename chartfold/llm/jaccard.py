@@ -143,21 +143,25 @@ def _intersections(a: list[np.ndarray], b: list[np.ndarray], i: np.ndarray, j: n
     return total[i, j].astype(np.int64)
 
 
-def _verify(a: pd.DataFrame, b: pd.DataFrame, same: bool, depth: int, signer: Signer, threshold: float):
+def _verify(a: pd.DataFrame, b: pd.DataFrame, same: bool, depth: int, signer: Signer, threshold: float, tree: int):
     """Links among the texts of a and b that share a prefix of `depth` lanes but,
-    below the full depth, none of one lane more: (i, j, similarity)."""
+    below the full depth, none of one lane more: (i, j, similarity). With `tree`
+    not -1, only pairs for which that is the first tree with a shared prefix."""
     lanes = [np.stack([np.frombuffer(x, np.uint32) for x in side["lanes"]]) for side in (a, b)]
 
-    def met(k: int) -> np.ndarray:
+    def met(k: int, trees: range) -> np.ndarray:
         left, right = (signer.prefixes(x, k) for x in lanes)
         out = np.zeros((len(a), len(b)), dtype=bool)
-        for t in range(signer.trees):
+        for t in trees:
             out |= left[:, t][:, None] == right[:, t][None, :]
         return out
 
-    pairs = met(depth)
+    if tree < 0:
+        pairs = met(depth, range(signer.trees))
+    else:
+        pairs = met(depth, range(tree, tree + 1)) & ~met(depth, range(tree))
     if depth < signer.depth:
-        pairs &= ~met(depth + 1)
+        pairs &= ~met(depth + 1, range(signer.trees))
     if same:
         pairs = np.triu(pairs, 1)
     i, j = np.nonzero(pairs)
@@ -193,8 +197,11 @@ def classes(
     meet if they share a prefix of `depth` lanes in one of `trees` tries. Each
     link found is verified exactly, and stands for one over its chance of being
     found, which estimates how many were missed; prefixes are shortened by one
-    lane as long as the estimated recall is below `recall`. Of a cluster of
-    nodes that meet, only counts and a spanning forest of links leave a task.
+    lane as long as the estimated recall is below `recall`. Nodes that meet form
+    clusters. A large one is verified by pairs of blocks, or, if that copies
+    fewer texts (as with chains of unlike texts), prefix by prefix, each pair
+    under the first prefix that it shares. Only counts and a spanning forest of
+    links leave a task.
 
     NULL and empty texts, and such of white space only, link with equal texts
     and no others. Rows may repeat; each counts. A NULL doc_id is no class id
@@ -230,39 +237,68 @@ def classes(
                 if len(batch):
                     lanes = np.stack([np.frombuffer(x, np.uint32) for x in batch["lanes"]])
                     found = signer.prefixes(lanes, k).astype(np.int64)
-                    yield pd.DataFrame({"node": np.repeat(batch["node"].to_numpy(), trees), "key": found.ravel()})
+                    yield pd.DataFrame(
+                        {
+                            "node": np.repeat(batch["node"].to_numpy(), trees),
+                            "tree": np.tile(np.arange(trees, dtype=np.int32), len(batch)),
+                            "key": found.ravel(),
+                        }
+                    )
 
-        return with_words.select("node", "lanes").mapInPandas(keys, "node bigint, key bigint")
+        return with_words.select("node", "lanes").mapInPandas(keys, "node bigint, tree int, key bigint")
 
     def verified_at(k: int) -> DataFrame:
         keys = keys_at(k)
         shared = settled(
-            keys.groupBy("key").agg(F.min("node").alias("low"), F.count(one).alias("n")).filter("n > 1").select(
-                F.col("key").alias("_key"), "low"
-            )
+            keys.groupBy("tree", "key")
+            .agg(F.min("node").alias("low"), F.count(one).alias("n"))
+            .filter("n > 1")
+            .select(F.col("tree").alias("_tree"), F.col("key").alias("_key"), "low", "n")
+        )
+        same_prefix = (F.col("tree") == F.col("_tree")) & (F.col("key") == F.col("_key"))
+        met = settled(keys.join(shared, same_prefix).select("node", "tree", "key", "low", "n"))
+        clusters = settled(components(met.select(F.col("node").alias("u"), F.col("low").alias("v"))))
+        sizes = clusters.groupBy("component").agg(F.count(one).alias("n")).withColumnRenamed("component", "_of")
+        # A cluster of several blocks is verified by pairs of blocks, or by the
+        # prefixes that its nodes share, whichever copies fewer texts.
+        copied = F.col("n") * F.ceil(F.col("n") / BLOCK)
+        by_prefix = (
+            shared.join(clusters, F.col("low") == F.col("node"))
+            .groupBy("component")
+            .agg(F.sum(copied).alias("by_prefix"))
+            .withColumnRenamed("component", "_prefixed")
+        )
+        sizes = settled(
+            sizes.join(by_prefix, F.col("_of") == F.col("_prefixed")).select("_of", "n", (F.col("by_prefix") < copied).alias("parted"))
+        )
+        unit = clusters.join(sizes, F.col("component") == F.col("_of"))
+        whole = unit.filter(~F.col("parted")).select(F.col("node").alias("_node"), F.lit(-1).alias("tree"), F.col("component").alias("unit"), "n")
+        parted = unit.filter("parted").select(F.col("node").alias("_parted"))
+        prefixed = met.join(parted, F.col("low") == F.col("_parted")).select(
+            F.col("node").alias("_node"), "tree", F.col("key").alias("unit"), "n"
         )
-        links = keys.join(shared, F.col("key") == F.col("_key")).select(F.col("node").alias("u"), F.col("low").alias("v"))
-        clusters = settled(components(links))
-        sizes = settled(clusters.groupBy("component").agg(F.count(one).alias("n")).withColumnRenamed("component", "_of"))
-        packs = max(1, math.ceil(clusters.count() / PACK))
+        spread = settled(whole.unionAll(prefixed))
+        packs = max(1, math.ceil(spread.count() / PACK))
         small = F.col("n") <= SMALL
-        spread = clusters.join(sizes, F.col("component") == F.col("_of")).select(
-            F.col("node").alias("_node"),
-            "component",
+        spread = spread.select(
+            "_node",
+            "tree",
+            "unit",
             F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"),
             # Small clusters share a task; a large one has tasks of its own.
-            F.when(small, F.pmod(F.xxhash64("component"), F.lit(packs))).otherwise(-1 - F.col("component")).alias("pack"),
+            F.when(small, F.pmod(F.xxhash64("tree", "unit"), F.lit(packs))).otherwise(F.col("unit")).alias("pack"),
+            F.when(small, F.lit(-2)).otherwise(F.col("tree")).alias("of_tree"),
         )
         wanted = settled(
             with_words.join(spread, F.col("node") == F.col("_node")).select(
-                F.col("h1").alias("_h1"), F.col("h2").alias("_h2"), "first", "node", "copies", "lanes", "component", "blocks", "pack"
+                F.col("h1").alias("_h1"), F.col("h2").alias("_h2"), "first", "node", "copies", "lanes", "tree", "unit", "blocks", "pack", "of_tree"
             )
         )
         # One row of each node: the text of its first document.
         texts = hashed.join(
             wanted,
             (F.col("h1") == F.col("_h1")) & (F.col("h2") == F.col("_h2")) & F.col("doc_id").eqNullSafe(F.col("first")),
-        ).select("node", "copies", "lanes", "component", "blocks", "pack", "text")
+        ).select("node", "copies", "lanes", "tree", "unit", "blocks", "pack", "of_tree", "text")
         block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
         meets = texts.withColumn("block", block).withColumn(
             "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
@@ -271,16 +307,16 @@ def classes(
 
         def verify(group: pd.DataFrame) -> pd.DataFrame:
             shingles = Shingler(shingle)
-            group = group.drop_duplicates("node")
+            group = group.drop_duplicates(["tree", "unit", "node"])
             group["shingles"] = [shingles(t) for t in group["text"]]
             low, high = group["low_block"].iloc[0], group["high_block"].iloc[0]
             out = []
-            for _, cluster in group.groupby("component"):
+            for (tree, _), cluster in group.groupby(["tree", "unit"]):
                 a, b = cluster[cluster["block"] == low], cluster[cluster["block"] == high]
                 same = low == high
                 if not len(a) or not len(b):
                     continue
-                i, j, similarity = _verify(a, b, same, k, signer, threshold)
+                i, j, similarity = _verify(a, b, same, k, signer, threshold, tree)
                 if not len(i):
                     continue
                 ids = np.sort(cluster["node"].to_numpy())
@@ -307,7 +343,7 @@ def classes(
             return pd.concat(out) if out else pd.DataFrame({c: pd.Series(dtype=t) for c, t in schema.items()})
 
         return settled(
-            meets.groupBy("pack", "low_block", "high_block").applyInPandas(
+            meets.groupBy("of_tree", "pack", "low_block", "high_block").applyInPandas(
                 verify, "node bigint, links bigint, low bigint, pairs bigint, stands double"
             )
         )

@@ -82,6 +82,29 @@ def test_blocks_and_sparse_products(spark, planted, monkeypatch):
     check(planted, jaccard.classes(df).collect())
 
 
+def test_chain_by_prefixes(spark, monkeypatch):
+    """A chain, whose ends are unlike, in one cluster of many small prefixes."""
+    choose = random.Random(12)
+    words = ["".join(choose.choices("abcdefgh", k=6)) for _ in range(1_000)]
+    rows = [(k, " ".join(words[4 * k : 4 * k + 60])) for k in range(200)]
+    rows += [(200 + k, rows[3 * k][1]) for k in range(20)]
+    for name, value in (("BLOCK", 8), ("SMALL", 3), ("PACK", 5)):
+        monkeypatch.setattr(jaccard, name, value)
+    sent, settle = [], jaccard.settled
+
+    def watched(df):
+        table = settle(df)
+        if "unit" in table.columns and "_node" in table.columns:
+            sent.append((table.filter("tree >= 0").count(), table.filter("tree < 0").count()))
+        return table
+
+    monkeypatch.setattr(jaccard, "settled", watched)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    check(rows, jaccard.classes(df).collect())
+    # At most one copy of a text for each tree, where pairs of blocks take 25.
+    assert sent[0][0] > 0 and all(by_prefix <= 200 * jaccard.TREES for by_prefix, _ in sent)
+
+
 def test_query(spark, corpus):
     found = queries.op3_jaccard(spark, SF_DIR).collect()
     check(corpus, found)
