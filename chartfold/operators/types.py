@@ -58,8 +58,8 @@ class _Node:
 def variants(lines: DataFrame, column: str) -> DataFrame:
     """(record, line): each non-blank JSON line as a VARIANT, NULL if it is no
     JSON object."""
-    parsed = F.try_parse_json(column)
-    record = F.when(_head(parsed) == "OBJECT", parsed)
+    # Text that parses and starts so is an object; other lines are not parsed.
+    record = F.when(F.col(column).rlike(r"^[ \t\r\n]*\{"), F.try_parse_json(column))
     return lines.where(F.trim(F.col(column)) != "").select(record.alias("record"), F.col(column).alias("line"))
 
 
@@ -79,32 +79,36 @@ def path_types(lines: DataFrame, column: str, pinned: str | None = None) -> Data
     parsed = records.where(F.col("record").isNotNull()).select("record")
     tree = _tree(parsed)
     known = _pinned_types(StructType.fromDDL(pinned)) if pinned else {}
-    told = [_typed(path, values) for path, values, _ in _nodes(tree, "", F.array("record")) if path]
-    bad = records.agg(F.count_if(F.col("record").isNull()).alias("n")).where("n > 0")
-    corrupt = bad.select(F.lit("").alias("path"), F.lit(CORRUPT_LINE).alias("type"), "n")
-    if told:
-        counted = parsed.select(F.inline(F.concat(*told))).groupBy("path", "type").agg(F.count("*").alias("n"))
-        corrupt = counted.unionByName(corrupt)
-    return corrupt.select("path", "type", "n", *_compared(known, bool(pinned)))
+    staged, kinds = _staged(records, tree)
+    corrupt = F.when(F.col("bad"), F.array(F.struct(F.lit("").alias("path"), F.lit(CORRUPT_LINE).alias("type"))))
+    told = [F.coalesce(corrupt, F.array().cast("array<struct<path:string,type:string>>"))]
+    told += [_typed(path, kind) for path, kind in kinds.items() if path]
+    counted = staged.select(F.inline(F.concat(*told))).groupBy("path", "type").agg(F.count("*").alias("n"))
+    return counted.select("path", "type", "n", *_compared(known, bool(pinned)))
 
 
 def _tree(parsed: DataFrame) -> _Node:
     tree = _Node()
-    tree.add(_schema(parsed, "record"))
+    tree.add(_schemas(parsed, [F.col("record")])[0])
     done: set[str] = set()
     while todo := [(p, v, n) for p, v, n in _nodes(tree, "", F.array("record")) if n.mixed and p not in done]:
         # Objects and lists on one path have no common type; each kind alone has.
         for path, values, node in todo:
             done.add(path)
-            there = parsed.select(F.explode(values).alias("value")).where(F.col("value").isNotNull())
-            for kind in ("OBJECT", "ARRAY"):
-                node.add(_schema(there.where(_head(F.col("value")) == kind), "value"))
+            there = parsed.select(F.explode(values).alias("value")).select("value", _head(F.col("value")).alias("kind"))
+            kinds = [F.when(F.col("kind") == kind, F.col("value")) for kind in ("OBJECT", "ARRAY")]
+            for seen in _schemas(there, kinds):
+                node.add(seen)
     return tree
 
 
-def _schema(df: DataFrame, column: str) -> DataType:
-    """The common type of variants; one short text reaches the driver."""
-    text = df.agg(F.schema_of_variant_agg(column)).first()[0] or "VOID"
+def _schemas(df: DataFrame, columns: list[Column]) -> list[DataType]:
+    """The common type of each column's variants, from one pass; one short text
+    for each reaches the driver."""
+    return [_type(text or "VOID") for text in df.agg(*(F.schema_of_variant_agg(c) for c in columns)).first()]
+
+
+def _type(text: str) -> DataType:
     # Names are quoted where they are unusual; what is outside quotes is type.
     parts = text.split("`")
     parts[::2] = [re.sub(r"\bOBJECT<", "STRUCT<", p) for p in parts[::2]]
@@ -112,7 +116,8 @@ def _schema(df: DataFrame, column: str) -> DataType:
 
 
 def _head(value: Column) -> Column:
-    return F.regexp_extract(F.schema_of_variant(value), "^[A-Z_]+", 0)
+    # What stands before the fields of an object and the digits of a decimal.
+    return F.substring_index(F.substring_index(F.schema_of_variant(value), "<", 1), "(", 1)
 
 
 def _nodes(node: _Node, path: str, values: Column):
@@ -120,7 +125,8 @@ def _nodes(node: _Node, path: str, values: Column):
     there = F.filter(values, lambda v: v.isNotNull())
     for name, child in node.fields.items():
         step = "$['" + name + "']" if "'" not in name else '$["' + name + '"]'
-        inner = F.transform(F.filter(there, lambda v: _head(v) == "OBJECT"), _field(step))
+        # The records themselves are objects; a field of anything else is NULL.
+        inner = F.transform(F.filter(there, lambda v: _head(v) == "OBJECT") if path else there, _field(step))
         yield from _nodes(child, f"{path}.{name}" if path else name, inner)
     if node.element is not None:
         empty = F.array().cast("array<variant>")
@@ -130,13 +136,55 @@ def _nodes(node: _Node, path: str, values: Column):
         yield from _nodes(node.element, f"{path}[]", inner)
 
 
+def _staged(records: DataFrame, tree: _Node) -> tuple[DataFrame, dict[str, str]]:
+    """The values on each path as columns that are computed once, level by level,
+    and the column of the values' types for each path; `bad` tells lines that
+    are no object."""
+    empty = F.array().cast("array<variant>")
+    bad = F.col("record").isNull()
+    df, kinds = records.select(bad.alias("bad"), F.when(bad, empty).otherwise(F.array("record")).alias("v")), {}
+    level, count = [("", "v", None, tree)], 0
+    while level:
+        below, made, kept = [], {}, ["bad", *kinds.values()]
+        for path, values, kind, node in level:
+            if node.fields:
+                # The records themselves are objects.
+                made[f"o{count}"] = F.col(values) if kind is None else _of_kind(values, kind, "OBJECT")
+                for name, child in node.fields.items():
+                    step = "$['" + name + "']" if "'" not in name else '$["' + name + '"]'
+                    below.append((f"{path}.{name}" if path else name, f"o{count}", _field(step), child))
+            if node.element is not None:
+                made[f"a{count}"] = F.flatten(
+                    F.transform(
+                        _of_kind(values, kind, "ARRAY"),
+                        lambda v: F.coalesce(F.try_variant_get(v, "$", "array<variant>"), empty),
+                    )
+                )
+                below.append((f"{path}[]", f"a{count}", None, node.element))
+            count += 1
+        df = df.select(*kept, *(c.alias(n) for n, c in made.items()))
+        found, level = {}, []
+        for path, source, step, child in below:
+            found[f"v{count}"] = F.col(source) if step is None else F.transform(source, step)
+            level.append((path, f"v{count}", f"k{count}", child))
+            kinds[path] = f"k{count}"
+            count += 1
+        df = df.select(*kept, *(c.alias(n) for n, c in found.items()))
+        heads = (F.transform(v, lambda x: F.coalesce(_head(x), F.lit(ABSENT))).alias(k) for _, v, k, _ in level)
+        df = df.select(*kept, *found, *heads)
+    return df, kinds
+
+
+def _of_kind(values: str, kinds: str, kind: str) -> Column:
+    return F.filter(values, lambda _, i: F.get(F.col(kinds), i) == kind)
+
+
 def _field(step: str):
     return lambda v: F.try_variant_get(v, step, "variant")
 
 
-def _typed(path: str, values: Column) -> Column:
-    kind = lambda v: F.coalesce(_head(v), F.lit(ABSENT))
-    return F.transform(values, lambda v: F.struct(F.lit(path).alias("path"), kind(v).alias("type")))
+def _typed(path: str, kinds: str) -> Column:
+    return F.transform(kinds, lambda k: F.struct(F.lit(path).alias("path"), k.alias("type")))
 
 
 def _pinned_types(schema: DataType, path: str = "") -> dict[str, DataType]:
