@@ -10,6 +10,7 @@ patients that are not in the table.
 
 from __future__ import annotations
 
+import math
 import os
 import zipfile
 from collections.abc import Callable, Iterator, Sequence
@@ -94,11 +95,18 @@ def _patient(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Returned line items are conditions, all others medication requests.
 _RETURNED = "coalesce(l_returnflag = 'R', false)"
+# Line items that one task joins with their orders, about: what a task sorts
+# stays the same however many line items there are.
+LINES_PER_TASK = 500_000
 
 
 def _items(spark: SparkSession, sf_dir: str, kept: str) -> DataFrame:
-    lines = read(spark, sf_dir, "lineitem").where(kept)
+    lines = read(spark, sf_dir, "lineitem")
     orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    tasks = math.ceil(lines.count() / LINES_PER_TASK)
+    lines = lines.where(kept)
+    if tasks > 2 * spark.sparkContext.defaultParallelism:
+        lines, orders = lines.repartition(tasks, "l_orderkey"), orders.repartition(tasks, "o_orderkey")
     parts = read(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
         parts, F.col("l_partkey") == F.col("p_partkey")
