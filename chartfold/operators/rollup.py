@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chartfold.operators.heavy import PAGE_ROWS, hot_keys, only, pages, without
+from chartfold.operators.heavy import PAGE_ROWS, cut_pages, dealt_from, hot_keys, only, pages, without
 from chartfold.shared import settled
 
 
@@ -40,10 +40,9 @@ def rollup(
     rows = rows.where(F.col(key).isNotNull()).select(key, *fields)
     if counts is None:
         counts = rows.groupBy(key).agg(F.count("*").alias("row_count"))
-    hot = hot_keys(counts, key, ["row_count"], page_rows)
-    whole = lists(without(rows, hot, key), key, fields, into, count_as, distinct, counted).select(
-        key, F.lit(0).alias("page"), F.lit(1).alias("list_pages"), into, count_as, "row_count"
-    )
+    hot = hot_keys(counts, key, ["row_count"], dealt_from(page_rows))
+    gathered = lists(without(rows, hot, key), key, fields, into, count_as, distinct, counted)
+    whole = cut_pages(gathered, [into], page_rows).select(key, "page", "list_pages", into, count_as, "row_count")
     if hot is None:
         return whole
     own = only(rows, hot, key)

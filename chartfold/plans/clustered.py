@@ -18,18 +18,21 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
-from chartfold.operators.heavy import PAGE_ROWS, hot_keys, only, without
+from chartfold.operators.heavy import PAGE_ROWS, hot_keys
 from chartfold.operators.rollup import lists, rollup
-from chartfold.plans.master import KINDS, _hot_master, clinical_rows, patient_tally
+from chartfold.plans.master import KINDS, clinical_rows, joined_master, patient_tally
 from chartfold.plans.records import KEY, patient_base
+from chartfold.shared import delete
 
 # Up to so many wanted patients, a lookup names them in the scan's filter; more
 # are joined.
 NAMED_KEYS = 1_000
 _LAYOUT = "name string, columns string, buckets int, page_rows int"
 _BASE, _TALLY = "patients", "tally"
+# 1 for the rows of hot patients, where rows are stored by it.
+_APART = "_apart"
 
 
 @dataclass(frozen=True)
@@ -50,7 +53,9 @@ def cluster(
     """Store the tables under `path`, an unused folder, and open them.
 
     About one bucket per 200 MB of rows is right; the buckets are what later
-    plans run in parallel. Every table is shuffled once, here.
+    plans run in parallel. Every table is shuffled once, here. Where there are
+    hot patients, one pass parts each table; the rows of the others are then
+    bucketed from what it stored.
     """
     path = path.rstrip("/")
     spark = tables["patient"].sparkSession
@@ -60,12 +65,12 @@ def cluster(
     base.where(F.col(KEY).isNull()).write.parquet(f"{path}/unkeyed")
     parts = {_BASE: base.where(F.col(KEY).isNotNull()), _TALLY: tally, **clinical_rows(tables, absolute=absolute)}
     for name, rows in parts.items():
-        even = without(rows, hot, KEY).repartition(buckets, KEY)
+        even = (rows if hot is None else _parted(rows, hot, f"{path}/hot/{name}")).repartition(buckets, KEY)
         # One task writes a bucket, so a bucket is one sorted file.
         writer = even.write.format("parquet").bucketBy(buckets, KEY).sortBy(KEY).option("path", f"{path}/even/{name}")
         writer.saveAsTable(_table(path, name))
         if hot is not None:
-            only(rows, hot, KEY).write.parquet(f"{path}/hot/{name}")
+            delete(spark, f"{path}/hot/{name}/{_APART}=0")
     layout = [(name, rows.schema.json(), buckets, page_rows) for name, rows in parts.items()]
     spark.createDataFrame(layout, _LAYOUT).coalesce(1).write.json(f"{path}/layout")
     return opened(spark, path)
@@ -86,11 +91,23 @@ def opened(spark: SparkSession, path: str) -> Clustered:
     place = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/hot")
     hot = None
     if place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
-        hot = {name: spark.read.schema(schema).parquet(f"{path}/hot/{name}") for name, schema in schemas.items()}
+        hot = {name: _apart(spark, f"{path}/hot/{name}", schema, 1) for name, schema in schemas.items()}
     unkeyed = spark.read.schema(schemas[_BASE]).parquet(f"{path}/unkeyed")
     return Clustered(even, hot, unkeyed, layout[0]["page_rows"])
 
 
+def _parted(rows: DataFrame, hot: DataFrame, path: str) -> DataFrame:
+    """Stores the rows by whether their patient is hot, in one pass; the others'."""
+    flagged = rows.join(hot.withColumn(_APART, F.lit(1)), F.col(KEY) == F.col("hot_key"), "left")
+    flagged.select(*rows.columns, F.coalesce(_APART, F.lit(0)).alias(_APART)).write.partitionBy(_APART).parquet(path)
+    return _apart(rows.sparkSession, path, rows.schema, 0)
+
+
+def _apart(spark: SparkSession, path: str, schema: StructType, value: int) -> DataFrame:
+    stored = spark.read.schema(StructType([*schema, StructField(_APART, IntegerType())])).parquet(path)
+    return stored.where(F.col(_APART) == value).drop(_APART)
+
+
 def _table(path: str, name: str) -> str:
     return f"clustered_{hashlib.md5(path.encode()).hexdigest()}_{name}"
 
@@ -130,11 +147,9 @@ def clustered_master(tables: Clustered) -> DataFrame:
         )
     master = joined.unionByName(blank).withColumns({"page": F.lit(0), "list_pages": F.lit(1)})
     if tables.hot is not None:
-        hot = tables.hot[_TALLY].select(F.col(KEY).alias("hot_key"))
         rows = {kind: tables.hot[kind] for kind in KINDS}
-        master = master.unionByName(
-            _hot_master(tables.hot[_BASE], rows, tables.hot[_TALLY], hot, tables.page_rows).select(master.columns)
-        )
+        apart = joined_master(tables.hot[_BASE], rows, tables.hot[_TALLY], tables.page_rows)
+        master = master.unionByName(apart.select(master.columns))
     return master.select(*base.columns, *(c for k, v in KINDS.items() for c in (k, v.count_as)), "page", "list_pages")
 
 

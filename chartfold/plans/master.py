@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from chartfold.functions.features import has_condition
 from chartfold.functions.fields import percent
-from chartfold.operators.heavy import PAGE_ROWS, hot_keys, only, pages, without
+from chartfold.operators.heavy import PAGE_ROWS, cut_pages, dealt_from, hot_keys, only, pages, without
 from chartfold.operators.joins import broadcast_if_small, fanout, left_join_all, smallest_keys, spread_key
 from chartfold.operators.rollup import lists, rollup
 from chartfold.plans.records import (
@@ -115,24 +115,33 @@ def patient_master(
 
     Hot patients, also ids that very many patient rows share, are planned
     apart, on a settled copy of their rows; the plan of all others is the same
-    with and without them. `broadcast_bytes` offers each aggregate for a
+    with and without them. Patients of up to `GATHER_ROWS` rows never are; with
+    smaller pages their lists are cut. `broadcast_bytes` offers each aggregate for a
     broadcast if it measures no more than that; by default the runtime planner
     decides.
     """
     if tally is None:
         tally = patient_tally(tables, absolute=absolute)
-    counted = ["patient_rows", *(f"{k}_rows" for k in KINDS)]
-    hot = hot_keys(tally, KEY, counted, page_rows)
     base = patient_base(tables["patient"])
-    rows = clinical_rows(tables, absolute=absolute)
+    return joined_master(base, clinical_rows(tables, absolute=absolute), tally, page_rows, broadcast_bytes)
+
+
+def joined_master(
+    base: DataFrame,
+    rows: Mapping[str, DataFrame],
+    tally: DataFrame,
+    page_rows: int = PAGE_ROWS,
+    broadcast_bytes: int | None = None,
+) -> DataFrame:
+    """The master table of flat rows and their tally."""
+    counted = ["patient_rows", *(f"{k}_rows" for k in KINDS)]
+    hot = hot_keys(tally, KEY, counted, dealt_from(page_rows))
     sides = []
     for name, k in KINDS.items():
         kept = without(rows[name], hot, KEY)
         side = lists(kept, KEY, k.fields, name, k.count_as, k.counted is not None, k.counted).drop("row_count")
         sides.append(side if broadcast_bytes is None else broadcast_if_small(side, broadcast_bytes))
-    master = left_join_all(without(base, hot, KEY), sides, KEY).withColumns(
-        {"page": F.lit(0), "list_pages": F.lit(1)}
-    )
+    master = cut_pages(left_join_all(without(base, hot, KEY), sides, KEY), list(KINDS), page_rows)
     if hot is not None:
         master = master.unionByName(_hot_master(base, rows, tally, hot, page_rows))
     return master.select(*base.columns, *(c for k, v in KINDS.items() for c in (k, v.count_as)), "page", "list_pages")

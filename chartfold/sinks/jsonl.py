@@ -20,9 +20,9 @@ from chartfold.shared import delete
 _MARKER = "number bigint, folder string, source string"
 
 
-def write_json_lines(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_json_lines(df: DataFrame, path: str, mode: str = "overwrite", compression: str = "none") -> None:
     """One JSON object per row, NULL fields included. Executors write in parallel."""
-    df.write.mode(mode).option("ignoreNullFields", "false").json(path)
+    df.write.mode(mode).option("ignoreNullFields", "false").json(path, compression=compression)
 
 
 def _marker(spark: SparkSession, path: str) -> Row | None:
@@ -46,7 +46,7 @@ def _replace(df: DataFrame, path: str, form: str, source: str = "") -> str:
     old = _marker(spark, path)
     folder = f"{path}/version-{uuid.uuid4().hex}"
     if form == "json":
-        write_json_lines(df, folder, "error")
+        write_json_lines(df, folder, "error", compression="gzip")
     else:
         df.write.mode("error").format(form).save(folder)
     row = [(old.number + 1 if old else 1, folder.rsplit("/", 1)[1], source)]
@@ -57,7 +57,8 @@ def _replace(df: DataFrame, path: str, form: str, source: str = "") -> str:
 
 
 def write_master(master: DataFrame, path: str) -> None:
-    """The whole master table under `path`: a line per patient and page."""
+    """The whole master table under `path`: a line per patient and page, gzipped,
+    as field names and ids make most of the text."""
     _replace(master, path.rstrip("/"), "json")
 
 
