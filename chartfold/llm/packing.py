@@ -3,6 +3,8 @@ histogram."""
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import heapq
 import json
 import os
@@ -11,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +25,8 @@ send_by_value(__name__)
 SEQUENCE = 2048
 END_ID = 1
 _ID_BYTES = 4
+# Documents whose pieces are held at once.
+_DOCUMENTS = 1_000
 # The published pattern of byte-level pre-tokens, in the form that
 # never backtracks.
 BYTE_LEVEL = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
@@ -85,6 +90,17 @@ class Encoder:
         return np.array(ids, dtype="<u4").tobytes()
 
 
+def _release() -> None:
+    """Hands memory that is free back to the system. Python workers are kept, so
+    what stages before left free in them would count beside this one's."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # not glibc
+        pass
+
+
 def pieces(docs: DataFrame, tokenizer: str, sequence: int = SEQUENCE, end_id: int = END_ID, ids: bool = False) -> DataFrame:
     """Token pieces (doc_id, start, length, ids_crc32, doc_tokens) of documents.
 
@@ -95,10 +111,12 @@ def pieces(docs: DataFrame, tokenizer: str, sequence: int = SEQUENCE, end_id: in
     schema = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        _release()
         encode = Encoder(tokenizer)
+        _release()
         end = end_id.to_bytes(_ID_BYTES, "little")
         step = sequence * _ID_BYTES
-        for batch in batches:
+        for batch in (b[i : i + _DOCUMENTS] for b in batches for i in range(0, len(b), _DOCUMENTS)):
             rows = []
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
                 data = encode(text) + end
