@@ -539,7 +539,7 @@ def _landed_again(spark, sf_dir) -> tuple[str, dict[str, DataFrame]]:
     early, late = _halves(clinical_tables(spark, sf_dir, ["condition"])["condition"])
     path, out = write_ndjson({"condition": early}), new_shared_path(spark, "landed")
     land_sources(resource_sources(spark, path, ["Condition"]), out)
-    write_json_lines(late, f"{path}/Condition.001.ndjson")
+    write_json_lines(late, f"{path}/Condition.001.ndjson", compression="none")
     return out, land_sources(resource_sources(spark, path, ["Condition"]), out)
 
 
@@ -586,7 +586,7 @@ def types_by_path(spark, sf_dir):
     """Types and pinned types of a folder whose files differ in shape."""
     plain, odd = _mixed_conditions(spark, sf_dir)
     path = write_ndjson({"condition": plain})
-    write_json_lines(odd, f"{path}/Condition.001.ndjson")
+    write_json_lines(odd, f"{path}/Condition.001.ndjson", compression="none")
     return resource_types(spark, path, "Condition")
 
 

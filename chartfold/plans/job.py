@@ -81,7 +81,7 @@ def run(
 
     def store(name: str, report: DataFrame) -> DataFrame:
         path = f"{output}/reports/{name}"
-        write_json_lines(report, path)
+        write_json_lines(report, path, compression="none")
         stored[name] = spark.read.schema(report.schema).json(path)
         return stored[name]
 

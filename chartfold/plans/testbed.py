@@ -208,7 +208,7 @@ def write_ndjson(tables: dict[str, DataFrame]) -> str:
     spark = next(iter(tables.values())).sparkSession
     path = new_shared_path(spark, "ndjson")
     for name, df in tables.items():
-        write_json_lines(df, f"{path}/{FILE_NAMES.get(name, name)}.000.ndjson")
+        write_json_lines(df, f"{path}/{FILE_NAMES.get(name, name)}.000.ndjson", compression="none")
     return path
 
 

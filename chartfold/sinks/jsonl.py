@@ -20,7 +20,7 @@ from chartfold.shared import delete
 _MARKER = "number bigint, folder string, source string"
 
 
-def write_json_lines(df: DataFrame, path: str, mode: str = "overwrite", compression: str = "none") -> None:
+def write_json_lines(df: DataFrame, path: str, mode: str = "overwrite", compression: str = "gzip") -> None:
     """One JSON object per row, NULL fields included. Executors write in parallel."""
     df.write.mode(mode).option("ignoreNullFields", "false").json(path, compression=compression)
 
@@ -46,7 +46,7 @@ def _replace(df: DataFrame, path: str, form: str, source: str = "") -> str:
     old = _marker(spark, path)
     folder = f"{path}/version-{uuid.uuid4().hex}"
     if form == "json":
-        write_json_lines(df, folder, "error", compression="gzip")
+        write_json_lines(df, folder, "error")
     else:
         df.write.mode("error").format(form).save(folder)
     row = [(old.number + 1 if old else 1, folder.rsplit("/", 1)[1], source)]
