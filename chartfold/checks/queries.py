@@ -254,26 +254,26 @@ def _count_columns(rows: DataFrame) -> DataFrame:
 
 @_query
 def patient_master(spark, sf_dir):
-    return _master_columns(master.patient_master(clinical_tables(spark, sf_dir)))
+    return _master_columns(master.patient_master(clinical_tables(spark, sf_dir, stored=True)))
 
 
 @_query
 def patient_master_paged(spark, sf_dir):
     """The master table with small pages, item by item."""
-    return _items(master.patient_master(clinical_tables(spark, sf_dir), SMALL_PAGE))
+    return _items(master.patient_master(clinical_tables(spark, sf_dir, stored=True), SMALL_PAGE))
 
 
 @_query
 def patient_master_whole(spark, sf_dir):
     """One row per patient, which whole lists allow."""
-    whole = whole_lists(master.patient_master(clinical_tables(spark, sf_dir)))
+    whole = whole_lists(master.patient_master(clinical_tables(spark, sf_dir, stored=True)))
     return whole.select(KEY, F.size(F.coalesce("medications", F.array())).alias("listed"))
 
 
 @_query
 def patient_master_broadcast(spark, sf_dir):
     """The same with a size-checked broadcast of each aggregate."""
-    t = clinical_tables(spark, sf_dir)
+    t = clinical_tables(spark, sf_dir, stored=True)
     return _master_columns(master.patient_master(t, broadcast_bytes=10 * 1024 * 1024))
 
 
@@ -285,7 +285,7 @@ def patient_counts(spark, sf_dir):
 @_query
 def master_invariants(spark, sf_dir):
     """The check of a master table that was written, with small pages."""
-    t = clinical_tables(spark, sf_dir)
+    t = clinical_tables(spark, sf_dir, stored=True)
     tally = master.patient_tally(t)
     path = new_shared_path(spark, "master")
     write_master(master.patient_master(t, SMALL_PAGE, tally=tally), path)
@@ -381,7 +381,7 @@ def disease_flag(spark, sf_dir):
 @_query
 def disease_flag_from_lists(spark, sf_dir):
     """The same, read off the lists of a master table, page by page."""
-    return master.with_flag(master.patient_master(clinical_tables(spark, sf_dir), SMALL_PAGE), DISEASE)
+    return master.with_flag(master.patient_master(clinical_tables(spark, sf_dir, stored=True), SMALL_PAGE), DISEASE)
 
 
 @_query
@@ -491,7 +491,7 @@ def scatter_counts(spark, sf_dir):
 @_query
 def jsonl_roundtrip(spark, sf_dir):
     path = new_shared_path(spark, "master")
-    write_master(master.patient_master(clinical_tables(spark, sf_dir)), path)
+    write_master(master.patient_master(clinical_tables(spark, sf_dir, stored=True)), path)
     return _master_columns(read_master(spark, path))
 
 
@@ -499,7 +499,7 @@ def jsonl_roundtrip(spark, sf_dir):
 def jsonl_paged(spark, sf_dir):
     """A master file with small pages, item by item."""
     path = new_shared_path(spark, "master")
-    write_master(master.patient_master(clinical_tables(spark, sf_dir), SMALL_PAGE), path)
+    write_master(master.patient_master(clinical_tables(spark, sf_dir, stored=True), SMALL_PAGE), path)
     return _items(read_master(spark, path))
 
 
@@ -507,7 +507,7 @@ def jsonl_paged(spark, sf_dir):
 def regression_from_jsonl(spark, sf_dir):
     """The regressions from a master table that was written and read back."""
     path = new_shared_path(spark, "master")
-    write_master(master.patient_master(clinical_tables(spark, sf_dir)), path)
+    write_master(master.patient_master(clinical_tables(spark, sf_dir, stored=True)), path)
     fits = analysis.fit_ages(analysis.master_age_frame(read_master(spark, path), AS_OF, DISEASE))
     return fits.select("measure", *_r6("r2", "p"), "significant")
 
@@ -597,7 +597,7 @@ def types_by_path_archives(spark, sf_dir):
 
 
 def _clustered(spark, sf_dir, page_rows: int = PAGE_ROWS):
-    tables = clinical_tables(spark, sf_dir)
+    tables = clinical_tables(spark, sf_dir, stored=True)
     return cluster(tables, new_shared_path(spark, "clustered"), CLUSTER_BUCKETS, page_rows)
 
 

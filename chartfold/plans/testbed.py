@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from chartfold.schemas import RESOURCES
-from chartfold.shared import new_shared_path, send_by_value
+from chartfold.shared import new_shared_path, send_by_value, settled
 from chartfold.sinks.jsonl import write_json_lines
 
 send_by_value(__name__)
@@ -95,30 +95,38 @@ def _patient(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Returned line items are conditions, all others medication requests.
 _RETURNED = "coalesce(l_returnflag = 'R', false)"
-# Line items that one task joins with their orders, about: what a task sorts
-# stays the same however many line items there are.
+# Line items that one task joins with their orders, and then with their parts,
+# about: what a task sorts stays the same however many line items there are.
 LINES_PER_TASK = 500_000
+# Up to so many parts may be sent to every task, so line items stay where they are.
+SENT_PARTS = 1_000_000
 
 
-def _items(spark: SparkSession, sf_dir: str, kept: str) -> DataFrame:
+def _items(spark: SparkSession, sf_dir: str, kept: str, columns: Sequence[str], stored: bool) -> DataFrame:
+    """The `columns` of the line items that are `kept`, with their orders and
+    parts; `stored`, they are joined once and read as often as they are asked for."""
     lines = read(spark, sf_dir, "lineitem")
     orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    parts = read(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
     tasks = math.ceil(lines.count() / LINES_PER_TASK)
     lines = lines.where(kept)
-    if tasks > 2 * spark.sparkContext.defaultParallelism:
+    many = tasks > 2 * spark.sparkContext.defaultParallelism
+    if many:
         lines, orders = lines.repartition(tasks, "l_orderkey"), orders.repartition(tasks, "o_orderkey")
-    parts = read(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
-    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
-        parts, F.col("l_partkey") == F.col("p_partkey")
-    )
+    lines = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    if many and parts.count() > SENT_PARTS:
+        lines, parts = lines.repartition(tasks, "l_partkey"), parts.repartition(tasks, "p_partkey")
+    items = lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).select(*columns)
+    return settled(items) if stored else items
 
 
-def _condition(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _condition(spark: SparkSession, sf_dir: str, stored: bool) -> DataFrame:
     # A part's size is the age from which a patient has it; for younger ones the
     # reference points nowhere.
     old_enough = "p_size * 8 <= 80 - cast((o_custkey * 7919) % 29220 as int) / 365.25D"
     coding = "array(named_struct('code', p_brand, 'display', p_type))"
-    return _items(spark, sf_dir, _RETURNED).selectExpr(
+    columns = ("l_orderkey", "l_linenumber", "l_partkey", "o_custkey", "p_partkey", "p_brand", "p_type", "p_size")
+    return _items(spark, sf_dir, _RETURNED, columns, stored).selectExpr(
         "concat('c', l_orderkey, '-', l_linenumber) id",
         "case when l_partkey % 53 = 0 then null "
         f"else named_struct('reference', concat('Patient/', case when {old_enough} then '' else 'x' end, o_custkey)) "
@@ -128,9 +136,12 @@ def _condition(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _medicationrequest(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _medicationrequest(spark: SparkSession, sf_dir: str, stored: bool) -> DataFrame:
+    columns = (
+        "l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_shipdate", "o_custkey", "p_partkey", "p_name"
+    )
     known = "l_linestatus = 'O' and l_shipdate >= timestamp_ntz'2001-01-01'"
-    return _items(spark, sf_dir, f"not ({_RETURNED})").selectExpr(
+    return _items(spark, sf_dir, f"not ({_RETURNED})", columns, stored).selectExpr(
         "concat('m', l_orderkey, '-', l_linenumber) id",
         "l_returnflag status",
         "'order' intent",
@@ -168,9 +179,12 @@ def _observation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "patient": _patient,
-    "condition": _condition,
     "encounter": _encounter,
     "observation": _observation,
+}
+# Those that take joins of the test tables, which may be stored.
+_JOINED: dict[str, Callable[[SparkSession, str, bool], DataFrame]] = {
+    "condition": _condition,
     "medicationrequest": _medicationrequest,
 }
 # Resource names as files carry them.
@@ -184,8 +198,15 @@ FILE_NAMES = {
 CLINICAL = ("patient", "condition", "medicationrequest", "encounter")
 
 
-def clinical_tables(spark: SparkSession, sf_dir: str, names: Sequence[str] = CLINICAL) -> dict[str, DataFrame]:
-    return {name: _BUILDERS[name](spark, sf_dir) for name in names}
+def clinical_tables(
+    spark: SparkSession, sf_dir: str, names: Sequence[str] = CLINICAL, stored: bool = False
+) -> dict[str, DataFrame]:
+    """The named tables; with `stored`, for plans that read them several times,
+    what they join of the test tables is joined once."""
+    return {
+        name: _JOINED[name](spark, sf_dir, stored) if name in _JOINED else _BUILDERS[name](spark, sf_dir)
+        for name in names
+    }
 
 
 def export_events(spark: SparkSession, sf_dir: str) -> DataFrame:
