@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
+from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,6 +26,27 @@ def whole_text(column: str = "text"):
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def release() -> None:
+    """Hands memory that is free back to the system. Python workers are kept, so
+    what stages before left free in them would count beside this one's."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # not glibc
+        pass
+
+
+def released(work: Callable[..., Iterator[Any]], *given: Any) -> Iterator[Any]:
+    """What `work` yields; free memory is handed back before its first batch and,
+    when its own is free again, after its last."""
+    release()
+    try:
+        yield from work(*given)
+    finally:
+        release()
+
+
 def numbered(df: DataFrame, into: str = "_row") -> DataFrame:
     """`df` written once with a row number that no later run changes."""
     return settled(df.withColumn(into, F.monotonically_increasing_id()))

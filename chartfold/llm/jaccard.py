@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chartfold.llm.common import whole_text
+from chartfold.llm.common import released, whole_text
 from chartfold.llm.components import components, forest
 from chartfold.shared import send_by_value, settled
 
@@ -27,6 +28,8 @@ RECALL = 0.998
 BLOCK = 1024
 SMALL = 64
 PACK = 512
+# Texts whose signatures are held at once.
+SIGNED = 1_000
 
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
@@ -214,14 +217,14 @@ def classes(
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingles = Shingler(shingle)
-        for batch in batches:
+        for batch in (b[i : i + SIGNED] for b in batches for i in range(0, len(b), SIGNED)):
             # One set at a time, as all of them take as much memory as the texts.
-            batch["lanes"] = [signer.sign(s).tobytes() if len(s) else None for s in map(shingles, batch["text"])]
-            yield batch[["doc_id", "h1", "h2", "lanes"]]
+            lanes = [signer.sign(s).tobytes() if len(s) else None for s in map(shingles, batch["text"])]
+            yield batch[["doc_id", "h1", "h2"]].assign(lanes=lanes)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     sent = hashed.withColumn("doc_id", F.col("doc_id").cast("string"))
-    signed = sent.mapInPandas(sign, "doc_id string, h1 bigint, h2 bigint, lanes binary").withColumn(
+    signed = sent.mapInPandas(partial(released, sign), "doc_id string, h1 bigint, h2 bigint, lanes binary").withColumn(
         "doc_id", F.col("doc_id").cast(kind)
     )
     # Copies are combined before the shuffle; a node keeps one signature.
@@ -245,7 +248,7 @@ def classes(
                         }
                     )
 
-        return with_words.select("node", "lanes").mapInPandas(keys, "node bigint, tree int, key bigint")
+        return with_words.select("node", "lanes").mapInPandas(partial(released, keys), "node bigint, tree int, key bigint")
 
     def verified_at(k: int) -> DataFrame:
         keys = keys_at(k)

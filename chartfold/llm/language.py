@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chartfold.llm.common import whole_text
+from chartfold.llm.common import released, whole_text
 from chartfold.shared import send_by_value
 
 send_by_value(__name__)
@@ -87,7 +88,7 @@ def learn(labelled: DataFrame, sample: int = SAMPLE, smoothing: float = 0.5) ->
     )
     near = rows.filter(F.pmod("h", F.lit(span)) < F.element_at(limits, F.col("lang")))
     chosen = near.groupBy("lang", "h").agg(F.first("text").alias("text")).select("lang", "text")
-    found = chosen.mapInPandas(_count, "lang string, bucket bigint, n bigint")
+    found = chosen.mapInPandas(partial(released, _count), "lang string, bucket bigint, n bigint")
     counts = {lang: np.zeros(BUCKETS) for lang in sorted(sizes)}
     for r in found.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).collect():
         counts[r["lang"]][r["bucket"]] = r["n"]
@@ -155,8 +156,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     else of the row; columns of these names are replaced.
     """
 
-    @F.pandas_udf("lang_pred string, score double, unknown double, lang_shares map<string, double>")
-    def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def told(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             out = []
             for text in texts:
@@ -174,6 +174,10 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
                 out.append((model.languages[first], float(min(1.0, known[first])), float(share[-1]), shares))
             yield pd.DataFrame(out, columns=["lang_pred", "score", "unknown", "lang_shares"])
 
+    @F.pandas_udf("lang_pred string, score double, unknown double, lang_shares map<string, double>")
+    def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        yield from released(told, batches)
+
     found = docs.withColumn("_language", of(whole_text()))
     return found.withColumns(
         {c: F.col(f"_language.{c}") for c in ("lang_pred", "score", "unknown", "lang_shares")}

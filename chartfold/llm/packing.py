@@ -3,8 +3,6 @@ histogram."""
 
 from __future__ import annotations
 
-import ctypes
-import gc
 import heapq
 import json
 import os
@@ -13,11 +11,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chartfold.llm.common import numbered, ranked, whole_text
+from chartfold.llm.common import numbered, ranked, release, whole_text
 from chartfold.shared import send_by_value
 
 send_by_value(__name__)
@@ -90,17 +87,6 @@ class Encoder:
         return np.array(ids, dtype="<u4").tobytes()
 
 
-def _release() -> None:
-    """Hands memory that is free back to the system. Python workers are kept, so
-    what stages before left free in them would count beside this one's."""
-    gc.collect()
-    pa.default_memory_pool().release_unused()
-    try:
-        ctypes.CDLL(None).malloc_trim(0)
-    except AttributeError:  # not glibc
-        pass
-
-
 def pieces(docs: DataFrame, tokenizer: str, sequence: int = SEQUENCE, end_id: int = END_ID, ids: bool = False) -> DataFrame:
     """Token pieces (doc_id, start, length, ids_crc32, doc_tokens) of documents.
 
@@ -111,9 +97,9 @@ def pieces(docs: DataFrame, tokenizer: str, sequence: int = SEQUENCE, end_id: in
     schema = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        _release()
+        release()
         encode = Encoder(tokenizer)
-        _release()
+        release()
         end = end_id.to_bytes(_ID_BYTES, "little")
         step = sequence * _ID_BYTES
         for batch in (b[i : i + _DOCUMENTS] for b in batches for i in range(0, len(b), _DOCUMENTS)):

@@ -7,6 +7,7 @@ import math
 import re
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -14,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chartfold.llm.common import whole_text
+from chartfold.llm.common import released, whole_text
 from chartfold.shared import send_by_value, settled
 
 send_by_value(__name__)
@@ -189,7 +190,7 @@ def scan(docs: DataFrame) -> DataFrame:
     span = "start: bigint, end: bigint"
     sent = docs.select(F.col("doc_id").cast("string").alias("doc_id"), whole_text().alias("text"))
     return sent.mapInPandas(
-        _scan,
+        partial(released, _scan),
         f"doc_id string, known array<struct<{span}, kind: string>>, "
         f"extra array<struct<{span}, stratum: int, p_bin: int, key: binary, ordinary: boolean>>",
     ).withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
@@ -314,12 +315,15 @@ def redact(docs: DataFrame, rate: float = 0.05, mark: str = "[SECRET]") -> DataF
     """
     least = learn_cuts(scan(docs), rate)
 
-    @F.pandas_udf("string")
-    def without(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def redacted(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         cache: dict[str, dict] = {}
         for texts in batches:
             yield pd.Series([None if t is None else _redacted(t, least, mark, cache) for t in texts], dtype=object)
 
+    @F.pandas_udf("string")
+    def without(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        yield from released(redacted, batches)
+
     out = docs.withColumn("text", without(F.col("text")))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
