@@ -44,6 +44,13 @@ _PRIME = (1 << 61) - 1
 INSERT, FIRST_SKIP, SKIP = 0, 1, 2
 
 
+def _joined(df: DataFrame, other: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Joined by sorted shuffles. Tables of words and nodes grow with the texts, and
+    take many times their files' size once a driver holds them, so none is ever
+    broadcast, however small Spark takes it for."""
+    return df.join(other.hint("merge"), key, how)
+
+
 def runs(doc_id, text: str, loss: int = LOSS) -> Counter:
     """The runs of letters of a text, as UTF-8, with their counts; every run
     whose crc32 `loss` divides lacks a letter."""
@@ -177,7 +184,7 @@ def _numbered_positions(words: DataFrame) -> DataFrame:
             break
     prefix = forward.select(F.col("print").alias("before"), F.col("node").alias("prefix"))
     suffix = backward.select(F.col("print").alias("behind"), F.col("node").alias("suffix"))
-    joined = _positions(words, seed).join(prefix, "before").join(suffix, "behind")
+    joined = _joined(_joined(_positions(words, seed), prefix, "before"), suffix, "behind")
     return joined.select("id", "prefix", "suffix", "kind")
 
 
@@ -220,7 +227,7 @@ def _roots(forms: DataFrame) -> DataFrame:
     links = settled(forms.select("id", F.col("form").alias("root")))
     while True:
         ahead = links.select(F.col("id").alias("root"), F.col("root").alias("next"))
-        new = settled(links.join(ahead, "root", "left").select("id", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")))
+        new = settled(_joined(links, ahead, "root", "left").select("id", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")))
         links = new.select("id", "root")
         if new.where("moved").isEmpty():
             return links
@@ -243,7 +250,7 @@ def group(docs: DataFrame, times: int = TIMES, least_letters: int = LEAST_LETTER
     words = word_counts(docs, least_letters, least_count)
     near = settled(near_words(words))
     of = words.select(F.col("id").alias("best"), F.col("word").alias("form"), F.col("n").alias("form_n"))
-    own = words.join(near, "id", "left").join(of, "best", "left")
+    own = _joined(_joined(words, near, "id", "left"), of, "best", "left")
     fits = F.col("form_n") >= times * F.col("n")
     told = settled(
         own.select(
@@ -257,7 +264,7 @@ def group(docs: DataFrame, times: int = TIMES, least_letters: int = LEAST_LETTER
         )
     )
     roots = _roots(told.where(F.col("best").isNotNull()).select("id", F.col("best").alias("form")))
-    named = roots.join(words.select(F.col("id").alias("root"), F.col("word").alias("root_word")), "root")
-    return told.join(named.select("id", "root_word"), "id", "left").select(
+    named = _joined(roots, words.select(F.col("id").alias("root"), F.col("word").alias("root_word")), "root")
+    return _joined(told, named.select("id", "root_word"), "id", "left").select(
         "word", "form", F.coalesce("root_word", "word").alias("root"), "n", "n_near", "form_n"
     )

@@ -96,6 +96,25 @@ def test_prints_that_collide_are_told_and_replaced(spark, rows, monkeypatch):
     assert got == {(0, 1, 2), (2, 1, 0)} and max(asked) == 1
 
 
+def test_no_table_is_broadcast(spark, rows, monkeypatch):
+    plans = []
+
+    def plan(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+
+    def stored(df):
+        plan(df)
+        return settled(df)
+
+    monkeypatch.setattr(spelling, "settled", stored)
+    assert int(spark.conf.get("spark.sql.autoBroadcastJoinThreshold").removesuffix("b")) >= 10 << 20
+    got = spelling.group(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert got.collect()
+    plan(got)  # as it ran
+    assert not [p for p in plans if "Broadcast" in p]
+    assert sum(p.count("SortMergeJoin") for p in plans) >= 7
+
+
 def test_long_words_and_letters_in_runs(spark):
     long = "a" * 30_000
     texts = [(1, f"{long} " * 40), (2, f"{long}a " * 6), (3, f"{long[1:]}b " * 5), (4, "ballet balet ballett " * 5)]
