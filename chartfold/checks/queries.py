@@ -524,7 +524,7 @@ def ndjson_scan(spark, sf_dir):
 @_query
 def ndjson_master(spark, sf_dir):
     """Counts per patient straight from NDJSON, through a landed copy."""
-    path = write_ndjson(clinical_tables(spark, sf_dir))
+    path = write_ndjson(clinical_tables(spark, sf_dir), gzipped=True)
     tables = land(load_resources(spark, path, views=False), new_shared_path(spark, "landed"))
     return _count_columns(master.patient_counts(tables))
 

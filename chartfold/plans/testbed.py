@@ -224,12 +224,18 @@ def export_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def write_ndjson(tables: dict[str, DataFrame]) -> str:
-    """Write tables as `Name.<part>.ndjson` folders in the shared folder."""
+# Rows of a gzipped file, which only one reader can follow.
+GZIPPED_ROWS = 500_000
+
+
+def write_ndjson(tables: dict[str, DataFrame], gzipped: bool = False) -> str:
+    """Write tables as `Name.<part>.ndjson` folders in the shared folder; `gzipped`,
+    for all of an export, whose text takes many times the room of its tables."""
     spark = next(iter(tables.values())).sparkSession
     path = new_shared_path(spark, "ndjson")
+    form = {"compression": "gzip", "file_rows": GZIPPED_ROWS} if gzipped else {"compression": "none"}
     for name, df in tables.items():
-        write_json_lines(df, f"{path}/{FILE_NAMES.get(name, name)}.000.ndjson", compression="none")
+        write_json_lines(df, f"{path}/{FILE_NAMES.get(name, name)}.000.ndjson", **form)
     return path
 
 

@@ -20,9 +20,13 @@ from chartfold.shared import delete
 _MARKER = "number bigint, folder string, source string"
 
 
-def write_json_lines(df: DataFrame, path: str, mode: str = "overwrite", compression: str = "gzip") -> None:
-    """One JSON object per row, NULL fields included. Executors write in parallel."""
-    df.write.mode(mode).option("ignoreNullFields", "false").json(path, compression=compression)
+def write_json_lines(
+    df: DataFrame, path: str, mode: str = "overwrite", compression: str = "gzip", file_rows: int = 0
+) -> None:
+    """One JSON object per row, NULL fields included. Executors write in parallel,
+    with `file_rows` at most so many rows to a file."""
+    writer = df.write.mode(mode).option("ignoreNullFields", "false").option("maxRecordsPerFile", file_rows)
+    writer.json(path, compression=compression)
 
 
 def _marker(spark: SparkSession, path: str) -> Row | None:

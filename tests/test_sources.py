@@ -1,5 +1,6 @@
 """Files in and out: NDJSON, archives, the export log, JSON Lines."""
 
+import gzip
 import json
 import zipfile
 from pathlib import Path
@@ -7,9 +8,11 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from chartfold.checks import queries
 from chartfold.operators.profile import load_summary, null_profile
 from chartfold.plans import master as m
-from chartfold.plans.testbed import clinical_tables
+from chartfold.plans import testbed
+from chartfold.plans.testbed import clinical_tables, write_ndjson
 from chartfold.schemas import CORRUPT, RESOURCES
 from chartfold.shared import new_shared_path, scope, scratch, settled, settled_from
 from chartfold.sinks.jsonl import land, read_master, write_json_lines, write_master
@@ -260,6 +263,33 @@ def test_shared_paths_come_from_the_session(spark):
     assert settled(spark.range(4)).count() == 4
 
 
+def test_gzipped_exports_are_short_files_with_the_same_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(testbed, "GZIPPED_ROWS", 7)
+    ids = spark.range(40).select(F.col("id").cast("string").alias("id"))
+    reference = F.when(F.col("id") % 3 != 0, F.struct(F.concat(F.lit("Patient/é"), "id").alias("reference")))
+    table = ids.withColumns({"subject": reference, "code": F.lit(None).cast("struct<coding:array<struct<code:string,display:string>>>")})
+    table = table.unionByName(table.limit(3)).repartition(2)
+    plain, gzipped = (write_ndjson({"condition": table}, gzipped=g) for g in (False, True))
+    read = [sorted(map(str, scan_resource(spark, p, "Condition").collect())) for p in (plain, gzipped)]
+    assert read[0] == read[1] and len(read[0]) == 43
+    files = [gzip.decompress(f.read_bytes()).splitlines() for f in Path(gzipped.removeprefix("file:")).rglob("part-*.gz")]
+    assert sum(map(len, files)) == 43 and max(map(len, files)) == 7
+
+
+@pytest.mark.parametrize("name", ["ndjson_master"])
+def test_queries_of_whole_exports_write_no_plain_text(spark, monkeypatch, name):
+    written = []
+
+    def write(*tables, **options):
+        written.append(write_ndjson(*tables, **options))
+        return written[-1]
+
+    monkeypatch.setattr(queries, "write_ndjson", write)
+    assert queries.QUERIES[name](spark, SF_DIR).count()
+    files = [f.name for f in Path(written[0].removeprefix("file:")).rglob("part-*")]
+    assert len(written) == 1 and files and all(f.endswith(".json.gz") for f in files)
+
+
 def test_empty_table_writes_and_reads(spark, tmp_path):
     empty = spark.createDataFrame([], RESOURCES["condition"])
     write_json_lines(empty, str(tmp_path / "Condition.ndjson"))
