@@ -515,7 +515,7 @@ def regression_from_jsonl(spark, sf_dir):
 @_query
 def ndjson_scan(spark, sf_dir):
     """Write the resources as NDJSON and load them by name."""
-    path = write_ndjson(clinical_tables(spark, sf_dir, list(FILE_NAMES)))
+    path = write_ndjson(clinical_tables(spark, sf_dir, list(FILE_NAMES)), gzipped=True)
     chosen = load_resources(spark, path, ["Observation ", "Absent"], views=False)
     tables = merge_resources(chosen, load_resources(spark, path, views=False))
     return summarise(tables)

@@ -276,7 +276,7 @@ def test_gzipped_exports_are_short_files_with_the_same_rows(spark, tmp_path, mon
     assert sum(map(len, files)) == 43 and max(map(len, files)) == 7
 
 
-@pytest.mark.parametrize("name", ["ndjson_master"])
+@pytest.mark.parametrize("name", ["ndjson_master", "ndjson_scan"])
 def test_queries_of_whole_exports_write_no_plain_text(spark, monkeypatch, name):
     written = []
 
