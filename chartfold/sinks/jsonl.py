@@ -21,11 +21,13 @@ _MARKER = "number bigint, folder string, source string"
 
 
 def write_json_lines(
-    df: DataFrame, path: str, mode: str = "overwrite", compression: str = "gzip", file_rows: int = 0
+    df: DataFrame, path: str, mode: str = "overwrite", compression: str = "gzip", file_rows: int | None = None
 ) -> None:
     """One JSON object per row, NULL fields included. Executors write in parallel,
     with `file_rows` at most so many rows to a file."""
-    writer = df.write.mode(mode).option("ignoreNullFields", "false").option("maxRecordsPerFile", file_rows)
+    writer = df.write.mode(mode).option("ignoreNullFields", "false")
+    if file_rows is not None:
+        writer = writer.option("maxRecordsPerFile", file_rows)
     writer.json(path, compression=compression)
 
 
